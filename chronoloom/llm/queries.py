@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chronoloom.llm import bpe, simhash
+from chronoloom.llm import bpe, quality, sharding, simhash, suffix, toxicity, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -21,11 +21,36 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_query
+def op1_quality_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@_query
+def op4_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(_table(spark, sf_dir, "documents"))
+
+
 @_query
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(_table(spark, sf_dir, "documents"))
 
 
+@_query
+def op6_pivot_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.cosine_links(_table(spark, sf_dir, "embeddings"))
+
+
 @_query
 def op7_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op9_suffix_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.repeat_digests(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op10_toxicity_subwords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
