@@ -16,6 +16,8 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -30,13 +32,20 @@ class Vocabulary:
         self.ranks = ranks
         self.tokens = {i: b for b, i in ranks.items()}
         self.longest = max(map(len, ranks), default=0)
-        self.prefixes = {b[:n] for b in ranks for n in range(1, len(b))}
+        #: Every prefix of a token: its id (-1: none) and whether a longer token begins with it.
+        self.trie: dict[bytes, tuple[int, bool]] = {}
+        for t in ranks:
+            for n in range(1, len(t)):
+                self.trie[t[:n]] = (-1, True)
+        for t, i in ranks.items():
+            self.trie[t] = (i if self.merge(t) == [i] else -1, t in self.trie)
         self._pairs: dict[tuple[int, int], bool] = {}
-        self._whole: dict[int, bool] = {}
+        self._edges: dict[int, tuple[list, list]] = {}
         size = max(self.tokens, default=-1) + 1
         self.lengths = np.zeros(size, dtype=np.int64)
         for i, b in self.tokens.items():
             self.lengths[i] = len(b)
+        self.sizes = self.lengths.tolist()
         self.offsets = np.concatenate(([0], np.cumsum(self.lengths)[:-1])) if size else self.lengths
         self.flat = np.frombuffer(b"".join(self.tokens.get(i, b"") for i in range(size)), dtype=np.uint8)
 
@@ -54,74 +63,116 @@ class Vocabulary:
             parts[best : best + 2] = [parts[best] + parts[best + 1]]
         return [self.ranks[p] for p in parts]
 
-    def reachable(self, token: int) -> bool:
-        if token not in self._whole:
-            self._whole[token] = self.merge(self.tokens[token]) == [token]
-        return self._whole[token]
+    def _sides(self, token: int) -> tuple[list, list]:
+        """Parts that stand at the left and at the right end of a token while it is merged: (bytes, when made, when merged on).
+
+        Time is the highest rank merged so far.
+        """
+        known = self._edges.get(token)
+        if known is None:
+            b = self.tokens[token]
+            parts, now = [b[i : i + 1] for i in range(len(b))], -1
+            left, right = [(parts[0], -1)], [(parts[-1], -1)]
+            while len(parts) > 1:
+                best = min(range(len(parts) - 1), key=lambda i: self.ranks.get(parts[i] + parts[i + 1], 1 << 60))
+                made = parts[best] + parts[best + 1]
+                now = max(now, self.ranks[made])
+                if best == 0:
+                    left.append((made, now))
+                if best == len(parts) - 2:
+                    right.append((made, now))
+                parts[best : best + 2] = [made]
+            known = self._edges[token] = tuple([(x, t, side[i + 1][1] if i + 1 < len(side) else 1 << 60) for i, (x, t) in enumerate(side)] for side in (left, right))
+        return known
 
     def compatible(self, left: int, right: int) -> bool:
+        """Whether merging the two tokens' bytes gives the two back: no merge across their border comes in time.
+
+        Of equal merges the leftmost is done first, so one within ``left`` goes
+        before one across the border, and that before one within ``right``.
+        """
         pair = (left, right)
         known = self._pairs.get(pair)
         if known is None:
-            if len(self._pairs) > 2_000_000:
+            if len(self._pairs) > 400_000:  # bounded memory
                 self._pairs.clear()
-            known = self._pairs[pair] = self.merge(self.tokens[left] + self.tokens[right]) == [left, right]
+            known, get = True, self.ranks.get
+            ours = self._sides(right)[0]
+            for x, made, gone in self._sides(left)[1]:
+                for y, made_y, gone_y in ours:
+                    if made_y >= gone:
+                        break
+                    rank = get(x + y)
+                    if rank is not None:
+                        now = max(rank, made, made_y)
+                        if now < gone and now <= gone_y:
+                            known = False
+            self._pairs[pair] = known
         return known
 
 
 class Transducer:
     """Encodes one pre-token at a time; ``max_states`` bounds the memory of the lazy tables."""
 
-    def __init__(self, vocabulary: Vocabulary, max_states: int = 100_000):
+    def __init__(self, vocabulary: Vocabulary, max_states: int = 300_000):
         self.v, self.max_states = vocabulary, max_states
         self._reset()
 
     def _reset(self) -> None:
-        #: Per state: last token emitted (-1: none), pending bytes, last token of each prefix of these (-1: not alive).
-        self.states: list[tuple[int, bytes, tuple[int, ...]]] = [(-1, b"", ())]
+        #: Per state: last token emitted (-1: none) and pending bytes; last token of each prefix of these (-1: not needed); starts alive.
+        self.states: list[tuple[tuple[int, bytes], tuple[int, ...], tuple[int, ...]]] = [((-1, b""), (), ())]
         self.index = {(-1, b""): 0}
         self.steps: dict[int, tuple[int, tuple[int, ...]]] = {}
         self.ends: dict[int, tuple[int, ...]] = {}
 
     def _advance(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
         v = self.v
-        before, pending, lasts = self.states[state]
-        pending += bytes((byte,))
+        (before, pending), lasts, alive = self.states[state]
         n = len(pending)
-        last = -1
-        for start in range(max(0, n - v.longest), n):
-            token = v.ranks.get(pending[start:])
-            if token is None or not v.reachable(token):
-                continue
-            left = lasts[start - 1] if start else before
-            if (start and left < 0) or (left >= 0 and not v.compatible(left, token)):
+        pending += bytes((byte,))
+        last, still, get = -1, [], v.trie.get
+        for start in (*alive, n):
+            entry = get(pending[start:])
+            if entry is None:
                 continue
-            last = token
-            break
+            token, longer = entry
+            if longer:
+                still.append(start)
+            if last < 0 <= token:
+                left = lasts[start - 1] if start else before
+                if left < 0 or v.compatible(left, token):
+                    last = token
         lasts += (last,)
-        alive = {s for s in range(max(0, n - v.longest), n) if (not s or lasts[s - 1] >= 0) and pending[s:] in v.prefixes}
-        alive.add(n)
-        kept = set(alive)
-        while len(alive) > 1:  # walk the encodings back to their common boundary
-            m = max(alive)
-            alive.remove(m)
-            alive.add(m - len(v.tokens[lasts[m - 1]]))
-            kept |= alive
-        cut = alive.pop()
-        out = self._chain(lasts, cut)
-        rest = tuple(t if s in kept else -1 for s, t in enumerate(lasts[cut:], cut + 1))
-        key = (out[-1] if out else before, pending[cut:])
+        # The encodings of all prefixes at which a token may still begin, walked back to their common boundary.
+        n += 1
+        kept, lengths = {n}, v.sizes
+        front = sorted((*still, n))
+        while front[0] != front[-1]:
+            m = front.pop()
+            m -= lengths[lasts[m - 1]]
+            if m not in kept:
+                kept.add(m)
+            if m not in front:
+                front.append(m)
+                front.sort()
+        cut = front[0]
+        if not cut:
+            key, out = (before, pending), ()
+        else:
+            out = self._chain(lasts, cut)
+            key = (out[-1], pending[cut:])
         nxt = self.index.get(key)
         if nxt is None:
+            kept.update(still)
             nxt = self.index[key] = len(self.states)
-            self.states.append((*key, rest))
+            self.states.append((key, tuple([t if s in kept else -1 for s, t in enumerate(lasts[cut:], cut + 1)]), tuple([s - cut for s in still])))
         return nxt, out
 
     def _chain(self, lasts: tuple[int, ...], end: int) -> tuple[int, ...]:
         out = []
         while end > 0:
             out.append(lasts[end - 1])
-            end -= len(self.v.tokens[out[-1]])
+            end -= self.v.sizes[out[-1]]
         return tuple(out[::-1])
 
     def encode(self, piece: bytes) -> list[int]:
@@ -129,7 +180,7 @@ class Transducer:
         whole = self.v.ranks.get(piece)
         if whole is not None:
             return [whole]
-        if len(self.states) > self.max_states or len(self.steps) > 4 * self.max_states:
+        if len(self.states) > self.max_states or len(self.steps) > 2 * self.max_states:
             self._reset()
         state, out, steps = 0, [], self.steps
         for byte in piece:
@@ -142,7 +193,7 @@ class Transducer:
                 out.extend(step[1])
         tail = self.ends.get(state)
         if tail is None:
-            tail = self.ends[state] = self._chain(self.states[state][2], len(self.states[state][1]))
+            tail = self.ends[state] = self._chain(self.states[state][1], len(self.states[state][0][1]))
         out.extend(tail)
         return out
 
@@ -206,27 +257,78 @@ class Utf8Machine:
         return got
 
 
+@lru_cache(maxsize=1)
+def _kinds() -> np.ndarray:
+    """For each code point: 1 letter, 2 number, 3 white space but for 4 the space, 0 anything else."""
+    out = np.zeros(0x110000, dtype=np.uint8)
+    every = "".join(map(chr, range(0xD800))) + "\0" * 0x800 + "".join(map(chr, range(0xE000, 0x110000)))
+    for kind, name in ((1, "L"), (2, "N"), (3, "White_Space")):
+        for m in regex.finditer(rf"\p{{{name}}}+", every):
+            out[m.start() : m.end()] = kind
+    out[32] = 4
+    return out
+
+
+#: The endings that the public pattern splits off at an apostrophe.
+ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
+
+
+def split(text: str) -> list[str]:
+    """The public pattern's matches, found from the kinds of neighbouring characters.
+
+    A run of letters, of numbers or of other characters is a match, with one
+    space before it if there is one; white space but for its last character is a
+    match if something else follows; an apostrophe that begins a match takes an
+    ending of ENDINGS.
+    """
+    code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    if not len(code):
+        return []
+    kind = _kinds()[code]
+    white = kind >= 3
+    start = np.ones(len(code), dtype=bool)
+    start[1:] = np.where(white[1:], ~white[:-1], (kind[1:] != kind[:-1]) & (kind[:-1] != 4))
+    start[:-1] |= white[:-1] & ~white[1:]
+    for q in np.flatnonzero(start & (code == 39)).tolist():
+        for e in ENDINGS:
+            if text.startswith(e, q + 1):
+                start[q + 1] = False
+                after = q + 1 + len(e)
+                if after < len(code) and kind[after] == 1:
+                    start[after] = True
+                break
+    at = np.flatnonzero(start).tolist()
+    return [text[a:b] for a, b in zip(at, [*at[1:], len(text)])]
+
+
 class Codec:
     """Whole texts to ids and back. ``max_pieces`` bounds the table of pre-tokens already encoded."""
 
-    def __init__(self, vocabulary: Vocabulary, pattern: str, max_pieces: int = 200_000):
+    def __init__(self, vocabulary: Vocabulary, pattern: str, public: str | None = None, max_pieces: int = 300_000):
         self.v, self.fst = vocabulary, Transducer(vocabulary)
-        #: The rank files' pattern means white space as Unicode defines it.
-        self.find = regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")).findall
-        self.max_pieces, self.known = max_pieces, {}
-
-    def _piece(self, piece: str) -> bytes:
-        if len(self.known) >= self.max_pieces:
-            self.known.clear()
-        got = np.array(self.fst.encode(piece.encode("utf-8", "surrogatepass")), dtype="<u4").tobytes()
+        # White space in the rank files' patterns is what Unicode defines.
+        self.find = split if pattern == public else regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")).findall
+        self.max_pieces, self.known, self.older = max_pieces, {}, {}
+
+    def _piece(self, piece: str) -> tuple[bytes, str]:
+        if len(self.known) >= self.max_pieces:  # what is still in use moves on from the older table
+            self.older, self.known = self.known, {}
+        got = self.older.get(piece)
+        if got is None:
+            ids = self.fst.encode(piece.encode("utf-8", "surrogatepass"))
+            got = pack(f"<{len(ids)}I", *ids), ",".join(map(str, ids))
         if len(piece) <= 64:
             self.known[piece] = got
         return got
 
-    def encode(self, text: str) -> np.ndarray:
-        """Ids of a text; each match of the pattern is encoded separately, without special tokens."""
+    def pieces(self, text: str) -> list[tuple[bytes, str]]:
+        """Each match of the pattern, encoded separately, without special tokens: ids as bytes, and as decimals."""
         get, piece = self.known.get, self._piece
-        return np.frombuffer(b"".join([get(p) or piece(p) for p in self.find(text)]), dtype="<u4")
+        return [get(p) or piece(p) for p in self.find(text)]
+
+    def encode(self, text: str) -> np.ndarray:
+        """Ids of a text."""
+        return np.frombuffer(b"".join([p[0] for p in self.pieces(text)]), dtype="<u4")
 
     def decode_bytes(self, ids: np.ndarray) -> bytes:
         """The bytes of a block of ids."""
@@ -254,7 +356,9 @@ class _Lazy:
         key = hash((pattern, handle.id if hasattr(handle, "id") else 0))
         if key not in cls.made:
             cls.made.clear()
-            cls.made[key] = Codec(Vocabulary.parse(handle.value), pattern)
+            import public_tokenizers
+
+            cls.made[key] = Codec(Vocabulary.parse(handle.value), pattern, public_tokenizers.PATTERN)
         return cls.made[key]
 
 
@@ -315,13 +419,13 @@ def token_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _Lazy.get(handle, pattern)
-        names = [str(i) for i in range(len(codec.v.lengths))]
         for b in batches:
             count, one, two = [], [], []
             for text in b.column(1).to_pylist():
-                ids = codec.encode(text or "")
+                pieces = codec.pieces(text or "")
+                ids = np.frombuffer(b"".join([p[0] for p in pieces]), dtype="<u4")
                 count.append(len(ids))
-                one.append(hashlib.sha256(",".join([names[i] for i in ids.tolist()]).encode()).hexdigest())
+                one.append(hashlib.sha256(",".join([p[1] for p in pieces]).encode()).hexdigest())
                 back = hashlib.sha256()
                 for at in range(0, len(ids), BLOCK):
                     back.update(codec.decode_bytes(ids[at : at + BLOCK]))
