@@ -304,23 +304,21 @@ def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=_NAMES)
 
 
-def _halve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _halves(rows: DataFrame) -> DataFrame:
     """Divide the windows of each row by the anchor's offset; the new bucket hashes what all windows of a half cover."""
-    for b in batches:
-        cols: list[list] = [[] for _ in _NAMES]
-        for r in b.to_pylist():
-            mid = (r["i_lo"] + r["i_hi"]) // 2
-            for i_lo, i_hi in ((r["i_lo"], mid), (mid + 1, r["i_hi"])):
-                lo, hi = max(r["lo"], r["at"] - i_hi), min(r["hi"], r["at"] - i_lo)
-                if lo > hi:
-                    continue
-                shared = r["seg"][r["at"] - i_lo : r["at"] + WINDOW - i_hi]
-                digest = hashlib.blake2b(shared, digest_size=8, salt=bytes((i_lo, i_hi)), key=r["bucket"].to_bytes(8, "little", signed=True)).digest()
-                seg = r["seg"][lo : hi + WINDOW]
-                for c, x in zip(cols, (int.from_bytes(digest, "little", signed=True), r["doc_id"], r["begin"] + lo, r["n"], r["at"] - lo, 0, hi - lo, i_lo, i_hi, seg)):
-                    c.append(x)
-        types = [pa.int64()] * 4 + [pa.int32()] * 5 + [pa.binary()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=_NAMES)
+    mid = F.floor((F.col("i_lo") + F.col("i_hi")) / 2).cast("int")
+    out = None
+    for i_lo, i_hi in ((F.col("i_lo"), mid), (mid + 1, F.col("i_hi"))):
+        half = rows.select("*", i_lo.alias("a"), i_hi.alias("z"))
+        half = half.select("*", F.greatest("lo", F.col("at") - F.col("z")).alias("s"), F.least("hi", F.col("at") - F.col("a")).alias("e")).filter("s <= e")
+        shared = F.substring("seg", F.col("at") - F.col("a") + 1, F.lit(WINDOW) - F.col("z") + F.col("a"))
+        half = half.select(
+            F.xxhash64("bucket", "a", "z", shared).alias("bucket"), "doc_id", (F.col("begin") + F.col("s")).alias("begin"), "n", (F.col("at") - F.col("s")).alias("at"),
+            F.lit(0).alias("lo"), (F.col("e") - F.col("s")).alias("hi"), F.col("a").alias("i_lo"), F.col("z").alias("i_hi"),
+            F.substring("seg", F.col("s") + 1, F.col("e") - F.col("s") + WINDOW).alias("seg"),
+        )
+        out = half if out is None else out.union(half)
+    return out
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -343,7 +341,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     found = [marks]
     while True:
         sizes = todo.groupBy("bucket").agg(F.count("*").alias("c")).filter("c > 1")
-        sized = todo.join(sizes, "bucket")
+        sized = materialize(todo.join(sizes, "bucket"), "run-buckets")
         small = sized.filter(F.col("c") <= BUCKET).drop("c")
         sorted_ = small.repartition("bucket").sortWithinPartitions("bucket")
         found.append(sorted_.mapInArrow(_sort_buckets, "doc_id long, b long, e long"))
@@ -351,10 +349,10 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         ready = large.filter("i_lo = i_hi")
         same = ready.groupBy("bucket", "seg").agg(F.count("*").alias("m")).filter("m > 1").select("bucket", "seg")
         found.append(ready.join(same, ["bucket", "seg"], "left_semi").select("doc_id", F.col("begin").alias("b"), (F.col("begin") + WINDOW).alias("e")))
-        again = materialize(large.filter("i_lo < i_hi").mapInArrow(_halve, _ROW), "run-halves")
-        if again.isEmpty():
+        more = large.filter("i_lo < i_hi")
+        if more.isEmpty():
             break
-        todo = again
+        todo = _halves(more)
     out = found[0]
     for f in found[1:]:
         out = out.union(f)
