@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chronoloom.llm import bpe, quality, sharding, simhash, suffix, toxicity, vectors
+from chronoloom.llm import bpe, decontaminate, quality, sharding, simhash, suffix, toxicity, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -46,6 +46,11 @@ def op7_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(_table(spark, sf_dir, "documents"))
 
 
+@_query
+def op8_cgk_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminations(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 @_query
 def op9_suffix_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.repeat_digests(_table(spark, sf_dir, "documents"))
