@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from chronoloom.llm import bpe, decontaminate, quality, sharding, simhash, suffix, toxicity, vectors
+from chronoloom.llm import bpe, decontaminate, licenses, quality, sharding, simhash, suffix, toolcalls, toxicity, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -26,6 +26,43 @@ def op1_quality_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+@_query
+def op2_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = toolcalls.turns_as_calls(_table(spark, sf_dir, "conversations"))
+    linked = toolcalls.link_calls(calls, results, toolcalls.ASK)
+    return linked.select("conv_id", "call_id", "position", "place", "n_results", "status", F.length("canonical").cast("long").alias("n_chars"), F.sha2("canonical", 256).alias("canonical_sha256"))
+
+
+#: The same from the tables alone; turns are in order, so a call's place is its turn.
+ORACLE_SQL["op2_tool_calls"] = """
+with asked as (
+  select conv_id, conv_id || ':' || turn as call_id, turn as position, text, length(text) as chars
+  from conversations where role = 'user' and conv_id is not null and turn is not null),
+replies as (
+  select conv_id || ':' || (turn - 1) as call_id, count(*) as n,
+         arg_min(text, (turn, text)) as result
+  from conversations where role = 'assistant' and conv_id is not null and turn is not null group by 1),
+linked as (
+  select a.conv_id, coalesce(a.call_id, r.call_id) as call_id, a.position, a.position as place, coalesce(r.n, 0) as n_results,
+         case when a.call_id is null then 'orphan' when a.text is null or a.chars < 1 then 'invalid'
+              when r.call_id is null then 'unanswered' else 'linked' end as status,
+         case when a.call_id is null then 'null'
+              else '{' || concat_ws(',', '"chars":' || a.chars, '"text":' || to_json(a.text)) || '}' end as arguments,
+         coalesce(to_json(r.result), 'null') as result, case when a.call_id is null then 'null' else '"ask"' end as name
+  from asked a full join replies r on a.call_id = r.call_id),
+lines as (
+  select *, '{"arguments":' || arguments || ',"id":' || to_json(call_id) || ',"name":' || name || ',"result":' || result || '}' as line from linked)
+select conv_id, call_id, cast(position as bigint) as position, cast(place as bigint) as place, n_results, status,
+       cast(length(line) as bigint) as n_chars, sha256(line) as canonical_sha256
+from lines
+"""
+
+
+@_query
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_matches(_table(spark, sf_dir, "documents"))
+
+
 @_query
 def op4_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, sf_dir, "documents"))

@@ -168,3 +168,12 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     least = known.groupBy("g").agg(F.min("first").alias("component_id"))
     named = known.join(least, "g").select("fp", "component_id")
     return fps.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def first_of_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows of ``docs`` that come first, by id, in their component; one row of each id, other columns unchanged.
+
+    A row without an id stays only where no row of its component has one.
+    """
+    first = simhash_components(docs, id_col, text_col).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("k")).distinct()
+    return docs.join(first, F.col(id_col).cast("long").eqNullSafe(F.col("k")), "left_semi").dropDuplicates([id_col])

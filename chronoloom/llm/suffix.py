@@ -426,13 +426,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """``docs`` with repeated passages cut from the texts (whole characters only) and n_chars, if there, recounted."""
     carried = [F.col(c) for c in docs.columns]
     joined = _with_spans(docs, id_col, text_col, carried)
-    where = docs.columns.index(text_col)
+    names = docs.columns
+    where = names.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = [cut_spans(t, s) for t, s in zip(b.column(where).to_pylist(), b.column(b.num_columns - 1).to_pylist())]
             cols = [pa.array(texts, pa.string()) if i == where else b.column(i) for i in range(b.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays(cols, names=docs.columns)
+            yield pa.RecordBatch.from_arrays(cols, names=names)
 
     out = joined.mapInArrow(run, docs.schema)
     return out.withColumn("n_chars", F.length(text_col).cast(dict(docs.dtypes)["n_chars"])) if "n_chars" in docs.columns else out
