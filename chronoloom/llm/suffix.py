@@ -39,7 +39,7 @@ GRAM = 32
 #: Bytes hashed at once; longer texts are cut into overlapping pieces.
 CHUNK = 1 << 20
 #: Runs of one anchor that one task sorts together.
-BUCKET = 256
+BUCKET = 4096
 #: Runs sorted at once.
 BATCH = 8192
 
