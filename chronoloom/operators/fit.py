@@ -1,0 +1,191 @@
+"""Model fits per group as pandas functions on numpy, and fits that are plain aggregates."""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Sequence
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, functions as F
+
+
+def least_squares(model: Callable, x: np.ndarray, y: np.ndarray, sigma: np.ndarray, start: Sequence[float], low: Sequence[float], high: Sequence[float], rounds: int = 100) -> tuple[np.ndarray, np.ndarray, float]:
+    """Levenberg-Marquardt within bounds: parameters, their errors, chi-square."""
+    p, lo, hi = (np.array(v, dtype=float) for v in (start, low, high))
+    p = np.clip(p, lo, hi)
+    damp = 1e-2
+    r = (y - model(x, *p)) / sigma
+    chi = float(r @ r)
+    jac = np.empty((len(x), len(p)))
+    for _ in range(rounds):
+        for k in range(len(p)):
+            h = 1e-6 * max(1.0, abs(p[k]))
+            q = p.copy()
+            q[k] = q[k] + h if q[k] + h <= hi[k] else q[k] - h
+            jac[:, k] = (model(x, *q) - model(x, *p)) / (q[k] - p[k]) / sigma
+        a, g = jac.T @ jac, jac.T @ r
+        better = False
+        for _ in range(12):
+            step = np.linalg.lstsq(a + damp * np.diag(np.diag(a) + 1e-12), g, rcond=None)[0]
+            q = np.clip(p + step, lo, hi)
+            s = (y - model(x, *q)) / sigma
+            new = float(s @ s)
+            if new < chi:
+                better, gain, p, r, chi, damp = True, chi - new, q, s, new, damp / 5
+                break
+            damp *= 4
+        if not better or gain < 1e-9 * max(chi, 1e-12):
+            break
+    return p, np.sqrt(np.abs(np.diag(np.linalg.pinv(jac.T @ jac)))), chi
+
+
+def bazin(t: np.ndarray, height: float, t0: float, rise: float, fall: float, offset: float) -> np.ndarray:
+    u = t - t0
+    return height * np.exp(np.clip(-u / fall, -50, 50)) / (1 + np.exp(np.clip(-u / rise, -50, 50))) + offset
+
+
+def bazin_shape(height: float, t0: float, rise: float, fall: float, points: int = 6000) -> dict[str, float]:
+    """Peak, its offset from t0, width at half maximum, rise and decay times from and to a tenth, and the area."""
+    t = np.linspace(t0 - 12 * rise - 2 * fall, t0 + 8 * rise + 12 * fall, points)
+    f = bazin(t, height, t0, rise, fall, 0.0)
+    k = int(f.argmax())
+    half, tenth = np.flatnonzero(f >= f[k] / 2), np.flatnonzero(f >= f[k] / 10)
+    return {"tau_ratio": rise / fall, "peak": float(f[k]), "t_peak_off": float(t[k] - t0), "fwhm": float(t[half[-1]] - t[half[0]]), "rise_time": float(t[k] - t[tenth[0]]), "decay_time": float(t[tenth[-1]] - t[k]), "fluence": float(np.trapezoid(f, t))}
+
+
+BAZIN_COLUMNS = "fit_ok boolean, A double, A_err double, t0 double, tau_rise double, tau_rise_err double, tau_fall double, tau_fall_err double, offset double, A_snr double, redchi2 double, delta_bic double, n_region int, tau_ratio double, peak double, t_peak_off double, fwhm double, rise_time double, decay_time double, fluence double"
+
+
+def fit_bazin(df: DataFrame, keys: Sequence[str], time: str, flux: str, error: str | None = None, least: int = 6) -> DataFrame:
+    """Fit rise and fall to each group's light curve and compare with a constant (delta_bic under 0: the profile is better).
+
+    Groups with fewer than ``least`` points give ``fit_ok`` false and nulls. A
+    group is one event's light curve, which is bounded by the event's window.
+    """
+    schema = ", ".join(f"`{k}` {dict(df.dtypes)[k]}" for k in keys) + ", " + BAZIN_COLUMNS
+    names = [c.split()[0] for c in BAZIN_COLUMNS.split(", ")]
+
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        row = dict.fromkeys(names) | {"fit_ok": False} | dict(zip(keys, key))
+        pdf = pdf.dropna(subset=[time, flux]).sort_values(time)
+        if len(pdf) >= least:
+            t, f = pdf[time].to_numpy(dtype=float), pdf[flux].to_numpy(dtype=float)
+            spread = 1.4826 * np.median(np.abs(f - np.median(f)))
+            e = pdf[error].to_numpy(dtype=float) if error else np.full(len(f), spread if spread > 0 else max(f.std(), 1e-9))
+            span = max(float(t[-1] - t[0]), 1e-9)
+            step = max(float(np.median(np.diff(t))), span / 1000)
+            base, top = float(np.median(f)), int(f.argmax())
+            low = [0, t[0] - span, step / 10, step / 10, f.min() - 1]
+            high = [20 * max(f.max() - base, 1e-9), t[-1] + span, span, 2 * span, f.max() + 1]
+            p, err, chi = least_squares(bazin, t, f, e, [max(f[top] - base, 1e-9) * 1.5, t[top], step, 3 * step, base], low, high)
+            flat = float((((f - np.average(f, weights=e**-2)) / e) ** 2).sum())
+            n = len(t)
+            row |= {"fit_ok": True, "A": p[0], "A_err": err[0], "t0": p[1], "tau_rise": p[2], "tau_rise_err": err[2], "tau_fall": p[3], "tau_fall_err": err[3], "offset": p[4], "A_snr": p[0] / err[0] if err[0] > 0 else None, "redchi2": chi / max(n - 5, 1), "delta_bic": chi + 5 * np.log(n) - flat - np.log(n), "n_region": n}
+            row |= bazin_shape(p[0], p[1], p[2], p[3])
+        return pd.DataFrame([row])[[*keys, *names]]
+
+    return df.select(*keys, time, flux, *([error] if error else [])).groupBy(*keys).applyInPandas(run, schema)
+
+
+def gaussian_score(df: DataFrame, keys: Sequence[str], time: str, flux: str) -> DataFrame:
+    """How well a Gaussian describes each group: R squared, 0 where it fails or is negative."""
+    schema = ", ".join(f"`{k}` {dict(df.dtypes)[k]}" for k in keys) + ", gaussian_score double"
+
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.dropna(subset=[time, flux]).sort_values(time)
+        t, f, score = pdf[time].to_numpy(dtype=float), pdf[flux].to_numpy(dtype=float), 0.0
+        if len(t) >= 5 and f.std() > 0:
+            span = max(float(t[-1] - t[0]), 1e-9)
+            model = lambda x, a, c, s, o: a * np.exp(-0.5 * ((x - c) / s) ** 2) + o
+            p, _, chi = least_squares(model, t, f, np.ones(len(t)), [f.max() - np.median(f), t[f.argmax()], span / 6, np.median(f)], [0, t[0], span / 1000, f.min()], [2 * (f.max() - f.min()) + 1e-9, t[-1], span, f.max()])
+            score = max(0.0, 1 - chi / float(((f - f.mean()) ** 2).sum()))
+        return pd.DataFrame([dict(zip(keys, key)) | {"gaussian_score": score}])
+
+    return df.select(*keys, time, flux).groupBy(*keys).applyInPandas(run, schema)
+
+
+def fourier_period(df: DataFrame, keys: Sequence[str], time: str, value: str, periods: int = 400, order: int = 3) -> DataFrame:
+    """Best period of each series by least squares over a grid of frequencies, its power, and the ratios and phases of harmonics."""
+    schema = ", ".join(f"`{k}` {dict(df.dtypes)[k]}" for k in keys) + ", period double, power double, r21 double, r31 double, phi21 double, phi31 double"
+
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.dropna(subset=[time, value]).sort_values(time)
+        t, v = pdf[time].to_numpy(dtype=float), pdf[value].to_numpy(dtype=float)
+        row: dict = dict(zip(keys, key)) | dict.fromkeys(("period", "power", "r21", "r31", "phi21", "phi31"))
+        if len(t) >= 3 + 2 * order and v.std() > 0 and t[-1] > t[0]:
+            u = v - v.mean()
+            span = t[-1] - t[0]
+            freq = np.linspace(1 / span, min(len(t) / (2 * span), 50 / span), periods)
+            phase = 2 * np.pi * freq[:, None] * t
+            c, s = np.cos(phase), np.sin(phase)
+            cc, ss, cs = (c * c).sum(1), (s * s).sum(1), (c * s).sum(1)
+            uc, us = c @ u, s @ u
+            det = np.maximum(cc * ss - cs * cs, 1e-12)
+            power = (uc * uc * ss + us * us * cc - 2 * uc * us * cs) / det / (u @ u)
+            best = int(power.argmax())
+            w = 2 * np.pi * freq[best]
+            basis = np.column_stack([np.ones(len(t)), *[g(k * w * t) for k in range(1, order + 1) for g in (np.cos, np.sin)]])
+            x = np.linalg.lstsq(basis, v, rcond=None)[0]
+            amp = [np.hypot(x[2 * k - 1], x[2 * k]) for k in range(1, order + 1)]
+            phi = [np.arctan2(-x[2 * k], x[2 * k - 1]) for k in range(1, order + 1)]
+            row |= {"period": 1 / freq[best], "power": float(power[best])}
+            if amp[0] > 0:
+                row |= {"r21": amp[1] / amp[0], "r31": amp[2] / amp[0], "phi21": (phi[1] - 2 * phi[0]) % (2 * np.pi), "phi31": (phi[2] - 3 * phi[0]) % (2 * np.pi)}
+        return pd.DataFrame([row])
+
+    return df.select(*keys, time, value).groupBy(*keys).applyInPandas(run, schema)
+
+
+def line(df: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFrame:
+    """Slope, intercept and root mean square residual of a straight line per group, as aggregates."""
+    a, b = F.regr_slope(y, x), F.regr_intercept(y, x)
+    sse = F.regr_syy(y, x) - F.when(F.regr_sxx(y, x) > 0, F.pow(F.regr_sxy(y, x), 2) / F.regr_sxx(y, x)).otherwise(0)
+    return df.groupBy(*keys).agg(a.alias("slope"), b.alias("intercept"), F.sqrt(F.greatest(F.lit(0.0), sse) / F.count(y)).alias("rms"), F.count(y).alias("n"))
+
+
+def polynomial_surface(df: DataFrame, x: str, y: str, z: str, order: int) -> dict[tuple[int, int], float]:
+    """Coefficients of a polynomial in two variables: the normal equations' sums in Spark, a small solve on the driver."""
+    powers = [(i, j) for i in range(order + 1) for j in range(order + 1 - i)]
+    sums = {(i, j) for a, b in powers for c, d in powers for i, j in [(a + c, b + d)]}
+    got = df.agg(*[F.sum(F.pow(x, i) * F.pow(y, j)).alias(f"s{i}_{j}") for i, j in sorted(sums)], *[F.sum(F.pow(x, i) * F.pow(y, j) * F.col(z)).alias(f"z{i}_{j}") for i, j in powers]).first()
+    a = np.array([[got[f"s{i + k}_{j + m}"] for k, m in powers] for i, j in powers])
+    return dict(zip(powers, np.linalg.solve(a, np.array([got[f"z{i}_{j}"] for i, j in powers])).tolist()))
+
+
+def dot(array: Column, weights: Sequence[float]) -> Column:
+    """Weighted sum of an array column: matched-filter photometry of a stamp by fixed weights."""
+    pairs = F.zip_with(array, F.array(*[F.lit(float(w)) for w in weights]), lambda a, w: a.cast("double") * w)
+    return F.aggregate(pairs, F.lit(0.0), lambda s, p: s + p)
+
+
+def matched_weights(template: np.ndarray) -> np.ndarray:
+    """Weights that give the flux of a template above a constant background: a row of (A'A)^-1 A'."""
+    a = np.column_stack((template.ravel(), np.ones(template.size)))
+    return np.linalg.pinv(a)[0]
+
+
+def forest(train: DataFrame, test: DataFrame, features: Sequence[str], label: str, trees: int = 50, seed: int = 7) -> DataFrame:
+    """Rows of ``test`` with a random forest's ``prediction`` and its ``confidence``."""
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+
+    assemble = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
+    model = RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=trees, seed=seed).fit(assemble.transform(train))
+    out = model.transform(assemble.transform(test))
+    return out.select(*test.columns, F.col("prediction").cast("int").alias("prediction"), F.array_max(vector_to_array("probability")).alias("confidence"))
+
+
+def whitened(df: DataFrame, features: Sequence[str], variance: float = 0.99) -> DataFrame:
+    """``df`` with ``whitened``: features standardised, rotated to principal axes that hold ``variance``, scaled to unit variance."""
+    from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+
+    v = VectorAssembler(inputCols=list(features), outputCol="_v", handleInvalid="skip").transform(df)
+    scaled = StandardScaler(inputCol="_v", outputCol="_s", withMean=True).fit(v).transform(v)
+    full = PCA(k=len(features), inputCol="_s", outputCol="_p").fit(scaled)
+    share = full.explainedVariance.toArray()
+    k = int(np.searchsorted(np.cumsum(share), variance) + 1)
+    scale = 1 / np.sqrt(np.maximum(share[:k] * len(features), 1e-12))
+    arr = vector_to_array("_p")
+    return full.transform(scaled).withColumn("whitened", F.array(*[F.get(arr, F.lit(i)) * float(scale[i]) for i in range(min(k, len(features)))])).drop("_v", "_s", "_p")
