@@ -17,9 +17,9 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
 
 
 def factorise(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "code") -> DataFrame:
-    """Number keys from 1 in the order in which they first appear."""
+    """Number keys from 1 in the order in which they first appear (ties by the keys); distinct keys are few enough for one task."""
     first = df.groupBy(*keys).agg(F.min(F.struct(*order)).alias("_f"))
-    codes = first.withColumn(out, F.row_number().over(Window.orderBy("_f"))).drop("_f")
+    codes = first.withColumn(out, F.row_number().over(Window.orderBy("_f", *keys))).drop("_f")
     return df.join(codes, list(keys))
 
 
