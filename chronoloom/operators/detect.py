@@ -37,7 +37,8 @@ def find_sources(image: np.ndarray, sigmas=(1.0, 1.5, 2.5), level: float = 5.0,
         for dx in (-1, 0, 1):
             if dy or dx:
                 inner = np.maximum(inner, np.roll(np.roll(best, dy, 0), dx, 1))
-    ys, xs = np.nonzero((best >= level) & (best >= inner))
+    # A filter also answers beside a source of the other sign; there the pixel itself stays low.
+    ys, xs = np.nonzero((best >= level) & (best >= inner) & (clean >= 3 * noise))
     out: list[dict[str, float]] = []
     for y, x in sorted(zip(ys.tolist(), xs.tolist()), key=lambda p: (-best[p], p)):
         if any((s["xint"] - x) ** 2 + (s["yint"] - y) ** 2 <= spacing**2 for s in out) or not (1 <= y < image.shape[0] - 1 and 1 <= x < image.shape[1] - 1):
