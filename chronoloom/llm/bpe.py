@@ -24,6 +24,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
+from chronoloom.llm.words import parts
+
 
 class Vocabulary:
     """Ranks of a tiktoken file, which are both the ids and the order of merges."""
@@ -114,7 +116,7 @@ class Vocabulary:
 class Transducer:
     """Encodes one pre-token at a time; ``max_states`` bounds the memory of the lazy tables."""
 
-    def __init__(self, vocabulary: Vocabulary, max_states: int = 300_000):
+    def __init__(self, vocabulary: Vocabulary, max_states: int = 200_000):
         self.v, self.max_states = vocabulary, max_states
         self._reset()
 
@@ -304,7 +306,7 @@ def split(text: str) -> list[str]:
 class Codec:
     """Whole texts to ids and back. ``max_pieces`` bounds the table of pre-tokens already encoded."""
 
-    def __init__(self, vocabulary: Vocabulary, pattern: str, public: str | None = None, max_pieces: int = 300_000):
+    def __init__(self, vocabulary: Vocabulary, pattern: str, public: str | None = None, max_pieces: int = 250_000):
         self.v, self.fst = vocabulary, Transducer(vocabulary)
         # White space in the rank files' patterns is what Unicode defines.
         self.find = split if pattern == public else regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")).findall
@@ -321,6 +323,12 @@ class Codec:
             self.known[piece] = got
         return got
 
+    def rest(self) -> None:
+        """Let go of what is quickly made again, as the worker may now serve another operator."""
+        self.older = {}
+        self.fst._reset()
+        self.v._pairs.clear()
+
     def pieces(self, text: str) -> list[tuple[bytes, str]]:
         """Each match of the pattern, encoded separately, without special tokens: ids as bytes, and as decimals."""
         get, piece = self.known.get, self._piece
@@ -385,6 +393,7 @@ def encode_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             ends = np.cumsum([0, *map(len, ids)])
             flat = np.concatenate(ids).astype(np.int32) if ids else np.zeros(0, dtype=np.int32)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))], names=["doc_id", "ids"])
+        codec.rest()
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("t")).mapInArrow(run, "doc_id long, ids array<int>")
 
@@ -419,7 +428,7 @@ def token_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _Lazy.get(handle, pattern)
-        for b in batches:
+        for b in parts(batches):
             count, one, two = [], [], []
             for text in b.column(1).to_pylist():
                 pieces = codec.pieces(text or "")
@@ -431,6 +440,7 @@ def token_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                     back.update(codec.decode_bytes(ids[at : at + BLOCK]))
                 two.append(back.hexdigest())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(count, pa.int64()), pa.array(one, pa.string()), pa.array(two, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        codec.rest()
 
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("t"))
     return picked.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

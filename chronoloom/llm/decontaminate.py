@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from chronoloom.llm.suffix import mix
-from chronoloom.llm.words import HashSet, gram_hashes, word_hashes
+from chronoloom.llm.words import HashSet, gram_hashes, parts, word_hashes
 
 #: Items under so many words aren't searched.
 LEAST_WORDS = 6
@@ -212,7 +212,7 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id"
 
         def run(batches: Iterator[pa.RecordBatch], handle=handle) -> Iterator[pa.RecordBatch]:
             index = handle.value
-            for b in batches:
+            for b in parts(batches):
                 rows = [(d, *h) for d, found in zip(b.column(0).to_pylist(), index.hits(b.column(1).to_pylist())) for h in found]
                 cols = list(zip(*rows)) if rows else [()] * 5
                 types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
@@ -232,7 +232,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
 
         def run(batches: Iterator[pa.RecordBatch], handle=handle) -> Iterator[pa.RecordBatch]:
             index = handle.value
-            for b in batches:
+            for b in parts(batches):
                 yield b.filter(pa.array([not found for found in index.hits(b.column(where).to_pylist())], pa.bool_()))
 
         docs = docs.mapInArrow(run, schema)

@@ -24,6 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from chronoloom.llm.suffix import free_name
 from chronoloom.operators.components import connected_components
 from chronoloom.sources.shared import materialize
 
@@ -175,5 +176,6 @@ def first_of_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     A row without an id stays only where no row of its component has one.
     """
-    first = simhash_components(docs, id_col, text_col).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("k")).distinct()
-    return docs.join(first, F.col(id_col).cast("long").eqNullSafe(F.col("k")), "left_semi").dropDuplicates([id_col])
+    key = free_name("first_id", docs.columns)
+    first = simhash_components(docs, id_col, text_col).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(key)).distinct()
+    return docs.join(first, F.col(id_col).cast("long").eqNullSafe(F.col(key)), "left_semi").dropDuplicates([id_col])

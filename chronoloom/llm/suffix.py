@@ -369,10 +369,19 @@ def _merged(spans: list[dict] | None) -> list[tuple[int, int]]:
     return out
 
 
+def free_name(name: str, columns: list[str]) -> str:
+    """A column name that isn't taken."""
+    while name.lower() in {c.lower() for c in columns}:
+        name += "_"
+    return name
+
+
 def _with_spans(docs: DataFrame, id_col: str, text_col: str, carried: list) -> DataFrame:
+    """The carried columns and, last, the spans of each row's text."""
     spans = repeated_spans(docs, id_col, text_col).distinct()
-    per_doc = spans.groupBy("doc_id").agg(F.collect_list(F.struct("b", "e")).alias("spans")).withColumnRenamed("doc_id", "k")
-    return docs.join(per_doc.hint("shuffle_hash"), F.col(id_col).cast("long").eqNullSafe(F.col("k")), "left").select(*carried, "spans")
+    key, out = free_name("span_key", docs.columns), free_name("span_list", docs.columns)
+    per_doc = spans.groupBy("doc_id").agg(F.collect_list(F.struct("b", "e")).alias(out)).withColumnRenamed("doc_id", key)
+    return docs.join(per_doc.hint("shuffle_hash"), F.col(id_col).cast("long").eqNullSafe(F.col(key)), "left").select(*carried, out)
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

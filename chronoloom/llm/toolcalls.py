@@ -3,8 +3,9 @@
 Calls and results meet in a hash join on the call's identifier. A call may name
 others that it depends on. Message order is a topological order unless a call
 precedes one it depends on; positions are raised only along such edges, round by
-round, until none is left. Calls on a cycle keep being raised and are reported
-after ``max_rounds``. Arguments are checked against the schema of the tool, and
+round, until none is left. Calls on a cycle, and those that depend on one, keep
+being raised and are reported after ``max_rounds``; so is the end of a chain of
+more than half as many calls, each before the one it depends on. Arguments are checked against the schema of the tool, and
 each call becomes one line of canonical JSON: sorted keys, no spaces.
 """
 
@@ -96,19 +97,17 @@ ASK = {"ask": {"type": "object", "required": ["text", "chars"], "properties": {"
 def _ordered(calls: DataFrame, max_rounds: int) -> DataFrame:
     """``(call_id, place, cyclic)`` such that a call's place exceeds those of the calls it depends on."""
     first = calls.filter("call_id is not null").groupBy("call_id").agg(F.min("position").alias("place"))
-    places = first.withColumn("cyclic", F.lit(False))
+    places = first.withColumn("raised", F.lit(0))
     edges = calls.select("call_id", F.explode("depends_on").alias("on")).filter("call_id is not null and on is not null").distinct()
-    for done in range(max_rounds + 1):
+    for done in range(1, max_rounds + 1):
         other = places.select(F.col("call_id").alias("on"), F.col("place").alias("p"))
         late = edges.join(other, "on").groupBy("call_id").agg(F.max("p").alias("p"))
         wrong = materialize(places.join(late, "call_id").filter("p >= place").select("call_id", "p"), "late-calls")
         if wrong.isEmpty():
-            break
+            return places.select("call_id", "place", F.lit(False).alias("cyclic"))
         raised = places.join(wrong, "call_id", "left")
-        if done == max_rounds:
-            return raised.select("call_id", "place", F.col("p").isNotNull().alias("cyclic"))
-        places = materialize(raised.select("call_id", F.greatest("place", F.col("p") + 1).alias("place"), "cyclic"), "places")
-    return places
+        places = materialize(raised.select("call_id", F.greatest("place", F.col("p") + 1).alias("place"), F.when(F.col("p").isNotNull(), done).otherwise(F.col("raised")).alias("raised")), "places")
+    return places.select("call_id", "place", (F.col("raised") > max_rounds // 2).alias("cyclic"))
 
 
 def link_calls(calls: DataFrame, results: DataFrame, schemas: Mapping[str, Mapping[str, Any]], max_rounds: int = 32) -> DataFrame:

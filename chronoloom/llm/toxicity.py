@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from chronoloom.llm.labelled import held_out, logistic, sample
+from chronoloom.llm.words import parts
 
 #: Words: runs of ASCII letters, digits and underscores and of any character beyond ASCII, lower-cased.
 WORDS = re.compile(rb"[0-9a-z_\x80-\xff]+").findall
@@ -63,10 +64,14 @@ def word_means(data: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndar
     return (c[end] - c[start - 1]) / (k[end] - k[start - 1]), start
 
 
+#: n-grams whose gradients set the step of all.
+BUSIEST = 400
+
+
 class Model:
     """``vectors`` (buckets x size), ``weights`` (2 x size), ``bias`` (2), and the calibration of a text's logit."""
 
-    def __init__(self, buckets: int = 1 << 17, size: int = 8, window: int = 5, seed: int = 1):
+    def __init__(self, buckets: int = 1 << 17, size: int = 8, window: int = 3, seed: int = 1):
         rng = np.random.default_rng(seed)
         self.buckets, self.window = buckets, window
         self.vectors = rng.normal(0, 0.05, (buckets, size)).astype(np.float32)
@@ -75,7 +80,7 @@ class Model:
         self.calibration = np.array([1.0, 0.0])
         self.value: np.ndarray | None = None
 
-    def fit(self, texts: list[str], labels: list[int], share: float | None = None, epochs: int = 100, warm: int = 20, rate: float = 0.05, decay: float = 0.0) -> Model:
+    def fit(self, texts: list[str], labels: list[int], share: float | None = None, epochs: int = 70, warm: int = 20, rate: float = 0.1) -> Model:
         """Train on texts with labels 0 and 1; a fifth of them only calibrates.
 
         ``share`` is the share of label 1 where the texts come from, if they were
@@ -135,14 +140,16 @@ class Model:
             per_gram = np.bincount(ids, weights=np.repeat(per_word, count), minlength=self.buckets)
             used = np.flatnonzero(per_gram)
             side = self.vectors[used].T @ per_gram[used]
+            top_grams = np.sort(np.abs(per_gram[used]))[-BUSIEST:]
             grads = {"vectors": per_gram[:, None] * turn, "weights": np.array([-side, side]), "bias": np.array([-g.sum(), g.sum()])}
-            for k, grad in grads.items():  # Adam
+            for k, grad in grads.items():
                 m, v = state[k]
                 m += 0.1 * (grad - m)
-                v += 0.01 * (grad * grad - v)
                 param = getattr(self, k)
-                if k == "vectors" and decay:
-                    param *= 1 - rate * decay
+                if k == "vectors":  # one step size for all, set by the busiest n-grams, so that rare ones move little
+                    v += 0.01 * (np.square(top_grams).mean() * turn * turn - v)
+                else:
+                    v += 0.01 * (grad * grad - v)
                 param -= (rate * (m / (1 - 0.9**epoch)) / (np.sqrt(v / (1 - 0.99**epoch)) + 1e-7)).astype(param.dtype)
         apart = np.flatnonzero(aside) if aside.any() and len(np.unique(y[aside])) == 2 else train
         raw = self._logits(docs, apart, ids, at, count)
@@ -213,7 +220,7 @@ def score_column(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model.unpack(handle.value)
-        for b in batches:
+        for b in parts(batches):
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(own.scores(b.column(1).to_pylist()))], names=["doc_id", "score"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("t")).mapInArrow(run, "doc_id long, score double")
@@ -226,7 +233,7 @@ def drop_toxic(docs: DataFrame, model: Model, threshold: float = 0.3, text_col:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model.unpack(handle.value)
-        for b in batches:
+        for b in parts(batches):
             yield b.filter(pa.array(own.scores(b.column(where).to_pylist()) < threshold))
 
     return docs.mapInArrow(run, docs.schema)
