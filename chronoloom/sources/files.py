@@ -86,3 +86,42 @@ def write_table(df: DataFrame, path: str, formats: dict[str, str] | None = None)
     header = df.sparkSession.createDataFrame([(0, "# " + " ".join(df.columns))], "n int, value string")
     body = df.select(F.lit(1).alias("n"), F.concat_ws(" ", *cols).alias("value"))
     header.unionByName(body).coalesce(1).orderBy("n").select("value").write.mode("overwrite").text(path)
+
+
+def read_headers(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
+    """Header cards of image files: ``(path, header map)`` with the wanted keys, from the first block of 80-byte cards."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        wanted = set(keys)
+        for b in batches:
+            rows = []
+            for p, data in zip(b["path"], b["content"]):
+                found = {}
+                for at in range(0, len(data) - 79, 80):
+                    card = data[at : at + 80].decode("latin-1")
+                    name = card[:8].strip()
+                    if name == "END":
+                        break
+                    if name in wanted and card[8:10] == "= ":
+                        value = card[10:].strip()
+                        found[name] = value[1 : value.index("'", 1)].strip() if value.startswith("'") else value.split("/")[0].strip()
+                rows.append((p, found))
+            yield pd.DataFrame(rows, columns=["path", "header"])
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.select("path", "content").mapInPandas(run, "path string, header map<string,string>")
+
+
+def manifest(spark: SparkSession, path: str, camera: int, ccd: int, start_mjd: float, end_mjd: float) -> DataFrame:
+    """Lines of a download list for one detector and time range: ``(line, mjd)``; the time is in the file's name."""
+    from chronoloom.functions.values import mjd_of_stamp
+
+    lines = spark.read.text(path).select(F.col("value").alias("line")).filter(F.col("line").contains(f"-{camera}-{ccd}-"))
+    stamped = lines.withColumn("stamp", F.regexp_extract("line", r"(\d{13})", 1)).filter("stamp <> ''")
+    return stamped.select("line", mjd_of_stamp(F.col("stamp")).alias("mjd")).filter(F.col("mjd").between(start_mjd, end_mjd))
+
+
+def drop_results(spark: SparkSession, path: str) -> bool:
+    """Remove a table or one of its partitions through the file system that holds it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True))

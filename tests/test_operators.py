@@ -196,3 +196,34 @@ def test_streams(spark, tmp_path):
 def test_materialized_tables_survive(spark):
     df = materialize(spark.range(5), "x")
     assert df.count() == 5 and df.filter("id > 2").count() == 2
+
+
+def test_density_clusters_take_borders_and_leave_noise(spark):
+    from chronoloom.operators.clusters import density_clusters
+
+    pts = [(1, 0.0), (2, 0.5), (3, 1.0), (4, 2.0), (5, 9.0), (6, 9.5)]
+    df = spark.createDataFrame([(i, x, 0.0) for i, x in pts], "id int, x double, y double")
+    assert {r.id: r.cluster for r in density_clusters(df, 1.0, 3, "id").collect()} == {1: 1, 2: 1, 3: 1, 4: 1, 5: None, 6: None}
+
+
+def test_injected_light_is_all_there(spark):
+    from chronoloom.operators.inject import add_to_pixels, light_curves
+
+    inj = spark.createDataFrame([(1, "flare", 2, 10.0, 3.0), (2, "negative", 0, 4.0, 2.0)], "injid int, event_type string, start int, height double, scale double")
+    curves = light_curves(inj, 6)
+    pixels = spark.range(6 * 400).selectExpr("cast(id div 400 as int) as frame", "cast(id % 20 as int) as x", "cast((id div 20) % 20 as int) as y", "1.0D as flux")
+    places = spark.createDataFrame([(1, 5, 5), (2, 12, 12)], "injid int, x int, y int")
+    out = {r.frame: r.total for r in add_to_pixels(pixels, curves, places, 1.0).groupBy("frame").agg(F.sum("flux").alias("total")).collect()}
+    want = {r.frame: r.f for r in curves.groupBy("frame").agg(F.sum("flux").alias("f")).collect()}
+    assert all(abs(out[f] - 400 - want[f]) < 1e-9 for f in range(6))
+
+
+def test_headers_and_manifests(spark, tmp_path):
+    card = lambda k, v: f"{k:<8}= {v:>20}".ljust(80)
+    (tmp_path / "h").mkdir()
+    (tmp_path / "h" / "a.fits").write_bytes((card("SIMPLE", "T") + card("CRPIX1", "1045.5") + card("NAME", "'abc     '") + "END".ljust(80)).encode() + b"\0" * 100)
+    assert files.read_headers(spark, str(tmp_path / "h"), ["CRPIX1", "NAME"]).first().header == {"CRPIX1": "1045.5", "NAME": "abc"}
+    (tmp_path / "m.sh").write_text("get x2020001120000-s1-2-3-1_a.fits\nget x2020003000000-s1-2-3-1_a.fits\nget x2020001120000-s1-1-3-1_a.fits\n")
+    assert [r.mjd for r in files.manifest(spark, str(tmp_path / "m.sh"), 2, 3, 58849.0, 58850.0).collect()] == [58849.5]
+    spark.range(3).write.parquet(str(tmp_path / "t"))
+    assert files.drop_results(spark, str(tmp_path / "t")) and not (tmp_path / "t").exists()
