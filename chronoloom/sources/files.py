@@ -75,7 +75,8 @@ def write_results(df: DataFrame, path: str, partitions: Sequence[str] = ("sector
         if done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
             return False
     have = [p for p in partitions if p in df.columns]
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    # Partitions are replaced one by one, or the whole table, which then gets its mark of completion.
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static" if if_absent else "dynamic")
     (writer.partitionBy(*have) if have else writer).parquet(path)
     return True
 
