@@ -82,3 +82,12 @@ def galactic(ra: Column, dec: Column) -> tuple[Column, Column]:
 def survey(dec: Column) -> Column:
     """The picture survey that covers a declination."""
     return F.when(dec > -28, "PS1").otherwise("SkyMapper")
+
+
+def circle(ra0: Column, dec0: Column, radius: float, n: int) -> Column:
+    """An array of ``n`` vertices (ra, dec) of an error circle, as an ellipse in right ascension."""
+    def vertex(i: Column) -> Column:
+        a = 2 * F.pi() * i / n
+        return F.struct((ra0 + radius * F.cos(a) / F.cos(F.radians(dec0))).alias("ra"), (dec0 + radius * F.sin(a)).alias("dec"))
+
+    return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), vertex)

@@ -152,6 +152,38 @@ def polynomial_surface(df: DataFrame, x: str, y: str, z: str, order: int) -> dic
     return dict(zip(powers, np.linalg.solve(a, np.array([got[f"z{i}_{j}"] for i, j in powers])).tolist()))
 
 
+def invert_surface(df: DataFrame, u: str, v: str, forward_x: dict[tuple[int, int], float], forward_y: dict[tuple[int, int], float], rounds: int = 50, tolerance: float = 1e-10) -> DataFrame:
+    """``df`` with ``x``, ``y`` whose polynomial images are u and v, by Newton's method in Arrow batches; null where it doesn't settle."""
+
+    def value(c: dict, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        return sum((k * x**i * y**j for (i, j), k in c.items()), np.zeros_like(x))
+
+    def slopes(c: dict, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        dx = sum((k * i * x ** (i - 1) * y**j for (i, j), k in c.items() if i), np.zeros_like(x))
+        return dx, sum((k * j * x**i * y ** (j - 1) for (i, j), k in c.items() if j), np.zeros_like(x))
+
+    def run(batches):
+        for b in batches:
+            a, c = b[u].to_numpy(dtype=float), b[v].to_numpy(dtype=float)
+            x, y = a.copy(), c.copy()
+            for _ in range(rounds):
+                f, g = value(forward_x, x, y) - a, value(forward_y, x, y) - c
+                fx, fy = slopes(forward_x, x, y)
+                gx, gy = slopes(forward_y, x, y)
+                det = fx * gy - fy * gx
+                det[det == 0] = np.nan
+                dx, dy = (f * gy - g * fy) / det, (g * fx - f * gx) / det
+                x, y = x - dx, y - dy
+                if not (np.hypot(dx, dy) > tolerance).any():
+                    break
+            bad = ~(np.hypot(value(forward_x, x, y) - a, value(forward_y, x, y) - c) < 1e-6)
+            yield b.assign(x=np.where(bad, np.nan, x), y=np.where(bad, np.nan, y))
+
+    schema = ", ".join(f"`{n}` {t}" for n, t in df.dtypes) + ", x double, y double"
+    out = df.mapInPandas(run, schema)
+    return out.withColumn("x", F.nanvl("x", F.lit(None).cast("double"))).withColumn("y", F.nanvl("y", F.lit(None).cast("double")))
+
+
 def dot(array: Column, weights: Sequence[float]) -> Column:
     """Weighted sum of an array column: matched-filter photometry of a stamp by fixed weights."""
     pairs = F.zip_with(array, F.array(*[F.lit(float(w)) for w in weights]), lambda a, w: a.cast("double") * w)

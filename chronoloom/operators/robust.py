@@ -93,3 +93,18 @@ def binned_zeropoint(df: DataFrame, keys: Sequence[str], magnitude: str, zeropoi
     enough = F.col("n_bins") >= 2
     total = whole.join(joint, list(keys), "left").select(*keys, F.when(enough, F.col("_zp")).otherwise(F.col("zp")).alias("zp"), F.when(enough, F.col("_e")).otherwise(F.col("scatter") / F.sqrt("n")).alias("e_zp"), F.coalesce("n_bins", F.lit(0)).cast("long").alias("n_bins"), F.col("n").alias("n_stars"))
     return bins, total
+
+
+def stetson_k(df: DataFrame, keys: Sequence[str], value: str, error: str) -> DataFrame:
+    """How peaked a series is about its weighted mean: near 0.8 for noise."""
+    w = 1.0 / F.pow(F.col(error), 2)
+    stat = df.groupBy(*keys).agg((F.sum(w * F.col(value)) / F.sum(w)).alias("_m"), F.count(value).alias("n")).filter("n > 1")
+    delta = F.sqrt(F.col("n") / (F.col("n") - 1)) * (F.col(value) - F.col("_m")) / F.col(error)
+    out = df.join(stat, list(keys)).groupBy(*keys).agg(F.max("n").alias("n"), F.avg(F.abs(delta)).alias("_a"), F.sqrt(F.avg(delta * delta)).alias("_b"))
+    return out.select(*keys, "n", (F.col("_a") / F.when(F.col("_b") > 0, F.col("_b"))).alias("stetson_k"))
+
+
+def median_offset(df: DataFrame, keys: Sequence[str], dx: str, dy: str, box: float) -> DataFrame:
+    """Median shift per group of rows whose shifts lie within a box, and how many there are."""
+    near = df.filter((F.abs(F.col(dx)) < box) & (F.abs(F.col(dy)) < box))
+    return near.groupBy(*keys).agg(F.median(dx).alias("off_x"), F.median(dy).alias("off_y"), F.count("*").alias("n"))

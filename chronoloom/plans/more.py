@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from chronoloom.operators import clusters, filters, inject, resolve, spatial
-from chronoloom.plans.points import POINTS, detections, stars
+from chronoloom.functions import photometry, sky
+from chronoloom.operators import clusters, filters, fit, inject, resolve, robust, spatial
+from chronoloom.plans.points import POINTS, SKY, detections, positions, stars
 from chronoloom.plans.registry import query, r, table
 from chronoloom.plans.series import FRAMES, frames, hours
 
@@ -166,3 +167,57 @@ def trimmed_scores(spark: SparkSession, d: str) -> DataFrame:
     z = e.join(stat, "user_id").withColumn("z", (F.col("value") - F.col("m")) / F.col("s"))
     cut = z.groupBy("user_id").agg(F.percentile("z", F.array(F.lit(0.025), F.lit(0.975))).alias("c"))
     return z.join(cut, "user_id").filter((F.col("z") > F.col("c")[0]) & (F.col("z") < F.col("c")[1])).select("event_id", r("z").alias("z"))
+
+
+@query("""with v as (select l_suppkey as k, l_extendedprice as x, 1 + l_quantity as e from lineitem), m as (select k, sum(x / (e * e)) / sum(1 / (e * e)) as m, count(*) as n from v group by 1 having count(*) > 1),
+d as (select k, n, sqrt(n / (n - 1.0)) * (x - m) / e as d from v join m using (k)) select k, max(n) as n, round(avg(abs(d)) / sqrt(avg(d * d)), 6) as stetson_k from d group by 1""")
+def stetson_k(spark: SparkSession, d: str) -> DataFrame:
+    li = table(spark, d, "lineitem").select(F.col("l_suppkey").alias("k"), F.col("l_extendedprice").alias("x"), (1 + F.col("l_quantity")).alias("e"))
+    return robust.stetson_k(li, ["k"], "x", "e").withColumn("stetson_k", r("stetson_k"))
+
+
+@query("""select o_custkey % 64 as cut, round(median(o_totalprice / 1000 - 150), 6) as off_x, round(median(o_orderkey % 301 - 150.0), 6) as off_y, count(*) as n from orders
+where abs(o_totalprice / 1000 - 150) < 100 and abs(o_orderkey % 301 - 150.0) < 100 group by 1""")
+def median_offsets(spark: SparkSession, d: str) -> DataFrame:
+    o = table(spark, d, "orders").select((F.col("o_custkey") % 64).alias("cut"), (F.col("o_totalprice") / 1000 - 150).alias("dx"), (F.col("o_orderkey") % 301 - 150.0).alias("dy"))
+    return robust.median_offset(o, ["cut"], "dx", "dy", 100.0).withColumn("off_x", r("off_x")).withColumn("off_y", r("off_y"))
+
+
+@query(POINTS + "select id, round(x / 100, 5) as x, round(y / 100, 5) as y from pts")
+def newton_inversion(spark: SparkSession, d: str) -> DataFrame:
+    """Points distorted by a polynomial and brought back."""
+    cx, cy = {(1, 0): 1.0, (2, 0): 1e-3, (1, 1): 2e-3}, {(0, 1): 1.0, (0, 2): -1e-3, (2, 0): 5e-4}
+    p = detections(spark, d).select("id", (F.col("x") / 100).alias("a"), (F.col("y") / 100).alias("b"))
+    bent = p.select("id", sky.polynomial(F.col("a"), F.col("b"), cx).alias("u"), sky.polynomial(F.col("a"), F.col("b"), cy).alias("v"))
+    return fit.invert_surface(bent, "u", "v", cx, cy).select("id", r("x", 5).alias("x"), r("y", 5).alias("y"))
+
+
+@query(SKY + "select id, i, round(ra + 0.5 * cos(2 * pi() * i / 12) / cos(radians(dec)), 6) as vra, round(dec + 0.5 * sin(2 * pi() * i / 12), 6) as vdec from s, range(12) t(i) where abs(dec) < 80")
+def error_circles(spark: SparkSession, d: str) -> DataFrame:
+    p = positions(spark, d).filter("abs(dec) < 80").select("id", F.posexplode(sky.circle(F.col("ra"), F.col("dec"), 0.5, 12)).alias("i", "v"))
+    return p.select("id", F.col("i").cast("long").alias("i"), r("v.ra").alias("vra"), r("v.dec").alias("vdec"))
+
+
+@query(POINTS + """, c as (select i as cut, i % 8 * 125.0 as x0, i // 8 * 125.0 as y0 from range(64) t(i)), v as (select s.id, s.x + 70 * cos(2 * pi() * k / 36) as vx, s.y + 70 * sin(2 * pi() * k / 36) as vy, s.x, s.y from stars s, range(36) t(k))
+select distinct v.id, c.cut from v, c where (vx >= x0 and vx < x0 + 125 and vy >= y0 and vy < y0 + 125) or (sqrt(pow(x0 + 62.5 - v.x, 2) + pow(y0 + 62.5 - v.y, 2)) <= 70)""")
+def impacted_cuts(spark: SparkSession, d: str) -> DataFrame:
+    """Cuts that an error region touches: those its edge passes, and those whose centre it holds."""
+    s = stars(spark, d).select("id", "x", "y")
+    a = 2 * F.pi() * F.col("k") / 36
+    edge = s.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(35)))).select("id", (F.col("x") + 70 * F.cos(a)).alias("vx"), (F.col("y") + 70 * F.sin(a)).alias("vy"))
+    cx, cy = F.floor(F.col("vx") / 125), F.floor(F.col("vy") / 125)
+    passed = edge.filter(cx.between(0, 7) & cy.between(0, 7)).select("id", (cy * 8 + cx).cast("long").alias("cut"))
+    grid = spark.range(64).select(F.col("id").alias("cut"), (F.col("id") % 8 * 125 + 62.5).alias("x"), (F.floor(F.col("id") / 8) * 125 + 62.5).alias("y"))
+    held = spatial.within(s, grid.withColumnRenamed("cut", "id"), 70.0).select(F.col("l_id").alias("id"), F.col("r_id").alias("cut"))
+    return passed.union(held).distinct()
+
+
+@query("""with p as (select vec_id, unnest(embedding)::double as x from embeddings), m as (select vec_id, median(x) as m from p group by 1), n as (select vec_id, median(abs(x - m)) * 1.4826 as s from p join m using (vec_id) group by 1)
+select vec_id % 8 as bin_index, round(median(s), 6) as sigma_bg, round(20 - 2.5 * log10(3 * median(s) * 1.5), 6) as mag_lim_3, round(20 - 2.5 * log10(5 * median(s) * 1.5), 6) as mag_lim_5, round(20 - 2.5 * log10(10 * median(s) * 1.5), 6) as mag_lim_10 from n group by 1""")
+def detection_limits(spark: SparkSession, d: str) -> DataFrame:
+    from chronoloom.operators.detect import frame_noise
+
+    noise = frame_noise(table(spark, d, "embeddings").select(F.col("vec_id").alias("frame"), F.col("embedding").alias("img")))
+    s = noise.groupBy((F.col("frame") % 8).alias("bin_index")).agg(F.median("noise").alias("s"))
+    limits = [r(photometry.detection_limit(F.lit(20.0), F.col("s"), float(n), F.lit(1.5))).alias(f"mag_lim_{n}") for n in (3, 5, 10)]
+    return s.select("bin_index", r("s").alias("sigma_bg"), *limits)
