@@ -24,7 +24,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from chronoloom.llm.words import parts
+from chronoloom.llm.batches import parts
 
 
 class Vocabulary:
@@ -388,7 +388,7 @@ def encode_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _Lazy.get(handle, pattern)
-        for b in batches:
+        for b in parts(batches):
             ids = [codec.encode(t or "") for t in b.column(1).to_pylist()]
             ends = np.cumsum([0, *map(len, ids)])
             flat = np.concatenate(ids).astype(np.int32) if ids else np.zeros(0, dtype=np.int32)
@@ -405,7 +405,7 @@ def decode_documents(encoded: DataFrame, ranks_path: str | None = None) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _Lazy.get(handle, pattern)
-        for b in batches:
+        for b in parts(batches):
             texts = []
             for ids in b.column(1).to_pylist():
                 ids = np.array(ids or [], dtype=np.int64)
@@ -415,12 +415,13 @@ def decode_documents(encoded: DataFrame, ranks_path: str | None = None) -> DataF
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
 
 
-def token_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks_path: str | None = None, pattern: str | None = None) -> DataFrame:
+def token_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks_path: str | None = None, pattern: str | None = None, max_pieces: int = 250_000, max_states: int = 200_000) -> DataFrame:
     """Encode and decode every whole text: ``(doc_id, n_tokens, ids_sha256, decoded_sha256)``.
 
     ids_sha256 is of the decimal ids joined by commas, decoded_sha256 of the
     bytes that the ids decode to. Null texts count as empty (no tokens, both
-    digests of no bytes). Repeated rows give repeated rows; an empty table gives
+    digests of no bytes). max_pieces and max_states bound what a worker remembers
+    (about half a kilobyte each); fewer cost time only. Repeated rows give repeated rows; an empty table gives
     an empty result; other columns of ``docs`` are ignored.
     """
     data, pattern = _resolve(ranks_path, pattern)
@@ -428,6 +429,7 @@ def token_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _Lazy.get(handle, pattern)
+        codec.max_pieces, codec.fst.max_states = max_pieces, max_states
         for b in parts(batches):
             count, one, two = [], [], []
             for text in b.column(1).to_pylist():

@@ -24,8 +24,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from chronoloom.llm.batches import parts
 from chronoloom.llm.suffix import mix
-from chronoloom.llm.words import HashSet, gram_hashes, parts, word_hashes
+from chronoloom.llm.words import HashSet, gram_hashes, word_hashes
 
 #: Items under so many words aren't searched.
 LEAST_WORDS = 6

@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from chronoloom.llm.batches import parts
 from chronoloom.llm.suffix import mix
 from chronoloom.llm.words import HashSet, gram_hashes, word_hashes
 
@@ -132,7 +133,7 @@ def license_matches(docs: DataFrame, templates: Sequence[tuple[str, str]] = NOTI
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = handle.value
-        for b in batches:
+        for b in parts(batches):
             rows = [(d, *m) for d, found in zip(b.column(0).to_pylist(), known.find(b.column(1).to_pylist())) for m in found]
             cols = list(zip(*rows)) if rows else [()] * 5
             types = [pa.int64(), pa.string(), pa.float64(), pa.int64(), pa.int64()]

@@ -15,6 +15,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
+from chronoloom.llm.batches import parts
 from chronoloom.llm.labelled import held_out, logistic, sample
 
 #: Bytes compressed at a time, and zstandard's level.
@@ -93,7 +94,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, rows: int = 2000, max_byt
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = handle.value
-        for b in batches:
+        for b in parts(batches):
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([model.score(t) for t in b.column(1).to_pylist()], pa.float64())], names=["doc_id", "score"])
 
     scored = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("t")).mapInArrow(run, "doc_id long, score double")

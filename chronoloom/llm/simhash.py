@@ -24,6 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from chronoloom.llm.batches import parts
 from chronoloom.llm.suffix import free_name
 from chronoloom.operators.components import connected_components
 from chronoloom.sources.shared import materialize
@@ -108,7 +109,7 @@ def fingerprint(text: str | None, width: int = 3) -> int:
 
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in parts(batches):
         fp = np.fromiter((fingerprint(t) for t in b.column(1).to_pylist()), dtype=np.uint64, count=b.num_rows)
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
 

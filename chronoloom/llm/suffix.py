@@ -32,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from chronoloom.llm.batches import parts
 from chronoloom.sources.shared import drop_shared, materialize
 
 WINDOW = 200
@@ -385,7 +386,7 @@ def _with_spans(docs: DataFrame, id_col: str, text_col: str, carried: list) -> D
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in parts(batches):
         size, cut, runs, sha = [], [], [], []
         for text, spans in zip(b.column(1), b.column(2).to_pylist()):
             text = memoryview(text.as_buffer())
@@ -439,7 +440,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     where = names.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in parts(batches):
             texts = [cut_spans(t, s) for t, s in zip(b.column(where).to_pylist(), b.column(b.num_columns - 1).to_pylist())]
             cols = [pa.array(texts, pa.string()) if i == where else b.column(i) for i in range(b.num_columns - 1)]
             yield pa.RecordBatch.from_arrays(cols, names=names)

@@ -18,6 +18,7 @@ from typing import Any
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from chronoloom.llm.batches import parts
 from chronoloom.sources.shared import materialize
 
 _TYPES = {"object": dict, "array": list, "string": str, "boolean": bool, "null": type(None)}
@@ -130,7 +131,7 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: Mapping[str, Mappi
     names = ["conv_id", "call_id", "position", "place", "n_results", "status", "errors", "canonical"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in parts(batches):
             status, errors, lines = [], [], []
             for r in b.to_pylist():
                 wrong, value = [], None

@@ -17,8 +17,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from chronoloom.llm.batches import parts
 from chronoloom.llm.labelled import held_out, logistic, sample
-from chronoloom.llm.words import parts
 
 #: Words: runs of ASCII letters, digits and underscores and of any character beyond ASCII, lower-cased.
 WORDS = re.compile(rb"[0-9a-z_\x80-\xff]+").findall
@@ -91,23 +91,24 @@ class Model:
             self.calibration = np.array([0.0, 0.0 if len(y) == 0 else np.log((y.sum() + 1) / (len(y) - y.sum() + 1))])
             return self
         index: dict[bytes, int] = {}
-        docs = [np.array([index.setdefault(w, len(index)) for w in WORDS(fold(t))], dtype=np.int64) for t in texts]
+        docs = [np.array([index.setdefault(w, len(index)) for w in WORDS(fold(t))], dtype=np.int32) for t in texts]
         keep = np.array([len(d) > 0 for d in docs])
         docs, y = [d for d, k in zip(docs, keep) if k], y[keep]
         data = np.frombuffer(b" " + b" ".join(index) + b" ", dtype=np.uint8)
         owner = np.cumsum(data == 32) - 1  # a word's n-grams start at its left mark or within it
         found = [(owner[valid], bucket[valid]) for bucket, valid in grams(data, self.buckets)]
         by = np.argsort(np.concatenate([o for o, _ in found]), kind="stable")
-        ids = np.concatenate([b for _, b in found])[by].astype(np.int64)
+        ids = np.concatenate([b for _, b in found])[by].astype(np.int32)
         count = np.bincount(np.concatenate([o for o, _ in found]), minlength=len(index))[: len(index)]
         at = np.concatenate(([0], np.cumsum(count)[:-1]))
+        del index, data, owner, found, by
         aside = np.arange(len(docs)) % 5 == 4
         if len(np.unique(y[~aside])) < 2:
             aside[:] = False
         train = np.flatnonzero(~aside)
         tokens = np.concatenate([docs[i] for i in train])
         length = np.array([len(docs[i]) for i in train])
-        doc = np.repeat(np.arange(len(train)), length)
+        doc = np.repeat(np.arange(len(train), dtype=np.int32), length)
         begin = np.concatenate(([0], np.cumsum(length)[:-1]))
         # The window that starts at each token, cut at the text's end; a text shorter than a window has one.
         first = np.arange(len(tokens))
@@ -198,13 +199,13 @@ class Model:
         return self
 
 
-def fit(docs: DataFrame, labels: DataFrame, rows: int = 2000, max_bytes: int = 8192) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, rows: int = 1500, max_bytes: int = 8192) -> Model:
     """A model from at most ``rows`` labelled texts of each class, none over ``max_bytes``, none held out."""
     texts, marks, share = sample(docs, labels, "toxic", rows, max_bytes)
     return Model().fit(texts, marks, share)
 
 
-def toxicity_scores(docs: DataFrame, labels: DataFrame, rows: int = 2000, max_bytes: int = 8192, threshold: float = 0.3) -> DataFrame:
+def toxicity_scores(docs: DataFrame, labels: DataFrame, rows: int = 1500, max_bytes: int = 8192, threshold: float = 0.3) -> DataFrame:
     """``(doc_id, held_out, score, predicted)`` for every document, null and empty texts included.
 
     Rows whose labels are null aren't learned from; repeated documents give

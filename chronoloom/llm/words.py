@@ -3,12 +3,10 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 
 import numpy as np
-import pyarrow as pa
 
-from chronoloom.llm.suffix import CHUNK, mix, prefix_hashes, _tables
+from chronoloom.llm.suffix import CHUNK, _tables, mix, prefix_hashes
 
 #: Words: runs of ASCII letters, digits and underscores and of any character beyond ASCII, lower-cased.
 _IN_WORD = np.zeros(256, dtype=bool)
@@ -16,13 +14,6 @@ _IN_WORD[[*range(48, 58), 95, *range(97, 123), *range(128, 256)]] = True
 _BREAK = re.compile(rb"[^0-9a-z_\x80-\xff]")
 
 
-def parts(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
-    """Batches in smaller pieces, so that a task holds few texts as Python objects at a time."""
-    for b in batches:
-        for at in range(0, b.num_rows, rows):
-            yield b.slice(at, rows)
-
-
 def _hash_block(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words in a buffer that begins and ends with a space, and where they start."""
     x = np.frombuffer(data, dtype=np.uint8)
