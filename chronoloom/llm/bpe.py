@@ -116,7 +116,7 @@ class Vocabulary:
 class Transducer:
     """Encodes one pre-token at a time; ``max_states`` bounds the memory of the lazy tables."""
 
-    def __init__(self, vocabulary: Vocabulary, max_states: int = 200_000):
+    def __init__(self, vocabulary: Vocabulary, max_states: int = 300_000):
         self.v, self.max_states = vocabulary, max_states
         self._reset()
 
@@ -306,7 +306,7 @@ def split(text: str) -> list[str]:
 class Codec:
     """Whole texts to ids and back. ``max_pieces`` bounds the table of pre-tokens already encoded."""
 
-    def __init__(self, vocabulary: Vocabulary, pattern: str, public: str | None = None, max_pieces: int = 250_000):
+    def __init__(self, vocabulary: Vocabulary, pattern: str, public: str | None = None, max_pieces: int = 300_000):
         self.v, self.fst = vocabulary, Transducer(vocabulary)
         # White space in the rank files' patterns is what Unicode defines.
         self.find = split if pattern == public else regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")).findall
@@ -415,13 +415,14 @@ def decode_documents(encoded: DataFrame, ranks_path: str | None = None) -> DataF
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
 
 
-def token_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks_path: str | None = None, pattern: str | None = None, max_pieces: int = 250_000, max_states: int = 200_000) -> DataFrame:
+def token_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks_path: str | None = None, pattern: str | None = None, max_pieces: int = 300_000, max_states: int = 300_000, rest_after_task: bool = False) -> DataFrame:
     """Encode and decode every whole text: ``(doc_id, n_tokens, ids_sha256, decoded_sha256)``.
 
     ids_sha256 is of the decimal ids joined by commas, decoded_sha256 of the
     bytes that the ids decode to. Null texts count as empty (no tokens, both
     digests of no bytes). max_pieces and max_states bound what a worker remembers
-    (about half a kilobyte each); fewer cost time only. Repeated rows give repeated rows; an empty table gives
+    (about half a kilobyte each); fewer cost time only, as does letting it go
+    after each task. Repeated rows give repeated rows; an empty table gives
     an empty result; other columns of ``docs`` are ignored.
     """
     data, pattern = _resolve(ranks_path, pattern)
@@ -442,7 +443,8 @@ def token_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                     back.update(codec.decode_bytes(ids[at : at + BLOCK]))
                 two.append(back.hexdigest())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(count, pa.int64()), pa.array(one, pa.string()), pa.array(two, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-        codec.rest()
+        if rest_after_task:
+            codec.rest()
 
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("t"))
     return picked.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -35,9 +35,9 @@ def benchmark_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of ids and decoded bytes of each document.
 
-    The tables are small, as workers also serve the other stages.
+    The tables are small and let go, as workers also serve the other stages.
     """
-    return bpe.token_digests(docs, max_pieces=60_000, max_states=60_000)
+    return bpe.token_digests(docs, max_pieces=100_000, max_states=80_000, rest_after_task=True)
 
 
 STAGES = [
