@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from chronoloom.sources.shared import materialize
+
 
 def held_out(id_col: str = "doc_id") -> Column:
     """True for rows kept for testing: crc32 of the id as text leaves 2 when divided by 4. Null ids aren't held out."""
@@ -22,7 +24,7 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, max_bytes:
     known = known.filter(~held_out("k"))
     short = docs.select(F.col(id_col).alias("k"), F.col(text_col).alias("t")).filter(F.octet_length("t") <= max_bytes)
     # Choose among ids first; texts are fetched for the chosen alone.
-    sized = known.join(short.select("k").distinct(), "k", "left_semi").withColumn("h", F.xxhash64("k"))
+    sized = materialize(known.join(short.select("k").distinct(), "k", "left_semi").withColumn("h", F.xxhash64("k")), "labelled")
     chosen = [r for y in (0, 1) for r in sized.filter(F.col("y") == y).orderBy("h", "k").limit(rows).collect()]
     if not chosen:
         return [], [], None
