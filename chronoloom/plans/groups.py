@@ -109,11 +109,11 @@ def best_frames(spark: SparkSession, d: str) -> DataFrame:
     return s.withColumn("k", F.row_number().over(Window.orderBy(F.desc("ok"), "score", "frame")))  # one row for each frame number
 
 
-@query("""with k as (select *, row_number() over (partition by l_suppkey, l_returnflag order by l_orderkey, l_linenumber) as rn from lineitem)
+@query("""with k as (select *, row_number() over (partition by l_suppkey, l_returnflag order by l_orderkey, l_linenumber, l_quantity) as rn from lineitem)
 select l_suppkey, l_returnflag, l_orderkey, l_linenumber, l_quantity from k where rn = 1""")
 def first_match_dedup(spark: SparkSession, d: str) -> DataFrame:
     li = table(spark, d, "lineitem").select("l_suppkey", "l_returnflag", "l_orderkey", "l_linenumber", "l_quantity")
-    return resolve.first_per_key(li, ["l_suppkey", "l_returnflag"], ["l_orderkey", "l_linenumber"])
+    return resolve.first_per_key(li, ["l_suppkey", "l_returnflag"], ["l_orderkey", "l_linenumber", "l_quantity"])
 
 
 @query("""with f as (select l_returnflag, l_linestatus, l_linenumber, min((l_orderkey, l_linenumber)) as f from lineitem group by all), c as (select *, cast(row_number() over (order by f, l_returnflag, l_linestatus, l_linenumber) as int) as code from f)
