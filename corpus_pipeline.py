@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from chronoloom.llm import bpe, decontaminate, simhash, suffix, toxicity
+from chronoloom.llm import bpe, decontaminate, nearcopies, suffix, toxicity
 from chronoloom.sources.shared import materialize
 
 #: SQL can't express a trained model, nor BPE; the stages are tested against brute force.
@@ -18,8 +18,8 @@ def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document (by doc_id) of each group of near-duplicates by five-word shingles."""
-    return simhash.first_of_components(docs)
+    """The first document (by doc_id) of each group linked by a Jaccard similarity of five-word shingles of at least 0.8."""
+    return nearcopies.first_of_near_copies(docs)
 
 
 def repeats_cut(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
