@@ -9,11 +9,13 @@ size class) are looked up by these keys, and each match is verified by the exact
 edit distance of the item to the best passage around the window.
 
 An item of n words is found in a text if some passage differs by less than n / 5
-edits of words. k edits leave (n - k) / (k + 1) words in a row unchanged, so only
+edits of words. k edits leave r = (n - k) / (k + 1) words in a row unchanged, so only
 windows near such a run of an item's words are embedded, in that item's size
-class; no passage is lost by that. Keys are drawn ``WALKS * SAMPLES`` times: a passage at the greatest
-distance agrees at about half of the positions, and so is found with a
-probability of about 1 - (1 - 0.5**3)**48 = 0.998; a copy always is.
+class; no passage is lost by that. Keys alone lose passages: long items at the
+greatest distance, with deletions most. So places that hold enough of an item's
+runs are verified too: an item has n - r + 1 runs of r words, an edit breaks at
+most r of them, and the runs left lie within k places of where the passage
+begins. Each passage within the allowed edits is found by that, at any length.
 """
 
 from __future__ import annotations
@@ -33,6 +35,8 @@ LEAST_WORDS = 6
 WALKS, SAMPLES, POSITIONS = 6, 8, 3
 #: Bytes of documents searched at once.
 BLOCK_BYTES = 4 << 20
+#: Matches of an item's runs held at once, unless one text has more.
+PLACES = 1 << 20
 #: Bytes of benchmark text in one broadcast; a larger benchmark is searched in several passes.
 PART_BYTES = 16 << 20
 
@@ -121,9 +125,50 @@ class Index:
                 every.setdefault(r, []).extend(g)
             self.classes.append((size, {r: HashSet(np.concatenate(g), 16) for r, g in runs.items()}, tables))
         self.runs = {r: HashSet(np.concatenate(g)) for r, g in every.items()}
+        self.places: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        of: dict[int, list[int]] = {}
+        for k, (_, w) in enumerate(self.items):
+            of.setdefault(kept_run(len(w)), []).append(k)
+        for r, members in of.items():
+            grams = [gram_hashes(self.items[k][1], r) for k in members]
+            flat, size = np.concatenate(grams), np.array([len(g) for g in grams])
+            order = np.argsort(flat, kind="stable")
+            offset = np.concatenate([np.arange(n) for n in size])
+            self.places[r] = flat[order], np.repeat(np.array(members), size)[order], offset[order]
+        length = np.array([len(w) for _, w in self.items], dtype=np.int64)
+        self.edits = (length - 1) // 5
+        run = np.array([kept_run(n) for n in length.tolist()], dtype=np.int64)
+        self.least_runs = np.maximum(1, length - run + 1 - self.edits * run)
+
+    def _by_runs(self, r: int, at: np.ndarray, grams: np.ndarray, begin: np.ndarray) -> set[tuple[int, int]]:
+        """``(item, passage start)`` of places with as many of an item's runs of r words as the allowed edits must leave."""
+        flat, members, offset = self.places[r]
+        found: set[tuple[int, int]] = set()
+        lo, hi = np.searchsorted(flat, grams, side="left"), np.searchsorted(flat, grams, side="right")
+        doc = np.searchsorted(begin, at, side="right") - 1
+        total = np.cumsum(hi - lo)
+        a = 0
+        # Texts don't share passages, so pieces end between texts.
+        while a < len(at):
+            b = int(np.searchsorted(total, (total[a - 1] if a else 0) + PLACES, side="right"))
+            b = int(np.searchsorted(doc, doc[min(max(b, a), len(at) - 1)], side="left"))
+            if b <= a:
+                b = int(np.searchsorted(doc, doc[a], side="right"))
+            n = hi[a:b] - lo[a:b]
+            here = np.repeat(np.arange(a, b), n)
+            entry = np.arange(len(here)) - np.repeat(np.cumsum(n) - n, n) + lo[here]
+            k, d, start = members[entry], doc[here], at[here] - offset[entry]
+            order = np.lexsort((start, d, k))
+            k, d, start = k[order], d[order], start[order]
+            last = np.arange(len(k)) + self.least_runs[k] - 1
+            inside = np.minimum(last, len(k) - 1)
+            ok = (last < len(k)) & (k[inside] == k) & (d[inside] == d) & (start[inside] - start <= 2 * self.edits[k])
+            found.update(zip(k[ok].tolist(), np.maximum(start[ok], begin[d[ok]]).tolist()))
+            a = b
+        return found
 
     def _candidates(self, words: np.ndarray, begin: np.ndarray) -> set[tuple[int, int]]:
-        """``(item, window start)`` of matching keys in texts laid end to end."""
+        """``(item, window start)`` of matching keys, and of places with enough runs, in texts laid end to end."""
         found: set[tuple[int, int]] = set()
         near: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for r, runs in self.runs.items():
@@ -131,6 +176,7 @@ class Index:
             at = runs.find(grams)
             at = at[at + r <= begin[np.searchsorted(begin, at, side="right")]]
             near[r] = at, grams[at]
+            found |= self._by_runs(r, *near[r], begin)
         for size, runs, tables in self.classes:
             at = np.concatenate([near[r][0][known.find(near[r][1])] for r, known in runs.items()])
             if not len(at):
