@@ -23,8 +23,8 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from chronoloom.llm.batches import parts
-from chronoloom.llm.simhash import fingerprint_links
-from chronoloom.llm.suffix import free_name, mix
+from chronoloom.llm.simhash import fingerprint_links, first_rows
+from chronoloom.llm.suffix import mix, with_row_key
 from chronoloom.llm.words import gram_hashes
 from chronoloom.operators.components import connected_components
 from chronoloom.sources.shared import materialize
@@ -136,20 +136,6 @@ def near_copy_components(rows: DataFrame) -> DataFrame:
     return sigs.join(named, "digest").select("row", "component")
 
 
-def with_row_key(docs: DataFrame) -> tuple[DataFrame, str]:
-    """``docs`` with a key of each row, written out so that it stays, and the key's name."""
-    key = free_name("row_key", docs.columns)
-    return materialize(docs.withColumn(key, F.monotonically_increasing_id()), "keyed"), key
-
-
-def first_rows(keyed: DataFrame, key: str, components: DataFrame, id_col: str) -> DataFrame:
-    """Rows that come first in their component by ``(id, key)``, rows without an id last; ``components (row, component)``."""
-    ids = keyed.select(F.col(key).alias("row"), F.col(id_col).cast("long").alias("id"))
-    order = F.struct(F.col("id").isNull(), "id", "row")
-    first = components.join(ids, "row").groupBy("component").agg(F.min(order)["row"].alias("row"))
-    return keyed.join(first, keyed[key] == first["row"], "left_semi").drop(key)
-
-
 def first_of_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The first row, by id, of each group of near copies, unchanged; each row counts by its own text, whatever its id."""
     keyed, key = with_row_key(docs)

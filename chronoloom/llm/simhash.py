@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from chronoloom.llm.batches import parts
-from chronoloom.llm.suffix import free_name
+from chronoloom.llm.suffix import with_row_key
 from chronoloom.operators.components import connected_components
 from chronoloom.sources.shared import materialize
 
@@ -172,11 +172,19 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return fps.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def first_rows(keyed: DataFrame, key: str, components: DataFrame, id_col: str) -> DataFrame:
+    """Rows that come first in their component by ``(id, key)``, rows without an id last; ``components (row, component)``."""
+    ids = keyed.select(F.col(key).alias("row"), F.col(id_col).cast("long").alias("id"))
+    order = F.struct(F.col("id").isNull(), "id", "row")
+    first = components.join(ids, "row").groupBy("component").agg(F.min(order)["row"].alias("row"))
+    return keyed.join(first, keyed[key] == first["row"], "left_semi").drop(key)
+
+
 def first_of_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows of ``docs`` that come first, by id, in their component; one row of each id, other columns unchanged.
+    """Rows of ``docs`` that come first, by id, in their component, unchanged; each row counts by its own text, whatever its id.
 
     A row without an id stays only where no row of its component has one.
     """
-    key = free_name("first_id", docs.columns)
-    first = simhash_components(docs, id_col, text_col).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(key)).distinct()
-    return docs.join(first, F.col(id_col).cast("long").eqNullSafe(F.col(key)), "left_semi").dropDuplicates([id_col])
+    keyed, key = with_row_key(docs)
+    components = simhash_components(keyed, key, text_col).select(F.col("doc_id").alias("row"), F.col("component_id").alias("component"))
+    return first_rows(keyed, key, components, id_col)

@@ -377,6 +377,12 @@ def free_name(name: str, columns: list[str]) -> str:
     return name
 
 
+def with_row_key(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a key of each row, written out so that it stays, and the key's name."""
+    key = free_name("row_key", docs.columns)
+    return materialize(docs.withColumn(key, F.monotonically_increasing_id()), "keyed"), key
+
+
 def _with_spans(docs: DataFrame, id_col: str, text_col: str, carried: list) -> DataFrame:
     """The carried columns and, last, the spans of each row's text."""
     spans = repeated_spans(docs, id_col, text_col).distinct()
@@ -432,10 +438,13 @@ def cut_spans(text: str | None, spans: list[dict] | None) -> str | None:
     return b"".join(out).decode("utf-8", "surrogatepass")
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with repeated passages cut from the texts (whole characters only) and n_chars, if there, recounted."""
-    carried = [F.col(c) for c in docs.columns]
-    joined = _with_spans(docs, id_col, text_col, carried)
+def remove_repeats(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``docs`` with repeated passages cut from the texts (whole characters only) and n_chars, if there, recounted.
+
+    Each row is a text of its own, whatever its id.
+    """
+    keyed, key = with_row_key(docs)
+    joined = _with_spans(keyed, key, text_col, [F.col(c) for c in docs.columns])
     names = docs.columns
     where = names.index(text_col)
 

@@ -5,7 +5,7 @@ import random
 import pytest
 
 import corpus_pipeline
-from chronoloom.llm import nearcopies
+from chronoloom.llm import nearcopies, simhash, suffix
 
 
 def grams(text):
@@ -59,3 +59,22 @@ def test_stage_drops_near_copies(spark, edited):
     assert kept.columns == df.columns
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(brute(edited)))
     assert corpus_pipeline.near_duplicates_out(spark, df.limit(0), "").count() == 0
+
+
+TEXTS = [" ".join(f"{a}{i}" for i in range(40)) for a in "abcd"]
+
+
+@pytest.mark.parametrize("first", ["stage", "operator"])
+def test_rows_without_an_id_and_rows_of_one_id(spark, first):
+    pick = simhash.first_of_components if first == "operator" else lambda df: corpus_pipeline.near_duplicates_out(spark, df, "")
+    rows = [(None, TEXTS[0]), (None, TEXTS[1]), (None, TEXTS[2]), (5, TEXTS[2]), (7, TEXTS[2]), (7, TEXTS[3])]
+    kept = [tuple(r) for r in pick(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sorted(kept, key=str) == sorted([rows[0], rows[1], rows[3], rows[5]], key=str)
+
+
+def test_spans_are_cut_from_their_own_row(spark):
+    long = [" ".join(f"{a}{i}" for i in range(120)) for a in "abcdef"]
+    rows = [(None, long[0] + long[1]), (None, long[2]), (3, long[1] + long[3]), (3, long[4]), (3, long[5])]
+    out = suffix.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {tuple(r) for r in out.collect()}
+    assert {rows[1], rows[3], rows[4]} <= got and (None, long[0]) in got and (3, long[3]) in got
