@@ -3,9 +3,9 @@
 Calls and results meet in a hash join on the call's identifier. A call may name
 others that it depends on. Message order is a topological order unless a call
 precedes one it depends on; positions are raised only along such edges, round by
-round, until none is left. Calls on a cycle, and those that depend on one, keep
-being raised and are reported after ``max_rounds``; so is the end of a chain of
-more than half as many calls, each before the one it depends on. Arguments are checked against the schema of the tool, and
+round, until none is left. If some are left after ``max_rounds``, calls without
+open dependencies are taken out until nothing changes, so that only calls on a
+cycle and those that depend on one remain and are reported. Arguments are checked against the schema of the tool, and
 each call becomes one line of canonical JSON: sorted keys, no spaces.
 """
 
@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from chronoloom.llm.batches import parts
-from chronoloom.sources.shared import materialize
+from chronoloom.sources.shared import drop_shared, materialize
 
 _TYPES = {"object": dict, "array": list, "string": str, "boolean": bool, "null": type(None)}
 
@@ -98,17 +98,34 @@ ASK = {"ask": {"type": "object", "required": ["text", "chars"], "properties": {"
 def _ordered(calls: DataFrame, max_rounds: int) -> DataFrame:
     """``(call_id, place, cyclic)`` such that a call's place exceeds those of the calls it depends on."""
     first = calls.filter("call_id is not null").groupBy("call_id").agg(F.min("position").alias("place"))
-    places = first.withColumn("raised", F.lit(0))
+    places = first
     edges = calls.select("call_id", F.explode("depends_on").alias("on")).filter("call_id is not null and on is not null").distinct()
-    for done in range(1, max_rounds + 1):
+    for _ in range(max_rounds):
         other = places.select(F.col("call_id").alias("on"), F.col("place").alias("p"))
         late = edges.join(other, "on").groupBy("call_id").agg(F.max("p").alias("p"))
         wrong = materialize(places.join(late, "call_id").filter("p >= place").select("call_id", "p"), "late-calls")
         if wrong.isEmpty():
             return places.select("call_id", "place", F.lit(False).alias("cyclic"))
         raised = places.join(wrong, "call_id", "left")
-        places = materialize(raised.select("call_id", F.greatest("place", F.col("p") + 1).alias("place"), F.when(F.col("p").isNotNull(), done).otherwise(F.col("raised")).alias("raised")), "places")
-    return places.select("call_id", "place", (F.col("raised") > max_rounds // 2).alias("cyclic"))
+        places = materialize(raised.select("call_id", F.greatest("place", F.col("p") + 1).alias("place")), "places")
+    return _peeled(first, edges)
+
+
+def _peeled(first: DataFrame, edges: DataFrame) -> DataFrame:
+    """``(call_id, place, cyclic)`` by taking calls without open dependencies until none is left: only those on or behind a cycle remain."""
+    known = edges.join(first.select(F.col("call_id").alias("on")), "on")
+    known = materialize(known.select("call_id", "on"), "dependencies")
+    needs = known.groupBy("call_id").agg(F.count("*").alias("open"))
+    state = materialize(first.join(needs, "call_id", "left").select("call_id", "place", F.coalesce("open", F.lit(0)).alias("open")), "places")
+    while not (ready := state.filter("open = 0")).isEmpty():
+        taken = ready.select(F.col("call_id").alias("on"), F.col("place").alias("p"))
+        met = known.join(taken, "on").groupBy("call_id").agg(F.count("*").alias("n"), F.max("p").alias("p"))
+        left = F.when(F.col("open") > 0, F.col("open") - F.coalesce("n", F.lit(0))).otherwise(-1)
+        new = materialize(state.join(met, "call_id", "left").select("call_id", F.greatest("place", F.col("p") + 1).alias("place"), left.cast("long").alias("open")), "places")
+        drop_shared(state)
+        state = new
+    on_cycle = F.col("open") > 0
+    return state.join(first.select("call_id", F.col("place").alias("at")), "call_id").select("call_id", F.when(on_cycle, F.col("at")).otherwise(F.col("place")).alias("place"), on_cycle.alias("cyclic"))
 
 
 def link_calls(calls: DataFrame, results: DataFrame, schemas: Mapping[str, Mapping[str, Any]], max_rounds: int = 32) -> DataFrame:
