@@ -14,9 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; where it is unset (tests), one made for this session."""
+    """The folder in ``spark.checkpoint.dir``; where it is unset and Spark runs in one process (tests), one made for this session."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
@@ -32,10 +34,11 @@ def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     return out
 
 
-def drop_shared(df: DataFrame) -> None:
-    """Remove a table that ``materialize`` wrote, once nothing reads it any more."""
-    path = getattr(df, "_shared_path", None)
-    if path:
-        jvm = df.sparkSession._jvm
-        hadoop = jvm.org.apache.hadoop.fs.Path(path)
-        hadoop.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(hadoop, True)
+def drop_shared(*tables: DataFrame) -> None:
+    """Remove tables that ``materialize`` wrote, once nothing reads them any more."""
+    for df in tables:
+        path = getattr(df, "_shared_path", None)
+        if path:
+            jvm = df.sparkSession._jvm
+            hadoop = jvm.org.apache.hadoop.fs.Path(path)
+            hadoop.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(hadoop, True)
