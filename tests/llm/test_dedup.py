@@ -137,10 +137,31 @@ def test_cut_keeps_characters_whole(docs):
     assert out.columns == docs.columns and out.count() == docs.count()
 
 
-@pytest.mark.parametrize("block", [2048, 16])
-def test_cosine_links(spark, block, monkeypatch):
-    monkeypatch.setattr(vectors, "BLOCK", block)
-    monkeypatch.setattr(vectors, "PER_PIVOT", 40)
+def test_pivots_only_where_they_exclude():
+    rng = np.random.default_rng(5)
+    even = vectors._units(rng.normal(size=(512, 64)))
+    assert len(vectors.choose_pivots(even, 0.374, 100_000)) == 0
+    centres = vectors._units(rng.normal(size=(40, 64)))
+    clustered = vectors._units(centres[rng.integers(0, 40, 512)] + rng.normal(size=(512, 64)) * 0.01)
+    pivots = vectors.choose_pivots(clustered, 0.374, 100_000)
+    assert len(pivots) >= 8
+    home, copied = vectors.cells_of(clustered, pivots, 0.374)
+    near = np.argwhere(clustered @ clustered.T >= 0.93)
+    assert all(home[a] == home[b] or copied[a, home[b]] or copied[b, home[a]] for a, b in near)
+
+
+def test_vectors_of_many_lengths_and_sizes(spark):
+    rows = [(i, [1.0] * (i // 2 + 1), 1) for i in range(160)] + [(500, [1e200, 1e200, 1e200], 1), (501, [1e-300, 1e-300, 1e-300], 1)]
+    got = {r.vec_id: r.component_id for r in vectors.cosine_links(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label long")).collect()}
+    assert got == {i: i // 2 * 2 for i in range(160)} | {500: 4, 501: 4}
+
+
+@pytest.mark.parametrize("numbers, pivots", [(1 << 19, 0), (16 * 16, 0), (16 * 20, 6), (1 << 19, 6)])
+def test_cosine_links(spark, numbers, pivots, monkeypatch):
+    monkeypatch.setattr(vectors, "BLOCK_NUMBERS", numbers)
+    if pivots:
+        monkeypatch.setattr(vectors, "PIVOT_FROM", 20)
+        monkeypatch.setattr(vectors, "choose_pivots", lambda x, radius, n: x[:pivots])
     rng = np.random.default_rng(4)
     base = rng.normal(size=(12, 16))
     x = [base[i % 12] + rng.normal(size=16) * (0.2 if i % 3 else 0.05) for i in range(150)]
