@@ -39,17 +39,17 @@ with asked as (
   select conv_id, conv_id || ':' || turn as call_id, turn as position, text, length(text) as chars
   from conversations where role = 'user' and conv_id is not null and turn is not null),
 replies as (
-  select conv_id || ':' || (turn - 1) as call_id, count(*) as n,
+  select conv_id, conv_id || ':' || (turn - 1) as call_id, count(*) as n,
          arg_min(text, (turn, text)) as result
-  from conversations where role = 'assistant' and conv_id is not null and turn is not null group by 1),
+  from conversations where role = 'assistant' and conv_id is not null and turn is not null group by 1, 2),
 linked as (
-  select a.conv_id, coalesce(a.call_id, r.call_id) as call_id, a.position, a.position as place, coalesce(r.n, 0) as n_results,
+  select coalesce(a.conv_id, r.conv_id) as conv_id, coalesce(a.call_id, r.call_id) as call_id, a.position, a.position as place, coalesce(r.n, 0) as n_results,
          case when a.call_id is null then 'orphan' when a.text is null or a.chars < 1 then 'invalid'
               when r.call_id is null then 'unanswered' else 'linked' end as status,
          case when a.call_id is null then 'null'
               else '{' || concat_ws(',', '"chars":' || a.chars, '"text":' || to_json(a.text)) || '}' end as arguments,
          coalesce(to_json(r.result), 'null') as result, case when a.call_id is null then 'null' else '"ask"' end as name
-  from asked a full join replies r on a.call_id = r.call_id),
+  from asked a full join replies r on a.conv_id = r.conv_id and a.call_id = r.call_id),
 lines as (
   select *, '{"arguments":' || arguments || ',"id":' || to_json(call_id) || ',"name":' || name || ',"result":' || result || '}' as line from linked)
 select conv_id, call_id, cast(position as bigint) as position, cast(place as bigint) as place, n_results, status,

@@ -1,12 +1,13 @@
 """Tool calls of conversations: linked to results, ordered, validated, serialised.
 
-Calls and results meet in a hash join on the call's identifier. A call may name
-others that it depends on. Message order is a topological order unless a call
-precedes one it depends on; positions are raised only along such edges, round by
-round, until none is left. If some are left after ``max_rounds``, calls without
-open dependencies are taken out until nothing changes, so that only calls on a
-cycle and those that depend on one remain and are reported. Arguments are checked against the schema of the tool, and
-each call becomes one line of canonical JSON: sorted keys, no spaces.
+Calls and results meet in a hash join on conversation and call identifier. A
+call may name others of its conversation that it depends on. Message order is a
+topological order unless a call precedes one it depends on; positions are raised
+only along such edges, round by round. In conversations that a few rounds don't
+settle, calls without open dependencies are taken out until nothing changes, so
+that only calls on a cycle and those that depend on one remain and are reported;
+this has no limit of rounds. Arguments are checked against the schema of the
+tool, and each call becomes one line of canonical JSON: sorted keys, no spaces.
 """
 
 from __future__ import annotations
@@ -72,10 +73,12 @@ def extract(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     hold neither.
     """
     shape = "tool_calls array<struct<id: string, name: string, arguments: string, depends_on: array<string>>>"
-    found = messages.filter("role = 'assistant'").select("conv_id", "turn", F.posexplode(F.from_json("text", shape)["tool_calls"]).alias("n", "c"))
-    calls = found.select("conv_id", F.col("c.id").alias("call_id"), (F.col("turn") * 1000 + F.col("n")).cast("long").alias("position"), F.col("c.name").alias("name"), F.col("c.arguments").alias("arguments"), F.col("c.depends_on").alias("depends_on"))
-    given = messages.filter("role = 'tool'").select("turn", F.from_json("text", "tool_call_id string, content string").alias("r"))
-    results = given.select(F.col("r.tool_call_id").alias("call_id"), (F.col("turn") * 1000).cast("long").alias("position"), F.col("r.content").alias("content")).filter("call_id is not null")
+    # Turns in the upper half, so that no turn runs into the next, however many calls it makes.
+    place = F.call_function("shiftleft", F.col("turn").cast("long"), F.lit(32))
+    found = messages.filter("role = 'assistant'").select("conv_id", place.alias("at"), F.posexplode(F.from_json("text", shape)["tool_calls"]).alias("n", "c"))
+    calls = found.select("conv_id", F.col("c.id").alias("call_id"), F.col("at").bitwiseOR(F.col("n").cast("long")).alias("position"), F.col("c.name").alias("name"), F.col("c.arguments").alias("arguments"), F.col("c.depends_on").alias("depends_on"))
+    given = messages.filter("role = 'tool'").select("conv_id", place.alias("position"), F.from_json("text", "tool_call_id string, content string").alias("r"))
+    results = given.select("conv_id", F.col("r.tool_call_id").alias("call_id"), "position", F.col("r.content").alias("content")).filter("call_id is not null")
     return calls, results
 
 
@@ -87,7 +90,7 @@ def turns_as_calls(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     depends = F.when(F.col("turn") >= 2, F.array(name(F.col("turn") - 2))).otherwise(F.array().cast("array<string>"))
     calls = user.select("conv_id", name(F.col("turn")).alias("call_id"), F.col("turn").cast("long").alias("position"), F.lit("ask").alias("name"), arguments.alias("arguments"), depends.alias("depends_on"))
     replies = messages.filter("role = 'assistant' and conv_id is not null and turn is not null")
-    results = replies.select(name(F.col("turn") - 1).alias("call_id"), F.col("turn").cast("long").alias("position"), F.col("text").alias("content"))
+    results = replies.select("conv_id", name(F.col("turn") - 1).alias("call_id"), F.col("turn").cast("long").alias("position"), F.col("text").alias("content"))
     return calls, results
 
 
@@ -95,55 +98,64 @@ def turns_as_calls(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
 ASK = {"ask": {"type": "object", "required": ["text", "chars"], "properties": {"text": {"type": "string", "minLength": 1}, "chars": {"type": "integer", "minimum": 1}}, "additionalProperties": False}}
 
 
-def _ordered(calls: DataFrame, max_rounds: int) -> DataFrame:
-    """``(call_id, place, cyclic)`` such that a call's place exceeds those of the calls it depends on."""
-    first = calls.filter("call_id is not null").groupBy("call_id").agg(F.min("position").alias("place"))
-    places = first
-    edges = calls.select("call_id", F.explode("depends_on").alias("on")).filter("call_id is not null and on is not null").distinct()
-    for _ in range(max_rounds):
-        other = places.select(F.col("call_id").alias("on"), F.col("place").alias("p"))
-        late = edges.join(other, "on").groupBy("call_id").agg(F.max("p").alias("p"))
-        wrong = materialize(places.join(late, "call_id").filter("p >= place").select("call_id", "p"), "late-calls")
+KEY = ["conv_id", "call_id"]
+
+
+def _ordered(calls: DataFrame, rounds: int) -> DataFrame:
+    """``(conv_id, call_id, place, cyclic)`` such that a call's place exceeds those of the calls it depends on."""
+    named = calls.filter("conv_id is not null and call_id is not null")
+    first = named.groupBy(KEY).agg(F.min("position").alias("place"))
+    edges = named.select(*KEY, F.explode("depends_on").alias("on")).filter("on is not null").distinct()
+    places, wrong = first, None
+    for _ in range(rounds):
+        other = places.select("conv_id", F.col("call_id").alias("on"), F.col("place").alias("p"))
+        late = edges.join(other, ["conv_id", "on"]).groupBy(KEY).agg(F.max("p").alias("p"))
+        wrong = materialize(places.join(late, KEY).filter("p >= place").select(*KEY, "p"), "late-calls")
         if wrong.isEmpty():
-            return places.select("call_id", "place", F.lit(False).alias("cyclic"))
-        raised = places.join(wrong, "call_id", "left")
-        places = materialize(raised.select("call_id", F.greatest("place", F.col("p") + 1).alias("place")), "places")
-    return _peeled(first, edges)
+            return places.select(*KEY, "place", F.lit(False).alias("cyclic"))
+        places = materialize(places.join(wrong, KEY, "left").select(*KEY, F.greatest("place", F.col("p") + 1).alias("place")), "places")
+    unsettled = wrong.select("conv_id").distinct()
+    peeled = _peeled(*(materialize(t.join(unsettled, "conv_id", "left_semi"), "unsettled") for t in (first, edges)))
+    return places.join(unsettled, "conv_id", "left_anti").select(*KEY, "place", F.lit(False).alias("cyclic")).union(peeled)
 
 
 def _peeled(first: DataFrame, edges: DataFrame) -> DataFrame:
-    """``(call_id, place, cyclic)`` by taking calls without open dependencies until none is left: only those on or behind a cycle remain."""
-    known = edges.join(first.select(F.col("call_id").alias("on")), "on")
-    known = materialize(known.select("call_id", "on"), "dependencies")
-    needs = known.groupBy("call_id").agg(F.count("*").alias("open"))
-    state = materialize(first.join(needs, "call_id", "left").select("call_id", "place", F.coalesce("open", F.lit(0)).alias("open")), "places")
+    """``(conv_id, call_id, place, cyclic)`` by taking calls without open dependencies until none is left: only those on or behind a cycle remain."""
+    on = ["conv_id", "on"]
+    known = materialize(edges.join(first.select("conv_id", F.col("call_id").alias("on")), on).select(*KEY, "on"), "dependencies")
+    needs = known.groupBy(KEY).agg(F.count("*").alias("open"))
+    state = materialize(first.join(needs, KEY, "left").select(*KEY, "place", F.coalesce("open", F.lit(0)).alias("open")), "places")
     while not (ready := state.filter("open = 0")).isEmpty():
-        taken = ready.select(F.col("call_id").alias("on"), F.col("place").alias("p"))
-        met = known.join(taken, "on").groupBy("call_id").agg(F.count("*").alias("n"), F.max("p").alias("p"))
+        taken = ready.select("conv_id", F.col("call_id").alias("on"), F.col("place").alias("p"))
+        met = known.join(taken, on).groupBy(KEY).agg(F.count("*").alias("n"), F.max("p").alias("p"))
         left = F.when(F.col("open") > 0, F.col("open") - F.coalesce("n", F.lit(0))).otherwise(-1)
-        new = materialize(state.join(met, "call_id", "left").select("call_id", F.greatest("place", F.col("p") + 1).alias("place"), left.cast("long").alias("open")), "places")
+        new = materialize(state.join(met, KEY, "left").select(*KEY, F.greatest("place", F.col("p") + 1).alias("place"), left.cast("long").alias("open")), "places")
         drop_shared(state)
         state = new
     on_cycle = F.col("open") > 0
-    return state.join(first.select("call_id", F.col("place").alias("at")), "call_id").select("call_id", F.when(on_cycle, F.col("at")).otherwise(F.col("place")).alias("place"), on_cycle.alias("cyclic"))
+    return state.join(first.select(*KEY, F.col("place").alias("at")), KEY).select(*KEY, F.when(on_cycle, F.col("at")).otherwise(F.col("place")).alias("place"), on_cycle.alias("cyclic"))
 
 
-def link_calls(calls: DataFrame, results: DataFrame, schemas: Mapping[str, Mapping[str, Any]], max_rounds: int = 32) -> DataFrame:
-    """One row for each call and for each identifier that only results have.
+def link_calls(calls: DataFrame, results: DataFrame, schemas: Mapping[str, Mapping[str, Any]], rounds: int = 8) -> DataFrame:
+    """One row for each call and for each identifier that only results of its conversation have.
 
     ``calls (conv_id, call_id, position, name, arguments, depends_on)`` and
-    ``results (call_id, position, content)`` give ``(conv_id, call_id, position,
-    place, n_results, status, errors, canonical)``. Of several results of a call
-    the first counts (by position, then content). status: "linked",
-    "unanswered", "orphan" (results without a call), "invalid" (arguments that
-    aren't JSON or don't fit; a tool without a schema) or "cyclic". A null
-    identifier links with nothing. Repeated calls each give a row. Empty tables
-    give an empty result.
+    ``results (conv_id, call_id, position, content)`` give ``(conv_id, call_id,
+    position, place, n_results, status, errors, canonical)``. Identifiers count
+    within their conversation. Of several results of a call the first counts (by
+    position, then content). status: "linked", "unanswered", "orphan" (results
+    without a call), "invalid" (arguments that aren't JSON or don't fit; a tool
+    without a schema) or "cyclic". A null conversation or identifier links with
+    nothing: such calls are unanswered, such results drop out. Repeated calls
+    each give a row. Texts are taken whole; other columns are ignored. Empty
+    tables give an empty result. ``rounds`` only decides when conversations whose
+    calls precede what they depend on are ordered by taking calls out.
     """
-    given = results.filter("call_id is not null").groupBy("call_id").agg(F.min(F.struct("position", "content")).alias("r"), F.count("*").alias("n"))
-    given = given.select("call_id", F.col("r.content").alias("result"), F.col("n").alias("n_results"), F.lit(True).alias("has"))
-    asked = calls.join(_ordered(calls, max_rounds), "call_id", "left").withColumn("called", F.lit(True))
-    rows = asked.join(given, "call_id", "full_outer")
+    given = results.filter("conv_id is not null and call_id is not null").groupBy(KEY).agg(F.min(F.struct("position", "content")).alias("r"), F.count("*").alias("n"))
+    given = given.select(*KEY, F.col("r.content").alias("result"), F.col("n").alias("n_results"), F.lit(True).alias("has"))
+    asked = calls.select(*KEY, "position", "name", "arguments", "depends_on")
+    asked = asked.join(_ordered(asked, rounds), KEY, "left").withColumn("called", F.lit(True))
+    rows = asked.join(given, KEY, "full_outer")
     rows = rows.select("conv_id", "call_id", "position", F.coalesce("place", "position").alias("place"), "name", "arguments", "result", F.coalesce("n_results", F.lit(0)).alias("n_results"), F.coalesce("called", F.lit(False)).alias("called"), F.coalesce("has", F.lit(False)).alias("has"), F.coalesce("cyclic", F.lit(False)).alias("cyclic"))
     names = ["conv_id", "call_id", "position", "place", "n_results", "status", "errors", "canonical"]
 

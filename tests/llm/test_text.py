@@ -164,7 +164,7 @@ def test_tool_calls(spark):
         (2, 2, "assistant", said(call("c1", "add", '{"a": 1}', ["c2"]), call("c2", "add", '{"a": 1}', ["c1"]))), (2, 3, "assistant", None), (3, 1, "assistant", "plain"),
     ]
     calls, results = toolcalls.extract(spark.createDataFrame(messages, "conv_id long, turn long, role string, text string"))
-    got = {r.call_id: r for r in toolcalls.link_calls(calls, results, schema, max_rounds=6).collect()}
+    got = {r.call_id: r for r in toolcalls.link_calls(calls, results, schema, rounds=6).collect()}
     assert {k: r.status for k, r in got.items()} == {"x": "linked", "y": "invalid", "z": "invalid", "u": "invalid", "lost": "orphan", "p": "invalid", "early": "unanswered", "late": "unanswered", "c1": "cyclic", "c2": "cyclic"}
     assert got["x"].canonical == '{"arguments":{"a":1,"b":["é"]},"id":"x","name":"add","result":"2"}' and got["x"].n_results == 2
     assert got["y"].errors == ["$.a: minimum"] and got["z"].errors == ["$: not JSON"] and got["u"].errors == ["$: no schema"]
