@@ -5,11 +5,13 @@ A byte is removed if a 200-byte window that covers it starts anywhere else.
 1. Seeds. In each window the 32-byte gram with the least hash (leftmost on
    ties) is its anchor. It depends on the window's bytes alone, so equal windows
    have equal anchors at equal offsets. Consecutive windows share anchors; one
-   row stands for such a run of windows: the anchor's hash, a hash of all bytes
-   of the run, and where it lies. About one row per 85 bytes results.
+   row stands for such a run of windows: the anchor's hash, a digest of all bytes
+   of the run (128 bits), and where it lies. About one row per 85 bytes results.
 2. Anchors that occur once can't lie in a repeated window and drop out. Runs
    whose bytes occur twice as a whole are repeated wholly; both are counts with
-   partial aggregation, so large groups of copies cost one row per task.
+   partial aggregation, so large groups of copies cost one row per task. Anchors
+   and runs that hold more than a thousandth of all rows are at most a thousand,
+   and are looked up by broadcast, so that no task gets all rows of one.
 3. What is left are runs that share an anchor but not all bytes: the ends of
    shared passages. For one run of each kind the bytes are fetched, and the runs
    of an anchor are suffix-sorted: a mergesort whose comparisons find the common
@@ -44,7 +46,7 @@ BUCKET = 4096
 #: Runs sorted at once.
 BATCH = 8192
 
-_BASE = 0x9E3779B97F4A7C15 | 1
+_BASE, _BASE2 = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -55,23 +57,23 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@lru_cache(maxsize=1)
-def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+@lru_cache(maxsize=2)
+def _tables(base: int = _BASE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """A random number for each byte value, and powers of the base and of its inverse mod 2^64."""
     size = CHUNK + 2 * WINDOW + 2
-    letters = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
+    letters = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(base))
 
     def powers(base: int) -> np.ndarray:
         steps = np.full(size, base, dtype=np.uint64)
         steps[0] = 1
         return np.cumprod(steps, dtype=np.uint64)
 
-    return letters, powers(_BASE), powers(pow(_BASE, -1, 1 << 64))
+    return letters, powers(base), powers(pow(base, -1, 1 << 64))
 
 
-def prefix_hashes(data: np.ndarray) -> np.ndarray:
+def prefix_hashes(data: np.ndarray, base: int = _BASE) -> np.ndarray:
     """Polynomial hashes of all prefixes of a byte array."""
-    letters, up, _ = _tables()
+    letters, up, _ = _tables(base)
     out = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum(letters[data] * up[: len(data)], out=out[1:])
     return out
@@ -88,11 +90,11 @@ def _sliding_min(keys: np.ndarray, width: int) -> np.ndarray:
 
 
 def find_runs(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Runs of windows with one anchor in texts laid end to end: anchor hash, run hash, anchor, first and last window."""
+    """Runs of windows with one anchor in texts laid end to end: anchor hash, two run hashes, anchor, first and last window."""
     n = len(data)
     if n < WINDOW:
         none = np.zeros(0, dtype=np.int64)
-        return none.view(np.uint64), none.view(np.uint64), none, none, none
+        return *(none.view(np.uint64),) * 3, none, none, none
     _, _, down = _tables()
     sums = prefix_hashes(data)
     grams = mix((sums[GRAM:] - sums[:-GRAM]) * down[: n - GRAM + 1])
@@ -110,9 +112,13 @@ def find_runs(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
     last[:-1] &= (anchor[1:] != anchor[:-1]) | ~valid[1:]
     lo, hi = np.flatnonzero(new), np.flatnonzero(last)
     a = anchor[lo]
-    whole = (sums[hi + WINDOW] - sums[lo]) * down[lo]
-    whole = mix(whole + mix(((a - lo) << 8 | (hi - lo)).astype(np.uint64) + np.uint64(1)))
-    return grams[a], whole, a, lo, hi
+    shape = mix(((a - lo) << 8 | (hi - lo)).astype(np.uint64) + np.uint64(1))
+    whole = mix((sums[hi + WINDOW] - sums[lo]) * down[lo] + shape)
+    anchor_hash = grams[a]
+    del sums, grams, order, anchor
+    sums = prefix_hashes(data, _BASE2)
+    again = mix((sums[hi + WINDOW] - sums[lo]) * _tables(_BASE2)[2][lo] + shape)
+    return anchor_hash, whole, again, a, lo, hi
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,11 +135,12 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 begin = offsets[at] + piece
                 end = min(offsets[to], begin + CHUNK + WINDOW - 1) if size > CHUNK else offsets[to]
                 ends = offsets[at + 1 : to + 1] - begin if size <= CHUNK else np.array([end - begin])
-                gram, whole, a, lo, hi = find_runs(data[begin:end], ends)
+                gram, whole, again, a, lo, hi = find_runs(data[begin:end], ends)
                 doc = np.searchsorted(ends, a, side="right")
                 first = np.concatenate(([0], ends[:-1]))[doc] if len(a) else a
                 where = ((a - first + piece) << 16) | ((a - lo) << 8) | (hi - lo)
-                yield pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), pa.array(whole.view(np.int64)), ids.take(pa.array(doc + at)), pa.array(where)], names=["anchor", "run", "doc_id", "loc"])
+                hashes = [pa.array(h.view(np.int64)) for h in (gram, whole, again)]
+                yield pa.RecordBatch.from_arrays([*hashes, ids.take(pa.array(doc + at)), pa.array(where)], names=["anchor", "run", "run2", "key", "loc"])
             at = to
 
 
@@ -251,7 +258,7 @@ def repeated_windows(bucket: np.ndarray, segments: list[bytes], at: np.ndarray,
     return out
 
 
-def _spans(doc: list, begin: np.ndarray, at: np.ndarray, dup: np.ndarray) -> pa.RecordBatch:
+def _spans(key: list, begin: np.ndarray, at: np.ndarray, dup: np.ndarray) -> pa.RecordBatch:
     """Byte ranges covered by the repeated windows of each run."""
     edge = np.zeros((len(dup), 1), dtype=bool)
     step = np.diff(np.hstack((edge, dup, edge)).astype(np.int8), axis=1)
@@ -259,7 +266,7 @@ def _spans(doc: list, begin: np.ndarray, at: np.ndarray, dup: np.ndarray) -> pa.
     _, i_after = np.nonzero(step == -1)
     b = begin[row] + at[row] - (i_after - 1)
     e = begin[row] + at[row] - i_first + WINDOW
-    return pa.RecordBatch.from_arrays([pa.array([doc[i] for i in row.tolist()], pa.int64()), pa.array(b), pa.array(e)], names=["doc_id", "b", "e"])
+    return pa.RecordBatch.from_arrays([pa.array([key[i] for i in row.tolist()], pa.int64()), pa.array(b), pa.array(e)], names=["key", "b", "e"])
 
 
 def _sort_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -270,7 +277,7 @@ def _sort_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         at, lo, hi = (np.array([r[k] for r in rows], dtype=np.int64) for k in ("at", "lo", "hi"))
         dup = repeated_windows(bucket, [r["seg"] for r in rows], at, lo, hi)
         dup[[r["n"] > 1 for r in rows]] = False  # these are repeated wholly, and marked so already
-        return _spans([r["doc_id"] for r in rows], np.array([r["begin"] for r in rows], dtype=np.int64), at, dup)
+        return _spans([r["key"] for r in rows], np.array([r["begin"] for r in rows], dtype=np.int64), at, dup)
 
     held: list[dict] = []
     for b in batches:
@@ -286,12 +293,12 @@ def _sort_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield flush(held)
 
 
-_ROW = "bucket long, doc_id long, begin long, n long, at int, lo int, hi int, i_lo int, i_hi int, seg binary"
+_ROW = "bucket long, key long, begin long, n long, at int, lo int, hi int, i_lo int, i_hi int, seg binary"
 _NAMES = [f.split()[0] for f in _ROW.split(", ")]
 
 
 def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes of runs: (doc_id, text, runs) to rows for the sort."""
+    """The bytes of runs: (key, text, runs) to rows for the sort."""
     for b in batches:
         cols: list[list] = [[] for _ in _NAMES]
         for doc, text, runs in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist()):
@@ -314,7 +321,7 @@ def _halves(rows: DataFrame) -> DataFrame:
         half = half.select("*", F.greatest("lo", F.col("at") - F.col("z")).alias("s"), F.least("hi", F.col("at") - F.col("a")).alias("e")).filter("s <= e")
         shared = F.substring("seg", F.col("at") - F.col("a") + 1, F.lit(WINDOW) - F.col("z") + F.col("a"))
         half = half.select(
-            F.xxhash64("bucket", "a", "z", shared).alias("bucket"), "doc_id", (F.col("begin") + F.col("s")).alias("begin"), "n", (F.col("at") - F.col("s")).alias("at"),
+            F.xxhash64("bucket", "a", "z", shared).alias("bucket"), "key", (F.col("begin") + F.col("s")).alias("begin"), "n", (F.col("at") - F.col("s")).alias("at"),
             F.lit(0).alias("lo"), (F.col("e") - F.col("s")).alias("hi"), F.col("a").alias("i_lo"), F.col("z").alias("i_hi"),
             F.substring("seg", F.col("s") + 1, F.col("e") - F.col("s") + WINDOW).alias("seg"),
         )
@@ -322,42 +329,81 @@ def _halves(rows: DataFrame) -> DataFrame:
     return out
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Byte ranges ``(doc_id, b, e)`` that repeated windows cover; they may overlap. Keyed by doc_id."""
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("t"))
-    runs = materialize(texts.mapInArrow(_scan, "anchor long, run long, doc_id long, loc long"), "runs")
-    twice = runs.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
-    shared = materialize(runs.join(twice, "anchor", "left_semi"), "shared-runs")
-    drop_shared(runs)
-    kinds = materialize(shared.groupBy("anchor", "run").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "loc")).alias("one")), "run-kinds")
-    whole = shared.join(kinds.filter("n > 1").select("anchor", "run"), ["anchor", "run"], "left_semi")
+#: Keys with at most so many rows are never looked up by broadcast.
+HEAVY = 10_000
+
+
+def _matched(rows: DataFrame, counted: DataFrame, on: list[str], n: str, total: int, how: str) -> DataFrame:
+    """``rows.join(counted, on, how)`` (inner or left_semi) where ``counted`` tells in ``n`` how many of the ``total`` rows a key has.
+
+    Keys with over a thousandth of the rows, at most a thousand, are broadcast.
+    """
+    limit = max(HEAVY, total // 1000)
+    if total <= HEAVY or counted.filter(F.col(n) > limit).isEmpty():
+        return rows.join(counted, on, how)
+    heavy = F.broadcast(counted.filter(F.col(n) > limit))
+    light = rows.join(heavy, on, "left_anti").join(counted.filter(F.col(n) <= limit), on, how)
+    return light.unionByName(rows.join(heavy, on, how))
+
+
+def row_hash(docs: DataFrame, id_col: str | None, text_col: str) -> F.Column:
+    """A 64-bit hash of id and text that tells all different rows of ``docs`` apart (checked by a second, wider digest)."""
+    text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
+    name = F.coalesce(F.col(id_col).cast("string"), F.lit("-")) if id_col else F.lit("")
+    salt = 0
+    while True:
+        key = F.xxhash64(F.lit(salt), name, text)
+        seen = docs.select(key.alias("k"), F.concat(F.md5(text), name).alias("d")).groupBy("k").agg(F.min("d").alias("lo"), F.max("d").alias("hi"))
+        if seen.filter("lo < hi").isEmpty():
+            return key
+        salt += 1
+
+
+def repeated_spans(docs: DataFrame, key_col: str = "key", text_col: str = "t") -> DataFrame:
+    """Byte ranges ``(key, b, e)`` that repeated windows cover; they may overlap.
+
+    ``key_col`` (long) names a text: rows with equal keys have equal texts.
+    """
+    texts = docs.select(F.col(key_col).alias("key"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("t"))
+    runs = materialize(texts.mapInArrow(_scan, "anchor long, run long, run2 long, key long, loc long"), "runs")
+    twice = materialize(runs.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1"), "anchors")
+    shared = materialize(_matched(runs, twice, ["anchor"], "n", runs.count(), "left_semi"), "shared-runs")
+    drop_shared(runs, twice)
+    run = ["anchor", "run", "run2"]
+    kinds = materialize(shared.groupBy(run).agg(F.count("*").alias("n"), F.min(F.struct("key", "loc")).alias("one")), "run-kinds")
+    whole = _matched(shared, kinds.filter("n > 1").select(*run, "n"), run, "n", shared.count(), "left_semi")
     a, before, span = F.shiftright("loc", 16), F.shiftright("loc", 8).bitwiseAND(255), F.col("loc").bitwiseAND(255)
-    marks = whole.select("doc_id", (a - before).alias("b"), (a - before + span + WINDOW).alias("e"))
+    marks = whole.select("key", (a - before).alias("b"), (a - before + span + WINDOW).alias("e"))
 
-    mixed = kinds.groupBy("anchor").agg(F.count("*").alias("c"), F.min("n").alias("least")).filter("c > 1 and least = 1").select("anchor")
-    wanted = kinds.join(mixed, "anchor").select("anchor", "n", "one.doc_id", "one.loc")
-    per_doc = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "n", "loc")).alias("runs"))
-    rows = texts.join(per_doc.hint("shuffle_hash").withColumnRenamed("doc_id", "k"), F.col("doc_id").eqNullSafe(F.col("k"))).select("doc_id", "t", "runs")
+    mixed = kinds.groupBy("anchor").agg(F.count("*").alias("c"), F.min("n").alias("least")).filter("c > 1 and least = 1").select("anchor", "c")
+    wanted = _matched(kinds, mixed, ["anchor"], "c", kinds.count(), "left_semi").select("anchor", "n", "one.key", "one.loc")
+    # Of a text's runs, so that a row holds less for the sort than the text is long.
+    per_text = wanted.groupBy("key").agg(F.collect_list(F.struct("anchor", "n", "loc")).alias("runs"))
+    rows = texts.join(per_text.hint("shuffle_hash"), "key").select("key", "t", "runs")
     todo = materialize(rows.mapInArrow(_fetch, _ROW), "run-bytes")
-    found = [marks]
+    found, done = [marks], [shared, kinds, todo]
     while True:
         sizes = todo.groupBy("bucket").agg(F.count("*").alias("c")).filter("c > 1")
-        sized = materialize(todo.join(sizes, "bucket"), "run-buckets")
+        sized = materialize(_matched(todo, sizes, ["bucket"], "c", todo.count(), "inner"), "run-buckets")
         small = sized.filter(F.col("c") <= BUCKET).drop("c")
         sorted_ = small.repartition("bucket").sortWithinPartitions("bucket")
-        found.append(sorted_.mapInArrow(_sort_buckets, "doc_id long, b long, e long"))
+        found.append(sorted_.mapInArrow(_sort_buckets, "key long, b long, e long"))
         large = sized.filter(F.col("c") > BUCKET).drop("c")
         ready = large.filter("i_lo = i_hi")
         same = ready.groupBy("bucket", "seg").agg(F.count("*").alias("m")).filter("m > 1").select("bucket", "seg")
-        found.append(ready.join(same, ["bucket", "seg"], "left_semi").select("doc_id", F.col("begin").alias("b"), (F.col("begin") + WINDOW).alias("e")))
+        found.append(ready.join(same, ["bucket", "seg"], "left_semi").select("key", F.col("begin").alias("b"), (F.col("begin") + WINDOW).alias("e")))
+        done.append(sized)
         more = large.filter("i_lo < i_hi")
         if more.isEmpty():
             break
-        todo = _halves(more)
+        todo = materialize(_halves(more), "run-bytes")
+        done.append(todo)
     out = found[0]
     for f in found[1:]:
         out = out.union(f)
-    return out
+    spans = materialize(out.distinct(), "spans")
+    drop_shared(*done)
+    return spans
 
 
 def _merged(spans: list[dict] | None) -> list[tuple[int, int]]:
@@ -383,12 +429,13 @@ def with_row_key(docs: DataFrame) -> tuple[DataFrame, str]:
     return materialize(docs.withColumn(key, F.monotonically_increasing_id()), "keyed"), key
 
 
-def _with_spans(docs: DataFrame, id_col: str, text_col: str, carried: list) -> DataFrame:
-    """The carried columns and, last, the spans of each row's text."""
-    spans = repeated_spans(docs, id_col, text_col).distinct()
+def _with_spans(docs: DataFrame, id_col: str | None, text_col: str) -> tuple[DataFrame, str]:
+    """``docs`` with the spans of each row's text as a list, and that column's name."""
     key, out = free_name("span_key", docs.columns), free_name("span_list", docs.columns)
-    per_doc = spans.groupBy("doc_id").agg(F.collect_list(F.struct("b", "e")).alias(out)).withColumnRenamed("doc_id", key)
-    return docs.join(per_doc.hint("shuffle_hash"), F.col(id_col).cast("long").eqNullSafe(F.col(key)), "left").select(*carried, out)
+    keyed = docs.withColumn(key, row_hash(docs, id_col, text_col))
+    spans = repeated_spans(keyed, key, text_col)
+    per_text = spans.groupBy(F.col("key").alias(key)).agg(F.collect_list(F.struct("b", "e")).alias(out))
+    return keyed.join(per_text.hint("shuffle_hash"), key, "left").drop(key), out
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -412,14 +459,15 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeat_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256)`` for every document.
 
-    Null texts count as empty; texts under 200 bytes lose nothing. doc_id names a
-    text: repeated rows are documents of their own, and so lose everything if
-    they have 200 bytes. A null doc_id is an id like others. An empty table gives
-    an empty result; other columns of ``docs`` are ignored.
+    Null texts count as empty; texts under 200 bytes lose nothing. Each row is a
+    document of its own, whatever its id: repeated rows and copies lose everything
+    if they have 200 bytes, and texts that share an id or have none lose only what
+    repeats of themselves. An empty table gives an empty result; other columns of
+    ``docs`` are ignored.
     """
-    picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("t"))
-    joined = _with_spans(picked.select("doc_id", F.col("t").cast("string").alias("t")), "doc_id", "t", ["doc_id", F.col("t").cast("binary").alias("t")])
-    return joined.mapInArrow(_digests, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
+    joined, spans = _with_spans(picked, "doc_id", "t")
+    return joined.select("doc_id", F.col("t").cast("binary").alias("t"), spans).mapInArrow(_digests, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def cut_spans(text: str | None, spans: list[dict] | None) -> str | None:
@@ -438,14 +486,15 @@ def cut_spans(text: str | None, spans: list[dict] | None) -> str | None:
     return b"".join(out).decode("utf-8", "surrogatepass")
 
 
-def remove_repeats(docs: DataFrame, text_col: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with repeated passages cut from the texts (whole characters only) and n_chars, if there, recounted.
 
-    Each row is a text of its own, whatever its id.
+    Each row is a text of its own, whatever its id. Null texts stay null, texts
+    under 200 bytes as they are; of copies none stays (both repeat); an empty
+    table gives an empty one.
     """
-    keyed, key = with_row_key(docs)
-    joined = _with_spans(keyed, key, text_col, [F.col(c) for c in docs.columns])
-    names = docs.columns
+    names, types = docs.columns, docs.schema
+    joined, spans = _with_spans(docs, id_col if id_col in names else None, text_col)
     where = names.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -454,5 +503,5 @@ def remove_repeats(docs: DataFrame, text_col: str = "text") -> DataFrame:
             cols = [pa.array(texts, pa.string()) if i == where else b.column(i) for i in range(b.num_columns - 1)]
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    out = joined.mapInArrow(run, docs.schema)
-    return out.withColumn("n_chars", F.length(text_col).cast(dict(docs.dtypes)["n_chars"])) if "n_chars" in docs.columns else out
+    out = joined.select(*names, spans).mapInArrow(run, types)
+    return out.withColumn("n_chars", F.length(text_col).cast(dict(docs.dtypes)["n_chars"])) if "n_chars" in names else out

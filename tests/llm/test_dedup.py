@@ -129,6 +129,27 @@ def test_long_texts_are_hashed_in_pieces(spark, monkeypatch):
     assert sorted(map(tuple, suffix.repeat_digests(df).collect())) == sorted((i, *w) for (i, _), w in zip(rows, brute_repeats([t for _, t in rows])))
 
 
+@pytest.mark.parametrize("heavy", [10_000, 2])
+def test_rows_are_texts_whatever_their_ids(spark, heavy, monkeypatch):
+    monkeypatch.setattr(suffix, "HEAVY", heavy)
+    rng = np.random.default_rng(8)
+    a, b, c = ("".join(chr(x) for x in rng.integers(97, 123, 900)) for _ in range(3))
+    rows = [(None, a), (None, b), (7, c), (7, a[:300]), (8, "x" + c[100:450] + "y"), (8, None), (None, ""), (9, b[:150])]
+    rows += [(20 + i, c[:260] + f"{i:03d}" + c[500:]) for i in range(9)] + [(40, a[600:]), (40, a[600:])]
+    df = spark.createDataFrame([(*r, 1, "k") for r in rows], "doc_id long, text string, anchor int, key string")
+    want = brute_repeats([t for _, t in rows])
+    assert want[1][1] == 0 and want[0][1] > 0
+    assert sorted(map(repr, map(tuple, suffix.repeat_digests(df).collect()))) == sorted(repr((i, *w)) for (i, _), w in zip(rows, want))
+    cut = suffix.remove_repeats(df)
+    assert cut.columns == df.columns
+    assert sorted(len(r.text.encode()) for r in cut.collect() if r.text is not None) == sorted(w[0] - w[1] for (_, t), w in zip(rows, want) if t is not None)
+
+
+def test_row_hash_tells_rows_apart(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (None, "a"), (None, None), (1, "a")], "doc_id long, text string")
+    assert df.select(suffix.row_hash(df, "doc_id", "text")).distinct().count() == 4
+
+
 def test_cut_keeps_characters_whole(docs):
     assert suffix.cut_spans("aéb", [{"b": 2, "e": 3}]) == "aéb"
     assert suffix.cut_spans("aéb", [{"b": 1, "e": 3}, {"b": 3, "e": 4}]) == "a"
