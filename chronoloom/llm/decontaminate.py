@@ -16,6 +16,7 @@ greatest distance, with deletions most. So places that hold enough of an item's
 runs are verified too: an item has n - r + 1 runs of r words, an edit breaks at
 most r of them, and the runs left lie within k places of where the passage
 begins. Each passage within the allowed edits is found by that, at any length.
+Items under six words allow no edit, and are such a run themselves.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from chronoloom.llm.batches import parts
 from chronoloom.llm.suffix import mix
 from chronoloom.llm.words import HashSet, gram_hashes, word_hashes
 
-#: Items under so many words aren't searched.
+#: Items under so many words allow no edit and need no keys.
 LEAST_WORDS = 6
 WALKS, SAMPLES, POSITIONS = 6, 8, 3
 #: Bytes of documents searched at once.
@@ -101,13 +102,16 @@ class Index:
 
     def __init__(self, ids: list[int], texts: list[str]):
         words, begin = word_hashes(texts)
-        self.items = [(i, words[a:b]) for i, a, b in zip(ids, begin[:-1], begin[1:]) if b - a >= LEAST_WORDS]
+        self.items = [(i, words[a:b]) for i, a, b in zip(ids, begin[:-1], begin[1:]) if b > a]
         classes = np.array(size_classes(max((len(w) for _, w in self.items), default=0)))
         by_class: dict[int, list[int]] = {}
+        every: dict[int, list[np.ndarray]] = {}
         for k, (_, w) in enumerate(self.items):
+            if len(w) < LEAST_WORDS:
+                every.setdefault(len(w), []).append(gram_hashes(w, len(w)))
+                continue
             by_class.setdefault(int(classes[np.searchsorted(classes, len(w), side="right") - 1]), []).append(k)
         self.classes: list[tuple[int, dict[int, HashSet], list[tuple[np.ndarray, np.ndarray]]]] = []
-        every: dict[int, list[np.ndarray]] = {}
         for size, members in sorted(by_class.items()):
             flat = np.concatenate([self.items[k][1] for k in members])
             ends = np.cumsum([len(self.items[k][1]) for k in members])
@@ -163,6 +167,9 @@ class Index:
             last = np.arange(len(k)) + self.least_runs[k] - 1
             inside = np.minimum(last, len(k) - 1)
             ok = (last < len(k)) & (k[inside] == k) & (d[inside] == d) & (start[inside] - start <= 2 * self.edits[k])
+            again = np.zeros(len(k), dtype=bool)
+            again[1:] = (k[1:] == k[:-1]) & (d[1:] == d[:-1]) & (self.edits[k[1:]] == 0)
+            ok &= ~again  # an exact match is as good as any other
             found.update(zip(k[ok].tolist(), np.maximum(start[ok], begin[d[ok]]).tolist()))
             a = b
         return found
@@ -248,9 +255,10 @@ def _parts(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[Index]:
 def contaminations(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """``(doc_id, item_id, distance, first_word, n_words)``: each item found in a document, with its best passage.
 
-    distance is in words and less than a fifth of the item's words. Items under six
-    words, with a null id or a null text aren't searched; null and empty documents
-    hold nothing; of repeated items and of repeated documents each gives its rows.
+    distance is in words and less than a fifth of the item's words (none in items
+    under six words). Items without words, with a null id or a null text aren't
+    searched; null and empty documents hold nothing; whole texts are searched,
+    however long; of repeated items and of repeated documents each gives its rows.
     Empty tables give an empty result; other columns are ignored.
     """
     out = None
@@ -271,7 +279,7 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id"
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """Rows of ``docs`` in which no item is found, unchanged."""
+    """Rows of ``docs`` in which no item is found, unchanged; rows without text or id stay, repeated rows each count."""
     where = docs.columns.index(text_col)
     schema = docs.schema
     for index in _parts(benchmark, item_col, item_text_col):

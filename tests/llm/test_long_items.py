@@ -43,3 +43,14 @@ def test_places_in_small_pieces(monkeypatch):
     whole = index.hits(texts)
     monkeypatch.setattr(decontaminate, "PLACES", 5)
     assert index.hits(texts) == whole and 0 in [f[0] for f in whole[3]] and 1 in [f[0] for f in whole[9]]
+
+
+def test_short_items_are_found_as_they_are(spark):
+    items = ["what is two plus two", "yes", "a b", "one two three four five", "a", " ?! ", None]
+    texts = ["so: What is two plus two? yes!", "what is two plus three", "yes " * 400 + "x " * 300_000 + "a b", "one two three four five six", "one two three four", None, "", "b a"]
+    bench = spark.createDataFrame([(i, t, "x") for i, t in enumerate(items)], "item_id long, text string, doc_id string")
+    rows = [(i, t, 1) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame([*rows, rows[3], (None, "yes", 1)], "doc_id long, text string, item_id long")
+    got = sorted((r.doc_id if r.doc_id is not None else -1, r.item_id, r.distance) for r in decontaminate.contaminations(docs, bench).collect())
+    assert got == [(-1, 1, 0), (0, 0, 0), (0, 1, 0), (2, 1, 0), (2, 2, 0), (2, 4, 0), (3, 3, 0), (3, 3, 0), (7, 4, 0)]
+    assert sorted(r.doc_id for r in decontaminate.drop_contaminated(docs, bench).collect()) == [1, 4, 5, 6]
