@@ -14,8 +14,10 @@ when first needed and kept in tables of bounded size.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 from struct import pack
 
@@ -34,14 +36,9 @@ class Vocabulary:
         self.ranks = ranks
         self.tokens = {i: b for b, i in ranks.items()}
         self.longest = max(map(len, ranks), default=0)
-        #: Every prefix of a token: its id (-1: none) and whether a longer token begins with it.
-        self.trie: dict[bytes, tuple[int, bool]] = {}
-        for t in ranks:
-            for n in range(1, len(t)):
-                self.trie[t[:n]] = (-1, True)
-        for t, i in ranks.items():
-            self.trie[t] = (i if self.merge(t) == [i] else -1, t in self.trie)
-        self._pairs: dict[tuple[int, int], bool] = {}
+        #: Every prefix of a token is a node: next nodes by byte (None: no longer token begins with it), and its token (-1: none).
+        self.root = self._trie()
+        self._pairs: dict[int, bool] = {}
         self._edges: dict[int, tuple[list, list]] = {}
         size = max(self.tokens, default=-1) + 1
         self.lengths = np.zeros(size, dtype=np.int64)
@@ -51,6 +48,19 @@ class Vocabulary:
         self.offsets = np.concatenate(([0], np.cumsum(self.lengths)[:-1])) if size else self.lengths
         self.flat = np.frombuffer(b"".join(self.tokens.get(i, b"") for i in range(size)), dtype=np.uint8)
 
+    def _trie(self) -> tuple[dict, int]:
+        made: dict[bytes, dict] = {b"": {}}
+        for t in self.ranks:
+            for n in range(1, len(t)):
+                made.setdefault(t[:n], {})
+        for t, i in sorted(self.ranks.items(), key=lambda x: -len(x[0])):
+            for n in range(len(t), 0, -1):  # leaves first, so that a node is whole when its parent gets it
+                if t[n - 1] in made[t[: n - 1]]:
+                    break
+                own = self.ranks.get(t[:n], -1)
+                made[t[: n - 1]][t[n - 1]] = made.get(t[:n]), own if own >= 0 and self.merge(t[:n]) == [own] else -1
+        return made[b""], -1
+
     @classmethod
     def parse(cls, data: bytes) -> Vocabulary:
         return cls({base64.b64decode(a): int(b) for a, b in (line.split() for line in data.splitlines() if line)})
@@ -93,7 +103,7 @@ class Vocabulary:
         Of equal merges the leftmost is done first, so one within ``left`` goes
         before one across the border, and that before one within ``right``.
         """
-        pair = (left, right)
+        pair = left << 32 | right
         known = self._pairs.get(pair)
         if known is None:
             if len(self._pairs) > 400_000:  # bounded memory
@@ -121,43 +131,45 @@ class Transducer:
         self._reset()
 
     def _reset(self) -> None:
-        #: Per state: last token emitted (-1: none) and pending bytes; last token of each prefix of these (-1: not needed); starts alive.
-        self.states: list[tuple[tuple[int, bytes], tuple[int, ...], tuple[int, ...]]] = [((-1, b""), (), ())]
+        #: Per state: last token emitted (-1: none), pending bytes, last token of each prefix of these (-1: not needed), starts alive with their next nodes.
+        self.states: list[tuple[int, bytes, tuple[int, ...], tuple[tuple[int, dict], ...]]] = [(-1, b"", (), ())]
         self.index = {(-1, b""): 0}
         self.steps: dict[int, tuple[int, tuple[int, ...]]] = {}
+        #: What is emitted if a byte is a pre-token's last.
         self.ends: dict[int, tuple[int, ...]] = {}
 
     def _advance(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
         v = self.v
-        (before, pending), lasts, alive = self.states[state]
+        pairs = v._pairs
+        before, pending, lasts, alive = self.states[state]
         n = len(pending)
         pending += bytes((byte,))
-        last, still, get = -1, [], v.trie.get
-        for start in (*alive, n):
-            entry = get(pending[start:])
-            if entry is None:
+        last, still, front = -1, [], 2 << n
+        for start, children in (*alive, (n, v.root[0])):
+            found = children.get(byte)
+            if found is None:
                 continue
-            token, longer = entry
-            if longer:
-                still.append(start)
+            children, token = found
+            if children is not None:
+                still.append((start, children))
+                front |= 1 << start
             if last < 0 <= token:
                 left = lasts[start - 1] if start else before
-                if left < 0 or v.compatible(left, token):
+                if left < 0:
                     last = token
+                else:
+                    fits = pairs.get(left << 32 | token)
+                    if fits or fits is None and v.compatible(left, token):
+                        last = token
         lasts += (last,)
-        # The encodings of all prefixes at which a token may still begin, walked back to their common boundary.
-        n += 1
-        kept, lengths = {n}, v.sizes
-        front = sorted((*still, n))
-        while front[0] != front[-1]:
-            m = front.pop()
-            m -= lengths[lasts[m - 1]]
-            if m not in kept:
-                kept.add(m)
-            if m not in front:
-                front.append(m)
-                front.sort()
-        cut = front[0]
+        # The encodings of all prefixes at which a token may still begin, walked back to their common boundary; positions are bits.
+        kept, sizes = front, v.sizes
+        while front & (front - 1):
+            m = front.bit_length() - 1
+            front ^= 1 << m
+            front |= 1 << (m - sizes[lasts[m - 1]])
+            kept |= front
+        cut = front.bit_length() - 1
         if not cut:
             key, out = (before, pending), ()
         else:
@@ -165,9 +177,8 @@ class Transducer:
             key = (out[-1], pending[cut:])
         nxt = self.index.get(key)
         if nxt is None:
-            kept.update(still)
             nxt = self.index[key] = len(self.states)
-            self.states.append((key, tuple([t if s in kept else -1 for s, t in enumerate(lasts[cut:], cut + 1)]), tuple([s - cut for s in still])))
+            self.states.append((*key, tuple([t if kept >> s & 1 else -1 for s, t in enumerate(lasts[cut:], cut + 1)]), tuple([(s - cut, c) for s, c in still])))
         return nxt, out
 
     def _chain(self, lasts: tuple[int, ...], end: int) -> tuple[int, ...]:
@@ -177,15 +188,26 @@ class Transducer:
             end -= self.v.sizes[out[-1]]
         return tuple(out[::-1])
 
+    def _finish(self, state: int, byte: int) -> tuple[int, ...]:
+        """What is emitted if ``byte`` is the last one: the tokens of all that is pending. No state behind it is made."""
+        before, pending, lasts, alive = self.states[state]
+        for start, children in (*alive, (len(pending), self.v.root[0])):
+            found = children.get(byte)
+            if found is not None and (token := found[1]) >= 0:
+                left = lasts[start - 1] if start else before
+                if left < 0 or self.v.compatible(left, token):
+                    return (*self._chain(lasts, start), token)
+        raise ValueError("a byte without a token")
+
     def encode(self, piece: bytes) -> list[int]:
         """Ids of a pre-token: its own if the vocabulary has it whole, else what the transducer emits."""
         whole = self.v.ranks.get(piece)
-        if whole is not None:
-            return [whole]
-        if len(self.states) > self.max_states or len(self.steps) > 2 * self.max_states:
+        if whole is not None or not piece:
+            return [] if whole is None else [whole]
+        if len(self.states) > self.max_states or len(self.steps) + len(self.ends) > 3 * self.max_states:
             self._reset()
         state, out, steps = 0, [], self.steps
-        for byte in piece:
+        for byte in piece[:-1]:
             at = state << 8 | byte
             step = steps.get(at)
             if step is None:
@@ -193,9 +215,10 @@ class Transducer:
             state = step[0]
             if step[1]:
                 out.extend(step[1])
-        tail = self.ends.get(state)
+        at = state << 8 | piece[-1]
+        tail = self.ends.get(at)
         if tail is None:
-            tail = self.ends[state] = self._chain(self.states[state][1], len(self.states[state][0][1]))
+            tail = self.ends[at] = self._finish(state, piece[-1])
         out.extend(tail)
         return out
 
@@ -205,11 +228,12 @@ class Utf8Machine:
 
     States: 0 at a boundary; 1-3 continuation bytes left; 4-7 after E0, ED, F0
     and F4, whose next byte has a narrower range. Malformed input gives U+FFFD
-    for each maximal part, as Python's "replace" handler does.
+    for each maximal part, as Python's "replace" handler does, and sets
+    ``malformed``. From a boundary on, whole characters are taken at once.
     """
 
     def __init__(self) -> None:
-        self.state, self.held, self.out = 0, bytearray(), []
+        self.state, self.held, self.out, self.malformed = 0, bytearray(), [], False
 
     @staticmethod
     def step(state: int, byte: int) -> int:
@@ -229,31 +253,50 @@ class Utf8Machine:
 
     def feed(self, data: bytes) -> str:
         """Characters finished by ``data``."""
-        for byte in data:
-            if self.state == 0 and byte < 0x80:
-                self.out.append(chr(byte))
-                continue
-            after = self.step(self.state, byte)
-            if after < 0:
-                if self.held:
-                    self.out.append("�")
-                    self.held.clear()
-                after = self.step(0, byte)
-                if after <= 0:
-                    self.out.append("�" if after < 0 else chr(byte))
-                    self.state = 0
-                    continue
-            self.held.append(byte)
-            self.state = after
-            if after == 0:
-                self.out.append(self.held.decode("utf-8"))
-                self.held.clear()
+        at = 0
+        while at < len(data) and self.state:
+            self._byte(data[at])
+            at += 1
+        # The last character may be unfinished: it begins at most three bytes before the end.
+        end = len(data)
+        while end > at and len(data) - end < 3 and data[end - 1] & 0xC0 == 0x80:
+            end -= 1
+        if end > at and data[end - 1] >= 0xC0:
+            end -= 1
+        else:
+            end = len(data)
+        try:
+            self.out.append(data[at:end].decode("utf-8"))
+            at = end
+        except UnicodeDecodeError:
+            pass
+        for byte in data[at:]:
+            self._byte(byte)
         got, self.out = "".join(self.out), []
         return got
 
+    def _byte(self, byte: int) -> None:
+        after = self.step(self.state, byte)
+        if after < 0:
+            self.malformed = True
+            if self.held:
+                self.out.append("\ufffd")
+                self.held.clear()
+                after = self.step(0, byte)
+            if after < 0:
+                self.out.append("\ufffd")
+                self.state = 0
+                return
+        self.held.append(byte)
+        self.state = after
+        if after == 0:
+            self.out.append(self.held.decode("utf-8"))
+            self.held.clear()
+
     def finish(self) -> str:
         """What an unfinished character at the end gives."""
-        got = "�" if self.held else ""
+        got = "\ufffd" if self.held else ""
+        self.malformed |= bool(self.held)
         self.state = 0
         self.held.clear()
         return got
@@ -346,6 +389,18 @@ class Codec:
         shift = self.v.offsets[ids] - (ends - n)
         return self.v.flat[np.repeat(shift, n) + np.arange(ends[-1] if len(ends) else 0)].tobytes()
 
+    def decoded_digest(self, ids: np.ndarray) -> str:
+        """SHA-256 of what ids decode to: a stream of blocks through the UTF-8 machine, or the bytes themselves where they aren't UTF-8."""
+        machine, text = Utf8Machine(), hashlib.sha256()
+        for at in range(0, len(ids), BLOCK):
+            text.update(machine.feed(self.decode_bytes(ids[at : at + BLOCK])).encode("utf-8"))
+        machine.finish()
+        if machine.malformed:
+            text = hashlib.sha256()
+            for at in range(0, len(ids), BLOCK):
+                text.update(self.decode_bytes(ids[at : at + BLOCK]))
+        return text.hexdigest()
+
     def decode_stream(self, blocks: Iterable[np.ndarray]) -> Iterator[str]:
         """Text of a stream of id blocks; a character cut by a block's end comes with the next block."""
         machine = Utf8Machine()
@@ -377,23 +432,36 @@ def _resolve(ranks_path: str | None, pattern: str | None) -> tuple[bytes, str]:
         return f.read(), pattern or public_tokenizers.PATTERN
 
 
-#: Bytes of ids decoded at once.
+#: Ids decoded at once.
 BLOCK = 1 << 18
 
 
+@contextmanager
+def _uncollected() -> Iterator[None]:
+    """Without searches for reference cycles: the tables' many tuples hold none, and going through them takes longer than encoding."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
 def encode_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks_path: str | None = None, pattern: str | None = None) -> DataFrame:
     """``(doc_id, ids array<int>)``: the tokens of every whole text; null and empty texts have none."""
     data, pattern = _resolve(ranks_path, pattern)
     handle = docs.sparkSession.sparkContext.broadcast(data)  # one vocabulary file, of fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _Lazy.get(handle, pattern)
-        for b in parts(batches):
-            ids = [codec.encode(t or "") for t in b.column(1).to_pylist()]
-            ends = np.cumsum([0, *map(len, ids)])
-            flat = np.concatenate(ids).astype(np.int32) if ids else np.zeros(0, dtype=np.int32)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))], names=["doc_id", "ids"])
-        codec.rest()
+        with _uncollected():
+            codec = _Lazy.get(handle, pattern)
+            for b in parts(batches):
+                ids = [codec.encode(t or "") for t in b.column(1).to_pylist()]
+                ends = np.cumsum([0, *map(len, ids)])
+                flat = np.concatenate(ids).astype(np.int32) if ids else np.zeros(0, dtype=np.int32)
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))], names=["doc_id", "ids"])
+            codec.rest()
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("t")).mapInArrow(run, "doc_id long, ids array<int>")
 
@@ -415,11 +483,22 @@ def decode_documents(encoded: DataFrame, ranks_path: str | None = None) -> DataF
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
 
 
+def _digest_batch(codec: Codec, b: pa.RecordBatch) -> pa.RecordBatch:
+    count, one, two = [], [], []
+    for text in b.column(1).to_pylist():
+        pieces = codec.pieces(text or "")
+        ids = np.frombuffer(b"".join([p[0] for p in pieces]), dtype="<u4")
+        count.append(len(ids))
+        one.append(hashlib.sha256(",".join([p[1] for p in pieces]).encode()).hexdigest())
+        two.append(codec.decoded_digest(ids))
+    return pa.RecordBatch.from_arrays([b.column(0), pa.array(count, pa.int64()), pa.array(one, pa.string()), pa.array(two, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+
 def token_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks_path: str | None = None, pattern: str | None = None, max_pieces: int = 300_000, max_states: int = 300_000, rest_after_task: bool = False) -> DataFrame:
     """Encode and decode every whole text: ``(doc_id, n_tokens, ids_sha256, decoded_sha256)``.
 
     ids_sha256 is of the decimal ids joined by commas, decoded_sha256 of the
-    bytes that the ids decode to. Null texts count as empty (no tokens, both
+    bytes that the ids decode to, as the UTF-8 machine gives them back. Null texts count as empty (no tokens, both
     digests of no bytes). max_pieces and max_states bound what a worker remembers
     (about half a kilobyte each); fewer cost time only, as does letting it go
     after each task. Repeated rows give repeated rows; an empty table gives
@@ -429,22 +508,13 @@ def token_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     handle = docs.sparkSession.sparkContext.broadcast(data)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _Lazy.get(handle, pattern)
-        codec.max_pieces, codec.fst.max_states = max_pieces, max_states
-        for b in parts(batches):
-            count, one, two = [], [], []
-            for text in b.column(1).to_pylist():
-                pieces = codec.pieces(text or "")
-                ids = np.frombuffer(b"".join([p[0] for p in pieces]), dtype="<u4")
-                count.append(len(ids))
-                one.append(hashlib.sha256(",".join([p[1] for p in pieces]).encode()).hexdigest())
-                back = hashlib.sha256()
-                for at in range(0, len(ids), BLOCK):
-                    back.update(codec.decode_bytes(ids[at : at + BLOCK]))
-                two.append(back.hexdigest())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(count, pa.int64()), pa.array(one, pa.string()), pa.array(two, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-        if rest_after_task:
-            codec.rest()
+        with _uncollected():
+            codec = _Lazy.get(handle, pattern)
+            codec.max_pieces, codec.fst.max_states = max_pieces, max_states
+            for b in parts(batches):
+                yield _digest_batch(codec, b)
+            if rest_after_task:
+                codec.rest()
 
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("t"))
     return picked.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -53,7 +53,23 @@ def test_streaming_decode(codec):
     assert "".join(codec.decode_stream(ids[i : i + 1] for i in range(len(ids)))) == text
     bad = b"a\xc3\xff\xe0\x80z\xf0\x9f\xf4\x90x\xed\xa0"
     m = bpe.Utf8Machine()
-    assert "".join(m.feed(bad[i : i + 1]) for i in range(len(bad))) + m.finish() == bad.decode("utf-8", "replace")
+    assert "".join(m.feed(bad[i : i + 1]) for i in range(len(bad))) + m.finish() == bad.decode("utf-8", "replace") and m.malformed
+    good = text.encode() * 3
+    for data in (good, bad, good + bad + good, good[:-1], b"", b"\x80", "é".encode()[:1]):
+        for width in (1, 2, 3, 5, 64):
+            m = bpe.Utf8Machine()
+            got = "".join(m.feed(data[i : i + width]) for i in range(0, len(data), width)) + m.finish()
+            assert got == data.decode("utf-8", "replace") and m.malformed == ("\ufffd" in got)
+
+
+def test_digests_of_bytes_that_are_not_utf8(codec, monkeypatch):
+    monkeypatch.setattr(bpe, "BLOCK", 3)
+    for text in ("aé漢🙂 ñandú " * 5, ""):
+        ids = codec.encode(text)
+        assert codec.decoded_digest(ids) == hashlib.sha256(text.encode()).hexdigest()
+        assert codec.decoded_digest(ids[1:]) == hashlib.sha256(codec.decode_bytes(ids[1:])).hexdigest()
+    cut = codec.encode("🙂")[:1]
+    assert codec.decoded_digest(cut) == hashlib.sha256(codec.decode_bytes(cut)).hexdigest()
 
 
 def test_token_digests(docs, reference):
