@@ -18,9 +18,11 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, max_bytes:
     Chosen and given in the order of a hash of the id.
 
     At most 2 * rows * max_bytes bytes come to the driver, whatever the tables'
-    size. Rows with a null label, id or text are left out; of repeated ids one is used.
+    size. Rows with a null label, id or text are left out, and ids with both
+    labels; of several texts of an id the first in order is used.
     """
-    known = labels.select(F.col(id_col).alias("k"), F.col(label).cast("int").alias("y")).filter(f"y in (0, 1) and k is not null").dropDuplicates(["k"])
+    known = labels.select(F.col(id_col).alias("k"), F.col(label).cast("int").alias("y")).filter("y in (0, 1) and k is not null")
+    known = known.groupBy("k").agg(F.min("y").alias("y"), F.max("y").alias("hi")).filter("y = hi").drop("hi")
     known = known.filter(~held_out("k"))
     short = docs.select(F.col(id_col).alias("k"), F.col(text_col).alias("t")).filter(F.octet_length("t") <= max_bytes)
     # Choose among ids first; texts are fetched for the chosen alone.
@@ -29,7 +31,7 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, max_bytes:
     if not chosen:
         return [], [], None
     picked = docs.sparkSession.createDataFrame([(r["k"], r["y"]) for r in chosen], known.select("k", "y").schema)
-    got = {r["k"]: (r["t"], r["y"]) for r in short.join(F.broadcast(picked), "k").collect()}
+    got = {r["k"]: (r["t"], r["y"]) for r in short.join(F.broadcast(picked), "k").groupBy("k", "y").agg(F.min("t").alias("t")).collect()}
     order = [r["k"] for r in sorted(chosen, key=lambda r: (r["h"], r["k"]))]
     share = sized.agg(F.avg("y")).first()[0]
     return [got[k][0] for k in order], [got[k][1] for k in order], share if 0 < share < 1 else None

@@ -86,9 +86,11 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = 2000, max_bytes: int = 8
 def quality_scores(docs: DataFrame, labels: DataFrame, rows: int = 2000, max_bytes: int = 8192, threshold: float = 0.7, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, held_out, score, predicted)`` for every document, from the whole text alone.
 
-    Null and empty texts are scored as no bytes. Rows whose labels are null
-    aren't learned from; repeated documents give repeated rows; without labels of
-    both classes all scores are alike; an empty table gives an empty result.
+    Null and empty texts are scored as no bytes, long ones block by block to their
+    end. Rows whose labels are null or contradict each other aren't learned from;
+    repeated documents give repeated rows; without labels of both classes all
+    scores are alike; an empty table gives an empty result; other columns of both
+    tables are ignored.
     """
     handle = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, rows, max_bytes))  # two dictionaries of fixed size
 

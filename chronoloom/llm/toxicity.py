@@ -2,10 +2,13 @@
 
 A word is the mean of the vectors of its hashed character n-grams and of itself,
 so a misspelling nobody has labelled shares most of its vector with the words it
-resembles. The vectors of a few words in a row are averaged and given to a linear
-softmax; a text is as toxic as its most toxic place, so that length doesn't
-dilute it. Vectors and softmax are trained jointly in numpy: first on all places
-of a text, then on its most toxic one.
+resembles. Bags of words are averaged and given to a linear softmax. The average
+over a whole text dilutes a few toxic words, so a text has three bags: all its
+words, its two most toxic ones and its most toxic one. A logistic calibration
+weighs what the softmax says of the three, and the text's length, as the most
+toxic of many words is more toxic by chance. Vectors and softmax are trained
+jointly in numpy: first on all windows of a few words of a text, then on its most
+toxic one.
 """
 
 from __future__ import annotations
@@ -66,6 +69,17 @@ def word_means(data: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 #: n-grams whose gradients set the step of all.
 BUSIEST = 400
+#: Sizes of the bags of a text's most toxic words.
+BAGS = (1, 2)
+
+
+def bag_features(s: np.ndarray) -> np.ndarray:
+    """Means over the bags of a text, given what each of its words adds (missing words add nothing), and the logarithm of their number."""
+    n = len(s)
+    if not n:
+        return np.zeros(len(BAGS) + 2)
+    top = np.sort(np.partition(s, n - BAGS[-1])[-BAGS[-1] :] if n > BAGS[-1] else s)[::-1].astype(float)
+    return np.array([*(top[:k].sum() / k for k in BAGS), s.mean(dtype=float), np.log(n)])
 
 
 class Model:
@@ -77,7 +91,7 @@ class Model:
         self.vectors = rng.normal(0, 0.05, (buckets, size)).astype(np.float32)
         self.weights = rng.normal(0, 0.5, (2, size))
         self.bias = np.zeros(2)
-        self.calibration = np.array([1.0, 0.0])
+        self.calibration = np.array([1.0] + [0.0] * (len(BAGS) + 2))
         self.value: np.ndarray | None = None
 
     def fit(self, texts: list[str], labels: list[int], share: float | None = None, epochs: int = 70, warm: int = 20, rate: float = 0.1) -> Model:
@@ -88,7 +102,7 @@ class Model:
         """
         y = np.array(labels, dtype=float)
         if len(y) == 0 or y.min() == y.max():
-            self.calibration = np.array([0.0, 0.0 if len(y) == 0 else np.log((y.sum() + 1) / (len(y) - y.sum() + 1))])
+            self.calibration = np.array([0.0] * (len(BAGS) + 2) + [0.0 if len(y) == 0 else np.log((y.sum() + 1) / (len(y) - y.sum() + 1))])
             return self
         index: dict[bytes, int] = {}
         docs = [np.array([index.setdefault(w, len(index)) for w in WORDS(fold(t))], dtype=np.int32) for t in texts]
@@ -153,27 +167,14 @@ class Model:
                     v += 0.01 * (grad * grad - v)
                 param -= (rate * (m / (1 - 0.9**epoch)) / (np.sqrt(v / (1 - 0.99**epoch)) + 1e-7)).astype(param.dtype)
         apart = np.flatnonzero(aside) if aside.any() and len(np.unique(y[aside])) == 2 else train
-        raw = self._logits(docs, apart, ids, at, count)
-        self.calibration = logistic(raw[:, None], y[apart], ridge=0.05)
+        word = np.add.reduceat((self.vectors @ (self.weights[1] - self.weights[0]))[ids], at) / count
+        self.calibration = logistic(np.array([bag_features(word[docs[i]]) for i in apart]), y[apart], ridge=0.05)
         if share:
-            self.calibration[1] += np.log(share / (1 - share)) - np.log(y.mean() / (1 - y.mean()))
+            self.calibration[-1] += np.log(share / (1 - share)) - np.log(y.mean() / (1 - y.mean()))
         return self
 
-    def _logits(self, docs: list[np.ndarray], which: np.ndarray, ids: np.ndarray, at: np.ndarray, count: np.ndarray) -> np.ndarray:
-        word = np.add.reduceat((self.vectors @ (self.weights[1] - self.weights[0]))[ids], at) / count
-        return np.array([self._top(word[docs[i]]) for i in which])
-
-    def _top(self, s: np.ndarray) -> float:
-        """Logit of the most toxic window of a text, given what each word adds."""
-        if len(s) > self.window:
-            c = np.concatenate(([0.0], np.cumsum(s, dtype=float)))
-            best = (c[self.window :] - c[: -self.window]).max() / self.window
-        else:
-            best = s.mean() if len(s) else 0.0
-        return float(best + self.bias[1] - self.bias[0])
-
     def scores(self, texts: list[str | None], block: int = 1 << 20) -> np.ndarray:
-        """Calibrated probabilities that texts are toxic; texts without words score as a neutral place."""
+        """Calibrated probabilities that texts are toxic; texts without words score as words that add nothing."""
         if self.value is None:
             self.value = (self.vectors @ (self.weights[1] - self.weights[0])).astype(np.float32)
         out, held, size = [], [], 0
@@ -184,18 +185,18 @@ class Model:
                 begin = np.cumsum([1, *(len(d) + 1 for d in held)])
                 mean, start = word_means(np.frombuffer(b" " + b" ".join(held) + b" ", dtype=np.uint8), self.value)
                 cut = np.searchsorted(start, begin)
-                out += [self._top(mean[a:b]) for a, b in zip(cut[:-1], cut[1:])]
+                out += [bag_features(mean[a:b]) for a, b in zip(cut[:-1], cut[1:])]
                 held, size = [], 0
-        a, b = self.calibration
-        return 1 / (1 + np.exp(-np.clip(a * np.array(out, dtype=float) + b, -30, 30)))
+        x = np.array(out).reshape(-1, len(BAGS) + 2)
+        return 1 / (1 + np.exp(-np.clip(x @ self.calibration[:-1] + self.calibration[-1], -30, 30)))
 
     def pack(self) -> tuple:
-        return self.window, (self.vectors @ (self.weights[1] - self.weights[0])).astype(np.float32), self.bias, self.calibration
+        return (self.vectors @ (self.weights[1] - self.weights[0])).astype(np.float32), self.calibration
 
     @classmethod
     def unpack(cls, packed: tuple) -> Model:
         self = cls.__new__(cls)
-        self.window, self.value, self.bias, self.calibration = packed
+        self.value, self.calibration = packed
         return self
 
 
@@ -208,9 +209,10 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = 1500, max_bytes: int = 8
 def toxicity_scores(docs: DataFrame, labels: DataFrame, rows: int = 1500, max_bytes: int = 8192, threshold: float = 0.3) -> DataFrame:
     """``(doc_id, held_out, score, predicted)`` for every document, null and empty texts included.
 
-    Rows whose labels are null aren't learned from; repeated documents give
-    repeated rows; without labels of both classes all scores are alike; an empty
-    table gives an empty result.
+    Whole texts are scored, however long. Rows whose labels are null or contradict
+    each other aren't learned from; repeated documents give repeated rows; without
+    labels of both classes all scores are alike; an empty table gives an empty
+    result; other columns of both tables are ignored.
     """
     return score_column(docs, fit(docs, labels, rows, max_bytes)).select("doc_id", held_out().alias("held_out"), F.col("score"), (F.col("score") >= threshold).cast("int").alias("predicted"))
 
@@ -228,7 +230,7 @@ def score_column(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col
 
 
 def drop_toxic(docs: DataFrame, model: Model, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
-    """Rows of ``docs`` whose text scores below ``threshold``, unchanged."""
+    """Rows of ``docs`` whose text scores below ``threshold``, unchanged; null and empty texts are scored as no words, repeated rows alike."""
     handle = docs.sparkSession.sparkContext.broadcast(model.pack())
     where = docs.columns.index(text_col)
 
