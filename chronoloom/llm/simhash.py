@@ -133,6 +133,12 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(fp.view(np.int64)[row])], names=["key", "fp"])
 
 
+def fingerprint_keys(rows: DataFrame) -> DataFrame:
+    """``(key, node)`` and ``fp`` for the Golay keys of ``rows (fp, node)``: fingerprints within two bits share a key."""
+    keys = rows.select("fp").distinct().mapInArrow(_keys, "key long, fp long")
+    return keys.join(rows, "fp").select("key", "node", "fp")
+
+
 def fingerprint_links(fps: DataFrame, max_bucket: int = 512) -> DataFrame:
     """Edges ``(u, v)`` whose components are those of "at most two differing bits" among distinct ``fp``.
 

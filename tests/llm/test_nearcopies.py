@@ -43,9 +43,11 @@ def brute(texts):
     return label
 
 
-@pytest.mark.parametrize("crowd", [64, 1])
-def test_components_are_those_of_brute_force(spark, edited, crowd, monkeypatch):
+@pytest.mark.parametrize("crowd, few, block", [(64, 32, 1024), (1, 32, 1024), (64, 1, 1024), (64, 1, 2)])
+def test_components_are_those_of_brute_force(spark, edited, crowd, few, block, monkeypatch):
     monkeypatch.setattr(nearcopies, "CROWD", crowd)
+    monkeypatch.setattr(nearcopies, "FEW", few)
+    monkeypatch.setattr(nearcopies, "BLOCK", block)
     want = brute(edited)
     assert len(set(want)) < 0.7 * len(edited)
     df = spark.createDataFrame(list(enumerate(edited)), "row long, t string").repartition(4)
