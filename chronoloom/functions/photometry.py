@@ -71,9 +71,12 @@ def bazin(t: Column, height: Column, t0: Column, rise: Column, fall: Column, off
 
 
 def bazin_exposed(t: Column, exposure: Column, height: Column, t0: Column, rise: Column, fall: Column, offset: Column, samples: int = 7) -> Column:
-    """The profile averaged over an exposure around t, at ``samples`` evenly spaced instants."""
-    steps = [((i + 0.5) / samples - 0.5) for i in range(samples)]
-    return sum((bazin(t + s * exposure, height, t0, rise, fall, offset) for s in steps), F.lit(0.0)) / samples
+    """The profile averaged over an exposure around t, at ``samples`` evenly spaced instants from its beginning to its end; without an exposure that at t."""
+    at_t = bazin(t, height, t0, rise, fall, offset)
+    if samples < 2:
+        return at_t
+    steps = [i / (samples - 1) - 0.5 for i in range(samples)]
+    return F.when(exposure > 0, sum((bazin(t + s * exposure, height, t0, rise, fall, offset) for s in steps), F.lit(0.0)) / samples).otherwise(at_t)
 
 
 def localisation_error(snr: Column, a: float, b: float, c: float) -> Column:
@@ -81,9 +84,10 @@ def localisation_error(snr: Column, a: float, b: float, c: float) -> Column:
     return F.sqrt(F.pow(a * F.pow(snr, -b), 2) + c * c)
 
 
-def flux_of_snr(snr: Column, background: Column, pixels: Column) -> Column:
-    """Flux whose ratio to its own and the background's noise is ``snr`` (the positive root)."""
-    return (snr * snr + F.sqrt(F.pow(snr, 4) + 4 * snr * snr * pixels * background * background)) / 2
+def flux_of_snr(snr: Column, background: Column, pixels: Column, exposure: Column) -> Column:
+    """Flux (a second) whose ratio to its own noise over the exposure and the background's is ``snr`` (the positive root)."""
+    own = snr * snr / exposure
+    return (own + F.sqrt(own * own + 4 * snr * snr * pixels * background * background)) / 2
 
 
 def centroid_error(e: Column, wcs: Column) -> Column:
@@ -92,8 +96,8 @@ def centroid_error(e: Column, wcs: Column) -> Column:
 
 
 def shape(a: Column, b: Column) -> tuple[Column, Column]:
-    """Ellipticity and full width at half maximum from the two axes."""
-    return 1.0 - b / a, 2.0 * F.sqrt(F.log(F.lit(2.0)) * (a * a + b * b))
+    """Ellipticity and full width at half maximum from the two axes' deviations."""
+    return 1.0 - b / a, 2.0 * F.sqrt(2.0 * F.log(F.lit(2.0))) * F.sqrt(a * b)
 
 
 def sinusoid(t: Column, height: Column, period: Column, phase: Column) -> Column:

@@ -7,8 +7,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-#: Classes that count as variable stars in event filters; object filters leave the last out.
-VARIABLE_CLASSES = ("VCR", "VRRLyr", "VRM", "VLPV", "VEB", "VST", "VAGN", "RRLyrae")
+#: Classes that count as variable stars in event filters.
+VARIABLE_CLASSES = ("VCR", "VRRLyr", "VEB", "VLPV", "VST", "VAGN", "VRM", "VMSO", "RRLyrae")
 
 
 def all_of(predicates: Iterable[Column]) -> Column:

@@ -37,25 +37,41 @@ def interval_overlap(s1: Column, e1: Column, s2: Column, e2: Column) -> tuple[Co
     return common, common / (F.greatest(e1, e2) - F.least(s1, s2))
 
 
-def match_intervals(truth: DataFrame, events: DataFrame, keys: Sequence[str], least_share: float, width: float, id_col: str = "injid", event_col: str = "eventid") -> DataFrame:
+def match_intervals(truth: DataFrame, events: DataFrame, keys: Sequence[str], width: float, radius: float = 1.0, least_share: float = 0.0, weights: tuple[float, float, float, float] = (0.5, 2.0, 0.5, 0.1), minutes: float = 1440.0, isolated: DataFrame | None = None, id_col: str = "injid", event_col: str = "eventid") -> DataFrame:
     """For each true interval its best event: finest resolution first, then least score.
 
-    Both sides have ``start``, ``end``; events have ``frame_bin``. Overlaps meet in
-    buckets of ``width`` and count once. The score adds what is lacking of the
-    union and how the lengths differ. Without an event: ``detected`` 'n'.
+    Both sides have ``x``, ``y``, ``start``, ``end`` and ``peak`` (times of
+    ``minutes`` minutes each); events have ``frame_bin``. Candidates lie within
+    ``radius``, overlap, and share at least ``least_share`` of the union. The score
+    adds, weighted, the separation, what the overlap lacks of the union, the
+    absolute logarithm of the lengths' ratio, and the peaks' offset in true
+    lengths (of a minute at least). ``detected``: 'y' at resolution 1, else the
+    resolution; 'iso' where only one of ``isolated (x, y, start)`` lies near within
+    the interval; else 'n'. Intervals meet in buckets of ``width``.
     """
-    def bucketed(df: DataFrame, p: str) -> DataFrame:
+
+    def bucketed(df: DataFrame, p: str, end: str = "end") -> DataFrame:
         df = df.select(*keys, *[F.col(c).alias(f"{p}_{c}") for c in df.columns if c not in keys])
-        return df.withColumn("_b", F.explode(F.sequence(F.floor(F.col(f"{p}_start") / width).cast("long"), F.floor(F.col(f"{p}_end") / width).cast("long"))))
+        return df.withColumn("_b", F.explode(F.sequence(F.floor(F.col(f"{p}_start") / width).cast("long"), F.floor(F.col(f"{p}_{end}") / width).cast("long"))))
 
     a, b = bucketed(truth, "t"), bucketed(events, "e")
     common, share = interval_overlap(F.col("t_start"), F.col("t_end"), F.col("e_start"), F.col("e_end"))
-    pairs = a.join(b, [*keys, "_b"]).filter((common > 0) & (share >= least_share) & (F.col("_b") == F.greatest(F.floor(F.col("t_start") / width), F.floor(F.col("e_start") / width))))
-    lengths = (F.col("e_end") - F.col("e_start")) / (F.col("t_end") - F.col("t_start"))
-    scored = pairs.withColumn("iou", share).withColumn("score", 0.5 * (1 - share) + 0.5 * F.abs(1 - lengths))
-    best = scored.groupBy(F.col(f"t_{id_col}").alias(id_col)).agg(F.min_by(F.struct(f"e_{event_col}", "e_frame_bin", "iou", "score"), F.struct("e_frame_bin", "score", f"e_{event_col}")).alias("m"))
-    out = truth.join(best, id_col, "left")
-    return out.select(id_col, F.when(F.col("m").isNotNull(), "y").otherwise("n").alias("detected"), F.col(f"m.e_{event_col}").alias("event"), F.col("m.e_frame_bin").alias("frame_bin"), F.col("m.iou").alias("iou"), F.col("m.score").alias("score"))
+    apart = F.sqrt(F.pow(F.col("e_x") - F.col("t_x"), 2) + F.pow(F.col("e_y") - F.col("t_y"), 2))
+    once = F.col("_b") == F.greatest(F.floor(F.col("t_start") / width), F.floor(F.col("e_start") / width))
+    pairs = a.join(b, [*keys, "_b"]).filter((common > 0) & (share >= least_share) & (apart <= radius) & once)
+    eps = F.lit(2.220446049250313e-16)
+    own, found = F.greatest(F.col("t_end") - F.col("t_start"), eps), F.greatest(F.col("e_end") - F.col("e_start"), eps)
+    peak = F.abs(F.col("e_peak") - F.col("t_peak")) * minutes / F.greatest(own * minutes, F.lit(1.0))
+    ratio = F.greatest(own, found) / F.least(own, found)
+    score = weights[0] * apart + weights[1] * (1.0 - share) + weights[2] * F.abs(F.log(ratio)) + weights[3] * peak
+    scored = pairs.withColumn("iou", share).withColumn("sep", apart).withColumn("score", score)
+    best = scored.groupBy(F.col(f"t_{id_col}").alias(id_col)).agg(F.min_by(F.struct(f"e_{event_col}", "e_frame_bin", "sep", "iou", "score"), F.struct("e_frame_bin", "score", f"e_{event_col}")).alias("m"))
+    out = truth.join(best, id_col, "left").withColumn("alone", F.lit(False))
+    if isolated is not None:
+        near = a.join(bucketed(isolated, "e", "start"), [*keys, "_b"]).filter(F.col("e_start").between(F.col("t_start"), F.col("t_end")) & (apart <= radius))
+        out = out.drop("alone").join(near.select(F.col(f"t_{id_col}").alias(id_col)).distinct().withColumn("alone", F.lit(True)), id_col, "left")
+    detected = F.when(F.col("m.e_frame_bin") == 1, "y").when(F.col("m").isNotNull(), F.col("m.e_frame_bin").cast("string")).when(F.col("alone"), "iso").otherwise("n")
+    return out.select(id_col, detected.alias("detected"), F.col(f"m.e_{event_col}").alias("event"), F.col("m.e_frame_bin").alias("frame_bin"), F.col("m.sep").alias("centroid_sep"), F.col("m.iou").alias("iou"), F.col("m.score").alias("score"))
 
 
 def shared_ids(df: DataFrame, ids: str, out: str = "codes") -> DataFrame:

@@ -96,12 +96,11 @@ def binned_zeropoint(df: DataFrame, keys: Sequence[str], magnitude: str, zeropoi
 
 
 def stetson_k(df: DataFrame, keys: Sequence[str], value: str, error: str) -> DataFrame:
-    """How peaked a series is about its weighted mean: near 0.8 for noise."""
-    w = 1.0 / F.pow(F.col(error), 2)
-    stat = df.groupBy(*keys).agg((F.sum(w * F.col(value)) / F.sum(w)).alias("_m"), F.count(value).alias("n")).filter("n > 1")
-    delta = F.sqrt(F.col("n") / (F.col("n") - 1)) * (F.col(value) - F.col("_m")) / F.col(error)
-    out = df.join(stat, list(keys)).groupBy(*keys).agg(F.max("n").alias("n"), F.avg(F.abs(delta)).alias("_a"), F.sqrt(F.avg(delta * delta)).alias("_b"))
-    return out.select(*keys, "n", (F.col("_a") / F.when(F.col("_b") > 0, F.col("_b"))).alias("stetson_k"))
+    """How peaked a series is about its median, in units of the errors: near 0.8 for noise; null where all values are the median."""
+    mid = df.groupBy(*keys).agg(F.median(value).alias("_m"))
+    res = (F.col(value) - F.col("_m")) / F.col(error)
+    out = df.join(mid, list(keys)).groupBy(*keys).agg(F.count(res).alias("n"), F.sum(F.abs(res)).alias("_a"), F.sqrt(F.sum(res * res)).alias("_b"))
+    return out.select(*keys, "n", (F.col("_a") / F.when(F.col("_b") > 0, F.col("_b")) / F.sqrt("n")).alias("stetson_k"))
 
 
 def median_offset(df: DataFrame, keys: Sequence[str], dx: str, dy: str, box: float) -> DataFrame:

@@ -118,20 +118,51 @@ def window_until_gap(df: DataFrame, keys: Sequence[str], time: str, longest_gap,
     return out.filter((F.col("_worst") <= longest_gap) & (F.col(time) - F.col("_first") <= longest)).drop("_step", "_worst", "_first")
 
 
-def curve_features(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str) -> DataFrame:
-    """Shape statistics of a series that need no period: spread, moments, running sum's range, von Neumann ratio, largest gap of phases."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    whole = Window.partitionBy(*keys)
-    v = F.col(value)
-    base = df.withColumn("_m", F.avg(v).over(whole)).withColumn("_med", F.median(v).over(whole)).withColumn("_d", v - F.lag(value).over(w))
-    base = base.withColumn("_c", F.sum(v - F.col("_m")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    n = F.count(v)
-    var = F.var_pop(v)
-    q = F.percentile(v, F.array(F.lit(0.25), F.lit(0.75), F.lit(0.05), F.lit(0.95), F.lit(0.5)))
-    above, below = F.when(v > F.col("_med"), F.pow(v - F.col("_med"), 2)), F.when(v <= F.col("_med"), F.pow(v - F.col("_med"), 2))
+def curve_features(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, error: str) -> DataFrame:
+    """Shape statistics of a series that need no period, weighted by 1 / error where the name says so.
+
+    gap95 is 1 - p95 / maximum; von_neumann the squared steps over the variance;
+    cusum_range that of the running sum about the weighted mean, over n weighted
+    deviations; amplitude_ratio of the weighted deviations above and below the
+    mean; stetson_k of the residuals from the median. Null where a divisor is 0.
+    """
+    w, whole = Window.partitionBy(*keys).orderBy(*order), Window.partitionBy(*keys)
+    v, weight = F.col(value), 1.0 / F.col(error)
+
+    def over(a, b):
+        return a / F.when(b != 0, b)
+
+    base = df.withColumn("_m", F.avg(v).over(whole)).withColumn("_med", F.median(v).over(whole)).withColumn("_d", v - F.lag(value).over(w)).withColumn("_w", weight)
+    base = base.withColumn("_wm", F.sum(v * F.col("_w")).over(whole) / F.sum("_w").over(whole))
+    base = base.withColumn("_c", F.sum(v - F.col("_wm")).over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn("_r", (v - F.col("_med")) / F.col(error))
+    n, var, m = F.count(v), F.var_pop(v), F.col("_m")
+    wstd = F.sqrt(F.sum(F.pow(v - F.col("_wm"), 2) * F.col("_w")) / F.sum("_w"))
+    q = F.percentile(v, F.array(F.lit(0.25), F.lit(0.75), F.lit(0.95)))
+    above, below = (over(F.sum(F.when(c, F.pow(v - m, 2) * F.col("_w"))), F.sum(F.when(c, F.col("_w")))) for c in (v > m, v <= m))
     return base.groupBy(*keys).agg(
-        n.alias("n"), F.avg(v).alias("mean"), F.stddev_pop(v).alias("std"), F.median(F.abs(v - F.col("_med"))).alias("mad"),
-        (F.sum(F.pow(v - F.col("_m"), 3)) / n / F.when(var > 0, F.pow(var, 1.5))).alias("skew"), (F.sum(F.pow(v - F.col("_m"), 4)) / n / F.when(var > 0, var * var) - 3).alias("kurtosis"),
-        (q[1] - q[0]).alias("iqr"), (q[3] - q[4]).alias("gap95"), (F.sum(F.pow("_d", 2)) / F.when(n > 1, n - 1) / F.when(var > 0, var)).alias("von_neumann"),
-        ((F.max("_c") - F.min("_c")) / n / F.when(var > 0, F.sqrt(var))).alias("cusum_range"), F.sqrt(F.avg(above) / F.when(F.avg(below) > 0, F.avg(below))).alias("amplitude_ratio"),
+        n.alias("n"), F.avg(v).alias("mean"), F.median(v).alias("median"), F.stddev_pop(v).alias("std"), F.median(F.abs(v - F.col("_med"))).alias("mad"),
+        F.max("_wm").alias("weighted_mean"), wstd.alias("weighted_std"),
+        over(F.sum(F.pow(v - m, 3)) / n, F.pow(var, 1.5)).alias("skew"), (over(F.sum(F.pow(v - m, 4)) / n, var * var) - 3).alias("kurtosis"),
+        over(over(F.sum(F.abs("_r")), F.sqrt(F.sum(F.col("_r") * F.col("_r")))), F.sqrt(n)).alias("stetson_k"), (q[1] - q[0]).alias("iqr"),
+        over(over(F.sum(F.pow("_d", 2)), n - 1), var).alias("von_neumann"), over((F.max("_c") - F.min("_c")) / n, wstd).alias("cusum_range"),
+        (1 - over(q[2], F.max(v))).alias("gap95"), F.sqrt(over(above, below)).alias("amplitude_ratio"),
     )
+
+
+def masked_samples(samples: DataFrame, events: DataFrame, keys: Sequence[str], frame: str, event: str, start: str, end: str, reach: int, width: int) -> DataFrame:
+    """The samples around each event that no other event of its object covers: ``(*keys, event, start, end, samples...)``.
+
+    Samples lie within ``reach`` of the event; of events that cover a sample the
+    last (by ``event``) has it. Intervals and samples meet in buckets of ``width``.
+    """
+    keys = list(keys)
+
+    def met(left: DataFrame, spare: int) -> DataFrame:
+        lo, hi = (F.col(start) - spare, F.col(end) + spare)
+        spread = events.select(*keys, event, start, end).withColumn("_b", F.explode(F.sequence(F.floor(lo / width).cast("long"), F.floor(hi / width).cast("long"))))
+        return left.withColumn("_b", F.floor(F.col(frame) / width).cast("long")).join(spread, [*keys, "_b"]).filter(F.col(frame).between(lo, hi)).drop("_b")
+
+    points = samples.select(*keys, frame).distinct()
+    cover = met(points, 0).groupBy(*keys, frame).agg(F.max(event).alias("_cover"))
+    near = met(samples, reach).join(cover, [*keys, frame], "left")
+    return near.filter(F.col("_cover").isNull() | (F.col("_cover") == F.col(event))).drop("_cover")

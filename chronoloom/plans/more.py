@@ -79,11 +79,17 @@ def centre_motion(spark: SparkSession, d: str) -> DataFrame:
     return clusters.motion(p, ["k"], "frame", "x", "y", "f").withColumn("com_motion", r("com_motion"))
 
 
-@query(FRAMES + """, hr as (select user_id, frame // 60 as hour, sum(value) as flux from ev group by all), k as (select *, row_number() over (partition by user_id order by flux desc, hour) as k from hr),
-a as (select user_id, count(*) filter (where flux >= 60) as n_high, max(hour) filter (where k = 1) as f1, max(hour) filter (where k = 2) as f2, max(flux) filter (where k = 2) as s2 from k group by 1)
-select user_id, n_high, case when n_high = 1 and coalesce(s2, 0) < 30 then 'CosmicRay' when abs(f1 - f2) > 5 then 'Junk' else '-' end as classification from a""")
+@query("""with s as (select l_orderkey as k, l_linenumber as frame, l_quantity / 8 as sig, row_number() over (partition by l_orderkey order by l_quantity desc, l_linenumber desc) as b from lineitem),
+a as (select k, max(frame) - min(frame) + 1 as dur, count(*) filter (where sig >= 5) as n5, count(*) filter (where sig >= 3) as n3, max(frame) filter (where b = 1) as f1, max(frame) filter (where b = 2) as f2 from s group by 1),
+e as (select *, case when k % 8 = 0 then 2 else 1 end as bin, case when k % 9 = 0 then -1 else 1 end as sign, 1 + k % 3 as det from a)
+select k, n5 as n_five, n3 as n_three, case when bin <> 1 or sign <> 1 then '-' when dur = 1 then case when n5 = 1 then 'CosmicRay' else 'Junk' end
+ when det = 2 and n5 = 1 and n3 = 1 then 'CosmicRay' when det = 2 and dur > 2 and abs(f1 - f2) > 1 then case when n5 > 0 then 'CosmicRay' else 'Junk' end else '-' end as classification from e""")
 def spike_class(spark: SparkSession, d: str) -> DataFrame:
-    return clusters.spike_class(hours(spark, d), ["user_id"], "hour", "flux", 60.0)
+    li = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("frame"), (F.col("l_quantity") / 8).alias("sig"))
+    k = F.col("k")
+    events = li.groupBy("k").agg((F.max("frame") - F.min("frame") + 1).alias("frame_duration"))
+    events = events.select("k", "frame_duration", F.when(k % 8 == 0, 2).otherwise(1).alias("frame_bin"), F.when(k % 9 == 0, -1).otherwise(1).alias("flux_sign"), (1 + k % 3).alias("n_detections"))
+    return clusters.spike_class(li, events, ["k"], "frame", "sig")
 
 
 @query(POINTS + "select p.id, coalesce(string_agg(cast(q.id as varchar), ',' order by q.id), '') as near from pts p left join pts q on p.id <> q.id and sqrt(pow(p.x - q.x, 2) + pow(p.y - q.y, 2)) <= 25 group by 1")
@@ -169,8 +175,8 @@ def trimmed_scores(spark: SparkSession, d: str) -> DataFrame:
     return z.join(cut, "user_id").filter((F.col("z") > F.col("c")[0]) & (F.col("z") < F.col("c")[1])).select("event_id", r("z").alias("z"))
 
 
-@query("""with v as (select l_suppkey as k, l_extendedprice as x, 1 + l_quantity as e from lineitem), m as (select k, sum(x / (e * e)) / sum(1 / (e * e)) as m, count(*) as n from v group by 1 having count(*) > 1),
-d as (select k, n, sqrt(n / (n - 1.0)) * (x - m) / e as d from v join m using (k)) select k, max(n) as n, round(avg(abs(d)) / sqrt(avg(d * d)), 6) as stetson_k from d group by 1""")
+@query("""with v as (select l_suppkey as k, l_extendedprice as x, 1 + l_quantity as e from lineitem), m as (select k, median(x) as m from v group by 1), d as (select k, (x - m) / e as d from v join m using (k))
+select k, count(*) as n, round(sum(abs(d)) / sqrt(sum(d * d)) / sqrt(count(*)), 6) as stetson_k from d group by 1""")
 def stetson_k(spark: SparkSession, d: str) -> DataFrame:
     li = table(spark, d, "lineitem").select(F.col("l_suppkey").alias("k"), F.col("l_extendedprice").alias("x"), (1 + F.col("l_quantity")).alias("e"))
     return robust.stetson_k(li, ["k"], "x", "e").withColumn("stetson_k", r("stetson_k"))

@@ -156,16 +156,17 @@ def window_until_gap(spark: SparkSession, d: str) -> DataFrame:
     return out.groupBy("user_id").agg(F.count("*").alias("n"), (F.max("frame") - F.min("frame")).alias("span"))
 
 
-@query(FRAMES + """, m as (select user_id, avg(value) as m, median(value) as med from ev group by 1),
-a as (select ev.*, m, med, value - lag(value) over w as d, sum(value - m) over (partition by user_id order by event_id rows unbounded preceding) as c from ev join m using (user_id) window w as (partition by user_id order by event_id))
-select user_id, count(value) as n, round(avg(value), 6) as mean, round(stddev_pop(value), 6) as std, round(median(abs(value - med)), 6) as mad,
- round(sum(pow(value - m, 3)) / count(value) / pow(var_pop(value), 1.5), 6) as skew, round(sum(pow(value - m, 4)) / count(value) / pow(var_pop(value), 2) - 3, 6) as kurtosis,
- round(quantile_cont(value, 0.75) - quantile_cont(value, 0.25), 6) as iqr, round(quantile_cont(value, 0.95) - quantile_cont(value, 0.5), 6) as gap95,
- round(sum(d * d) / (count(value) - 1) / var_pop(value), 6) as von_neumann, round((max(c) - min(c)) / count(value) / stddev_pop(value), 6) as cusum_range,
- round(sqrt(avg(pow(value - med, 2)) filter (where value > med) / avg(pow(value - med, 2)) filter (where value <= med)), 6) as amplitude_ratio
-from a group by 1 having count(value) > 2""")
+@query(FRAMES + """, x as (select user_id, event_id, value as v, 1.0 + event_id % 5 as e from ev), m as (select user_id, avg(v) as m, median(v) as med, sum(v / e) / sum(1 / e) as wm from x group by 1),
+a as (select x.*, m, med, wm, v - lag(v) over w as d, sum(v - wm) over (partition by user_id order by event_id rows unbounded preceding) as c from x join m using (user_id) window w as (partition by user_id order by event_id))
+select user_id, count(v) as n, round(avg(v), 6) as mean, round(median(v), 6) as median, round(stddev_pop(v), 6) as std, round(median(abs(v - med)), 6) as mad, round(max(wm), 6) as weighted_mean, round(sqrt(sum(pow(v - wm, 2) / e) / sum(1 / e)), 6) as weighted_std,
+ round(sum(pow(v - m, 3)) / count(v) / pow(var_pop(v), 1.5), 6) as skew, round(sum(pow(v - m, 4)) / count(v) / pow(var_pop(v), 2) - 3, 6) as kurtosis,
+ round(sum(abs((v - med) / e)) / sqrt(sum(pow((v - med) / e, 2))) / sqrt(count(v)), 6) as stetson_k, round(quantile_cont(v, 0.75) - quantile_cont(v, 0.25), 6) as iqr,
+ round(sum(d * d) / (count(v) - 1) / var_pop(v), 6) as von_neumann, round((max(c) - min(c)) / count(v) / sqrt(sum(pow(v - wm, 2) / e) / sum(1 / e)), 6) as cusum_range, round(1 - quantile_cont(v, 0.95) / max(v), 6) as gap95,
+ round(sqrt((sum(pow(v - m, 2) / e) filter (where v > m) / sum(1 / e) filter (where v > m)) / (sum(pow(v - m, 2) / e) filter (where v <= m) / sum(1 / e) filter (where v <= m))), 6) as amplitude_ratio
+from a group by 1 having count(v) > 2""")
 def lc_features(spark: SparkSession, d: str) -> DataFrame:
-    out = series.curve_features(frames(spark, d), ["user_id"], ["event_id"], "value").filter("n > 2")
+    x = frames(spark, d).withColumn("error", 1.0 + F.col("event_id") % 5)
+    out = series.curve_features(x, ["user_id"], ["event_id"], "value", "error").filter("n > 2")
     return out.select("user_id", "n", *[r(c).alias(c) for c in out.columns if c not in ("user_id", "n")])
 
 
@@ -194,22 +195,16 @@ def filter_class_neg(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").filter(filters.class_is(F.col("event_type"), "!Click")).select("event_id", "event_type")
 
 
-@query("select event_id, user_id from events where event_type = 'purchase' and user_id in (select user_id from events group by 1 having max(value) > 50)")
-def filter_hard(spark: SparkSession, d: str) -> DataFrame:
-    ev = table(spark, d, "events")
-    good = ev.groupBy("user_id").agg(F.max("value").alias("m")).filter("m > 50").select("user_id")
-    return ev.filter("event_type = 'purchase'").join(good, "user_id", "left_semi").select("event_id", "user_id")
+CLASSES = ("VCR", "vrrlyr", "VEB", "VLPV", "VST", "VAGN", "VRM", "VMSO", "RRLyrae", "Asteroid", "-")
 
 
-@query("select event_id from events where value < 2 or value >= 40")
-def out_of_range(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "events").filter(filters.out_of_range(F.col("value"), 2, 40, open_high=True)).select("event_id")
-
-
-@query("select event_id, cast(event_id & 5 as bigint) as bits from events where (event_id & 5) = 0")
-def bit_mask(spark: SparkSession, d: str) -> DataFrame:
-    ev = table(spark, d, "events")
-    return ev.filter(filters.unmasked(F.col("event_id"), 5)).select("event_id", F.col("event_id").bitwiseAND(5).alias("bits"))
+@query(f"""with c as (select event_id, [{', '.join(f"'{c}'" for c in CLASSES)}][event_id % 11 + 1] as class from events)
+select event_id, class, class not in ('-', 'Asteroid') as variable from c where class <> '-'""")
+def filter_class_variable(spark: SparkSession, d: str) -> DataFrame:
+    """Any of the variable classes, as "var" and its negation tell them."""
+    c = table(spark, d, "events").select("event_id", F.element_at(F.array(*map(F.lit, CLASSES)), (F.col("event_id") % 11 + 1).cast("int")).alias("class"))
+    yes, no = (c.filter(filters.class_is(F.col("class"), w)).withColumn("variable", F.lit(w == "var")) for w in ("var", "!Variable"))
+    return yes.union(no).filter("class <> '-'")
 
 
 @query(FRAMES + "select user_id, eventid, coalesce(n >= 3 and peak between 5 and 1000, false) as pass from bursts")
@@ -224,18 +219,25 @@ def max_events_filter(spark: SparkSession, d: str) -> DataFrame:
     return kept.groupBy("user_id").agg(F.count("*").alias("n_events"))
 
 
-@query("""with t as (select event_id as injid, user_id, (epoch_us(ts) - epoch_us(timestamp '2024-01-01')) / 60e6 as start, event_id % 600 + 60 as len from events where event_type = 'error'),
-e as (select event_id as eventid, user_id, (epoch_us(ts) - epoch_us(timestamp '2024-01-01')) / 60e6 as start, event_id % 500 + 60 as len, case when event_id % 2 = 0 then 1 else 4 end as frame_bin from events where event_type = 'click'),
-p as (select injid, eventid, frame_bin, t.start as ts, t.start + t.len as te, e.start as es, e.start + e.len as ee from t join e on t.user_id = e.user_id and e.start < t.start + t.len and e.start + e.len > t.start),
-q as (select *, (least(te, ee) - greatest(ts, es)) / (greatest(te, ee) - least(ts, es)) as iou, (ee - es) / (te - ts) as lr from p),
-z as (select *, 0.5 * (1 - iou) + 0.5 * abs(1 - lr) as score from q where iou >= 0.1),
-b as (select *, row_number() over (partition by injid order by frame_bin, score, eventid) as k from z)
-select t.injid, case when b.injid is null then 'n' else 'y' end as detected, b.eventid as event, cast(b.frame_bin as int) as frame_bin, round(iou, 6) as iou, round(score, 6) as score from t left join b on b.injid = t.injid and k = 1""")
+@query("""with v as (select *, (epoch_us(ts) - epoch_us(timestamp '2024-01-01')) / 60e6 as start, event_id % 7 as x, event_id % 5 as y from events),
+t as (select event_id as injid, user_id, x, y, start, event_id % 600 + 60 as len, start + 30 as peak from v where event_type = 'error'),
+e as (select event_id as eventid, user_id, x, y, start, event_id % 500 + 60 as len, start + 20 as peak, case when event_id % 2 = 0 then 1 else 4 end as frame_bin from v where event_type = 'click'),
+i as (select user_id, x, y, start from v where event_type = 'view'),
+p as (select injid, eventid, frame_bin, t.start as ts, t.start + t.len as te, e.start as es, e.start + e.len as ee, abs(e.peak - t.peak) as off, sqrt(pow(e.x - t.x, 2) + pow(e.y - t.y, 2)) as sep from t join e on t.user_id = e.user_id and e.start < t.start + t.len and e.start + e.len > t.start),
+q as (select *, (least(te, ee) - greatest(ts, es)) / (greatest(te, ee) - least(ts, es)) as iou, (ee - es) / (te - ts) as lr from p where sep <= 3),
+z as (select *, 0.5 * sep + 2 * (1 - iou) + 0.5 * abs(ln(lr)) + 0.1 * off / greatest(te - ts, 1) as score from q where iou >= 0.1),
+b as (select *, row_number() over (partition by injid order by frame_bin, score, eventid) as k from z),
+s as (select distinct injid from t join i on t.user_id = i.user_id and i.start between t.start and t.start + t.len and sqrt(pow(i.x - t.x, 2) + pow(i.y - t.y, 2)) <= 3)
+select t.injid, case when b.frame_bin = 1 then 'y' when b.injid is not null then cast(b.frame_bin as varchar) when s.injid is not null then 'iso' else 'n' end as detected, b.eventid as event, cast(b.frame_bin as int) as frame_bin,
+ round(sep, 6) as centroid_sep, round(iou, 6) as iou, round(score, 6) as score from t left join b on b.injid = t.injid and k = 1 left join s on s.injid = t.injid""")
 def interval_match(spark: SparkSession, d: str) -> DataFrame:
-    ev = table(spark, d, "events").withColumn("start", F.expr("timestampdiff(microsecond, timestamp_ntz'2024-01-01 00:00:00', ts)") / 60e6)
-    truth = ev.filter("event_type = 'error'").select(F.col("event_id").alias("injid"), "user_id", "start", (F.col("start") + F.col("event_id") % 600 + 60).alias("end"))
-    found = ev.filter("event_type = 'click'").select(F.col("event_id").alias("eventid"), "user_id", "start", (F.col("start") + F.col("event_id") % 500 + 60).alias("end"), F.when(F.col("event_id") % 2 == 0, 1).otherwise(4).alias("frame_bin"))
-    return resolve.match_intervals(truth, found, ["user_id"], 0.1, 720.0).withColumn("iou", r("iou")).withColumn("score", r("score"))
+    i, start = F.col("event_id"), F.col("start")
+    ev = table(spark, d, "events").withColumn("start", F.expr("timestampdiff(microsecond, timestamp_ntz'2024-01-01 00:00:00', ts)") / 60e6).withColumn("x", i % 7).withColumn("y", i % 5)
+    truth = ev.filter("event_type = 'error'").select(i.alias("injid"), "user_id", "x", "y", "start", (start + i % 600 + 60).alias("end"), (start + 30).alias("peak"))
+    found = ev.filter("event_type = 'click'").select(i.alias("eventid"), "user_id", "x", "y", "start", (start + i % 500 + 60).alias("end"), (start + 20).alias("peak"), F.when(i % 2 == 0, 1).otherwise(4).alias("frame_bin"))
+    alone = ev.filter("event_type = 'view'").select("user_id", "x", "y", "start")
+    out = resolve.match_intervals(truth, found, ["user_id"], 720.0, 3.0, 0.1, minutes=1.0, isolated=alone)
+    return out.select("injid", "detected", "event", "frame_bin", *[r(c).alias(c) for c in ("centroid_sep", "iou", "score")])
 
 
 @query(FRAMES + """, l as (select user_id, eventid, list_sort(list_distinct(list(event_id % 97))) as ids from ses group by all),
@@ -282,12 +284,13 @@ def light_curve_window(spark: SparkSession, d: str) -> DataFrame:
     return lc.groupBy("user_id").agg(F.count("*").alias("n"), r(F.sum("flux")).alias("total"))
 
 
-@query(FRAMES + "select a.user_id, a.eventid, count(e.event_id) as n_masked from bursts a left join bursts b on a.user_id = b.user_id and a.eventid <> b.eventid left join ses e on e.user_id = a.user_id and e.eventid = b.eventid group by all")
+@query(FRAMES + """, b3 as (select * from bursts where n >= 3), c as (select ev.event_id, ev.user_id, ev.frame, max(b.eventid) as cover from ev left join b3 b on ev.user_id = b.user_id and ev.frame between b.frame_start and b.frame_end group by all)
+select b.user_id, b.eventid, count(c.event_id) as n_kept from b3 b join c on c.user_id = b.user_id and c.frame between b.frame_start - 2000 and b.frame_end + 2000 and (c.cover is null or c.cover = b.eventid) group by all""")
 def event_mask(spark: SparkSession, d: str) -> DataFrame:
-    """Samples of an object that other events of it cover."""
-    b = bursts(spark, d)
-    total = b.groupBy("user_id").agg(F.sum("n").alias("total"))
-    return b.join(total, "user_id").select("user_id", "eventid", (F.col("total") - F.col("n")).alias("n_masked"))
+    """Samples around an event that no other event of its object covers."""
+    events = bursts(spark, d).filter("n >= 3")
+    kept = series.masked_samples(frames(spark, d), events, ["user_id"], "frame", "eventid", "frame_start", "frame_end", 2000, 720)
+    return kept.groupBy("user_id", "eventid").agg(F.count("*").alias("n_kept"))
 
 
 @query("select event_id, cast(regexp_extract(props, ':\\s*(-?\\d+)', 1) as bigint) as k from events")

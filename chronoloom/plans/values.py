@@ -46,7 +46,7 @@ def zeropoints(spark: SparkSession, d: str) -> DataFrame:
 BAZIN = "(5 * exp(greatest(-50, least(50, -({t} - 4) / (2 + disc)))) / (1 + exp(greatest(-50, least(50, -({t} - 4) / (0.5 + tax))))) + 1)"
 
 
-@query(ITEMS + f"select k, n, round({BAZIN.format(t='q')}, 6) as f, round(({' + '.join(BAZIN.format(t=f'(q + {(i + 0.5) / 7 - 0.5!r})') for i in range(7))}) / 7, 6) as f_exposed from li")
+@query(ITEMS + f"select k, n, round({BAZIN.format(t='q')}, 6) as f, round(({' + '.join(BAZIN.format(t=f'(q + {i / 6 - 0.5!r})') for i in range(7))}) / 7, 6) as f_exposed from li")
 def bazin_expr(spark: SparkSession, d: str) -> DataFrame:
     args = (F.lit(5.0), F.lit(4.0), 0.5 + F.col("tax"), 2 + F.col("disc"), F.lit(1.0))
     return items(spark, d).select("k", "n", r(ph.bazin(F.col("q"), *args)).alias("f"), r(ph.bazin_exposed(F.col("q"), F.lit(1.0), *args)).alias("f_exposed"))
@@ -58,12 +58,12 @@ def profiles(spark: SparkSession, d: str) -> DataFrame:
     return items(spark, d).select("k", "n", r(ph.gaussian(q, F.lit(3.0), F.lit(25.0), F.lit(6.0), F.lit(1.0))).alias("g"), r(ph.sinusoid(q, F.lit(2.0), F.lit(7.0), F.lit(0.3))).alias("s"))
 
 
-@query(ITEMS + """select k, n, round(sqrt(pow(1.3 * pow(q, -0.9), 2) + 0.0025), 6) as loc_err, round((q * q + sqrt(pow(q, 4) + 4 * q * q * 9 * 4)) / 2, 6) as flux_of_snr,
- round(case when n = 2 then 0.5 else sqrt(q * q + tax * tax) * 1.136 end, 6) as cen_err, round(1 - (q / 2) / q, 6) as ellipticity, round(2 * sqrt(ln(2) * (q * q + q * q / 4)), 6) as fwhm from li""")
+@query(ITEMS + """select k, n, round(sqrt(pow(1.3 * pow(q, -0.9), 2) + 0.0025), 6) as loc_err, round((q * q / 2.5 + sqrt(pow(q * q / 2.5, 2) + 4 * q * q * 9 * 4)) / 2, 6) as flux_of_snr,
+ round(case when n = 2 then 0.5 else sqrt(q * q + tax * tax) * 1.136 end, 6) as cen_err, round(1 - (q / 2) / q, 6) as ellipticity, round(2 * sqrt(2 * ln(2)) * sqrt(q * (q / 2)), 6) as fwhm from li""")
 def errors_and_shapes(spark: SparkSession, d: str) -> DataFrame:
     q = F.col("q")
     e, w = ph.shape(q, q / 2)
-    return items(spark, d).select("k", "n", r(ph.localisation_error(q, 1.3, 0.9, 0.05)).alias("loc_err"), r(ph.flux_of_snr(q, F.lit(2.0), F.lit(9.0))).alias("flux_of_snr"), r(ph.centroid_error(q, F.when(F.col("n") != 2, F.col("tax")))).alias("cen_err"), r(e).alias("ellipticity"), r(w).alias("fwhm"))
+    return items(spark, d).select("k", "n", r(ph.localisation_error(q, 1.3, 0.9, 0.05)).alias("loc_err"), r(ph.flux_of_snr(q, F.lit(2.0), F.lit(9.0), F.lit(2.5))).alias("flux_of_snr"), r(ph.centroid_error(q, F.when(F.col("n") != 2, F.col("tax")))).alias("cen_err"), r(e).alias("ellipticity"), r(w).alias("fwhm"))
 
 
 @query(ITEMS + "select k, n, case when disc < 0.05 then 1 when disc < 0.1 then 2 else 0 end as cls, case when q / 50 > 0.9 then 0 when q / 50 < 0.7 then 2 else 1 end as prob_cls from li")

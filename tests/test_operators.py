@@ -1,11 +1,13 @@
 """Operators against independent statements of what they do, on small tables."""
 
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F, types as T
 
 from chronoloom.functions import photometry, sky, values
-from chronoloom.operators import detect, filters, fit, resolve, rollup, series, spatial
+from chronoloom.operators import clusters, detect, filters, fit, resolve, rollup, series, spatial
 from chronoloom.operators.components import connected_components
 from chronoloom.sources import files
 from chronoloom.sources.shared import materialize
@@ -173,10 +175,40 @@ def test_files_round_trip(spark, tmp_path):
 
 
 def test_interval_match_prefers_the_finest_resolution(spark):
-    truth = spark.createDataFrame([(1, 9, 0.0, 10.0), (2, 9, 100.0, 110.0)], "injid int, k int, start double, end double")
-    ev = spark.createDataFrame([(5, 9, 0.0, 9.0, 4), (6, 9, 3.0, 12.0, 1)], "eventid int, k int, start double, end double, frame_bin int")
-    got = {r.injid: (r.detected, r.event) for r in resolve.match_intervals(truth, ev, ["k"], 0.1, 50.0).collect()}
-    assert got == {1: ("y", 6), 2: ("n", None)}
+    truth = spark.createDataFrame([(1, 9, 0.0, 0.0, 0.0, 10.0, 5.0), (2, 9, 0.0, 0.0, 100.0, 110.0, 101.0), (3, 9, 5.0, 5.0, 0.0, 4.0, 1.0), (4, 9, 50.0, 0.0, 0.0, 1.0, 0.5)], "injid int, k int, x double, y double, start double, end double, peak double")
+    ev = spark.createDataFrame([(5, 9, 0.0, 0.0, 0.0, 9.0, 5.0, 4), (6, 9, 0.3, 0.4, 3.0, 12.0, 7.0, 1), (7, 9, 5.0, 5.0, 0.0, 8.0, 3.0, 4)], "eventid int, k int, x double, y double, start double, end double, peak double, frame_bin int")
+    alone = spark.createDataFrame([(9, 0.5, 0.5, 110.0), (9, 51.5, 0.0, 0.5)], "k int, x double, y double, start double")
+    got = {r.injid: r for r in resolve.match_intervals(truth, ev, ["k"], 50.0, minutes=1.0, isolated=alone).collect()}
+    assert {i: (r.detected, r.event) for i, r in got.items()} == {1: ("y", 6), 2: ("iso", None), 3: ("4", 7), 4: ("n", None)}
+    # Half a pixel apart, 7 of 12 shared, lengths 10 and 9, peaks 2 of 10 apart.
+    assert abs(got[1].score - (0.5 * 0.5 + 2 * (1 - 7 / 12) + 0.5 * math.log(10 / 9) + 0.1 * 0.2)) < 1e-9
+    assert abs(got[3].score - (2 * 0.5 + 0.5 * math.log(2) + 0.1 * 0.5)) < 1e-9
+
+
+def test_shapes_by_hand(spark):
+    from chronoloom.functions import photometry as ph
+
+    one = spark.range(1)
+    lit = lambda *x: [F.lit(float(v)) for v in x]
+    e, w = ph.shape(*lit(4, 1))
+    row = one.select(e.alias("e"), w.alias("w"), ph.flux_of_snr(*lit(10, 2, 9, 4)).alias("f"), ph.bazin_exposed(*lit(1, 2, 5, 1, 0.5, 2, 1), samples=3).alias("b"), ph.bazin_exposed(*lit(1, 0, 5, 1, 0.5, 2, 1)).alias("b0")).first()
+    assert row.e == 0.75 and abs(row.w - 2 * math.sqrt(2 * math.log(2)) * 2) < 1e-12
+    assert abs(row.f / math.sqrt(9 * 4 + row.f / 4) - 10) < 1e-9
+    at = lambda t: 5 * math.exp(-(t - 1) / 2) / (1 + math.exp(-(t - 1) / 0.5)) + 1
+    assert abs(row.b - (at(0) + at(1) + at(2)) / 3) < 1e-9 and abs(row.b0 - at(1)) < 1e-9
+    s = fit.bazin_shape(2.0, 10.0, 0.5, 3.0)
+    assert s["tau_ratio"] == 6 and abs(s["fwhm"] - s["rise_time"] - s["decay_time"]) < 1e-9 and s["decay_time"] > s["rise_time"] > 0
+    assert fit.bazin_shape(-1.0, 0.0, 1.0, 2.0)["peak"] is None
+
+
+def test_particle_hits_by_hand(spark):
+    cases = {  # id: (bin, sign, duration, detections, significances, class)
+        1: (1, 1, 1, 1, [6.0], "CosmicRay"), 2: (1, 1, 1, 1, [4.0], "Junk"), 3: (1, -1, 1, 1, [6.0], "-"), 4: (2, 1, 1, 1, [6.0], "-"), 5: (1, 1, 2, 2, [6.0, 1.0], "CosmicRay"),
+        6: (1, 1, 2, 2, [6.0, 4.0], "-"), 7: (1, 1, 3, 2, [6.0, 1.0, 4.0], "CosmicRay"), 8: (1, 1, 3, 2, [4.0, 1.0, 4.5], "Junk"), 9: (1, 1, 3, 2, [4.0, 4.5, 1.0], "-"), 10: (1, 1, 3, 3, [6.0, 1.0, 4.0], "-"),
+    }
+    samples = spark.createDataFrame([(k, i, s) for k, c in cases.items() for i, s in enumerate(c[4])], "k int, frame int, sig double")
+    events = spark.createDataFrame([(k, *c[:4]) for k, c in cases.items()], "k int, frame_bin int, flux_sign int, frame_duration int, n_detections int")
+    assert {r.k: r.classification for r in clusters.spike_class(samples, events, ["k"], "frame", "sig").collect()} == {k: c[5] for k, c in cases.items()}
 
 
 def test_streams(spark, tmp_path):
