@@ -121,7 +121,9 @@ def filter_events(
     if centroid_error is not None:
         p.append(F.pow("xcentroid_err", 2) + F.pow("ycentroid_err", 2) <= 2 * centroid_error**2)
     out = events.filter(all_of(p))
-    if star_free == "hard" and objects is not None:
+    if star_free == "hard":
+        if objects is None:
+            raise ValueError("star_free 'hard' needs the table of objects")
         out = out.join(objects.filter("gaia_id = '-'").select("objid"), "objid", "left_semi")
     return out
 

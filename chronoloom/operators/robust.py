@@ -24,13 +24,14 @@ def linear_median(c: Column) -> Column:
 def sigma_clip(df: DataFrame, keys: Sequence[str], value: str, sigma: float, passes: int, out: str = "kept") -> DataFrame:
     """Mark values within ``sigma`` population deviations of the median of those kept so far, ``passes`` times.
 
-    Each pass is an aggregate and a join back, so a group may be of any size.
+    The bound is strict, so a group without deviation keeps nothing. Each pass is
+    an aggregate and a join back.
     """
     out_df = df.withColumn(out, F.col(value).isNotNull())
     for _ in range(passes):
         stat = out_df.filter(out).groupBy(*keys).agg(F.median(value).alias("_med"), F.stddev_pop(value).alias("_std"))
         near = F.abs(F.col(value) - F.col("_med")) < sigma * F.col("_std")
-        out_df = out_df.join(stat, list(keys), "left").withColumn(out, F.col(out) & F.coalesce(near | (F.col("_std") == 0), F.lit(False))).drop("_med", "_std")
+        out_df = out_df.join(stat, list(keys), "left").withColumn(out, F.col(out) & F.coalesce(near, F.lit(False))).drop("_med", "_std")
     return out_df
 
 

@@ -95,8 +95,9 @@ def nearest_on_grid(value: Column, start, step) -> Column:
 def interpolate(df: DataFrame, knots: DataFrame, key: Sequence[str], at: str, x: str, y: str, bucket) -> DataFrame:
     """Linear interpolation of ``y`` at ``at``: an equi join on buckets of the intervals between knots.
 
-    Beyond the outer knots the value is null. An interval is listed in each
-    bucket it reaches, so rows meet the few intervals of their own bucket.
+    At and beyond the outer knots it is theirs; without knots null. An interval is
+    listed in each bucket it reaches, so rows meet the few intervals of their own
+    bucket.
     """
     w = Window.partitionBy(*key).orderBy(x)
     spans = knots.select(*key, F.col(x).alias("_x0"), F.col(y).alias("_y0"), F.lead(x).over(w).alias("_x1"), F.lead(y).over(w).alias("_y1")).filter("_x1 is not null")
@@ -107,7 +108,11 @@ def interpolate(df: DataFrame, knots: DataFrame, key: Sequence[str], at: str, x:
     for c in on[1:]:
         cond = cond & c
     slope = (F.col("_y1") - F.col("_y0")) / (F.col("_x1") - F.col("_x0"))
-    return rows.join(spans.alias("s"), cond, "left").select("r.*", (F.col("_y0") + slope * (F.col(at) - F.col("_x0"))).alias("interpolated")).drop("_b")
+    found = rows.join(spans.alias("s"), cond, "left").select("r.*", (F.col("_y0") + slope * (F.col(at) - F.col("_x0"))).alias("interpolated")).drop("_b")
+    knot = F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
+    outer = knots.filter(F.col(x).isNotNull()).groupBy(*key).agg(F.min(knot).alias("_first"), F.max(knot).alias("_last"))
+    beyond = F.when(F.col(at) >= F.col("_last.x"), F.col("_last.y")).when(F.col(at) <= F.col("_first.x"), F.col("_first.y"))
+    return found.join(outer, list(key), "left").withColumn("interpolated", F.coalesce("interpolated", beyond)).select(*df.columns, "interpolated")
 
 
 def window_until_gap(df: DataFrame, keys: Sequence[str], time: str, longest_gap, longest) -> DataFrame:

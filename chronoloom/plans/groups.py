@@ -123,24 +123,23 @@ def factorise_key(spark: SparkSession, d: str) -> DataFrame:
     return resolve.factorise(li, ["l_returnflag", "l_linestatus", "n"], ["l_orderkey", "l_linenumber"]).select("l_orderkey", "l_linenumber", "code")
 
 
-@query("""select 'union' as op, k from (select c_custkey as k from customer where c_custkey % 2 = 0 union select o_custkey from orders where o_custkey % 3 = 0) union all
-select 'intersect', k from (select c_custkey as k from customer where c_custkey % 2 = 0 intersect select o_custkey from orders where o_custkey % 3 = 0) union all
-select 'except', k from (select c_custkey as k from customer where c_custkey % 2 = 0 except select o_custkey from orders where o_custkey % 3 = 0)""")
+@query("""select 'union' as op, k from (select c_custkey as k from customer union select o_custkey from orders) union all
+select 'intersect', k from (select c_custkey as k from customer intersect select o_custkey from orders) union all
+select 'except', k from (select c_custkey as k from customer except select o_custkey from orders)""")
 def set_ops(spark: SparkSession, d: str) -> DataFrame:
     a, b = _sets(spark, d)
     named = lambda n, df: df.select(F.lit(n).alias("op"), "k")
     return named("union", a.union(b).distinct()).union(named("intersect", a.intersect(b))).union(named("except", a.subtract(b)))
 
 
-@query("""with a as (select distinct c_custkey as k from customer where c_custkey % 2 = 0), b as (select distinct o_custkey as k from orders where o_custkey % 3 = 0)
+@query("""with a as (select distinct c_custkey as k from customer), b as (select distinct o_custkey as k from orders)
 select k from a where k not in (select k from b) union all select k from b where k not in (select k from a)""")
 def sym_diff(spark: SparkSession, d: str) -> DataFrame:
     return resolve.symmetric_difference(*_sets(spark, d))
 
 
 def _sets(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    a = table(spark, d, "customer").filter("c_custkey % 2 = 0").select(F.col("c_custkey").alias("k"))
-    return a, table(spark, d, "orders").filter("o_custkey % 3 = 0").select(F.col("o_custkey").alias("k"))
+    return table(spark, d, "customer").select(F.col("c_custkey").alias("k")), table(spark, d, "orders").select(F.col("o_custkey").alias("k"))
 
 
 @query("select o_orderpriority, min(o_orderkey) as first from orders group by 1")
@@ -193,12 +192,11 @@ def semi_join_total(spark: SparkSession, d: str) -> DataFrame:
     return c.groupBy("c_mktsegment").agg(F.count("*").alias("n")).join(active, "c_mktsegment", "left").select("c_mktsegment", "n", r(F.coalesce("active", F.lit(0.0)), 4).alias("active"))
 
 
-@query("""with a as (select c_custkey as k, c_acctbal as v from customer where c_custkey % 3 <> 0), b as (select c_custkey as k, -c_acctbal as v from customer where c_custkey % 2 <> 0)
+@query("""with a as (select c_custkey as k, c_acctbal as v from customer), b as (select p_partkey as k, p_retailprice as v from part)
 select coalesce(a.k, b.k) as k, coalesce(a.v, b.v) as v, cast(a.k is not null as int) as in_a, cast(b.k is not null as int) as in_b from a full join b on a.k = b.k""")
 def prefer_first(spark: SparkSession, d: str) -> DataFrame:
-    c = table(spark, d, "customer")
-    a = c.filter("c_custkey % 3 <> 0").select(F.col("c_custkey").alias("k"), F.col("c_acctbal").alias("v"), F.lit(1).alias("in_a"))
-    b = c.filter("c_custkey % 2 <> 0").select(F.col("c_custkey").alias("k"), (-F.col("c_acctbal")).alias("w"), F.lit(1).alias("in_b"))
+    a = table(spark, d, "customer").select(F.col("c_custkey").alias("k"), F.col("c_acctbal").alias("v"), F.lit(1).alias("in_a"))
+    b = table(spark, d, "part").select(F.col("p_partkey").alias("k"), F.col("p_retailprice").alias("w"), F.lit(1).alias("in_b"))
     return a.join(b, "k", "full_outer").select("k", F.coalesce("v", "w").alias("v"), F.coalesce("in_a", F.lit(0)).alias("in_a"), F.coalesce("in_b", F.lit(0)).alias("in_b"))
 
 

@@ -140,13 +140,13 @@ def event_window(spark: SparkSession, d: str) -> DataFrame:
     return b.filter(filters.all_of([filters.in_range(F.col("frame_start"), 5000, 30000, True, True), F.col("frame_end") - F.col("frame_start") < 1500])).select("user_id", "eventid")
 
 
-@query("""with i as (select o_orderkey as injid, case o_orderkey % 3 when 0 then 'flare' when 1 then 'negative' else 'sinusoid' end as kind, o_orderkey % 20 as s, o_totalprice / 1000 as h, o_orderkey % 6 + 2.0 as c from orders where o_orderkey % 10 = 0),
+@query("""with i as (select o_orderkey as injid, case o_orderkey % 3 when 0 then 'flare' when 1 then 'negative' else 'sinusoid' end as kind, o_orderkey % 20 as s, o_totalprice / 1000 as h, o_orderkey % 6 + 2.0 as c from orders),
 x as (select injid, f as frame, case kind when 'sinusoid' then h * sin(2 * pi() * (f - s) / c) else case when f >= s then h * exp(-(f - s) / c) else 0 end * case when kind = 'negative' then -1 else 1 end end as flux from i, range(30) t(f))
 select injid, round(sum(flux), 5) as total, round(max(flux), 5) as peak, round(min(flux), 5) as trough, count(*) as n from x group by 1""")
 def injected_curves(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("o_orderkey")
     kind = F.element_at(F.array(F.lit("flare"), F.lit("negative"), F.lit("sinusoid")), (k % 3 + 1).cast("int"))
-    i = table(spark, d, "orders").filter(k % 10 == 0).select(k.alias("injid"), kind.alias("event_type"), (k % 20).alias("start"), (F.col("o_totalprice") / 1000).alias("height"), (k % 6 + 2.0).alias("scale"))
+    i = table(spark, d, "orders").select(k.alias("injid"), kind.alias("event_type"), (k % 20).alias("start"), (F.col("o_totalprice") / 1000).alias("height"), (k % 6 + 2.0).alias("scale"))
     x = inject.light_curves(i, 30)
     return x.groupBy("injid").agg(r(F.sum("flux"), 5).alias("total"), r(F.max("flux"), 5).alias("peak"), r(F.min("flux"), 5).alias("trough"), F.count("*").alias("n"))
 

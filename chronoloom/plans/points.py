@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from chronoloom.functions import sky
@@ -163,10 +165,11 @@ def point_in_polygon(spark: SparkSession, d: str) -> DataFrame:
     return detections(spark, d).select("id", spatial.in_polygon(F.col("x"), F.col("y"), square).cast("int").alias("inside"))
 
 
-@query("with c as (select c_custkey as cut from customer where c_custkey between 1 and 64) select cast(cut as bigint) as cut, cast((cut - 1) % 8 * 256 as int) as corner_x, cast((cut - 1) // 8 * 256 as int) as corner_y, (cut - 1) % 8 * 256 + 128.0::double as centre_x, (cut - 1) // 8 * 256 + 128.0::double as centre_y, 128.0::double as half from c")
+@query("with c as (select c_custkey + 1 as cut, cast(ceil(sqrt(count(*) over ())) as bigint) as n from customer) select cast(cut as bigint) as cut, cast((cut - 1) % n * 256 as int) as corner_x, cast((cut - 1) // n * 256 as int) as corner_y, (cut - 1) % n * 256 + 128.0::double as centre_x, (cut - 1) // n * 256 + 128.0::double as centre_y, 128.0::double as half from c")
 def cut_grid(spark: SparkSession, d: str) -> DataFrame:
-    cuts = table(spark, d, "customer").filter("c_custkey between 1 and 64").select(F.col("c_custkey").cast("long").alias("cut"))
-    return spatial.cut_grid(cuts, 8, 2048)
+    cuts = table(spark, d, "customer").select((F.col("c_custkey") + 1).cast("long").alias("cut"))
+    n = math.ceil(math.sqrt(cuts.count()))
+    return spatial.cut_grid(cuts, n, 256 * n)
 
 
 @query(POINTS + """, g as (select i as site, i % 20 * 50 + 25.0 as x, i // 20 * 50 + 25.0 as y from range(400) t(i))

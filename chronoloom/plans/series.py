@@ -140,8 +140,9 @@ def nearest_frame(spark: SparkSession, d: str) -> DataFrame:
     return frames(spark, d).select("event_id", series.nearest_on_grid(F.col("frame"), F.lit(0), F.lit(60.0)).alias("nearest"))
 
 
-@query(FRAMES + """, k as (select user_id, frame // 1440 as day, avg(value) as y from ev group by all), s as (select user_id, day * 1440 as x0, y as y0, lead(day) over w * 1440 as x1, lead(y) over w as y1 from k window w as (partition by user_id order by day))
-select e.event_id, round(y0 + (y1 - y0) / (x1 - x0) * (frame - x0), 6) as interpolated from ev e left join s on e.user_id = s.user_id and e.frame >= x0 and e.frame < x1""")
+@query(FRAMES + """, k as (select user_id, frame // 1440 as day, avg(value) as y from ev group by all), s as (select user_id, day * 1440 as x0, y as y0, lead(day) over w * 1440 as x1, lead(y) over w as y1 from k window w as (partition by user_id order by day)),
+o as (select user_id, min(day) * 1440 as xf, arg_min(y, day) as yf, max(day) * 1440 as xl, arg_max(y, day) as yl from k group by 1)
+select e.event_id, round(case when frame >= xl then yl when frame <= xf then yf else y0 + (y1 - y0) / (x1 - x0) * (frame - x0) end, 6) as interpolated from ev e left join s on e.user_id = s.user_id and e.frame >= x0 and e.frame < x1 left join o on o.user_id = e.user_id""")
 def interp_lookup(spark: SparkSession, d: str) -> DataFrame:
     ev = frames(spark, d)
     knots = ev.groupBy("user_id", (F.expr("div(frame, 1440)") * 1440).alias("x")).agg(F.avg("value").alias("y"))

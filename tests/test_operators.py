@@ -259,3 +259,23 @@ def test_headers_and_manifests(spark, tmp_path):
     assert [r.mjd for r in files.manifest(spark, str(tmp_path / "m.sh"), 2, 3, 58849.0, 58850.0).collect()] == [58849.5]
     spark.range(3).write.parquet(str(tmp_path / "t"))
     assert files.drop_results(spark, str(tmp_path / "t")) and not (tmp_path / "t").exists()
+
+
+def test_tracks_at_the_points_own_time(spark):
+    tracks = spark.createDataFrame([(1, 10.0, 0.0, 10.0, 0.0, 0.0, 9.5, 11.95)], "track int, t_ref double, x0 double, vx double, y0 double, vy double, t_min double, t_max double")
+    points = spark.createDataFrame([(1, 9.0, 0.0, 10.9), (2, 0.0, 0.0, 10.9), (3, -5.0, 0.2, 9.5), (4, 19.6, 0.0, 11.96), (5, 19.5, 0.0, 11.95)], "id int, x double, y double, t double")
+    got = {r.id: r.track for r in clusters.link_to_tracks(points, tracks, 0.5, "id").collect()}
+    assert got == {1: 1, 2: None, 3: 1, 4: None, 5: 1}
+
+
+def test_interpolation_beyond_the_knots(spark):
+    knots = spark.createDataFrame([(1, 0, 5.0), (1, 10, 15.0)], "k int, x int, y double")
+    rows = spark.createDataFrame([(1, -3), (1, 0), (1, 4), (1, 10), (1, 99), (2, 1)], "k int, t int")
+    got = {(r.k, r.t): r.interpolated for r in series.interpolate(rows, knots, ["k"], "t", "x", "y", 8).collect()}
+    assert got == {(k, t): float(np.interp(t, [0, 10], [5, 15])) if k == 1 else None for k, t in got}
+
+
+def test_hard_filter_needs_objects(spark):
+    ev = spark.createDataFrame([(1, "-", "Star")], "objid int, gaia_id string, classification string")
+    with pytest.raises(ValueError):
+        filters.filter_events(ev, star_free="hard")
