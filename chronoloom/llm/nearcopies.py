@@ -14,8 +14,9 @@ Equal sets are one node. Every key's bucket is first linked as a star to one
 member, the same for all keys of a group of close copies; then only pairs that
 aren't connected yet are compared, so that a large group costs no pairs. What is
 left of a small bucket meets in a join; that of a larger one, whatever its size,
-is cut into blocks whose MinHash values are compared in arrays, two blocks a
-task, and only likely pairs come out.
+is cut into blocks, of which each task compares two in arrays: by 512 further
+MinHash values made for these texts alone, so that what is far from 0.8 stays out
+(again three standard deviations) and only likely pairs come out.
 """
 
 from __future__ import annotations
@@ -40,10 +41,13 @@ BANDS, VALUES = 24, 6
 FEW, BLOCK = 32, 1024
 #: Share of equal MinHash values below which a pair isn't verified.
 LIKELY = 0.7
+#: Values of texts in large buckets, and their share.
+WIDE, WIDE_LIKELY = 512, 0.747
 #: Buckets with more components than this get further stars before their pairs are compared.
 CROWD = 64
 _RNG = np.random.default_rng(58)
 _XOR, _ODD = (_RNG.integers(0, 1 << 63, (BANDS * VALUES, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(k) for k in (0, 1))
+_XOR_WIDE, _ODD_WIDE = (_RNG.integers(0, 1 << 63, (WIDE, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(k) for k in (0, 1))
 
 
 def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
@@ -84,6 +88,19 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column(0), *cols], names=["row", "digest", "n", "fp", "bands", "values"])
 
 
+def _wide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A byte of each of WIDE MinHash values of texts."""
+    for b in parts(batches):
+        out = []
+        for t in b.column(1).to_pylist():
+            s = shingles(t)
+            least = np.full(WIDE, (1 << 64) - 1, dtype=np.uint64)
+            for at in range(0, len(s), 256):
+                least = np.minimum(least, ((s[at : at + 256][None, :] ^ _XOR_WIDE) * _ODD_WIDE).min(axis=1))
+            out.append(mix(least).astype(np.uint8).tobytes())
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], names=["node", "values"])
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in parts(batches, 256):
         sets = [shingles(t).view(np.int64) for t in b.column(1).to_pylist()]
@@ -107,10 +124,10 @@ def _tile(t: pa.Table) -> pa.Table:
     golay, u, v = t.column("golay")[0].as_py(), [], []
     for at in range(0, len(x), 128):
         a = x[at : at + 128]
-        equal = np.zeros((len(a), len(y)), dtype=np.uint8)
+        equal = np.zeros((len(a), len(y)), dtype=np.uint16)
         for k in range(values.shape[1]):
             equal += values[a, k][:, None] == values[y, k][None]
-        near = (equal >= LIKELY * values.shape[1]) & (c[a][:, None] != c[y][None])
+        near = (equal >= WIDE_LIKELY * WIDE) & (c[a][:, None] != c[y][None])
         near &= 5 * np.minimum(n[a][:, None], n[y][None]) >= 4 * np.maximum(n[a][:, None], n[y][None])
         if golay:
             near &= np.bitwise_count((fp[a][:, None] ^ fp[y][None]).view(np.uint64)) <= 2
@@ -173,7 +190,10 @@ def near_copy_components(rows: DataFrame) -> DataFrame:
     sized = left.join(left.groupBy(kind).agg(F.count("*").alias("m")), kind)
     few = sized.filter(F.col("m") <= FEW)
     met = few.alias("a").join(few.alias("b"), kind).filter("a.c < b.c").filter(_ALIKE)
-    many = sized.filter(F.col("m") > FEW).join(nodes.select("node", "values"), "node").withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int"))
+    many = sized.filter(F.col("m") > FEW)
+    crowded = many.select("node").distinct()
+    wide = rows.join(crowded, rows["row"] == crowded["node"], "left_semi").select("row", "t").mapInArrow(_wide, "node long, values binary")
+    many = many.join(wide, "node").withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int"))
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     tile = lambda t: F.struct(F.least(F.col("own"), t).alias("i"), F.greatest(F.col("own"), t).alias("j"), F.when(F.col("own") <= t, 0).otherwise(1).alias("side"))
     spread = many.withColumn("own", own).withColumn("to", F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), tile)))
