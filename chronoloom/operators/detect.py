@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -89,3 +90,46 @@ def frame_noise(frames: DataFrame) -> DataFrame:
     fine = F.transform(F.filter("img", lambda v: v.isNotNull() & ~F.isnan(v)), lambda v: v.cast("double"))
     with_median = frames.withColumn("_v", fine).withColumn("_m", median(F.col("_v")))
     return with_median.select("frame", (median(F.transform("_v", lambda v: F.abs(v - F.col("_m")))) * 1.4826).alias("noise"))
+
+
+def _statistics(values: Column) -> tuple[Column, Column]:
+    """Median and population deviation of an array without nulls, null if it is empty."""
+    n = F.size(values)
+    s = F.array_sort(values)
+    mid = (F.get(s, F.floor((n - 1) / 2).cast("int")) + F.get(s, F.floor(n / 2).cast("int"))) / 2
+    mean = F.aggregate(values, F.lit(0.0), lambda a, v: a + v) / F.when(n > 0, n)
+    var = F.aggregate(values, F.lit(0.0), lambda a, v: a + (v - mean) * (v - mean)) / F.when(n > 0, n)
+    return F.when(n > 0, mid), F.sqrt(var)
+
+
+def clipped_noise(frames: DataFrame, id_col: str = "frame", img: str = "img", sigma: float = 3.0, passes: int = 5) -> DataFrame:
+    """Population deviation of each frame's pixels after ``passes`` cuts at ``sigma`` deviations from the median: ``(id, noise)``.
+
+    Each pass is a projection over the row's own array; values at the bound stay.
+    """
+    out = frames.select(id_col, F.transform(F.filter(img, lambda v: v.isNotNull() & ~F.isnan(v)), lambda v: v.cast("double")).alias("_v"))
+    for _ in range(passes):
+        mid, dev = _statistics(F.col("_v"))
+        out = out.select(id_col, "_v", mid.alias("_m"), dev.alias("_s")).select(id_col, F.filter("_v", lambda v: F.abs(v - F.col("_m")) <= sigma * F.col("_s")).alias("_v"))
+    return out.select(id_col, _statistics(F.col("_v"))[1].alias("noise"))
+
+
+def deepest_below(img: Column, x: Column, y: Column, nx: int, ny: int, radius: float = 2.0) -> Column:
+    """How far the lowest pixel of a disc lies below zero, at least 0; places outside the image count as zero."""
+    reach = math.ceil(radius)
+    disc = [(i, j) for j in range(-reach, reach + 1) for i in range(-reach, reach + 1) if i * i + j * j <= radius * radius]
+    values = [F.when((x + i).between(0, nx - 1) & (y + j).between(0, ny - 1), F.get(img, ((y + j) * nx + x + i).cast("int")).cast("double")).otherwise(0.0) for i, j in disc]
+    return F.greatest(F.lit(0.0), -F.least(*values))
+
+
+def annulus_deviation(img: Column, x: Column, y: Column, nx: int, ny: int, outer: int = 11, inner: int = 2) -> Column:
+    """Population deviation of the pixels of a square about a place but for an inner disc.
+
+    Places outside the image take the pixel at its edge, each time anew; missing
+    pixels don't count.
+    """
+    side = 2 * outer + 1
+    places = F.filter(F.sequence(F.lit(0), F.lit(side * side - 1)), lambda k: F.pow(F.floor(k / side) - outer, 2) + F.pow(k % side - outer, 2) > inner * inner)
+    clip = lambda c, n: F.greatest(F.lit(0), F.least(F.lit(n - 1), c.cast("int")))
+    values = F.transform(places, lambda k: F.get(img, clip(y + F.floor(k / side) - outer, ny) * nx + clip(x + k % side - outer, nx)).cast("double"))
+    return _statistics(F.filter(values, lambda v: v.isNotNull() & ~F.isnan(v)))[1]

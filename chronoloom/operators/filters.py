@@ -7,8 +7,15 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from chronoloom.functions import sky
+from chronoloom.operators.spatial import in_polygon
+
 #: Classes that count as variable stars in event filters.
 VARIABLE_CLASSES = ("VCR", "VRRLyr", "VEB", "VLPV", "VST", "VAGN", "VRM", "VMSO", "RRLyrae")
+#: Those that count as variable stars in filters of objects.
+VARIABLE_OBJECT_CLASSES = ("VCR", "VRRLyr", "VEB", "VLPV", "VST", "VAGN", "VRM", "VMSO")
+#: Limits of a trusted fit.
+FIT_LIMITS = {"delta_bic": (None, -6.0), "redchi2_region": (None, 3.0), "A_snr": (5.0, None)}
 
 
 def all_of(predicates: Iterable[Column]) -> Column:
@@ -134,7 +141,7 @@ def away_from_frames(events: DataFrame, frames: Sequence[int], margin: Column, s
     return events.filter(~reduce(lambda a, b: a | b, touches, F.lit(False)))
 
 
-def quality_pass(df: DataFrame, limits: dict[str, tuple[float | None, float | None]], ok: str = "fit_ok") -> Column:
+def quality_pass(df: DataFrame, limits: dict[str, tuple[float | None, float | None]] = FIT_LIMITS, ok: str = "fit_ok") -> Column:
     """True where a fit succeeded and all columns that exist lie within their limits; nulls fail."""
     p = [F.col(ok)] if ok in df.columns else []
     p += [in_range(F.col(c), lo, hi) for c, (lo, hi) in limits.items() if c in df.columns]
@@ -142,10 +149,89 @@ def quality_pass(df: DataFrame, limits: dict[str, tuple[float | None, float | No
 
 
 def members_of(events: DataFrame, ids: DataFrame, column: str = "crossbin_ids") -> DataFrame:
-    """Events whose id list shares an element with a table of ids: exploded to an equi join, each event once."""
-    keyed = events.withColumn("_row", F.monotonically_increasing_id())
-    hit = keyed.select("_row", F.explode(column).alias("id")).join(ids.select("id").distinct(), "id", "left_semi").select("_row").distinct()
-    return keyed.join(hit, "_row", "left_semi").drop("_row")
+    """Events whose id list shares an element with a table of ids: distinct lists are exploded to an equi join, each event once."""
+    lists = events.select(column).distinct()
+    hit = lists.select(column, F.explode(column).alias("id")).join(ids.select("id").distinct(), "id", "left_semi").select(column).distinct()
+    return events.join(hit, column, "left_semi").select(*events.columns)
+
+
+def filter_objects(
+    objects: DataFrame,
+    centre: tuple[float, float] | None = None,
+    distance: float = 40.0,
+    n_events: tuple[int | None, int | None] = (None, None),
+    galactic_latitude: float | Sequence[float] | None = None,
+    classification: str | None = None,
+    frame_bin: int | None = None,
+    flux_sign: int | None = None,
+    centroid_error: float | None = None,
+    at_least: dict[str, float] | None = None,
+    at_most: dict[str, float] | None = None,
+) -> DataFrame:
+    """Objects that pass every condition given.
+
+    centre, distance: strictly within so many arc seconds of a position in degrees.
+    at_least, at_most: columns (as lc_sig_max, psf_maxsig, min_eventlength_frame,
+    max_eventlength_mjd) and inclusive bounds. A null fails the condition on it.
+    """
+    p = [in_range(F.col("n_events"), *n_events)]
+    if centre is not None:
+        ra, dec = (F.lit(float(c)) for c in centre)
+        away = sky.separation(F.col("ra"), F.col("dec"), ra, dec)
+        p += [sky.in_box(F.col("ra"), F.col("dec"), ra, dec, distance / 3600), away < distance / 3600]
+    if galactic_latitude is not None:
+        p.append(latitude(F.col("gal_b"), galactic_latitude))
+    if classification is not None:
+        p.append(class_is(F.col("classification"), classification, VARIABLE_OBJECT_CLASSES))
+    p += [F.col(c) == v for c, v in (("frame_bin", frame_bin), ("flux_sign", flux_sign)) if v is not None]
+    if centroid_error is not None:
+        p.append(F.pow("xcentroid_err", 2) + F.pow("ycentroid_err", 2) <= 2 * centroid_error**2)
+    p += [F.col(c) >= v for c, v in (at_least or {}).items()] + [F.col(c) <= v for c, v in (at_most or {}).items()]
+    return objects.filter(all_of(p))
+
+
+def good_detection() -> Column:
+    """A detection worth keeping: clear, round enough and without a deep hole beside it."""
+    return (F.col("snr") >= 3) & (F.col("neg_extent") < 3) & (F.col("ellipticity") < 0.75)
+
+
+def inside_edges(x: Column, y: Column, nx: int, ny: int, margin: int = 3) -> Column:
+    """More than ``margin`` pixels from each edge of an image, strictly."""
+    return (x > margin) & (x < nx - margin) & (y > margin) & (y < ny - margin)
+
+
+def moving_candidates(events: DataFrame) -> DataFrame:
+    """Events that may be moving objects: clear, positive, of 2 to 50 frames at the finest resolution of the table."""
+    finest = events.agg(F.min("frame_bin")).scalar()
+    fits = F.col("frame_duration").between(2, 50) & (F.col("lc_sig_max") >= 5) & (F.col("flux_sign") == 1) & ~F.col("classification").isin("CosmicRay", "Junk")
+    return events.filter(fits & (F.col("frame_bin") == finest))
+
+
+def moving_class(motion: Column, likeness: Column, classification: Column, stages: Sequence[tuple[float, float]] = ((1.0, 0.0), (0.75, 0.7), (0.5, 0.9))) -> Column:
+    """'Asteroid' where any pair of least motion and least likeness of a Gaussian is met, else the class as it was."""
+    met = reduce(lambda a, b: a | b, [(motion >= m) & (likeness >= g) for m, g in stages])
+    return F.when(met, "Asteroid").otherwise(classification)
+
+
+def filter_recovered(injected: DataFrame, equal: dict[str, str] | None = None, at_least: dict[str, float] | None = None, at_most: dict[str, float] | None = None) -> DataFrame:
+    """Rows of a table of injected and recovered signals by type, outcome and ranges (all bounds inclusive)."""
+    p = [F.col(c) == v for c, v in (equal or {}).items()]
+    p += [F.col(c) >= v for c, v in (at_least or {}).items()] + [F.col(c) <= v for c, v in (at_most or {}).items()]
+    return injected.filter(all_of(p))
+
+
+def candidates_in_region(events: DataFrame, region: Sequence[tuple[float, float]], start: float, end: float, duration: float, significance: float = 0.0, whole_cuts: Sequence[int] = (), cuts: Sequence[int] | None = None) -> DataFrame:
+    """Events that begin strictly between two times, are shorter than ``duration`` and more significant than ``significance``, inside a region.
+
+    The region is a polygon of at least three corners on the detector. Cuts in
+    ``whole_cuts`` lie inside it, so their events need no test; of other cuts those
+    in ``cuts`` (None: all) are tested by position.
+    """
+    timely = (F.col("mjd_start") > start) & (F.col("mjd_start") < end) & (F.col("mjd_duration") < duration) & (F.col("lc_sig_max") > significance)
+    inside = in_polygon(F.col("xccd"), F.col("yccd"), region)
+    if cuts is not None:
+        inside = inside & F.col("cut").isin(*cuts)
+    return events.filter(timely & (F.col("cut").isin(*whole_cuts) | inside if whole_cuts else inside))
 
 
 def ordered_columns(df: DataFrame, order: Sequence[str]) -> DataFrame:

@@ -74,14 +74,17 @@ def match_intervals(truth: DataFrame, events: DataFrame, keys: Sequence[str], wi
     return out.select(id_col, detected.alias("detected"), F.col(f"m.e_{event_col}").alias("event"), F.col("m.e_frame_bin").alias("frame_bin"), F.col("m.sep").alias("centroid_sep"), F.col("m.iou").alias("iou"), F.col("m.score").alias("score"))
 
 
-def shared_ids(df: DataFrame, ids: str, out: str = "codes") -> DataFrame:
-    """Keep of each id list those that other rows have too, numbered densely; the number is the id's rank among shared ids."""
-    keyed = df.withColumn("_row", F.monotonically_increasing_id())
-    flat = keyed.select("_row", F.explode(ids).alias("id")).distinct()
-    shared = flat.groupBy("id").agg(F.count("*").alias("n")).filter("n > 1")
-    coded = shared.select("id", F.row_number().over(Window.orderBy("id")).alias("code"))
-    lists = flat.join(coded, "id").groupBy("_row").agg(F.array_sort(F.collect_list("code")).alias(out))
-    return keyed.join(lists, "_row", "left").withColumn(out, F.coalesce(out, F.array().cast("array<int>"))).drop("_row")
+def shared_ids(df: DataFrame, keys: Sequence[str], ids: str, out: str = "codes") -> DataFrame:
+    """Keep of each id list those that other rows have too, numbered densely; the number is the id's rank among shared ids.
+
+    ``keys`` tell the rows apart (without nulls); a row that shares nothing has an empty list.
+    """
+    keys = list(keys)
+    flat = df.select(*keys, F.explode(ids).alias("_id")).distinct()
+    shared = flat.groupBy("_id").agg(F.count("*").alias("_n")).filter("_n > 1")
+    coded = shared.select("_id", F.row_number().over(Window.orderBy("_id")).alias("_code"))
+    lists = flat.join(coded, "_id").groupBy(*keys).agg(F.array_sort(F.collect_list("_code")).alias(out))
+    return df.join(lists, keys, "left").withColumn(out, F.coalesce(out, F.array().cast("array<int>"))).select(*df.columns, out)
 
 
 def link_resolutions(events: DataFrame, keys: Sequence[str], id_col: str, start: str, end: str, resolution: str, width: float) -> DataFrame:

@@ -108,3 +108,11 @@ def median_offset(df: DataFrame, keys: Sequence[str], dx: str, dy: str, box: flo
     """Median shift per group of rows whose shifts lie within a box, and how many there are."""
     near = df.filter((F.abs(F.col(dx)) < box) & (F.abs(F.col(dy)) < box))
     return near.groupBy(*keys).agg(F.median(dx).alias("off_x"), F.median(dy).alias("off_y"), F.count("*").alias("n"))
+
+
+def zeropoint_series(df: DataFrame, keys: Sequence[str], zeropoint: str) -> DataFrame:
+    """For each group (a detector and sector, or a sector) the median over fluxes, 1.4826 times the deviation of the values from their median, and the count."""
+    own = df.filter(F.col(zeropoint).isNotNull() & ~F.isnan(F.col(zeropoint).cast("double")))
+    mid = own.groupBy(*keys).agg(linear_median(F.col(zeropoint)).alias("zp"), F.median(zeropoint).alias("_m"), F.count("*").alias("n"))
+    dev = own.join(mid.select(*keys, "_m"), list(keys)).groupBy(*keys).agg((F.median(F.abs(F.col(zeropoint) - F.col("_m"))) * MAD_TO_SIGMA).alias("scatter"))
+    return mid.drop("_m").join(dev, list(keys))

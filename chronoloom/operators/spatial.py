@@ -111,6 +111,48 @@ def cone(catalogue: DataFrame, ra0: float, dec0: float, radius: float, ra: str =
     return catalogue.filter(sky.in_box(F.col(ra), F.col(dec), c, d, radius)).withColumn("separation", sky.separation(F.col(ra), F.col(dec), c, d)).filter(F.col("separation") < radius)
 
 
+def sky_within(left: DataFrame, right: DataFrame, radius: float, ra: str = "ra", dec: str = "dec", inclusive: bool = True) -> DataFrame:
+    """Pairs of positions no further than ``radius`` degrees apart on the sphere: ``l_*``, ``r_*`` and ``separation``.
+
+    Declination is cut into bands as high as the radius and each band into cells
+    as wide at its end nearer the pole. A right row is listed in the cells that its
+    circle can reach (all of a band's where it holds a pole), so rows meet by an
+    equi join on band and cell; right ascensions meet across 0 = 360.
+    """
+    a = left.select(*[F.col(c).alias(f"l_{c}") for c in left.columns])
+    b = right.select(*[F.col(c).alias(f"r_{c}") for c in right.columns])
+
+    def n_cells(band: Column) -> Column:
+        top = F.least(F.lit(90.0), F.greatest(F.abs(band * radius), F.abs((band + 1) * radius)))
+        return F.greatest(F.lit(1), F.floor(360.0 * F.cos(F.radians(top)) / radius).cast("long"))
+
+    def cell(at: Column, n: Column) -> Column:
+        return F.floor(at / (360.0 / n)).cast("long")
+
+    band = F.floor(F.col(f"l_{dec}") / radius).cast("long")
+    turn = F.pmod(F.col(f"l_{ra}").cast("double"), F.lit(360.0))
+    a = a.withColumn("_band", band).withColumn("_n", n_cells(F.col("_band"))).withColumn("_cell", F.pmod(cell(turn, F.col("_n")), F.col("_n"))).drop("_n")
+    at_ra, at_dec = F.pmod(F.col(f"r_{ra}").cast("double"), F.lit(360.0)), F.col(f"r_{dec}")
+    polar = F.abs(at_dec) + radius >= 90.0
+    wide = F.degrees(F.asin(F.least(F.lit(1.0), F.sin(F.radians(F.lit(float(radius)))) / F.cos(F.radians(at_dec))))) + 1e-9
+    own = F.floor(at_dec / radius).cast("long")
+    b = b.withColumn("_band", F.explode(F.sequence(own - 1, own + 1))).withColumn("_n", n_cells(F.col("_band")))
+    low, high = cell(at_ra - wide, F.col("_n")), cell(at_ra + wide, F.col("_n"))
+    whole = polar | (high - low + 1 >= F.col("_n"))
+    reach = F.when(whole, F.sequence(F.lit(0).cast("long"), F.col("_n") - 1)).otherwise(F.transform(F.sequence(low, F.greatest(low, high)), lambda c: F.pmod(c, F.col("_n"))))
+    b = b.withColumn("_cell", F.explode(reach)).drop("_n")
+    apart = sky.separation(F.col(f"l_{ra}"), F.col(f"l_{dec}"), F.col(f"r_{ra}"), F.col(f"r_{dec}"))
+    cond = (a["_band"] == b["_band"]) & (a["_cell"] == b["_cell"]) & (apart <= radius if inclusive else apart < radius)
+    return a.join(b, cond).select(*[f"l_{c}" for c in left.columns], *[f"r_{c}" for c in right.columns], apart.alias("separation"))
+
+
+def sky_nearest(left: DataFrame, right: DataFrame, radius: float, id_col: str, order: Sequence[str], ra: str = "ra", dec: str = "dec") -> DataFrame:
+    """For each left position with one, the nearest right one within ``radius`` degrees; ties by ``order`` of the right side."""
+    pairs = sky_within(left, right, radius, ra, dec)
+    best = pairs.groupBy(f"l_{id_col}").agg(F.min_by(F.struct(*[c for c in pairs.columns if c != f"l_{id_col}"]), F.struct("separation", *[f"r_{c}" for c in order])).alias("_b"))
+    return best.select(f"l_{id_col}", "_b.*")
+
+
 def cut_grid(df: DataFrame, n: int, size: int, index: str = "cut") -> DataFrame:
     """Corner, centre and half size of each of n * n cuts of a square detector, numbered from 1 along x."""
     step = size // n

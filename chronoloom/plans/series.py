@@ -265,7 +265,7 @@ c as (select user_id, eventid, string_agg(cast(code as varchar), ',' order by co
 select l.user_id, cast(l.eventid as bigint) as eventid, coalesce(codes, '') as codes from l left join c on l.user_id = c.user_id and l.eventid = c.eventid""")
 def crossbin_members(spark: SparkSession, d: str) -> DataFrame:
     lists = sessions(spark, d).groupBy("user_id", F.col("eventid").cast("long").alias("eventid")).agg(F.collect_set(F.col("event_id") % 97).alias("ids"))
-    return resolve.shared_ids(lists, "ids").select("user_id", "eventid", F.array_join("codes", ",").alias("codes"))
+    return resolve.shared_ids(lists, ["user_id", "eventid"], "ids").select("user_id", "eventid", F.array_join("codes", ",").alias("codes"))
 
 
 @query(FRAMES + """, l as (select user_id, eventid, list(event_id) as ids from ses group by all)
