@@ -141,5 +141,5 @@ def camera_order(declination: Column) -> Column:
 
 def curve_name(sector: Column, cam: Column, ccd: Column, cut: Column, objid: Column, eventid: Column | None, method: str, unit: str) -> Column:
     """Name of a light curve's table."""
-    event = F.lit("") if eventid is None else F.coalesce(F.format_string("E%d", eventid), F.lit(""))
+    event = F.lit("") if eventid is None else F.when(eventid.isNotNull(), F.format_string("E%d", eventid)).otherwise("")
     return F.concat(F.format_string("S%dC%dC%dC%dO%d", sector, cam, ccd, cut, objid), event, F.lit(f"_{method}_{unit}.csv"))

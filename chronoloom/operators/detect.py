@@ -80,26 +80,34 @@ def box_sum(img: Column, x: int, y: int, nx: int, ny: int, radius: int = 1) -> C
     return sum((F.coalesce(F.nanvl(F.get(img, F.lit(k)).cast("double"), F.lit(None).cast("double")), F.lit(0.0)) for k in at), F.lit(0.0))
 
 
-def frame_noise(frames: DataFrame) -> DataFrame:
-    """1.4826 times the median absolute deviation of each frame's pixels, by sorted arrays within the row."""
-    def median(c: Column) -> Column:
-        s = F.array_sort(c)
-        n = F.size(s)
-        return (F.get(s, F.floor((n - 1) / 2).cast("int")) + F.get(s, F.floor(n / 2).cast("int"))) / 2
+def _bound(value: Column, then) -> Column:
+    """``then(value)`` with the value computed once, though it is used for each element of an array."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
+def _middle(values: Column) -> Column:
+    """Median of an array without nulls, null if it is empty."""
+    s, n = F.array_sort(values), F.size(values)
+    return F.when(n > 0, (F.get(s, F.floor((n - 1) / 2).cast("int")) + F.get(s, F.floor(n / 2).cast("int"))) / 2)
+
 
-    fine = F.transform(F.filter("img", lambda v: v.isNotNull() & ~F.isnan(v)), lambda v: v.cast("double"))
-    with_median = frames.withColumn("_v", fine).withColumn("_m", median(F.col("_v")))
-    return with_median.select("frame", (median(F.transform("_v", lambda v: F.abs(v - F.col("_m")))) * 1.4826).alias("noise"))
+def _deviation(values: Column) -> Column:
+    """Population deviation of an array without nulls in one pass over it, null if it is empty."""
 
+    def add(a: Column, v: Column) -> Column:
+        n = a["n"] + 1
+        mean = a["mean"] + (v - a["mean"]) / n
+        return F.struct(n.alias("n"), mean.alias("mean"), (a["ss"] + (v - a["mean"]) * (v - mean)).alias("ss"))
 
-def _statistics(values: Column) -> tuple[Column, Column]:
-    """Median and population deviation of an array without nulls, null if it is empty."""
-    n = F.size(values)
-    s = F.array_sort(values)
-    mid = (F.get(s, F.floor((n - 1) / 2).cast("int")) + F.get(s, F.floor(n / 2).cast("int"))) / 2
-    mean = F.aggregate(values, F.lit(0.0), lambda a, v: a + v) / F.when(n > 0, n)
-    var = F.aggregate(values, F.lit(0.0), lambda a, v: a + (v - mean) * (v - mean)) / F.when(n > 0, n)
-    return F.when(n > 0, mid), F.sqrt(var)
+    start = F.struct(F.lit(0).alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("ss"))
+    return F.aggregate(values, start, add, lambda a: F.when(a["n"] > 0, F.sqrt(a["ss"] / a["n"])))
+
+
+def frame_noise(frames: DataFrame) -> DataFrame:
+    """1.4826 times the median absolute deviation of each frame's pixels, by sorted arrays within the row."""
+    fine = frames.select("frame", F.transform(F.filter("img", lambda v: v.isNotNull() & ~F.isnan(v)), lambda v: v.cast("double")).alias("_v"))
+    away = _bound(_middle(F.col("_v")), lambda m: F.transform("_v", lambda v: F.abs(v - m)))
+    return fine.select("frame", away.alias("_a")).select("frame", (_middle(F.col("_a")) * 1.4826).alias("noise"))
 
 
 def clipped_noise(frames: DataFrame, id_col: str = "frame", img: str = "img", sigma: float = 3.0, passes: int = 5) -> DataFrame:
@@ -109,9 +117,9 @@ def clipped_noise(frames: DataFrame, id_col: str = "frame", img: str = "img", si
     """
     out = frames.select(id_col, F.transform(F.filter(img, lambda v: v.isNotNull() & ~F.isnan(v)), lambda v: v.cast("double")).alias("_v"))
     for _ in range(passes):
-        mid, dev = _statistics(F.col("_v"))
-        out = out.select(id_col, "_v", mid.alias("_m"), dev.alias("_s")).select(id_col, F.filter("_v", lambda v: F.abs(v - F.col("_m")) <= sigma * F.col("_s")).alias("_v"))
-    return out.select(id_col, _statistics(F.col("_v"))[1].alias("noise"))
+        kept = _bound(F.struct(_middle(F.col("_v")).alias("m"), _deviation(F.col("_v")).alias("s")), lambda b: F.filter("_v", lambda v: F.abs(v - b["m"]) <= sigma * b["s"]))
+        out = out.select(id_col, kept.alias("_v"))
+    return out.select(id_col, _deviation(F.col("_v")).alias("noise"))
 
 
 def deepest_below(img: Column, x: Column, y: Column, nx: int, ny: int, radius: float = 2.0) -> Column:
@@ -132,4 +140,4 @@ def annulus_deviation(img: Column, x: Column, y: Column, nx: int, ny: int, outer
     places = F.filter(F.sequence(F.lit(0), F.lit(side * side - 1)), lambda k: F.pow(F.floor(k / side) - outer, 2) + F.pow(k % side - outer, 2) > inner * inner)
     clip = lambda c, n: F.greatest(F.lit(0), F.least(F.lit(n - 1), c.cast("int")))
     values = F.transform(places, lambda k: F.get(img, clip(y + F.floor(k / side) - outer, ny) * nx + clip(x + k % side - outer, nx)).cast("double"))
-    return _statistics(F.filter(values, lambda v: v.isNotNull() & ~F.isnan(v)))[1]
+    return _deviation(F.filter(values, lambda v: v.isNotNull() & ~F.isnan(v)))
