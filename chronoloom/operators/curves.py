@@ -21,12 +21,14 @@ def round_half_up(c: Column) -> Column:
 def window_bounds(start: Column, end: Column, n_frames: Column, buffer: int) -> tuple[Column, Column]:
     """First and last frame of a light curve: ``buffer`` before the event and one more than that behind it, within the series.
 
-    A buffer of -1 takes the whole series.
+    A buffer of -1 takes the whole series. Null where the event's bounds are.
     """
     last = n_frames - 1
     if buffer == -1:
         return F.lit(0).cast("long"), last.cast("long")
-    return F.greatest(round_half_up(start) - buffer, F.lit(0).cast("long")), F.least(round_half_up(end) + buffer + 1, last).cast("long")
+    low, high = F.greatest(round_half_up(start) - buffer, F.lit(0).cast("long")), F.least(round_half_up(end) + buffer + 1, last).cast("long")
+    known = start.isNotNull() & end.isNotNull()
+    return F.when(known, low), F.when(known, high)
 
 
 def event_light_curves(series: DataFrame, events: DataFrame, keys: Sequence[str], frame: str, n_frames: Column, buffer: int = 10, start: str = "frame_start", end: str = "frame_end", width: int = 64) -> DataFrame:
@@ -63,14 +65,15 @@ def cutout_frames(start: Column, end: Column, peak: Column, n_frames: Column, bu
     """Frames to cut out around an event, in order: every ``interval`` bins from ``buffer`` before to ``buffer`` behind it, and the brightest.
 
     Fewer than ``least`` are continued at the same step behind the last; frames
-    outside the series move to its ends, and each is listed once.
+    outside the series move to its ends, and each is listed once. Null where a
+    bound or the brightest is.
     """
     step = F.lit(interval).cast("long") if frame_bin is None else round_half_up(interval * frame_bin)
     low, high, top = round_half_up(start) - buffer, round_half_up(end) + buffer, round_half_up(peak)
     frames = F.array_sort(F.array_union(F.sequence(low, F.greatest(low, high), step), F.array(top)))
     more = F.transform(F.filter(F.sequence(F.lit(1), F.lit(least)), lambda k: k <= least - F.size(frames)), lambda k: F.element_at(frames, -1) + k * step)
     bounded = F.transform(F.concat(frames, more), lambda f: F.greatest(F.lit(0).cast("long"), F.least(f, (n_frames - 1).cast("long"))))
-    return F.array_sort(F.array_distinct(bounded))
+    return F.when(start.isNotNull() & end.isNotNull() & peak.isNotNull(), F.array_sort(F.array_distinct(bounded)))
 
 
 def cutout_box(x: Column, y: Column, nx: int, ny: int, size: int = 11) -> tuple[Column, Column, Column, Column]:
@@ -78,7 +81,8 @@ def cutout_box(x: Column, y: Column, nx: int, ny: int, size: int = 11) -> tuple[
     h = size // 2
     cx, cy = round_half_up(x), round_half_up(y)
     zero = F.lit(0).cast("long")
-    return F.greatest(cx - h, zero), F.least(cx + h, F.lit(nx - 1).cast("long")), F.greatest(cy - h, zero), F.least(cy + h, F.lit(ny - 1).cast("long"))
+    bounds = ((cx, F.greatest(cx - h, zero)), (cx, F.least(cx + h, F.lit(nx - 1).cast("long"))), (cy, F.greatest(cy - h, zero)), (cy, F.least(cy + h, F.lit(ny - 1).cast("long"))))
+    return tuple(F.when(at.isNotNull(), b) for at, b in bounds)
 
 
 def frames_of_events(frames: DataFrame, events: DataFrame, wanted: Column, frame: str = "frame") -> DataFrame:
@@ -92,7 +96,8 @@ def true_times(events: DataFrame, times: DataFrame, columns: Sequence[str] = ("f
     for c in columns:
         name = "mjd_" + c.removeprefix("frame_")
         own = times.select(F.col(frame).alias("_f"), F.col(time).alias(name))
-        at = F.least(round_half_up(F.col(c) * F.col(frame_bin)), last)
+        begin = round_half_up(F.col(c) * F.col(frame_bin))
+        at = F.when(begin.isNotNull(), F.least(begin, last))  # ``least`` alone would pass over a null
         out = out.withColumn("_at", at).join(own, F.col("_at") == F.col("_f"), "left").drop("_at", "_f")
     if {"mjd_start", "mjd_end"} <= set(out.columns):
         out = out.withColumn("mjd_duration", F.col("mjd_end") - F.col("mjd_start"))

@@ -127,7 +127,7 @@ def deepest_below(img: Column, x: Column, y: Column, nx: int, ny: int, radius: f
     reach = math.ceil(radius)
     disc = [(i, j) for j in range(-reach, reach + 1) for i in range(-reach, reach + 1) if i * i + j * j <= radius * radius]
     values = [F.when((x + i).between(0, nx - 1) & (y + j).between(0, ny - 1), F.get(img, ((y + j) * nx + x + i).cast("int")).cast("double")).otherwise(0.0) for i, j in disc]
-    return F.greatest(F.lit(0.0), -F.least(*values))
+    return F.when(x.isNotNull() & y.isNotNull(), F.greatest(F.lit(0.0), -F.least(*values)))
 
 
 def annulus_deviation(img: Column, x: Column, y: Column, nx: int, ny: int, outer: int = 11, inner: int = 2) -> Column:
@@ -140,4 +140,4 @@ def annulus_deviation(img: Column, x: Column, y: Column, nx: int, ny: int, outer
     places = F.filter(F.sequence(F.lit(0), F.lit(side * side - 1)), lambda k: F.pow(F.floor(k / side) - outer, 2) + F.pow(k % side - outer, 2) > inner * inner)
     clip = lambda c, n: F.greatest(F.lit(0), F.least(F.lit(n - 1), c.cast("int")))
     values = F.transform(places, lambda k: F.get(img, clip(y + F.floor(k / side) - outer, ny) * nx + clip(x + k % side - outer, nx)).cast("double"))
-    return _deviation(F.filter(values, lambda v: v.isNotNull() & ~F.isnan(v)))
+    return F.when(x.isNotNull() & y.isNotNull(), _deviation(F.filter(values, lambda v: v.isNotNull() & ~F.isnan(v))))
