@@ -7,7 +7,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 
 def read_arrays(spark: SparkSession, path: str) -> DataFrame:
@@ -126,3 +126,41 @@ def drop_results(spark: SparkSession, path: str) -> bool:
     """Remove a table or one of its partitions through the file system that holds it."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True))
+
+
+def load_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """A Parquet table or a CSV one with a header, told by the path's suffix; CSV needs a schema, so that nothing is read twice."""
+    if path.rstrip("/").endswith((".parquet", ".pq")):
+        return spark.read.parquet(path)
+    if path.rstrip("/").endswith(".csv"):
+        if schema is None:
+            raise ValueError("a CSV table needs a schema")
+        return spark.read.schema(schema).option("header", True).csv(path)
+    raise ValueError(f"neither Parquet nor CSV: {path}")
+
+
+def save_table(df: DataFrame, path: str) -> str:
+    """Write a table as Parquet or CSV with headers, told by the path's suffix; an existing one is replaced."""
+    if path.rstrip("/").endswith((".parquet", ".pq")):
+        df.write.mode("overwrite").parquet(path)
+    elif path.rstrip("/").endswith(".csv"):
+        df.write.mode("overwrite").option("header", True).csv(path)
+    else:
+        raise ValueError(f"neither Parquet nor CSV: {path}")
+    return path
+
+
+def save_curves(curves: DataFrame, path: str, name: Column, columns: Sequence[str] = ("mjd", "flux", "flux_err")) -> None:
+    """Light curves as CSV, one folder ``name=...`` for each, rows in order of time.
+
+    Rows are dealt by name, and a curve is one file; names without rows get none.
+    """
+    rows = curves.select(name.alias("name"), *columns)
+    rows.repartition("name").sortWithinPartitions("name", columns[0]).write.mode("overwrite").option("header", True).partitionBy("name").csv(path)
+
+
+def lines_table(spark: SparkSession, lines: Sequence[str], schema: T.StructType) -> DataFrame:
+    """A small table from lines in memory: columns parted by blanks; blank lines and those with ``#`` first are left out."""
+    cells = F.split(F.trim("value"), r"\s+")
+    rows = spark.createDataFrame([(x,) for x in lines], "value string").filter("trim(value) <> '' and not startswith(trim(value), '#')")
+    return rows.select(*[F.get(cells, F.lit(i)).try_cast(f.dataType).alias(f.name) for i, f in enumerate(schema.fields)])

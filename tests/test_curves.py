@@ -4,9 +4,10 @@ import math
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from chronoloom.operators import curves, detect, filters, resolve, spatial
+from chronoloom.sources import files
 
 
 def test_objects_by_cone_class_and_bounds(spark):
@@ -118,3 +119,22 @@ def test_null_positions_and_bounds_give_null(spark):
     box = curves.cutout_box(F.col("x"), F.col("y"), 2, 2)
     got = df.select(lo, hi, curves.cutout_frames(F.col("x"), F.col("y"), F.col("y"), F.lit(9)), box[0], box[1], box[3], detect.annulus_deviation(F.col("img"), F.col("x"), F.col("y"), 2, 2), detect.deepest_below(F.col("img"), F.col("x"), F.col("y"), 2, 2)).first()
     assert tuple(got) == (None, None, None, None, None, 1, None, None)
+
+
+def test_tables_by_suffix_lines_and_curves(spark, tmp_path):
+    schema = T._parse_datatype_string("a int, b double")
+    df = spark.createDataFrame([(1, 0.5), (2, None)], schema)
+    for suffix in ("parquet", "csv"):
+        path = files.save_table(df, f"{tmp_path}/t.{suffix}")
+        files.save_table(df, path)
+        assert sorted(files.load_table(spark, path, schema).collect()) == sorted(df.collect())
+    for wrong in (lambda: files.load_table(spark, f"{tmp_path}/t.txt"), lambda: files.save_table(df, f"{tmp_path}/t.txt"), lambda: files.load_table(spark, f"{tmp_path}/t.csv")):
+        with pytest.raises(ValueError):
+            wrong()
+    got = files.lines_table(spark, ["# a b", "1 2.5", "", "  3   x"], schema).collect()
+    assert [tuple(r) for r in got] == [(1, 2.5), (3, None)]
+    lc = spark.createDataFrame([(o, float(t), 1.0, 0.1) for o in (7, 8) for t in (3, 1, 2)], "objid int, mjd double, flux double, flux_err double")
+    name = curves.curve_name(F.lit(1), F.lit(2), F.lit(3), F.lit(4), F.col("objid"), None, "aperture", "counts")
+    files.save_curves(lc, f"{tmp_path}/lc", name)
+    one = f"{tmp_path}/lc/name=S1C2C3C4O7_aperture_counts.csv"
+    assert [r.mjd for r in spark.read.option("header", True).schema("mjd double, flux double, flux_err double").csv(one).collect()] == [1.0, 2.0, 3.0]
