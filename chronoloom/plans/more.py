@@ -47,6 +47,14 @@ def link_to_tracks(spark: SparkSession, d: str) -> DataFrame:
     return clusters.link_to_tracks(p, _tracks(spark, d), 60.0, "id").select("id", "track", r("distance").alias("distance"))
 
 
+@query(POINTS + """, p as (select id, x, y, id % 60 as t, case when id % 3 = 0 then id % 10 + 1 end as track from pts), tr as (select id as track, 30.0 as t_ref, x as x0, (id % 7 - 3) / 2.0 as vx, y as y0, (id % 5 - 2) / 2.0 as vy from stars)
+select p.id, coalesce(p.track, (select min(tr.track) from tr where sqrt(pow(p.x - (x0 + vx * (p.t - t_ref)), 2) + pow(p.y - (y0 + vy * (p.t - t_ref)), 2)) < 60)) as track from p""")
+def grow_tracks(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("id")
+    p = detections(spark, d).select("id", "x", "y", (k % 60).alias("t"), F.when(k % 3 == 0, k % 10 + 1).alias("track"))
+    return clusters.grow_tracks(p, _tracks(spark, d), 60.0, "id").select("id", "track")
+
+
 def _tracks(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("id")
     return stars(spark, d).select(k.alias("track"), F.lit(30.0).alias("t_ref"), F.col("x").alias("x0"), ((k % 7 - 3) / 2.0).alias("vx"), F.col("y").alias("y0"), ((k % 5 - 2) / 2.0).alias("vy"), (k % 20).alias("t_min"), (k % 20 + 25).alias("t_max"))

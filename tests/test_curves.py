@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F, types as T
 
-from chronoloom.operators import curves, detect, filters, resolve, spatial
+from chronoloom.operators import clusters, curves, detect, filters, resolve, spatial
 from chronoloom.sources import files
 
 
@@ -138,3 +138,11 @@ def test_tables_by_suffix_lines_and_curves(spark, tmp_path):
     files.save_curves(lc, f"{tmp_path}/lc", name)
     one = f"{tmp_path}/lc/name=S1C2C3C4O7_aperture_counts.csv"
     assert [r.mjd for r in spark.read.option("header", True).schema("mjd double, flux double, flux_err double").csv(one).collect()] == [1.0, 2.0, 3.0]
+
+
+def test_tracks_grow_by_the_first_that_fits(spark):
+    tracks = spark.createDataFrame([(1, 0.0, 0.0, 1.0, 0.0, 0.0), (2, 0.0, 0.0, 1.0, 1.0, 0.0)], "track int, t_ref double, x0 double, vx double, y0 double, vy double")
+    pts = spark.createDataFrame([(1, 10.5, 0.9, 10.5, None), (2, 10.5, 1.5, 10.5, None), (3, 10.5, 2.0, 10.5, None), (4, 50.0, 50.0, 1.0, 2), (5, 1.0, 1.0, None, None)], "id int, x double, y double, t double, track int")
+    assert {r.id: r.track for r in clusters.grow_tracks(pts, tracks, 1.0, "id").collect()} == {1: 1, 2: 2, 3: None, 4: 2, 5: None}
+    assert clusters.grow_tracks(pts.filter("id = 4"), tracks, 1.0, "id").first().track == 2
+    assert clusters.grow_tracks(pts, tracks.limit(0), 1.0, "id").filter("track is null").count() == 4
