@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from chronoloom.llm import bpe, decontaminate, licenses, quality, sharding, simhash, suffix, toolcalls, toxicity, vectors
+from chronoloom.llm import alignment, bpe, decontaminate, licenses, pieces, quality, sharding, simhash, spelling, suffix, toolcalls, toxicity, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -96,3 +96,18 @@ def op9_suffix_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op10_toxicity_subwords(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@_query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op12_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.piece_digests(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment_scores(_table(spark, sf_dir, "documents"))
