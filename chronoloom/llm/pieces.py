@@ -6,7 +6,8 @@ characters gives the two back). So each prefix of a text has one last piece.
 An automaton lists the pieces that end at each place; the one that is compatible
 with the last piece of the prefix before it is stored, and the ids are recovered
 from the end backwards. Merges never join what no piece holds side by side: a
-text is cut where a space follows anything else, and its parts are remembered.
+text is cut where a space follows anything else and where letters end, and its
+parts are remembered.
 """
 
 from __future__ import annotations
@@ -98,8 +99,23 @@ class Pieces(Vocabulary):
         if any(SPACE in p.lstrip(SPACE) for p in self.tokens.values()) or not chars <= self.ranks.keys():
             raise ValueError("pieces must hold spaces at their beginning only, and each character must be a piece")
         apart = "".join(c for c in "\n\r\t" if c not in chars)
-        #: Parts that no merge crosses: spaces and what follows them, and single characters that no piece holds.
-        self.parts = re.compile(f"{SPACE}*[^{SPACE}{apart}]+|{SPACE}+" + (f"|[{apart}]" if apart else "")).findall
+        kin = "".join(map(re.escape, sorted(self._kin("e"))))
+        #: Parts that no merge crosses: letters that pieces hold side by side, or anything else, with the spaces before them, and single characters that no piece holds.
+        self.parts = re.compile(f"{SPACE}*[{kin}]+|{SPACE}*[^{SPACE}{kin}{apart}]+|{SPACE}+" + (f"|[{apart}]" if apart else "")).findall
+
+    def _kin(self, char: str) -> set[str]:
+        """Characters that pieces hold beside ``char``, beside those, and so on; the mark of spaces doesn't count."""
+        beside: dict[str, set[str]] = {}
+        for p in self.tokens.values():
+            for x, y in zip(p, p[1:]):
+                if x != SPACE:
+                    beside.setdefault(x, set()).add(y)
+                    beside.setdefault(y, set()).add(x)
+        found, new = {char}, {char}
+        while new:
+            new = set().union(*(beside.get(c, ()) for c in new)) - found
+            found |= new
+        return found
 
     def _own(self, piece: str) -> bool:
         """Whether the merges of a piece's characters end in the piece."""
@@ -115,13 +131,14 @@ class Pieces(Vocabulary):
         """Ids of a part: the last piece of each prefix (-1: a character without a piece), then backwards from the end."""
         last, pairs = [-1] * (len(part) + 1), self._pairs
         for end, (token, size) in self.automaton.iter(part):
-            if last[end + 1] < 0:
-                left = last[end + 1 - size]
+            end += 1
+            if last[end] < 0:
+                left = last[end - size]
                 if left >= 0:
                     fits = pairs.get(left << 32 | token)
                     if not (self.compatible(left, token) if fits is None else fits):
                         continue
-                last[end + 1] = token
+                last[end] = token
         out, at, lengths = [], len(part), self.tokens
         while at:
             token = last[at]
