@@ -144,8 +144,8 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: Mapping[str, Mappi
     position, place, n_results, status, errors, canonical)``. Identifiers count
     within their conversation. Of several results of a call the first counts (by
     position, then content). status: "linked", "unanswered", "orphan" (results
-    without a call), "invalid" (arguments that aren't JSON or don't fit; a tool
-    without a schema) or "cyclic". A null conversation or identifier links with
+    without a call), "invalid" (arguments that don't fit or aren't JSON, numbers
+    beyond doubles and halves of characters among them; a tool without a schema) or "cyclic". A null conversation or identifier links with
     nothing: such calls are unanswered, such results drop out. Repeated calls
     each give a row. Texts are taken whole; other columns are ignored. Empty
     tables give an empty result. ``rounds`` only decides when conversations whose
@@ -163,16 +163,19 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: Mapping[str, Mappi
         for b in parts(batches):
             status, errors, lines = [], [], []
             for r in b.to_pylist():
-                wrong, value = [], None
+                wrong, line = [], None
+                whole = {"arguments": None, "id": r["call_id"], "name": r["name"], "result": r["result"]}
                 if r["called"]:
                     try:
                         value = json.loads(r["arguments"], parse_constant=_no_constant)
                         wrong = schema_errors(value, schemas[r["name"]]) if r["name"] in schemas else ["$: no schema"]
+                        line = canonical(whole | {"arguments": value})
+                        line.encode()  # half a character isn't text
                     except (TypeError, ValueError, RecursionError):
-                        wrong = ["$: not JSON"]
+                        wrong, line = ["$: not JSON"], canonical(whole | {"arguments": r["arguments"]})
                 status.append("orphan" if not r["called"] else "cyclic" if r["cyclic"] else "invalid" if wrong else "linked" if r["has"] else "unanswered")
                 errors.append(wrong)
-                lines.append(canonical({"arguments": value if not wrong or wrong != ["$: not JSON"] else r["arguments"], "id": r["call_id"], "name": r["name"], "result": r["result"]}))
+                lines.append(line or canonical(whole))
             cols = [b.column(b.schema.get_field_index(n)) for n in names[:5]]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(status, pa.string()), pa.array(errors, pa.list_(pa.string())), pa.array(lines, pa.string())], names=names)
 
