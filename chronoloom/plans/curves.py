@@ -32,7 +32,7 @@ def _events(spark: SparkSession, d: str) -> DataFrame:
     return ev.select("user_id", "eventid", F.expr("div(s, 60)").alias("frame_start"), F.expr("div(e, 60)").alias("frame_end"), F.expr("div(p, 60)").alias("frame_max"))
 
 
-@query(HOURS + """, w as (select *, greatest(hs - 10, 0) as a, least(he + 11, 719) as b from es), z as (select user_id, case when user_id % 4 > 0 then 20 + user_id % 7 / 10.0 end as zp from (select distinct user_id from ev))
+@query(HOURS + """, w as (select *, greatest(hs - 10, 0) as a, least(he + 11, 719) as b from es), z as (select user_id, case when user_id % 4 > 0 then 20.03 + user_id % 7 / 10.0 end as zp from (select distinct user_id from ev))
 select user_id, eventid, hour, round(case when zp is null then flux else flux * 3631000 / pow(10, 0.4 * zp) end, 6) as flux, round(3 * noise * case when zp is null then 1 else 3631000 / pow(10, 0.4 * zp) end, 6) as flux_err,
   case when zp is null then 'counts' else 'mJy' end as units
 from hr join w using (user_id) join noise using (hour) join z using (user_id) where hour between a and b""")
@@ -40,7 +40,7 @@ def event_light_curve(spark: SparkSession, d: str) -> DataFrame:
     """Ten frames around each event in millijansky, in counts for a quarter of the users, who have no zeropoint."""
     lc = curves.event_light_curves(_hours(spark, d), _events(spark, d), ["user_id"], "hour", F.lit(LAST + 1))
     lc = lc.select("user_id", "eventid", "hour", "flux", curves.box_error(F.col("noise")).alias("flux_err"))
-    zp = table(spark, d, "events").select("user_id").distinct().filter("user_id % 4 > 0").withColumn("zp_ab", 20 + F.col("user_id") % 7 / 10.0)
+    zp = table(spark, d, "events").select("user_id").distinct().filter("user_id % 4 > 0").withColumn("zp_ab", 20.03 + F.col("user_id") % 7 / 10.0)
     return curves.in_units(lc, zp, ["user_id"], "mJy").withColumns({"flux": r("flux"), "flux_err": r("flux_err")})
 
 

@@ -24,13 +24,22 @@ def _plain(v):
         return v
     if isinstance(v, (int, float)) or type(v).__name__ == "Decimal":
         v = float(v)
-        return None if math.isnan(v) else round(v, 4) + 0.0
+        return None if math.isnan(v) else v + 0.0
     return str(v)
 
 
+def _order(row: tuple) -> str:
+    return repr([round(v, 4) if isinstance(v, float) else v for v in row])
+
+
 def rows(columns: list[str], data) -> list[tuple]:
     order = sorted(range(len(columns)), key=lambda i: columns[i])
-    return sorted((tuple(_plain(r[i]) for i in order) for r in data), key=repr)
+    return sorted((tuple(_plain(r[i]) for i in order) for r in data), key=_order)
+
+
+def _same(p: tuple, q: tuple) -> bool:
+    """Equal, numbers to a millionth of themselves."""
+    return all(math.isclose(a, b, rel_tol=1e-6, abs_tol=1e-9) if type(a) is type(b) is float else a == b for a, b in zip(p, q))
 
 
 def differences(spark, sf_dir: str, query, sql: str) -> str:
@@ -43,5 +52,5 @@ def differences(spark, sf_dir: str, query, sql: str) -> str:
     x, y = rows(a_cols, a), rows(b_cols, b)
     if len(x) != len(y):
         return f"{len(x)} and {len(y)} rows"
-    odd = [(p, q) for p, q in zip(x, y) if p != q]
+    odd = [(p, q) for p, q in zip(x, y) if not _same(p, q)]
     return f"{len(odd)} of {len(x)} rows differ, as {odd[:2]}" if odd else ""

@@ -8,7 +8,7 @@ from chronoloom.plans import registry
 
 @pytest.mark.parametrize("name", sorted(registry.ORACLE_SQL))
 def test_agrees_with_sql(spark, name):
-    assert differences(spark, f"{DATA}/sf0.001", registry.QUERIES[name], registry.ORACLE_SQL[name]) == ""
+    assert differences(spark, f"{DATA}/sf0.01", registry.QUERIES[name], registry.ORACLE_SQL[name]) == ""
 
 
 @pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - set(registry.ORACLE_SQL)))
