@@ -47,27 +47,32 @@ def extend(df: DataFrame, keys: Sequence[str], frame: str, significance: str, st
     return out.groupBy(*keys).agg(F.coalesce(F.min(own), F.first(start)).alias("frame_start"), F.coalesce(F.max(own), F.first(end)).alias("frame_end"), F.count(own).alias("n_detections"))
 
 
-def significance(df: DataFrame, keys: Sequence[str], time: str, value: str, start: str, end: str, buffer, base) -> DataFrame:
+def significance(df: DataFrame, keys: Sequence[str], time: str, value: str, start: str, end: str, buffer, base, sign: str | None = None) -> DataFrame:
     """Compare the samples of an event with a baseline around it.
 
     Baseline: samples nearer than ``base`` to the event but beyond ``buffer`` of
     it (both strict). Gives the greatest and mean significance, the peak and its
     time, the baseline's median and population deviation, and whether it is flat
     (slope, median and deviation small); fewer than two baseline samples: null.
+    Where ``sign`` is negative the peak is the least sample and significance the
+    absolute value.
     """
     t, v = F.col(time), F.col(value)
+    up = F.col(sign) >= 0 if sign else F.lit(True)
     inside = t.between(F.col(start), F.col(end))
     near = (t > F.col(start) - base) & (t < F.col(end) + base)
     off = (t < F.col(start) - buffer) | (t > F.col(end) + buffer)
     b = F.when(near & off, v)
     agg = df.groupBy(*keys).agg(
         F.count(b).alias("n_base"), F.median(b).alias("base_median"), F.stddev_pop(b).alias("base_std"), F.regr_slope(b, F.when(near & off, t)).alias("slope"),
-        F.max(F.when(inside, v)).alias("peak"), F.avg(F.when(inside, v)).alias("mean"), F.min_by(F.when(inside, t), F.when(inside, F.struct(-v, t))).alias("peak_time"),
+        F.avg(F.when(inside, v)).alias("mean"), F.min(F.when(inside, F.struct(F.when(up, -v).otherwise(v).alias("v"), t.alias("t"), v.alias("own")))).alias("_p"), F.min(up).alias("_up"),
     )
+    agg = agg.withColumns({"peak": F.col("_p.own"), "peak_time": F.col("_p.t")})
     sigma = F.when((F.col("n_base") >= 2) & (F.col("base_std") > 0), F.col("base_std"))
     med = F.when(F.col("n_base") >= 2, F.col("base_median"))
     flat = (F.abs(F.col("slope")) / sigma < 2) & (F.abs(med) < sigma) & (sigma < 5)
-    return agg.select(*keys, "n_base", "peak", "peak_time", ((F.col("peak") - med) / sigma).alias("sig_max"), ((F.col("mean") - med) / sigma).alias("sig_mean"), F.coalesce(flat, F.lit(False)).cast("int").alias("lc_flat"))
+    signed = lambda c: F.when(F.col("_up"), (F.col(c) - med) / sigma).otherwise(F.abs((F.col(c) - med) / sigma))
+    return agg.select(*keys, "n_base", "peak", "peak_time", signed("peak").alias("sig_max"), signed("mean").alias("sig_mean"), F.coalesce(flat, F.lit(False)).cast("int").alias("lc_flat"))
 
 
 def cadence(df: DataFrame, keys: Sequence[str], time: str) -> DataFrame:
