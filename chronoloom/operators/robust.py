@@ -6,14 +6,95 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from chronoloom.sources.shared import materialize
+
 MAD_TO_SIGMA = 1.4826
 
 
+#: Values of a group that one task may hold at once, and the shares at which larger groups are cut.
+HELD = 1 << 16
+CUTS = 256
+
+
+def has_large(df: DataFrame, keys: Sequence[str], value: str, held: int = HELD) -> bool:
+    """Whether a group has more than ``held`` values."""
+    return not df.groupBy(*keys).agg(F.count(value).alias("_n")).filter(F.col("_n") > held).isEmpty()
+
+
+def quantile(df: DataFrame, keys: Sequence[str], value: str, share: float = 0.5, out: str = "median", count: str = "n", held: int = HELD, large: bool | None = None) -> DataFrame:
+    """Exact quantile of each group, interpolated between neighbours: ``(*keys, out, count)``; nulls and NaN are left out.
+
+    Groups of up to ``held`` values are aggregated at once (all, if the caller
+    knows that none is larger: ``large`` False). In larger ones a sketch, which
+    tasks merge, gives cuts; counts tell the two cuts between which the rank lies;
+    and only what lies there is looked at again, until few values or one are left.
+    Cuts only steer, counts make the result exact.
+    """
+    v = F.col(value).cast("double")
+    rows = df.select(*keys, F.when(~F.isnan(v), v).alias("_v"))
+    if not keys:
+        return quantile(rows.withColumn("_all", F.lit(0)), ["_all"], "_v", share, out, count, held, large).drop("_all")
+    keys = list(keys)
+    if large is None:
+        large = has_large(rows, keys, "_v", held)
+    if not large:
+        return rows.groupBy(*keys).agg(F.percentile("_v", F.lit(share)).alias(out), F.count("_v").alias(count))
+    sizes = materialize(rows.groupBy(*keys).agg(F.count("_v").alias(count)), "sizes")
+    at = (F.col(count) - 1) * F.lit(share)
+    # k0, k1: ranks (from 0, among the values still looked at) of the two neighbours, null once v0, v1 are known; part: how far the quantile lies between.
+    unknown, k = F.lit(None).cast("double"), F.floor(at).cast("long")
+    state = sizes.filter(F.col(count) > 0).select(*keys, k.alias("k0"), F.least(k + 1, F.col(count) - 1).alias("k1"), unknown.alias("v0"), unknown.alias("v1"), (at - k).alias("part"), F.col(count).alias("m"))
+    small, state = state.filter(F.col("m") <= held), materialize(state.filter(F.col("m") > held), "ranks")
+    rows = rows.filter("_v is not null")
+    parts = [_joined(rows, small.select(*keys), keys).groupBy(*keys).agg(F.percentile("_v", F.lit(share)).alias(out))]
+    rows = _joined(rows, state.select(*keys), keys)
+    between = (F.col("v0") + (F.col("v1") - F.col("v0")) * F.col("part")).alias(out)
+    while not state.isEmpty():
+        cuts = rows.groupBy(*keys).agg(F.percentile_approx("_v", [i / CUTS for i in range(CUTS + 1)], 100 * CUTS).alias("_c"), F.min("_v").alias("lo"), F.max("_v").alias("hi"))
+        first, last = F.coalesce("k0", "k1"), F.coalesce("k1", "k0")
+        low, high = F.floor(first / F.col("m") * CUTS).cast("int") - 1, F.ceil((last + 1) / F.col("m") * CUTS).cast("int") + 1
+        a = F.when(low <= 0, F.col("lo")).otherwise(F.get("_c", F.greatest(low, F.lit(0))))
+        b = F.when(high >= CUTS, F.col("hi")).otherwise(F.get("_c", F.least(high, F.lit(CUTS))))
+        steer = materialize(_joined(cuts, state, keys).select(*state.columns, a.alias("a"), b.alias("b"), "lo", "hi"), "cuts")
+        up_to = [F.count_if(F.col("_v") <= F.col(c)).alias(f"to_{c}") for c in ("a", "b", "lo")] + [F.count_if(F.col("_v") < F.col(c)).alias(f"under_{c}") for c in ("a", "b", "hi")]
+        seen = _joined(rows, steer.select(*keys, "a", "b", "lo", "hi"), keys).groupBy(*keys).agg(*up_to)
+        seen = _joined(steer, seen, keys)
+        good = (F.col("under_a") <= first) & (last < F.col("to_b"))
+        pick = lambda yes, no: F.when(good, F.col(yes)).otherwise(F.col(no))
+        seen = seen.withColumns({"_a": pick("a", "lo"), "_b": pick("b", "hi"), "_from": pick("to_a", "to_lo"), "_to": pick("under_b", "under_hi")})
+        value = lambda i: F.coalesce(f"v{i}", F.when(F.col(f"k{i}") < F.col("_from"), F.col("_a")).when(F.col(f"k{i}") >= F.col("_to"), F.col("_b")))
+        seen = seen.withColumns({"v0": value(0), "v1": value(1)}).withColumns({f"k{i}": F.when(F.col(f"v{i}").isNull(), F.col(f"k{i}") - F.col("_from")) for i in (0, 1)})
+        seen = materialize(seen.select(*keys, "k0", "k1", "v0", "v1", "part", (F.col("_to") - F.col("_from")).alias("m"), "_a", "_b"), "ranges")
+        known = F.col("k0").isNull() & F.col("k1").isNull()
+        parts.append(seen.filter(known).select(*keys, between))
+        open_ = seen.filter(~known)
+        near = _joined(rows, open_.select(*keys, "m", "_a", "_b"), keys).filter("_v > _a and _v < _b").select(*keys, "m", "_v")
+        lists = near.filter(F.col("m") <= held).groupBy(*keys).agg(F.array_sort(F.collect_list("_v")).alias("_l"))  # at most ``held`` values
+        listed = _joined(open_, lists, keys)
+        parts.append(listed.withColumns({f"v{i}": F.coalesce(f"v{i}", F.get("_l", F.col(f"k{i}").cast("int"))) for i in (0, 1)}).select(*keys, between))
+        state = open_.filter(F.col("m") > held).drop("_a", "_b")
+        rows = materialize(near.filter(F.col("m") > held).select(*keys, "_v"), "values")
+    found = parts[0]
+    for p in parts[1:]:
+        found = found.unionByName(p)
+    return _joined(sizes, found, keys, "left").select(*keys, out, count)
+
+
+def _joined(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Joined where all keys are equal, nulls to each other."""
+    named = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    on = F.lit(True)
+    for k in keys:
+        on = on & left[k].eqNullSafe(named[f"_r_{k}"])
+    return left.join(named, on, how).drop(*[f"_r_{k}" for k in keys])
+
+
 def mad_by_group(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Median, 1.4826 times the median absolute deviation, and count; nulls are left out."""
-    med = df.groupBy(*keys).agg(F.median(value).alias("median"), F.count(value).alias("n"))
-    dev = df.join(med, list(keys)).groupBy(*keys).agg((F.median(F.abs(F.col(value) - F.col("median"))) * MAD_TO_SIGMA).alias("sigma"))
-    return med.join(dev, list(keys))
+    large = has_large(df, keys, value)
+    med = quantile(df, keys, value, large=large)
+    apart = df.join(med, list(keys)).withColumn("_d", F.abs(F.col(value) - F.col("median")))
+    return med.join(quantile(apart, keys, "_d", out="_mad", count="_n", large=large).select(*keys, (F.col("_mad") * MAD_TO_SIGMA).alias("sigma")), list(keys))
 
 
 def linear_median(c: Column) -> Column:
@@ -21,15 +102,27 @@ def linear_median(c: Column) -> Column:
     return 2.5 * F.log10(F.median(F.pow(F.lit(10.0), 0.4 * c)))
 
 
+def flux_median(df: DataFrame, keys: Sequence[str], value: str, out: str, large: bool | None = None) -> DataFrame:
+    """``linear_median`` of groups of any size, with their count ``n``."""
+    flux = df.withColumn("_flux", F.pow(F.lit(10.0), 0.4 * F.col(value)))
+    return quantile(flux, keys, "_flux", out="_q", large=large).select(*keys, (2.5 * F.log10("_q")).alias(out), "n")
+
+
 def sigma_clip(df: DataFrame, keys: Sequence[str], value: str, sigma: float, passes: int, out: str = "kept") -> DataFrame:
     """Mark values within ``sigma`` population deviations of the median of those kept so far, ``passes`` times.
 
     The bound is strict, so a group without deviation keeps nothing. Each pass is
     an aggregate and a join back.
     """
+    large = has_large(df, keys, value)
     out_df = df.withColumn(out, F.col(value).isNotNull())
     for _ in range(passes):
-        stat = out_df.filter(out).groupBy(*keys).agg(F.median(value).alias("_med"), F.stddev_pop(value).alias("_std"))
+        kept = out_df.filter(out)
+        std = F.stddev_pop(value).alias("_std")
+        if large:
+            stat = quantile(kept, keys, value, out="_med").drop("n").join(kept.groupBy(*keys).agg(std), list(keys))
+        else:
+            stat = kept.groupBy(*keys).agg(F.median(value).alias("_med"), std)
         near = F.abs(F.col(value) - F.col("_med")) < sigma * F.col("_std")
         out_df = out_df.join(stat, list(keys), "left").withColumn(out, F.col(out) & F.coalesce(near, F.lit(False))).drop("_med", "_std")
     return out_df
@@ -82,10 +175,14 @@ def binned_zeropoint(df: DataFrame, keys: Sequence[str], magnitude: str, zeropoi
     """
     d = df.withColumn("bin", F.floor(F.col(magnitude) / width).cast("long"))
 
+    large = has_large(d, keys, zeropoint)
+
     def robust(by: list[str]) -> DataFrame:
-        med = d.groupBy(*by).agg(linear_median(F.col(zeropoint)).alias("zp"), F.count(zeropoint).alias("n"), F.stddev_pop(zeropoint).alias("_std"))
-        dev = d.join(med.select(*by, "zp"), by).groupBy(*by).agg((F.median(F.abs(F.col(zeropoint) - F.col("zp"))) * MAD_TO_SIGMA).alias("_mad"))
-        return med.join(dev, by).select(*by, "zp", "n", F.when(F.col("_mad") > 0, F.col("_mad")).otherwise(F.col("_std")).alias("scatter"))
+        med = flux_median(d, by, zeropoint, "zp", large)
+        apart = d.join(med.select(*by, "zp"), by).withColumn("_d", F.abs(F.col(zeropoint) - F.col("zp")))
+        dev = quantile(apart, by, "_d", out="_q", count="_n", large=large).select(*by, (F.col("_q") * MAD_TO_SIGMA).alias("_mad"))
+        std = d.groupBy(*by).agg(F.stddev_pop(zeropoint).alias("_std"))
+        return med.join(dev, by).join(std, by).select(*by, "zp", "n", F.when(F.col("_mad") > 0, F.col("_mad")).otherwise(F.col("_std")).alias("scatter"))
 
     bins = robust([*keys, "bin"]).filter(F.col("n") >= least)
     w = F.when(F.col("scatter") > 0, F.col("n") / F.pow("scatter", 2))
@@ -113,6 +210,8 @@ def median_offset(df: DataFrame, keys: Sequence[str], dx: str, dy: str, box: flo
 def zeropoint_series(df: DataFrame, keys: Sequence[str], zeropoint: str) -> DataFrame:
     """For each group (a detector and sector, or a sector) the median over fluxes, 1.4826 times the deviation of the values from their median, and the count."""
     own = df.filter(F.col(zeropoint).isNotNull() & ~F.isnan(F.col(zeropoint).cast("double")))
-    mid = own.groupBy(*keys).agg(linear_median(F.col(zeropoint)).alias("zp"), F.median(zeropoint).alias("_m"), F.count("*").alias("n"))
-    dev = own.join(mid.select(*keys, "_m"), list(keys)).groupBy(*keys).agg((F.median(F.abs(F.col(zeropoint) - F.col("_m"))) * MAD_TO_SIGMA).alias("scatter"))
+    large = has_large(own, keys, zeropoint)
+    mid = flux_median(own, keys, zeropoint, "zp", large).join(quantile(own, keys, zeropoint, out="_m", large=large).drop("n"), list(keys))
+    apart = own.join(mid.select(*keys, "_m"), list(keys)).withColumn("_d", F.abs(F.col(zeropoint) - F.col("_m")))
+    dev = quantile(apart, keys, "_d", out="_q", count="_n", large=large).select(*keys, (F.col("_q") * MAD_TO_SIGMA).alias("scatter"))
     return mid.drop("_m").join(dev, list(keys))

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from chronoloom.functions import sky
 from chronoloom.operators.components import connected_components
+from chronoloom.sources.shared import drop_shared, materialize
 
 
 def _cell(c: Column, size: float) -> Column:
@@ -82,27 +83,32 @@ def groups(points: DataFrame, radius: float, id_col: str, least: int = 1, x: str
 
 
 def brightest_first(df: DataFrame, keys: Sequence[str], radius: float, flux: str, order: str, x: str = "x", y: str = "y") -> DataFrame:
-    """Drop points near a brighter kept one, brightest first; each group of ``keys`` (a frame) in one pandas call.
+    """Drop points within ``radius`` of a brighter kept one of their ``keys`` (a frame), brightest first, ties by ``order`` (unique in a frame).
 
-    The choice depends on its own earlier choices, so it is done in order within a frame.
+    Rounds of joins, for all frames at once: points without an undecided brighter
+    neighbour stay, their neighbours go. Only points with neighbours take part,
+    and of points in one place only the brightest. Missing flux comes last;
+    points without a place have no neighbours.
     """
-    import numpy as np
-    import pandas as pd
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values([flux, order], ascending=[False, True])
-        kept: dict[tuple[int, int], list[tuple[float, float]]] = {}
-        keep = []
-        for px, py in zip(pdf[x].to_numpy(), pdf[y].to_numpy()):
-            cx, cy = int(np.floor(px / radius)), int(np.floor(py / radius))
-            near = (p for i in (-1, 0, 1) for j in (-1, 0, 1) for p in kept.get((cx + i, cy + j), ()))
-            ok = not any((px - a) ** 2 + (py - b) ** 2 <= radius * radius for a, b in near)
-            keep.append(ok)
-            if ok:
-                kept.setdefault((cx, cy), []).append((px, py))
-        return pdf[keep]
-
-    return df.groupBy(*keys).applyInPandas(run, df.schema)
+    keys, node = list(keys), F.struct(*keys, order)
+    bright = F.struct(F.coalesce(-F.col(flux), F.lit(float("inf"))).alias("f"), F.col(order).alias("o"))
+    places = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(*keys, x, y).agg(F.min(bright).alias("b")).select(*keys, x, y, F.col("b.f").alias("f"), F.col("b.o").alias(order))
+    pairs = within(places, places, radius, x, y, keys=keys).filter(F.struct("l_f", f"l_{order}") < F.struct("r_f", f"r_{order}"))
+    edges = materialize(pairs.select(F.struct(*[F.col(f"l_{c}").alias(c) for c in [*keys, order]]).alias("u"), F.struct(*[F.col(f"r_{c}").alias(c) for c in [*keys, order]]).alias("v")), "pairs")
+    gone = []
+    while not edges.isEmpty():
+        kept = edges.select("u").distinct().join(edges.select(F.col("v").alias("u")).distinct(), "u", "left_anti")
+        out = materialize(edges.join(kept, "u", "left_semi").select("v").distinct(), "gone")
+        gone.append(out)
+        left = edges.join(kept, "u", "left_anti").join(out.withColumnRenamed("v", "u"), "u", "left_anti").join(out, "v", "left_anti").select("u", "v")
+        new = materialize(left, "pairs")
+        drop_shared(edges)
+        edges = new
+    stay = places.select(node.alias("v"))
+    for out in gone:
+        stay = stay.join(out, "v", "left_anti")
+    nowhere = df.filter(F.col(x).isNull() | F.col(y).isNull())
+    return df.withColumn("v", node).join(stay, "v", "left_semi").select(*df.columns).unionByName(nowhere)
 
 
 def cone(catalogue: DataFrame, ra0: float, dec0: float, radius: float, ra: str = "ra", dec: str = "dec") -> DataFrame:

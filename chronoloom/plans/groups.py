@@ -86,14 +86,17 @@ def _zeropoints(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 
 @query("select l_partkey, count(*) as n, round(quantile_cont(l_extendedprice, 0.68), 4) as p68, round(quantile_cont(l_extendedprice, 0.05), 4) as p05 from lineitem group by 1")
 def percentiles(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "lineitem").groupBy("l_partkey").agg(F.count("*").alias("n"), r(F.percentile("l_extendedprice", F.lit(0.68)), 4).alias("p68"), r(F.percentile("l_extendedprice", F.lit(0.05)), 4).alias("p05"))
+    li = table(spark, d, "lineitem")
+    large = robust.has_large(li, ["l_partkey"], "l_extendedprice")
+    high, low = (robust.quantile(li, ["l_partkey"], "l_extendedprice", p, out=out, large=large) for p, out in ((0.68, "p68"), (0.05, "p05")))
+    return high.join(low.drop("n"), "l_partkey").select("l_partkey", "n", r("p68", 4).alias("p68"), r("p05", 4).alias("p05"))
 
 
 @query("""with s as (select l_suppkey, floor(4 * log10(l_extendedprice)) as b, abs(l_discount - 0.05) as r from lineitem)
 select cast(b as bigint) as b, count(*) as n, round(quantile_cont(r, 0.68), 6) as spread from s group by 1""")
 def log_binned_spread(spark: SparkSession, d: str) -> DataFrame:
     li = table(spark, d, "lineitem").select(F.floor(4 * F.log10("l_extendedprice")).cast("long").alias("b"), F.abs(F.col("l_discount") - 0.05).alias("r"))
-    return li.groupBy("b").agg(F.count("*").alias("n"), r(F.percentile("r", F.lit(0.68))).alias("spread"))
+    return robust.quantile(li, ["b"], "r", 0.68, out="spread").select("b", "n", r("spread").alias("spread"))
 
 
 @query("""with f as (select l_linenumber as frame, l_returnflag || l_linestatus as block, median(l_quantity) as m from lineitem group by 1, 2), p as (select block, quantile_cont(m, 0.5) as lim from f group by 1),
@@ -103,7 +106,7 @@ def best_frames(spark: SparkSession, d: str) -> DataFrame:
     from pyspark.sql import Window
 
     li = table(spark, d, "lineitem").select(F.col("l_linenumber").alias("frame"), F.concat("l_returnflag", "l_linestatus").alias("block"), "l_quantity")
-    f = li.groupBy("frame", "block").agg(F.median("l_quantity").alias("m"))
+    f = robust.quantile(li, ["frame", "block"], "l_quantity", out="m").drop("n")
     p = f.groupBy("block").agg(F.percentile("m", F.lit(0.5)).alias("lim"))
     s = f.join(p, "block").groupBy("frame").agg(F.sum("m").alias("score"), F.bool_and(F.col("m") <= F.col("lim")).alias("ok"))
     return s.withColumn("k", F.row_number().over(Window.orderBy(F.desc("ok"), "score", "frame")))  # one row for each frame number
