@@ -109,38 +109,6 @@ def gaussian_score(df: DataFrame, keys: Sequence[str], time: str, flux: str) ->
     return df.select(*keys, time, flux).groupBy(*keys).applyInPandas(run, schema)
 
 
-def fourier_period(df: DataFrame, keys: Sequence[str], time: str, value: str, periods: int = 400, order: int = 3) -> DataFrame:
-    """Best period of each series by least squares over a grid of frequencies, its power, and the ratios and phases of harmonics."""
-    schema = ", ".join(f"`{k}` {dict(df.dtypes)[k]}" for k in keys) + ", period double, power double, r21 double, r31 double, phi21 double, phi31 double"
-
-    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.dropna(subset=[time, value]).sort_values(time)
-        t, v = pdf[time].to_numpy(dtype=float), pdf[value].to_numpy(dtype=float)
-        row: dict = dict(zip(keys, key)) | dict.fromkeys(("period", "power", "r21", "r31", "phi21", "phi31"))
-        if len(t) >= 3 + 2 * order and v.std() > 0 and t[-1] > t[0]:
-            u = v - v.mean()
-            span = t[-1] - t[0]
-            freq = np.linspace(1 / span, min(len(t) / (2 * span), 50 / span), periods)
-            phase = 2 * np.pi * freq[:, None] * t
-            c, s = np.cos(phase), np.sin(phase)
-            cc, ss, cs = (c * c).sum(1), (s * s).sum(1), (c * s).sum(1)
-            uc, us = c @ u, s @ u
-            det = np.maximum(cc * ss - cs * cs, 1e-12)
-            power = (uc * uc * ss + us * us * cc - 2 * uc * us * cs) / det / (u @ u)
-            best = int(power.argmax())
-            w = 2 * np.pi * freq[best]
-            basis = np.column_stack([np.ones(len(t)), *[g(k * w * t) for k in range(1, order + 1) for g in (np.cos, np.sin)]])
-            x = np.linalg.lstsq(basis, v, rcond=None)[0]
-            amp = [np.hypot(x[2 * k - 1], x[2 * k]) for k in range(1, order + 1)]
-            phi = [np.arctan2(-x[2 * k], x[2 * k - 1]) for k in range(1, order + 1)]
-            row |= {"period": 1 / freq[best], "power": float(power[best])}
-            if amp[0] > 0:
-                row |= {"r21": amp[1] / amp[0], "r31": amp[2] / amp[0], "phi21": (phi[1] - 2 * phi[0]) % (2 * np.pi), "phi31": (phi[2] - 3 * phi[0]) % (2 * np.pi)}
-        return pd.DataFrame([row])
-
-    return df.select(*keys, time, value).groupBy(*keys).applyInPandas(run, schema)
-
-
 def line(df: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFrame:
     """Slope, intercept and root mean square residual of a straight line per group, as aggregates."""
     a, b = F.regr_slope(y, x), F.regr_intercept(y, x)

@@ -1,11 +1,11 @@
-"""Queries whose models SQL can't express; they are tested against numpy and planted truth."""
+"""Queries of models and periods; where SQL can't express them they are tested against numpy and planted truth."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from chronoloom.operators import detect, fit
-from chronoloom.plans.registry import query, table
+from chronoloom.operators import detect, fit, periods
+from chronoloom.plans.registry import query, r, table
 
 
 @query()
@@ -23,10 +23,30 @@ def gauss_r2(spark: SparkSession, d: str) -> DataFrame:
     return fit.gaussian_score(daily, ["user_id"], "day", "flux")
 
 
+def _hours(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "events").withColumn("hour", F.expr("timestampdiff(microsecond, timestamp_ntz'2024-01-01 00:00:00', ts)") / 3600e6)
+
+
 @query()
 def fourier_period(spark: SparkSession, d: str) -> DataFrame:
-    hour = F.expr("timestampdiff(microsecond, timestamp_ntz'2024-01-01 00:00:00', ts)") / 3600e6
-    return fit.fourier_period(table(spark, d, "events").withColumn("hour", hour), ["user_id"], "hour", "value")
+    return periods.fourier_period(_hours(spark, d), ["user_id"], "hour", "value")
+
+
+@query("""with ev as (select user_id, (epoch_us(ts) - epoch_us(timestamp '2024-01-01')) / 3600e6 as hour, value from events),
+s as (select user_id, count(*) as n, min(hour) as t0, max(hour) - min(hour) as span, avg(value) as mean, var_pop(value) as var from ev group by 1 having count(*) >= 9 and max(hour) > min(hour) and var_pop(value) > 0),
+f as (select user_id, unnest(range(cast(floor((n / 2.0 - 1) * 2) as bigint) + 1)) as k from s),
+p as (select user_id, k, n, var, 1 / span + k / (span * 2) as frequency, 2 * pi() * (1 / span + k / (span * 2)) * (hour - t0) as x, value - mean as u from ev join s using (user_id) join f using (user_id)),
+q as (select user_id, k, any_value(n) as n, any_value(var) as var, any_value(frequency) as frequency, sum(u * cos(x)) as uc, sum(u * sin(x)) as us, sum(cos(x) ** 2) as cc, sum(sin(x) ** 2) as ss, sum(sin(x) * cos(x)) as cs from p group by 1, 2)
+select user_id, k, round(frequency, 6) as frequency, round((uc * uc * ss + us * us * cc - 2 * uc * us * cs) / (cc * ss - cs * cs) / (n * var), 6) as power from q""")
+def periodogram(spark: SparkSession, d: str) -> DataFrame:
+    out = periods.periodogram(_hours(spark, d), ["user_id"], "hour", "value", oversample=2)
+    return out.withColumns({"frequency": r("frequency"), "power": r("power")})
+
+
+@query()
+def periodogram_peaks(spark: SparkSession, d: str) -> DataFrame:
+    """Peaks of each user's periodogram, in signals and harmonics."""
+    return periods.peaks(periods.periodogram(_hours(spark, d), ["user_id"], "hour", "value"), ["user_id"])
 
 
 @query()

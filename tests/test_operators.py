@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F, types as T
 
 from chronoloom.functions import photometry, sky, values
-from chronoloom.operators import clusters, detect, filters, fit, resolve, rollup, series, spatial
+from chronoloom.operators import clusters, detect, filters, fit, periods, resolve, rollup, series, spatial
 from chronoloom.operators.components import connected_components
 from chronoloom.sources import files
 from chronoloom.sources.shared import materialize
@@ -129,7 +129,7 @@ def test_period_and_gaussian(spark):
     t = np.sort(np.random.default_rng(4).uniform(0, 40, 200))
     rows = [("p", float(x), float(np.sin(2 * np.pi * x / 3.7))) for x in t] + [("g", float(x), float(5 * np.exp(-0.5 * ((x - 20) / 3) ** 2))) for x in t]
     df = spark.createDataFrame(rows, "k string, t double, v double")
-    assert abs({r.k: r.period for r in fit.fourier_period(df, ["k"], "t", "v", periods=2000).collect()}["p"] - 3.7) < 0.05
+    assert abs({r.k: r.period for r in periods.fourier_period(df, ["k"], "t", "v").collect()}["p"] - 3.7) < 0.05
     score = {r.k: r.gaussian_score for r in fit.gaussian_score(df, ["k"], "t", "v").collect()}
     assert score["g"] > 0.99 > 0.5 > score["p"]
 
