@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from chronoloom.operators.components import connected_components
+from chronoloom.sources.shared import materialize
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -87,6 +88,43 @@ def shared_ids(df: DataFrame, keys: Sequence[str], ids: str, out: str = "codes")
     return df.join(lists, keys, "left").withColumn(out, F.coalesce(out, F.array().cast("array<int>"))).select(*df.columns, out)
 
 
+def hand_down(events: DataFrame, id_col: str, start: str, end: str, resolution: str, group: str, wide_group: str, moving: str, width: float) -> DataFrame:
+    """``(id, origin)``: the ids that each event has from finer resolutions, its own where nothing finer reached it in time.
+
+    Bounds are counted in bins of the event's own ``resolution``. An event hands
+    what it has to the coarser ones of its ``group`` that it overlaps, with a slack of
+    the coarser bin; a ``moving`` one to those of its ``wide_group``. Groups are worked
+    through in order, each from fine to coarse: what comes from a later group
+    comes late and isn't handed on. The loop is over resolutions, which are few.
+    """
+    names = {id_col: "id", group: "g", wide_group: "w", resolution: "b", moving: "m"}
+    e = events.select(*[F.col(c).alias(n) for c, n in names.items()], (F.col(start) * F.col(resolution)).alias("s"), (F.col(end) * F.col(resolution)).alias("e"))
+    bucket = lambda c: F.floor(c / width).cast("long")
+    fine = e.select(*[F.col(c).alias(f"f_{c}") for c in e.columns]).withColumn("_b", F.explode(F.sequence(bucket(F.col("f_s")), bucket(F.col("f_e")))))
+    coarse = e.withColumn("_b", F.explode(F.sequence(bucket(F.col("s") - F.col("b")), bucket(F.col("e") + F.col("b")))))
+    over = (F.col("f_b") < F.col("b")) & (F.col("f_s") <= F.col("e") + F.col("b")) & (F.col("f_e") >= F.col("s") - F.col("b")) & ((F.col("f_g") == F.col("g")) | F.col("f_m"))
+    met = fine.join(coarse, (fine["f_w"] == coarse["w"]) & (fine["_b"] == coarse["_b"])).filter(over)
+    edges = materialize(met.select(F.col("f_id").alias("source"), "id", "b", (F.col("f_g") <= F.col("g")).alias("early")).distinct(), "edges")
+    had = []
+    for level in sorted(r[0] for r in e.select("b").distinct().collect()):
+        own = e.filter(F.col("b") == level).select("id")
+        now = own.select("id", F.col("id").alias("origin"))
+        if had:
+            before = had[0]
+            for h in had[1:]:
+                before = before.union(h)
+            came = edges.filter(F.col("early") & (F.col("b") == level)).join(before.select(F.col("id").alias("source"), "origin"), "source").select("id", "origin").distinct()
+            now = came.union(now.join(came.select("id").distinct(), "id", "left_anti"))
+        had.append(materialize(now, "origins"))
+    if not had:
+        return e.select("id", F.col("id").alias("origin")).withColumnRenamed("id", id_col)
+    every = had[0]
+    for h in had[1:]:
+        every = every.union(h)
+    late = edges.filter(~F.col("early")).join(every.select(F.col("id").alias("source"), "origin"), "source").select("id", "origin")
+    return every.union(late).distinct().withColumnRenamed("id", id_col)
+
+
 def link_resolutions(events: DataFrame, keys: Sequence[str], id_col: str, start: str, end: str, resolution: str, width: float) -> DataFrame:
     """Events of one object at different resolutions whose intervals overlap (with a slack of the coarser bin) form a group.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from chronoloom.operators import filters, spatial
+from chronoloom.operators import crossmatch, filters, spatial
 from chronoloom.plans.registry import query, r, table
 
 CLASSES = ("VCR", "vrrlyr", "VEB", "VLPV", "Junk", "VAGN", "CosmicRay", "VMSO", "RRLyrae", "Asteroid", "-")
@@ -178,3 +178,46 @@ def many_cones(spark: SparkSession, d: str) -> DataFrame:
 def sky_nearest(spark: SparkSession, d: str) -> DataFrame:
     centres, cat = _sky(spark, d)
     return spatial.sky_nearest(cat, centres, 7.0, "id", ["id"]).select(F.col("l_id").alias("id"), F.col("r_id").alias("centre"), r("separation").alias("separation"))
+
+
+MATCH = """with e as (select c_custkey as id, c_custkey * 7919 % 36000 / 100.0 as ra, c_custkey * 104729 % 16001 / 100.0 - 80 as dec, (c_custkey % 7 + 1) * (c_custkey % 3 + 1) / 6.0 as ra_err, (c_custkey % 5 + 1) / 4.0 as dec_err, """ + f"{CLASS_SQL}[c_custkey % 11 + 1]" + """ as classification from customer),
+c as (select s_suppkey as ordinal, 'S' || s_suppkey as source, s_suppkey * 6133 % 36000 / 100.0 as ra, s_suppkey * 99991 % 16001 / 100.0 - 80 as dec, case when s_suppkey % 3 > 0 then s_suppkey * 17 % 90 / 10.0 end as rpmag, case when s_suppkey % 4 > 0 then s_suppkey * 13 % 80 / 10.0 end as gmag, 'V' || s_suppkey % 5 as type from supplier),
+"""
+
+
+def _matches(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    k, s = F.col("c_custkey"), F.col("s_suppkey")
+    e = table(spark, d, "customer").select(k.alias("id"), (k * 7919 % 36000 / 100.0).alias("ra"), (k * 104729 % 16001 / 100.0 - 80).alias("dec"), ((k % 7 + 1) * (k % 3 + 1) / 6.0).alias("ra_err"), ((k % 5 + 1) / 4.0).alias("dec_err"), _pick("c_custkey", CLASSES).alias("classification"))
+    c = table(spark, d, "supplier").select(
+        s.alias("ordinal"), F.concat(F.lit("S"), s).alias("source"), (s * 6133 % 36000 / 100.0).alias("ra"), (s * 99991 % 16001 / 100.0 - 80).alias("dec"), F.when(s % 3 > 0, s * 17 % 90 / 10.0).alias("rpmag"), F.when(s % 4 > 0, s * 13 % 80 / 10.0).alias("gmag"),
+        F.concat(F.lit("V"), s % 5).alias("type"))
+    return e, c
+
+
+@query(MATCH + """j as (select e.id, c.*, ((c.ra - e.ra + 180) % 360 + 360) % 360 - 180 as dra, c.dec - e.dec as ddec, e.dec as lat, ra_err, dec_err from e, c where e.classification not in ('Asteroid', 'CosmicRay', 'Junk')),
+k as (select *, dra * cos(radians(lat)) / ra_err as a, ddec / dec_err as b from j), i as (select * from k where abs(a) < 3 and abs(b) < 3 and sqrt(a * a + b * b) <= 3),
+n as (select id, source, row_number() over (partition by id order by rpmag asc nulls last, case when rpmag is null then gmag end asc nulls last, ordinal) as n from i)
+select e.id, coalesce(n.source, '-') as gaia_id from e left join n on e.id = n.id and n.n = 1""")
+def star_ellipses(spark: SparkSession, d: str) -> DataFrame:
+    """The brightest star in each event's own error ellipse."""
+    return crossmatch.match_stars(*_matches(spark, d), "id").select("id", "gaia_id")
+
+
+@query(MATCH + """n as (select e.id, c.type, row_number() over (partition by e.id order by ordinal) as n from e, c where classification not in ('Asteroid', 'CosmicRay', 'Junk') and abs(c.ra - e.ra) < 3 * ra_err and abs(c.dec - e.dec) < 3 * dec_err)
+select e.id, coalesce(n.type, e.classification) as classification from e left join n on e.id = n.id and n.n = 1""")
+def variable_boxes(spark: SparkSession, d: str) -> DataFrame:
+    """Classes overwritten by the first variable in each event's box."""
+    return crossmatch.match_variables(*_matches(spark, d), "id").select("id", "classification")
+
+
+@query(MATCH + """t as (select ordinal % 4 as cat, ordinal as id, ra, dec, type from c union all select 4 + id % 4, id, ra, dec, null from e),
+s(id1, cat1, near, other) as (select x.id, x.cat, y.cat, y.id from t x, t y where y.cat < x.cat and degrees(2 * asin(sqrt(least(1.0, power(sin(radians(y.dec - x.dec) / 2), 2) + cos(radians(x.dec)) * cos(radians(y.dec)) * power(sin(radians(y.ra - x.ra) / 2), 2))))) <= 1.5),
+k0 as (select cat, id from t where cat = 0),
+""" + ", ".join(f"k{i} as (select * from k{i - 1} union all select cat, id from t where cat = {i} and not exists (select 1 from s join k{i - 1} k on s.near = k.cat and s.other = k.id where s.cat1 = {i} and s.id1 = t.id))" for i in range(1, 8)) + """
+select k.cat, k.id, t.type from k7 k join t on k.cat = t.cat and k.id = t.id""")
+def folded_catalogues(spark: SparkSession, d: str) -> DataFrame:
+    """Eight catalogues, each without what is in those before."""
+    e, c = _matches(spark, d)
+    parts = [c.filter(F.col("ordinal") % 4 == i).select(F.lit(i).alias("cat"), F.col("ordinal").alias("id"), "ra", "dec", "type") for i in range(4)]
+    parts += [e.filter(F.col("id") % 4 == i).select(F.lit(4 + i).alias("cat"), "id", "ra", "dec") for i in range(4)]
+    return crossmatch.fold_catalogues([*parts[:2], None, *parts[2:]], 1.5).select("cat", "id", "type")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from chronoloom.functions import values as v
-from chronoloom.operators import filters, resolve, rollup, series
+from chronoloom.operators import filters, resolve, rollup, series, spatial
 from chronoloom.plans.registry import query, r, table
 
 #: Frames of a user's events that belong together lie at most so many minutes apart.
@@ -285,6 +285,31 @@ def link_resolutions(spark: SparkSession, d: str) -> DataFrame:
     return resolve.link_resolutions(e, ["user_id"], "event_id", "s", "e", "b", 720.0).select("event_id", "group")
 
 
+BINS = FRAMES + """, h as (select event_id as id, user_id, [1, 4, 24][event_id % 3 + 1] as b, user_id * 10 + [0.0, 0.5, 1.9, 2.4][event_id % 4 + 1] as x, event_id % 5 = 0 as m, frame // 60 as hour from ev),
+i as (select *, hour // b as s, hour // b + id % 3 as e, min(id) over (partition by user_id, id % 4 < 2) as g, min(id) over (partition by user_id) as w from h),
+ed as (select f.id as source, c.id, c.b, f.g <= c.g as early from i f join i c on f.w = c.w and f.b < c.b and f.s * f.b <= c.e * c.b + c.b and f.e * f.b >= c.s * c.b - c.b and (f.g = c.g or f.m)),
+o1 as (select id, id as origin from i where b = 1), c4 as (select distinct ed.id, origin from ed join o1 on source = o1.id where early and b = 4), o4 as (select * from c4 union all select id, id from i where b = 4 and id not in (select id from c4)),
+p4 as (select * from o1 union all select * from o4), c24 as (select distinct ed.id, origin from ed join p4 on source = p4.id where early and b = 24), o24 as (select * from c24 union all select id, id from i where b = 24 and id not in (select id from c24)),
+p as (select * from p4 union all select * from o24), handed as (select * from p union select ed.id, origin from ed join p on source = p.id where not early)
+"""
+
+
+@query(BINS + """, n as (select origin, dense_rank() over (order by origin) as code from (select origin from handed group by 1 having count(*) > 1)),
+l as (select id, string_agg(cast(code as varchar), ',' order by code) as codes from handed join n using (origin) group by 1)
+select i.id, coalesce(codes, '') as codes from i left join l using (id)""")
+def crossbin_ids(spark: SparkSession, d: str) -> DataFrame:
+    """Ids handed from fine to coarse resolutions within places one and two apart, those of a single event left out."""
+    k = F.col("event_id")
+    pick = lambda values, i: F.element_at(F.array(*map(F.lit, values)), (i + 1).cast("int"))
+    e = frames(spark, d).select(k.alias("id"), pick((1, 4, 24), k % 3).alias("b"), (F.col("user_id") * 10 + pick((0.0, 0.5, 1.9, 2.4), k % 4)).alias("x"), F.lit(0.0).alias("y"), (k % 5 == 0).alias("m"), F.expr("div(frame, 60)").alias("hour"))
+    e = e.withColumn("s", F.expr("div(hour, b)")).withColumn("e", F.col("s") + F.col("id") % 3)
+    near = spatial.groups(e, 1.0, "id").withColumnRenamed("group", "g")
+    both = spatial.groups(near, 2.0, "id").withColumnRenamed("group", "w")
+    origins = resolve.hand_down(both, "id", "s", "e", "b", "g", "w", "m", 48.0)
+    lists = both.select("id").join(origins.groupBy("id").agg(F.collect_set("origin").alias("ids")), "id")
+    return resolve.shared_ids(lists, ["id"], "ids").select("id", F.array_join("codes", ",").alias("codes"))
+
+
 @query("""with k as (select *, row_number() over (partition by user_id order by value desc, event_id) as k from events) select user_id, event_id, value, cast(k as int) as k from k where k <= 3""")
 def top_events(spark: SparkSession, d: str) -> DataFrame:
     w = Window.partitionBy("user_id").orderBy(F.desc("value"), "event_id")
