@@ -9,8 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-def least_squares(model: Callable, x: np.ndarray, y: np.ndarray, sigma: np.ndarray, start: Sequence[float], low: Sequence[float], high: Sequence[float], rounds: int = 100) -> tuple[np.ndarray, np.ndarray, float]:
-    """Levenberg-Marquardt within bounds: parameters, their errors, chi-square."""
+def least_squares(model: Callable, x: np.ndarray, y: np.ndarray, sigma: np.ndarray, start: Sequence[float], low: Sequence[float], high: Sequence[float], rounds: int = 100, slopes: Callable | None = None) -> tuple[np.ndarray, np.ndarray, float]:
+    """Levenberg-Marquardt within bounds: parameters, their errors, chi-square. ``slopes`` gives the model's derivatives, a column a parameter."""
     p, lo, hi = (np.array(v, dtype=float) for v in (start, low, high))
     p = np.clip(p, lo, hi)
     damp = 1e-2
@@ -18,15 +18,19 @@ def least_squares(model: Callable, x: np.ndarray, y: np.ndarray, sigma: np.ndarr
     chi = float(r @ r)
     jac = np.empty((len(x), len(p)))
     for _ in range(rounds):
-        for k in range(len(p)):
-            h = 1e-6 * max(1.0, abs(p[k]))
-            q = p.copy()
-            q[k] = q[k] + h if q[k] + h <= hi[k] else q[k] - h
-            jac[:, k] = (model(x, *q) - model(x, *p)) / (q[k] - p[k]) / sigma
+        if slopes:
+            jac = slopes(x, *p) / sigma[:, None]
+        else:
+            here = model(x, *p)
+            for k in range(len(p)):
+                h = 1e-6 * max(1.0, abs(p[k]))
+                q = p.copy()
+                q[k] = q[k] + h if q[k] + h <= hi[k] else q[k] - h
+                jac[:, k] = (model(x, *q) - here) / (q[k] - p[k]) / sigma
         a, g = jac.T @ jac, jac.T @ r
         better = False
         for _ in range(12):
-            step = np.linalg.lstsq(a + damp * np.diag(np.diag(a) + 1e-12), g, rcond=None)[0]
+            step = np.linalg.solve(a + damp * np.diag(np.diag(a) + 1e-12), g)
             q = np.clip(p + step, lo, hi)
             s = (y - model(x, *q)) / sigma
             new = float(s @ s)
@@ -44,6 +48,14 @@ def bazin(t: np.ndarray, height: float, t0: float, rise: float, fall: float, off
     return height * np.exp(np.clip(-u / fall, -50, 50)) / (1 + np.exp(np.clip(-u / rise, -50, 50))) + offset
 
 
+def bazin_slopes(t: np.ndarray, height: float, t0: float, rise: float, fall: float, offset: float) -> np.ndarray:
+    """Derivatives of ``bazin`` by its parameters."""
+    u = t - t0
+    back = np.exp(np.clip(-u / rise, -50, 50))
+    shape, share = np.exp(np.clip(-u / fall, -50, 50)) / (1 + back), back / (1 + back)
+    return np.column_stack([shape, height * shape * (1 / fall - share / rise), -height * shape * share * u / rise**2, height * shape * u / fall**2, np.ones_like(t)])
+
+
 def bazin_shape(height: float, t0: float, rise: float, fall: float, points: int = 6000) -> dict[str, float | None]:
     """Ratio of fall to rise, peak, its offset from t0, width at half maximum, times from and to half maximum, and the area; null without a positive height, rise and fall."""
     out: dict[str, float | None] = dict.fromkeys(("tau_ratio", "peak", "t_peak_off", "fwhm", "rise_time", "decay_time", "fluence"))
@@ -58,38 +70,70 @@ def bazin_shape(height: float, t0: float, rise: float, fall: float, points: int
     return out | {"peak": float(f[k]), "t_peak_off": float(t[k] - t0), "fwhm": float(half[-1] - half[0]), "rise_time": float(t[k] - half[0]), "decay_time": float(half[-1] - t[k]), "fluence": float(np.trapezoid(f, t))}
 
 
-BAZIN_COLUMNS = "fit_ok boolean, A double, A_err double, t0 double, tau_rise double, tau_rise_err double, tau_fall double, tau_fall_err double, offset double, A_snr double, redchi2 double, delta_bic double, n_region int, tau_ratio double, peak double, t_peak_off double, fwhm double, rise_time double, decay_time double, fluence double"
+BAZIN_COLUMNS = "fit_ok boolean, A double, A_err double, t0 double, tau_rise double, tau_rise_err double, tau_fall double, tau_fall_err double, offset double, A_snr double, redchi2 double, delta_chi2 double, delta_bic double, redchi2_region double, n_region int, tau_ratio double, peak double, t_peak_off double, fwhm double, rise_time double, decay_time double, fluence double"
 
 
-def fit_bazin(df: DataFrame, keys: Sequence[str], time: str, flux: str, error: str | None = None, least: int = 6) -> DataFrame:
-    """Fit rise and fall to each group's light curve and compare with a constant (delta_bic under 0: the profile is better).
+def _spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Groups dealt over all tasks: fits take time whatever their bytes, so small partitions must not be joined into one."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
-    Groups with fewer than ``least`` points give ``fit_ok`` false and nulls. A
-    group is one event's light curve, which is bounded by the event's window.
+
+def fit_bazin(df: DataFrame, keys: Sequence[str], time: str, flux: str, error: str | None = None, least: int = 6, window: tuple[str, str] | None = None, durations: float = 3.0, baseline: str | None = None, above: float = 0.05) -> DataFrame:
+    """Fit rise and fall to each group's light curve and compare with its offset alone (delta_bic under 0: the profile is better).
+
+    ``window`` names the columns of an event's start and end: points up to
+    ``durations`` times its length (a cadence at least) about its middle are
+    fitted. ``baseline`` names a column with an offset that is held. delta_chi2 and delta_bic are
+    over the region where the profile exceeds ``above`` of its peak or the event
+    lies, or all points if those are under three. Groups with fewer than ``least`` points to fit give ``fit_ok``
+    false and nulls; points without a positive error are left out. A group is
+    one event's light curve, which is bounded by the event's window.
     """
     schema = ", ".join(f"`{k}` {dict(df.dtypes)[k]}" for k in keys) + ", " + BAZIN_COLUMNS
     names = [c.split()[0] for c in BAZIN_COLUMNS.split(", ")]
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         row = dict.fromkeys(names) | {"fit_ok": False} | dict(zip(keys, key))
-        pdf = pdf.dropna(subset=[time, flux]).sort_values(time)
+        pdf = pdf.dropna(subset=[time, flux, *([error] if error else [])]).sort_values(time)
+        if error:
+            pdf = pdf[pdf[error] > 0]
+        inside = None
+        if window and len(pdf):
+            start, end = (float(pdf[c].iloc[0]) for c in window)
+            t = pdf[time].to_numpy(dtype=float)
+            half = durations * max(end - start, float(np.median(np.diff(t))) if len(t) > 1 else 0.0) / 2
+            pdf = pdf[np.abs(t - (start + end) / 2) <= half]
+            inside = pdf[time].between(start, end).to_numpy()
+        held = float(pdf[baseline].iloc[0]) if baseline and len(pdf) and pdf[baseline].iloc[0] is not None else None
         if len(pdf) >= least:
             t, f = pdf[time].to_numpy(dtype=float), pdf[flux].to_numpy(dtype=float)
             spread = 1.4826 * np.median(np.abs(f - np.median(f)))
             e = pdf[error].to_numpy(dtype=float) if error else np.full(len(f), spread if spread > 0 else max(f.std(), 1e-9))
             span = max(float(t[-1] - t[0]), 1e-9)
             step = max(float(np.median(np.diff(t))), span / 1000)
-            base, top = float(np.median(f)), int(f.argmax())
+            base, top = float(np.median(f)) if held is None else held, int(f.argmax())
             low = [0, t[0] - span, step / 10, step / 10, f.min() - 1]
             high = [20 * max(f.max() - base, 1e-9), t[-1] + span, span, 2 * span, f.max() + 1]
-            p, err, chi = least_squares(bazin, t, f, e, [max(f[top] - base, 1e-9) * 1.5, t[top], step, 3 * step, base], low, high)
-            flat = float((((f - np.average(f, weights=e**-2)) / e) ** 2).sum())
-            n = len(t)
-            row |= {"fit_ok": True, "A": p[0], "A_err": err[0], "t0": p[1], "tau_rise": p[2], "tau_rise_err": err[2], "tau_fall": p[3], "tau_fall_err": err[3], "offset": p[4], "A_snr": p[0] / err[0] if err[0] > 0 else None, "redchi2": chi / max(n - 5, 1), "delta_bic": chi + 5 * np.log(n) - flat - np.log(n), "n_region": n}
+            first = [max(f[top] - base, 1e-9) * 1.5, t[top], step, 3 * step, base]
+            if held is None:
+                p, err, chi = least_squares(bazin, t, f, e, first, low, high, slopes=bazin_slopes)
+            else:
+                p, err, chi = least_squares(lambda x, *q: bazin(x, *q, held), t, f, e, first[:4], low[:4], high[:4], slopes=lambda x, *q: bazin_slopes(x, *q, held)[:, :4])
+                p = [*p, held]
+            n, free = len(t), 5 if held is None else 4
+            bump = bazin(t, *p) - p[4]
+            region = bump > above * bump.max() if bump.max() > 0 else np.zeros(n, dtype=bool)
+            region = region | inside if inside is not None else region
+            region = region if region.sum() >= 3 else np.ones(n, dtype=bool)
+            chi_region, flat = (float((((f - m) / e)[region] ** 2).sum()) for m in (bump + p[4], p[4]))
+            many = int(region.sum())
+            row |= {"fit_ok": True, "A": p[0], "A_err": err[0], "t0": p[1], "tau_rise": p[2], "tau_rise_err": err[2], "tau_fall": p[3], "tau_fall_err": err[3], "offset": p[4], "A_snr": p[0] / err[0] if err[0] > 0 else None, "redchi2": chi / max(n - free, 1)}
+            row |= {"delta_chi2": flat - chi_region, "delta_bic": chi_region - flat + 4 * np.log(many), "redchi2_region": chi_region / (many - 5) if many > 5 else None, "n_region": many}
             row |= bazin_shape(p[0], p[1], p[2], p[3])
         return pd.DataFrame([row])[[*keys, *names]]
 
-    return df.select(*keys, time, flux, *([error] if error else [])).groupBy(*keys).applyInPandas(run, schema)
+    wanted = list(dict.fromkeys([*keys, time, flux, *([error] if error else []), *(window or ()), *([baseline] if baseline else [])]))
+    return _spread(df.select(*wanted), keys).groupBy(*keys).applyInPandas(run, schema)
 
 
 def gaussian_score(df: DataFrame, keys: Sequence[str], time: str, flux: str) -> DataFrame:
@@ -106,7 +150,7 @@ def gaussian_score(df: DataFrame, keys: Sequence[str], time: str, flux: str) ->
             score = max(0.0, 1 - chi / float(((f - f.mean()) ** 2).sum()))
         return pd.DataFrame([dict(zip(keys, key)) | {"gaussian_score": score}])
 
-    return df.select(*keys, time, flux).groupBy(*keys).applyInPandas(run, schema)
+    return _spread(df.select(*keys, time, flux), keys).groupBy(*keys).applyInPandas(run, schema)
 
 
 def line(df: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFrame:

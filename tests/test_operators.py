@@ -279,3 +279,24 @@ def test_hard_filter_needs_objects(spark):
     ev = spark.createDataFrame([(1, "-", "Star")], "objid int, gaia_id string, classification string")
     with pytest.raises(ValueError):
         filters.filter_events(ev, star_free="hard")
+
+
+def test_bazin_slopes_are_the_models(spark):
+    t, p = np.linspace(-3, 40, 60), [3.0, 8.0, 1.2, 6.0, 0.5]
+    for k in range(5):
+        up, down = ([v + d * (i == k) * 1e-6 for i, v in enumerate(p)] for d in (1, -1))
+        assert np.allclose(fit.bazin_slopes(t, *p)[:, k], (fit.bazin(t, *up) - fit.bazin(t, *down)) / 2e-6, atol=1e-5)
+
+
+def test_bazin_window_baseline_and_region(spark):
+    t = np.arange(0, 200, 1.0)
+    rng = np.random.default_rng(9)
+    f = fit.bazin(t, 30.0, 100.0, 1.5, 8.0, 4.0) + rng.normal(0, 0.3, len(t)) + np.where(np.abs(t - 30) < 3, 500.0, 0.0)  # another event far off
+    rows = [(1, float(a), float(b), 0.3 if i % 50 else -1.0, 95.0, 120.0, 4.0) for i, (a, b) in enumerate(zip(t, f))]
+    df = spark.createDataFrame(rows, "k int, t double, f double, e double, s double, z double, c double")
+    r = fit.fit_bazin(df, ["k"], "t", "f", "e", window=("s", "z"), baseline="c").collect()[0]
+    assert r.fit_ok and r.offset == 4.0 and abs(r.A - 30) < 1.5 and abs(r.tau_fall - 8) < 0.5 and 0.6 < r.redchi2 < 1.5
+    assert 25 <= r.n_region <= 40 and r.delta_chi2 > 1000 and abs(r.delta_bic + r.delta_chi2 - 4 * np.log(r.n_region)) < 1e-6
+    free = fit.fit_bazin(df, ["k"], "t", "f", "e", window=("s", "z")).collect()[0]
+    assert abs(free.offset - 4) < 0.3 and abs(free.A - 30) < 1.5
+    assert not fit.fit_bazin(df.filter("t < 5"), ["k"], "t", "f", "e", window=("s", "z")).collect()[0].fit_ok
