@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import io
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -12,18 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 def read_arrays(spark: SparkSession, path: str) -> DataFrame:
     """``.npy`` cubes as ``(path, frame, ny, nx, img)``: one row for each frame, images flat in rows."""
+    from chronoloom.sources.cubes import read_cubes
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for p, data in zip(b["path"], b["content"]):
-                cube = np.load(io.BytesIO(data), allow_pickle=False)
-                cube = cube[None] if cube.ndim == 2 else cube
-                for at in range(0, len(cube), 64):
-                    part = cube[at : at + 64]
-                    yield pd.DataFrame({"path": p, "frame": range(at, at + len(part)), "ny": part.shape[1], "nx": part.shape[2], "img": list(part.reshape(len(part), -1).astype(np.float32))})
-
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.npy").option("recursiveFileLookup", True).load(path)
-    return files.select("path", "content").mapInPandas(run, "path string, frame long, ny int, nx int, img array<float>")
+    return read_cubes(spark, path)
 
 
 def read_results(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
