@@ -40,6 +40,16 @@ def mjd(ts: Column) -> Column:
     return microseconds(ts) / 86400e6 + 40587.0
 
 
+def iso_of_mjd(days: Column) -> Column:
+    """``YYYY-MM-DDTHH:MM:SS.fff`` (UTC) of a modified Julian date, to the nearest millisecond (a double holds about a microsecond)."""
+    whole = F.lit(86_400_000)
+    millis = F.round((days - 40587.0) * 86400e3).cast("long")
+    rest = F.pmod(millis, whole)
+    day = F.date_add(F.lit("1970-01-01").cast("date"), ((millis - rest) / whole).cast("int"))
+    part = lambda size, most: F.pmod(F.floor(rest / size), F.lit(most)).cast("int")
+    return F.format_string("%sT%02d:%02d:%02d.%03d", day.cast("string"), part(3_600_000, 24), part(60_000, 60), part(1000, 60), part(1, 1000))
+
+
 def mjd_of_stamp(c: Column) -> Column:
     """Modified Julian date of ``YYYYDDDHHMMSS`` (year, day of the year, time)."""
     days = F.datediff(F.make_date(F.substring(c, 1, 4).cast("int"), F.lit(1), F.lit(1)), F.lit("1970-01-01").cast("date"))

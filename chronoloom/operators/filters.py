@@ -92,12 +92,16 @@ def filter_events(
     total_events: tuple[int | None, int | None] = (None, None),
     flux_sign: int | None = None,
     centroid_error: float | None = None,
+    boundary_buffer: float | None = None,
+    boundaries: dict[int, Sequence[int]] | None = None,
 ) -> DataFrame:
     """Events that pass every condition given; one filter, so that it reaches the scan.
 
     star_free: True keeps events without a star, "hard" also drops those of
     objects with one (a semi join), False keeps those with one. frame_duration
     bounds are in frames of the finest bin. at_least: columns and thresholds.
+    boundary_buffer drops events that hold a frame as near (in frames of the finest
+    bin, cut to whole ones of their own) to one of their bin's ``boundaries``.
     """
     p = [F.col("classification") != c for c in exclude]
     if star_free is not None:
@@ -127,6 +131,11 @@ def filter_events(
         p.append(F.col("flux_sign") == flux_sign)
     if centroid_error is not None:
         p.append(F.pow("xcentroid_err", 2) + F.pow("ycentroid_err", 2) <= 2 * centroid_error**2)
+    if boundary_buffer is not None:
+        for size, frames in (boundaries or {}).items():
+            margin = int(boundary_buffer / size)
+            near = [(F.col("frame_start") <= f + margin) & (F.col("frame_end") >= f - margin) for f in frames]
+            p.append((F.col("frame_bin") != size) | ~reduce(lambda a, b: a | b, near, F.lit(False)))
     out = events.filter(all_of(p))
     if star_free == "hard":
         if objects is None:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from chronoloom.operators import crossmatch, filters, spatial
+from chronoloom.operators import crossmatch, filters, rollup, spatial
 from chronoloom.plans.registry import query, r, table
 
 CLASSES = ("VCR", "vrrlyr", "VEB", "VLPV", "Junk", "VAGN", "CosmicRay", "VMSO", "RRLyrae", "Asteroid", "-")
@@ -221,3 +221,26 @@ def folded_catalogues(spark: SparkSession, d: str) -> DataFrame:
     parts = [c.filter(F.col("ordinal") % 4 == i).select(F.lit(i).alias("cat"), F.col("ordinal").alias("id"), "ra", "dec", "type") for i in range(4)]
     parts += [e.filter(F.col("id") % 4 == i).select(F.lit(4 + i).alias("cat"), "id", "ra", "dec") for i in range(4)]
     return crossmatch.fold_catalogues([*parts[:2], None, *parts[2:]], 1.5).select("cat", "id", "type")
+
+
+@query(EVENTS + """, m as (select *, case when eventid % 19 > 0 then eventid * 53 % 211 / 7.0 end as image_sig_max, eventid * 3 as asteroid_id from et where objid % 3 > 0 or eventid % 71 = 0),
+b as (select *, row_number() over (partition by objid order by image_sig_max desc nulls last, eventid) as k, count(*) over (partition by objid) as n from m),
+c as (select objid, classification, row_number() over (partition by objid order by count(*) desc, classification) as k from m group by 1, 2),
+a as (select objid, min(frame_duration) as min_eventlength_frame, max(frame_duration) as max_eventlength_frame, min(mjd_duration) as min_eventlength_mjd, max(mjd_duration) as max_eventlength_mjd, cast(sum(distinct flux_sign) as bigint) as flux_sign from m group by 1)
+select b.objid, case when c.classification = 'RRLyrae' then 'VRRLyr' else c.classification end as classification, b.cut, b.gal_b, b.xcentroid_err, b.ycentroid_err, round(b.image_sig_max, 6) as image_sig_max, b.lc_sig_max, b.psf_like as psf_maxsig, b.gaia_id, b.frame_bin,
+  case when n < 2 and b.classification = 'Asteroid' then cast(b.asteroid_id as varchar) else '-' end as asteroid_id, a.* exclude (objid), n as n_events
+from b join c on b.objid = c.objid and c.k = 1 join a on a.objid = b.objid where b.k = 1""")
+def found_objects(spark: SparkSession, d: str) -> DataFrame:
+    """Objects of events, a third of them with few."""
+    e = event_table(spark, d).filter("objid % 3 > 0 or eventid % 71 = 0").withColumns({"image_sig_max": F.when(F.col("eventid") % 19 > 0, F.col("eventid") * 53 % 211 / 7.0), "asteroid_id": F.col("eventid") * 3})
+    return rollup.find_objects(e).withColumn("image_sig_max", r("image_sig_max"))
+
+
+@query(EVENTS + """, f as (select eventid, frame_bin, cast(floor(mjd_start * 1440) as bigint) // (60 * frame_bin) as frame_start, cast(floor(mjd_start * 1440) as bigint) // (60 * frame_bin) + eventid % 4 as frame_end, classification from et),
+g as (select unnest([1, 4, 24]) as size, unnest([[0, 360, 361, 719], [0, 90, 91, 179], [0, 15, 16, 29]]) as frames), h as (select size, unnest(frames) as edge from g)
+select eventid from f where classification <> 'Junk' and not exists (select 1 from h where size = frame_bin and frame_start <= edge + 50 // size and frame_end >= edge - 50 // size)""")
+def event_filter_boundary(spark: SparkSession, d: str) -> DataFrame:
+    """Events away from the ends and the break of the observations, in each bin's own frames."""
+    start = F.expr("div(cast(floor(mjd_start * 1440) as bigint), 60 * frame_bin)")
+    e = event_table(spark, d).withColumn("frame_start", start).withColumn("frame_end", F.col("frame_start") + F.col("eventid") % 4)
+    return filters.filter_events(e, boundary_buffer=50, boundaries={1: (0, 360, 361, 719), 4: (0, 90, 91, 179), 24: (0, 15, 16, 29)}).select("eventid")

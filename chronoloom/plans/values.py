@@ -155,3 +155,10 @@ def pixel_gather(spark: SparkSession, d: str) -> DataFrame:
 
     e = table(spark, d, "embeddings")
     return e.select("vec_id", pixel(F.col("embedding"), F.col("vec_id") % 5, F.col("vec_id") % 8, F.lit(8)).cast("double").alias("at"), pixel(F.col("embedding"), F.lit(3), F.lit(3), F.lit(8)).cast("double").alias("fixed"))
+
+
+@query("select event_id, strftime(date_trunc('second', ts), '%Y-%m-%dT%H:%M:%S') || '.000' as iso from events")
+def mjd_to_iso(spark: SparkSession, d: str) -> DataFrame:
+    """Whole seconds to days and back."""
+    ev = table(spark, d, "events").select("event_id", v.mjd(F.date_trunc("second", "ts")).alias("m"))
+    return ev.select("event_id", v.iso_of_mjd(F.col("m")).alias("iso"))
