@@ -12,7 +12,7 @@ MAD_TO_SIGMA = 1.4826
 
 
 #: Values of a group that one task may hold at once, and the shares at which larger groups are cut.
-HELD = 1 << 16
+HELD = 1 << 20
 CUTS = 256
 
 
