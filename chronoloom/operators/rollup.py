@@ -37,18 +37,18 @@ def objects_from_events(events: DataFrame, key: str, significance: str, order: s
 CARRIED = {
     "sector": "sector", "cam": "camera", "ccd": "ccd", "cut": "cut", "xcentroid": "xcentroid", "ycentroid": "ycentroid", "ra": "ra", "dec": "dec", "gal_l": "gal_l", "gal_b": "gal_b",
     "xcentroid_err": "xcentroid_err", "ycentroid_err": "ycentroid_err", "ra_err": "ra_err", "dec_err": "dec_err", "image_sig_max": "image_sig_max", "lc_sig_max": "lc_sig_max", "flux_maxsig": "flux_max",
-    "frame_maxsig": "frame_max", "mjd_maxsig": "mjd_max", "psf_maxsig": "psf_like", "gaia_id": "gaia_id", "frame_bin": "frame_bin", "TSS Catalogue": "TSS Catalogue",
+    "frame_maxsig": "frame_max", "mjd_maxsig": "mjd_max", "psf_maxsig": "psf_like", "gaia_id": "gaia_id", "frame_bin": "frame_bin",
 }
 
 
-def find_objects(events: DataFrame, key: str = "objid", significance: str = "image_sig_max", order: str = "eventid") -> DataFrame:
-    """One row an object: of its most significant event (first by ``order`` of equals; without significance last) the CARRIED columns that exist.
+def find_objects(events: DataFrame, key: str = "objid", significance: str = "image_sig_max", order: str = "eventid", more: Sequence[str] = ()) -> DataFrame:
+    """One row an object: of its most significant event (first by ``order`` of equals; without significance last) the CARRIED columns that exist, and ``more``.
 
     classification is the most frequent one (least of equals), RRLyrae written as
     VRRLyr; asteroid_id is that of an object whose only event is an Asteroid, else
     '-'. Shortest and longest durations, the sum of distinct signs and n_events are over all events.
     """
-    have = {out: name for out, name in CARRIED.items() if name in events.columns}
+    have = {out: name for out, name in (CARRIED | {c: c for c in more}).items() if name in events.columns}
     packed = F.struct(*[F.col(f"`{name}`").alias(out) for out, name in have.items()], F.col("classification").alias("_class"), *([F.col("asteroid_id").cast("string").alias("_asteroid")] if "asteroid_id" in events.columns else []))
     lengths = [f(c).alias(f"{f.__name__}_eventlength_{unit}") for unit, c in (("frame", "frame_duration"), ("mjd", "mjd_duration")) if c in events.columns for f in (F.min, F.max)]
     rank = F.struct(F.coalesce(significance, F.lit(float("-inf"))), -F.col(order))
