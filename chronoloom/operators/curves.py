@@ -12,10 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from chronoloom.functions import photometry
-
-
-def round_half_up(c: Column) -> Column:
-    return F.floor(c + 0.5).cast("long")
+from chronoloom.functions.values import round_half_up
 
 
 def window_bounds(start: Column, end: Column, n_frames: Column, buffer: int) -> tuple[Column, Column]:

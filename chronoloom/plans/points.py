@@ -6,8 +6,8 @@ import math
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from chronoloom.functions import sky
-from chronoloom.operators import spatial
+from chronoloom.functions import photometry, sky
+from chronoloom.operators import filters, spatial
 from chronoloom.plans.registry import query, r, table
 
 POINTS = """
@@ -182,3 +182,29 @@ def free_sites(spark: SparkSession, d: str) -> DataFrame:
 def brightest_first(spark: SparkSession, d: str) -> DataFrame:
     p = detections(spark, d).withColumn("frame", F.col("id") % 16)
     return spatial.brightest_first(p, ["frame"], 30.0, "mag", "id").select("frame", "id", "x", "y", "mag")
+
+
+@query(POINTS + "select id, x from stars where mag is not null and gmag is not null")
+def present_magnitudes(spark: SparkSession, d: str) -> DataFrame:
+    """Stars with both magnitudes."""
+    return stars(spark, d).filter(filters.present(["mag", "gmag"])).select("id", "x")
+
+
+@query(POINTS + "select id, case when gmag is null then 'none' else 'faint' end as kind from stars where gmag is null or gmag = 2.6")
+def equal_or_missing(spark: SparkSession, d: str) -> DataFrame:
+    """Stars whose second magnitude is missing, or a given one."""
+    s = stars(spark, d)
+    none = s.filter(filters.equals(F.col("gmag"), None)).select("id", F.lit("none").alias("kind"))
+    return none.union(s.filter(filters.equals(F.col("gmag"), 2.6)).select("id", F.lit("faint").alias("kind")))
+
+
+@query(POINTS + "select mag, id, x, y, gmag from stars")
+def fixed_order(spark: SparkSession, d: str) -> DataFrame:
+    """Columns in a fixed order, those that are absent passed over."""
+    return filters.ordered_columns(stars(spark, d), ["mag", "absent", "id"])
+
+
+@query("""select c_custkey, case ['counts', 'mag', 'mJy', 'cgs'][c_custkey % 4 + 1] when 'counts' then 'Counts (e/s)' when 'mag' then 'AB magnitude' else 'Flux (' || ['counts', 'mag', 'mJy', 'cgs'][c_custkey % 4 + 1] || ')' end as label from customer""")
+def unit_labels(spark: SparkSession, d: str) -> DataFrame:
+    unit = F.element_at(F.array(*map(F.lit, ("counts", "mag", "mJy", "cgs"))), (F.col("c_custkey") % 4 + 1).cast("int"))
+    return table(spark, d, "customer").select("c_custkey", photometry.unit_label(unit).alias("label"))
