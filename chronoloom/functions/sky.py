@@ -91,3 +91,57 @@ def circle(ra0: Column, dec0: Column, radius: float, n: int) -> Column:
         return F.struct((ra0 + radius * F.cos(a) / F.cos(F.radians(dec0))).alias("ra"), (dec0 + radius * F.sin(a)).alias("dec"))
 
     return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), vertex)
+
+
+def powers(order: int, least: int = 0) -> list[tuple[int, int]]:
+    """Exponents (i, j) of x^i y^j by degree from ``least`` to ``order``, x first within a degree."""
+    return [(n - j, j) for n in range(least, order + 1) for j in range(n + 1)]
+
+
+def raised(c: Column, n: int) -> Column:
+    """A small whole power by multiplication."""
+    out = F.lit(1.0) if n == 0 else c
+    for _ in range(n - 1):
+        out = out * c
+    return out
+
+
+def surface(coefficients: Column, x: Column, y: Column, order: int, least: int = 0) -> Column:
+    """Value of a polynomial whose coefficients are an array column by ``powers(order)``; terms under degree ``least`` are left out."""
+    return sum((F.get(coefficients, F.lit(k)) * raised(x, i) * raised(y, j) for k, (i, j) in enumerate(powers(order)) if i + j >= least), F.lit(0.0))
+
+
+def times_cd(x: Column, y: Column, head: Column) -> tuple[Column, Column]:
+    """Pixels from the reference pixel to degrees of the tangent plane, by the matrix ``cd11 cd12 cd21 cd22`` of a header."""
+    return head["cd11"] * x + head["cd12"] * y, head["cd21"] * x + head["cd22"] * y
+
+
+def over_cd(xi: Column, eta: Column, head: Column) -> tuple[Column, Column]:
+    """The inverse of ``times_cd``; null where the matrix has none."""
+    det = head["cd11"] * head["cd22"] - head["cd12"] * head["cd21"]
+    det = F.when(det != 0, det)
+    return (head["cd22"] * xi - head["cd12"] * eta) / det, (head["cd11"] * eta - head["cd21"] * xi) / det
+
+
+def undistorted(ra: Column, dec: Column, head: Column) -> tuple[Column, Column]:
+    """Where a position falls, in pixels from the reference pixel and before any distortion."""
+    return over_cd(*tangent_plane(ra, dec, head["crval1"], head["crval2"]), head)
+
+
+def pixel_to_sky(x: Column, y: Column, head: Column, order: int = 0) -> tuple[Column, Column]:
+    """Position of a pixel counted from 0. ``head`` is a struct with ``crval1 crval2 crpix1 crpix2 cd11 cd12 cd21 cd22`` and, if ``order`` is 2 or more, the distortion's arrays ``a`` and ``b`` by ``powers(order)``."""
+    u, v = x - (head["crpix1"] - 1), y - (head["crpix2"] - 1)
+    if order >= 2:
+        u, v = u + surface(head["a"], u, v, order, 2), v + surface(head["b"], u, v, order, 2)
+    return from_tangent_plane(*times_cd(u, v, head), head["crval1"], head["crval2"])
+
+
+def sky_to_pixel(ra: Column, dec: Column, head: Column, order: int = 0, rounds: int = 20) -> tuple[Column, Column]:
+    """The inverse of ``pixel_to_sky``: the distortion is taken off in rounds, which settle where it bends less than it spans."""
+    f, g = undistorted(ra, dec, head)
+    if order >= 2:
+        start = F.struct(f.alias("u"), g.alias("v"))
+        step = lambda s, _: F.struct((f - surface(head["a"], s["u"], s["v"], order, 2)).alias("u"), (g - surface(head["b"], s["u"], s["v"], order, 2)).alias("v"))
+        s = F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), start, step)
+        f, g = s["u"], s["v"]
+    return f + (head["crpix1"] - 1), g + (head["crpix2"] - 1)

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from chronoloom.sources.shared import materialize
+from chronoloom.sources.shared import drop_shared, materialize
 
 MAD_TO_SIGMA = 1.4826
 
@@ -215,3 +215,57 @@ def zeropoint_series(df: DataFrame, keys: Sequence[str], zeropoint: str) -> Data
     apart = own.join(mid.select(*keys, "_m"), list(keys)).withColumn("_d", F.abs(F.col(zeropoint) - F.col("_m")))
     dev = quantile(apart, keys, "_d", out="_q", count="_n", large=large).select(*keys, (F.col("_q") * MAD_TO_SIGMA).alias("scatter"))
     return mid.drop("_m").join(dev, list(keys))
+
+
+def within_cut(value: Column) -> Column:
+    """Whether a value lies within its group's last cut (columns ``centre``, ``reach``, ``strict`` of ``sigma_cut_loop``)."""
+    away = F.abs(value - F.col("centre"))
+    return F.coalesce((away < F.col("reach")) | ((away == F.col("reach")) & ~F.col("strict")), F.lit(False))
+
+
+def sigma_cut_loop(df: DataFrame, keys: Sequence[str], value: str, sigma: float = 3.0, first_percentile: float = 80.0, least: int = 3, passes: int = 10) -> DataFrame:
+    """Cut until nothing changes: ``(*keys, mean, stdev, n_kept, n_cut, centre, reach, strict)``, a row a group with values.
+
+    The first pass keeps what lies nearer to the median than ``first_percentile``
+    of the distances (the ``least`` nearest, with ties, if that leaves fewer; all of
+    a group of at most ``least``), and measures from the kept values' median, the
+    deviation corrected for small numbers. Later passes keep, of all values, those
+    within ``sigma`` deviations of the last mean. A group is done once a pass keeps
+    as many as the one before, its deviation is zero, or a pass would leave under
+    two values, which is then not taken. Nulls and NaN are left out.
+
+    Passes hand on one row a group, written to the shared folder; rows aren't copied.
+    """
+    keys = list(keys)
+    rows = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    large = has_large(rows, keys, "_v")
+    mid = materialize(quantile(rows, keys, "_v", out="centre", count="_all", large=large), "centres")
+    apart = _joined(rows, mid, keys).withColumn("_d", F.abs(F.col("_v") - F.col("centre")))
+    limit = quantile(apart, keys, "_d", first_percentile / 100, out="_l", count="_c", large=large).drop("_c")
+    under = _joined(apart, limit, keys).groupBy(*keys).agg(F.count_if(F.col("_d") < F.col("_l")).alias("_under"), F.first("_l").alias("_l"), F.first("centre").alias("centre"), F.first("_all").alias("_all"))
+    under = materialize(under, "limits")
+    few = under.filter((F.col("_under") < least) & (F.col("_all") > least)).select(*keys)
+    nearest = _joined(apart, few, keys).withColumn("_i", F.row_number().over(Window.partitionBy(*keys).orderBy("_d"))).filter(F.col("_i") <= least).groupBy(*keys).agg(F.max("_d").alias("_near"))
+    whole = F.col("_all") <= least
+    reach = F.when(whole, float("inf")).otherwise(F.coalesce("_near", "_l"))
+    start = _joined(under, nearest, keys, "left").select(*keys, "centre", reach.alias("reach"), (~whole & F.col("_near").isNull()).alias("strict"), "_all")
+    kept = _joined(rows, start, keys).filter(within_cut(F.col("_v"))).select(*keys, "_v")
+    first = quantile(kept, keys, "_v", out="mean", count="n_kept", large=large)
+    about = _joined(kept, first, keys).groupBy(*keys).agg(F.sum(F.pow(F.col("_v") - F.col("mean"), 2)).alias("_ss"))
+    n = F.col("n_kept")
+    spread = F.when(n > 1, F.sqrt(F.col("_ss") / (n - 1)) / c4(n))
+    state = _joined(_joined(start, first, keys), about, keys).withColumn("stdev", spread)
+    state = materialize(state.select(*keys, "mean", "stdev", "n_kept", "centre", "reach", "strict", "_all", (~F.coalesce(F.col("stdev") > 0, F.lit(False))).alias("_done")), "cut")
+    for _ in range(passes - 1):
+        if state.filter(~F.col("_done")).isEmpty():
+            break
+        inside = F.when(F.abs(F.col("_v") - F.col("mean")) <= sigma * F.col("stdev"), F.col("_v"))
+        seen = _joined(rows, state.filter(~F.col("_done")).select(*keys, "mean", "stdev"), keys).groupBy(*keys).agg(F.avg(inside).alias("_m"), F.stddev_samp(inside).alias("_s"), F.count(inside).alias("_n"))
+        took = F.coalesce(F.col("_n") >= 2, F.lit(False))
+        pick = lambda new, old: F.when(took, new).otherwise(F.col(old)).alias(old)
+        done = F.col("_done") | ~took | F.coalesce((F.col("_n") == n) | (F.col("_s") == 0), F.lit(False))
+        moved = _joined(state, seen, keys, "left").select(*keys, pick(F.col("_m"), "mean"), pick(F.col("_s"), "stdev"), pick(F.col("_n"), "n_kept"), pick(F.col("mean"), "centre"), pick(sigma * F.col("stdev"), "reach"), pick(F.lit(False), "strict"), "_all", done.alias("_done"))
+        old, state = state, materialize(moved, "cut")
+        drop_shared(old)
+    drop_shared(mid, under)
+    return state.select(*keys, "mean", "stdev", "n_kept", (F.col("_all") - n).alias("n_cut"), "centre", "reach", "strict")
