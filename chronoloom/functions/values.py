@@ -69,3 +69,33 @@ def frames_in_bin(seconds: Column, cadence_seconds: Column, at_least_one: bool)
     """Frames of a bin: rounded half up and possibly none, or half to even and at least one."""
     n = seconds / cadence_seconds
     return F.greatest(F.lit(1), F.bround(n).cast("int")) if at_least_one else F.floor(n + 0.5).cast("int")
+
+
+#: The published rational approximations of the normal quantile (AS 241), numerators and denominators from the constant up.
+NORMAL_QUANTILE = {
+    "middle": ((3.3871328727963666080, 133.14166789178437745, 1971.5909503065514427, 13731.693765509461125, 45921.953931549871457, 67265.770927008700853, 33430.575583588128105, 2509.0809287301226727), (1.0, 42.313330701600911252, 687.18700749205790830, 5394.1960214247511077, 21213.794301586595867, 39307.895800092710610, 28729.085735721942674, 5226.4952788528545610)),
+    "tail": ((1.42343711074968357734, 4.63033784615654529590, 5.76949722146069140550, 3.64784832476320460504, 1.27045825245236838258, 0.241780725177450611770, 0.0227238449892691845833, 7.74545014278341407640e-4), (1.0, 2.05319162663775882187, 1.67638483018380384940, 0.689767334985100004550, 0.148103976427480074590, 0.0151986665636164571966, 5.47593808499534494600e-4, 1.05075007164441684324e-9)),
+    "far": ((6.65790464350110377720, 5.46378491116411436990, 1.78482653991729133580, 0.296560571828504891230, 0.0265321895265761230930, 0.00124266094738807843860, 2.71155556874348757815e-5, 2.01033439929228813265e-7), (1.0, 0.599832206555887937690, 0.136929880922735805310, 0.0148753612908506148525, 7.86869131145613259100e-4, 1.84631831751005468180e-5, 1.42151175831644588870e-7, 2.04426310338993978564e-15)),
+}
+
+
+def horner(coefficients, x):
+    """A polynomial's value, coefficients from the constant up."""
+    out = coefficients[-1]
+    for c in coefficients[-2::-1]:
+        out = out * x + c
+    return out
+
+
+def tail_depth(p: Column) -> Column:
+    """How far out a share lies, as ``normal_quantile`` measures it."""
+    return F.sqrt(-F.ln(F.least(p, 1 - p)))
+
+
+def normal_quantile(p: Column, depth: Column | None = None) -> Column:
+    """The standard normal value below which a share ``p`` lies; null outside 0 < p < 1. A column that holds ``tail_depth(p)`` keeps the expression short."""
+    q = p - 0.5
+    r = tail_depth(p) if depth is None else depth
+    ratio = lambda part, x: horner(NORMAL_QUANTILE[part][0], x) / horner(NORMAL_QUANTILE[part][1], x)
+    tail = F.when(r <= 5, ratio("tail", r - 1.6)).otherwise(ratio("far", r - 5))
+    return F.when((p > 0) & (p < 1), F.when(F.abs(q) <= 0.425, q * ratio("middle", 0.180625 - q * q)).otherwise(F.signum(q) * tail))

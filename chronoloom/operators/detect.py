@@ -141,3 +141,45 @@ def annulus_deviation(img: Column, x: Column, y: Column, nx: int, ny: int, outer
     clip = lambda c, n: F.greatest(F.lit(0), F.least(F.lit(n - 1), c.cast("int")))
     values = F.transform(places, lambda k: F.get(img, clip(y + F.floor(k / side) - outer, ny) * nx + clip(x + k % side - outer, nx)).cast("double"))
     return F.when(x.isNotNull() & y.isNotNull(), _deviation(F.filter(values, lambda v: v.isNotNull() & ~F.isnan(v))))
+
+
+def bright_mask(img: Column, centre: int, level: float = 5.0, low: float = 3.0, high: float = 2.0, rounds: int = 10) -> Column:
+    """Indices of the pixels of a stacked stamp that stand ``level`` deviations over its clipped median.
+
+    The stamp is scaled so that its centre is 255, and capped there; median and
+    deviation are those of what lies between ``low`` deviations below and ``high``
+    above the median, cut up to ``rounds`` times. Null without a centre other than 0.
+    """
+    finite = lambda v: v.isNotNull() & ~F.isnan(v)
+    middle = F.get(img, F.lit(centre)).cast("double")
+    scaled = F.transform(img, lambda v: F.least(F.lit(255.0), v.cast("double") / middle * 255))
+    measure = lambda v: F.struct(_middle(v).alias("m"), _deviation(v).alias("s"))
+    step = lambda v, _: _bound(measure(v), lambda b: F.filter(v, lambda p: (p >= b["m"] - low * b["s"]) & (p <= b["m"] + high * b["s"])))
+
+    def marked(image: Column) -> Column:
+        kept = F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), F.filter(image, finite), step)
+        return _bound(measure(kept), lambda b: F.filter(F.sequence(F.lit(0), F.size(image) - 1), lambda k: finite(F.get(image, k)) & (F.get(image, k) > b["m"] + level * b["s"])))
+
+    return F.when(finite(middle) & (middle != 0), _bound(scaled, marked))
+
+
+def straight_lines(stamps: DataFrame, keys: Sequence[str], mask: str, side: int, votes: int = 10, shortest: int = 8, angles: int = 180) -> DataFrame:
+    """Lines through the marked pixels of each stamp: ``(*keys, angle, distance, votes, length)``.
+
+    ``mask`` lists marked pixels of a flat image ``side`` wide. A pixel votes, for
+    each of ``angles`` directions of the normal over half a turn, for the line at its
+    whole distance from the first pixel. A line counts with at least ``votes`` of them
+    and a run without gaps, along the axis that it follows more closely, over at least
+    ``shortest`` steps. All lines are tried, none drawn by chance. One grouping, with
+    partial counts; what a line gathers is at most one number a column or row.
+    """
+    turn = F.radians(F.col("angle") * (180.0 / angles))
+    x, y = F.col("_p") % side, F.floor(F.col("_p") / side).cast("int")
+    # A ten-millionth decides what falls on a half, whatever the last digit of the cosine.
+    distance = F.floor(x * F.cos(turn) + y * F.sin(turn) + 0.5 + 1e-7).cast("int")
+    along = F.when(F.sin(turn) > F.abs(F.cos(turn)) + 1e-7, x).otherwise(y).cast("int")
+    cast = stamps.select(*keys, F.explode(mask).alias("_p")).withColumn("angle", F.explode(F.sequence(F.lit(0), F.lit(angles - 1))))
+    lines = cast.select(*keys, "angle", distance.alias("distance"), along.alias("_a")).groupBy(*keys, "angle", "distance").agg(F.count("*").alias("votes"), F.array_sort(F.collect_set("_a")).alias("_at")).filter(F.col("votes") >= votes)
+    start = F.struct(F.lit(-2).alias("last"), F.lit(0).alias("run"), F.lit(0).alias("best"))
+    step = lambda s, a: _bound(F.when(a == s["last"] + 1, s["run"] + 1).otherwise(0), lambda n: F.struct(a.alias("last"), n.alias("run"), F.greatest(s["best"], n).alias("best")))
+    return lines.select(*keys, "angle", "distance", "votes", F.aggregate("_at", start, step, lambda s: s["best"]).alias("length")).filter(F.col("length") >= shortest)

@@ -7,10 +7,13 @@ divided beforehand at any gap wider than the session's.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from chronoloom.functions.values import horner, normal_quantile, tail_depth
+
 
 def sessions(df: DataFrame, keys: Sequence[str], time: str, gap, order: Sequence[str] = (), out: str = "eventid", first: int = 1) -> DataFrame:
     """Number the runs of rows that lie no more than ``gap`` apart, by ``time`` (ties by ``order``)."""
@@ -176,3 +179,29 @@ def masked_samples(samples: DataFrame, events: DataFrame, keys: Sequence[str], f
     cover = met(points, 0).groupBy(*keys, frame).agg(F.max(event).alias("_cover"))
     near = met(samples, reach).join(cover, [*keys, frame], "left")
     return near.filter(F.col("_cover").isNull() | (F.col("_cover") == F.col(event))).drop("_cover")
+
+
+def shapiro_w(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """How nearly each group's values follow a normal curve: ``(*keys, n, shapiro_w)``, the Shapiro-Wilk statistic by Royston's approximation (AS R94).
+
+    At most 1; null for fewer than three values or where all are equal. Nulls and
+    NaN are left out. Ranks and sums share one partitioning by the keys.
+    """
+    x, i, n = F.col("_v"), F.col("_i"), F.col("n")
+    rows = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(x.isNotNull() & ~F.isnan("_v"))
+    whole = Window.partitionBy(*keys)
+    # Sums run over values less the group's mean, so that large offsets don't cost digits.
+    rows = rows.withColumns({"_i": F.row_number().over(whole.orderBy("_v")), "n": F.count("*").over(whole), "_v": x - F.avg("_v").over(whole)})
+    rows = rows.withColumn("_p", (i - 0.375) / (n + 0.25)).withColumn("_t", tail_depth(F.col("_p"))).withColumn("_m", normal_quantile(F.col("_p"), F.col("_t")))
+    edge = F.when(n > 5, 2).otherwise(1)
+    inner = F.when((i > edge) & (i <= n - edge), F.col("_m") * x)
+    at = lambda k: F.max(F.when(i == k, x))
+    got = rows.groupBy(*keys, "n").agg(F.sum(x * x).alias("_ss"), F.sum(F.col("_m") * F.col("_m")).alias("_mm"), F.coalesce(F.sum(inner), F.lit(0.0)).alias("_in"), at(1).alias("_x1"), at(2).alias("_x2"), at(n - 1).alias("_y2"), at(n).alias("_y1"), F.max("_m").alias("_top"), F.max(F.when(i == n - 1, F.col("_m"))).alias("_next"))
+    u, top, next_ = 1 / F.sqrt(n), F.col("_top"), F.col("_next")
+    long = F.sqrt("_mm")
+    a1 = F.when(n == 3, math.sqrt(0.5)).otherwise(horner((0.0, 0.221157, -0.147981, -2.071190, 4.434685, -2.706056), u) + top / long)
+    a2 = horner((0.0, 0.042981, -0.293762, -1.752461, 5.682633, -3.582633), u) + next_ / long
+    phi = F.when(n > 5, (F.col("_mm") - 2 * top * top - 2 * next_ * next_) / (1 - 2 * a1 * a1 - 2 * a2 * a2)).otherwise((F.col("_mm") - 2 * top * top) / (1 - 2 * a1 * a1))
+    middle = F.when(n > 3, F.col("_in") / F.sqrt(phi)).otherwise(0.0)
+    b = middle + a1 * (F.col("_y1") - F.col("_x1")) + F.when(n > 5, a2 * (F.col("_y2") - F.col("_x2"))).otherwise(0.0)
+    return got.select(*keys, "n", F.when((n >= 3) & (F.col("_y1") > F.col("_x1")), F.least(F.lit(1.0), b * b / F.col("_ss"))).alias("shapiro_w"))

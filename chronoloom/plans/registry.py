@@ -31,4 +31,4 @@ def r(c: Column | str, digits: int = 6) -> Column:
     return F.round(F.col(c) if isinstance(c, str) else c, digits)
 
 
-from chronoloom.plans import assembly, astrometry, catalogue, curves, groups, models, more, points, series, tracks, values  # noqa: E402, F401
+from chronoloom.plans import assembly, astrometry, catalogue, curves, groups, models, more, points, regions, series, tracks, values  # noqa: E402, F401
