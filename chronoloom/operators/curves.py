@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from chronoloom.functions import photometry
-from chronoloom.functions.values import round_half_up
+from chronoloom.functions.values import known, round_half_up
 
 
 def window_bounds(start: Column, end: Column, n_frames: Column, buffer: int) -> tuple[Column, Column]:
@@ -24,8 +24,8 @@ def window_bounds(start: Column, end: Column, n_frames: Column, buffer: int) ->
     if buffer == -1:
         return F.lit(0).cast("long"), last.cast("long")
     low, high = F.greatest(round_half_up(start) - buffer, F.lit(0).cast("long")), F.least(round_half_up(end) + buffer + 1, last).cast("long")
-    known = start.isNotNull() & end.isNotNull()
-    return F.when(known, low), F.when(known, high)
+    both = start.isNotNull() & end.isNotNull()
+    return F.when(both, low), F.when(both, high)
 
 
 def event_light_curves(series: DataFrame, events: DataFrame, keys: Sequence[str], frame: str, n_frames: Column, buffer: int = 10, start: str = "frame_start", end: str = "frame_end", width: int = 64) -> DataFrame:
@@ -47,13 +47,71 @@ def box_error(noise: Column, radius: int = 1) -> Column:
     return float(2 * radius + 1) * noise
 
 
-def in_units(curves: DataFrame, zeropoints: DataFrame, keys: Sequence[str], unit: str, flux: str = "flux", error: str = "flux_err", zp: str = "zp_ab") -> DataFrame:
+def captured(prf: Column, x: Column, y: Column, side: int, radius: int = 1) -> Column:
+    """Share of a point source's light that falls into a box of (2 radius + 1)^2 pixels about the pixel nearest to it.
+
+    ``prf`` is the flat image, ``side`` wide (odd), of a source in the middle of its
+    central pixel; x and y are where in its pixel the source lies, from -0.5 to 0.5.
+    The image is moved there bilinearly and counts for 1 over the stamp. Null
+    without an image that adds up to something above zero.
+    """
+    mid = side // 2
+
+    def share(at: Column, off: Column, reach: int) -> Column:
+        """How much of a column (or row) of the image ends up within ``reach`` of the centre."""
+        first, part = F.floor(off), off - F.floor(off)
+        held = lambda moved: (F.abs(moved - mid) <= reach).cast("int")
+        return (1 - part) * held(at + first) + part * held(at + first + 1)
+
+    def moved(reach: int) -> Column:
+        light = lambda k: F.coalesce(known(F.get(prf, k)), F.lit(0.0)) * share(k % side, x, reach) * share(F.floor(k / side), y, reach)
+        return F.aggregate(F.sequence(F.lit(0), F.lit(side * side - 1)), F.lit(0.0), lambda s, k: s + light(k))
+
+    whole = moved(mid)
+    return F.when(F.size(prf) == side * side, moved(radius) / F.when(whole > 0, whole))
+
+
+def aperture_shares(objects: DataFrame, prfs: DataFrame, keys: Sequence[str], side: int, x: str = "xcentroid", y: str = "ycentroid", radius: int = 1, bucket: int = 100, out: str = "aperture") -> DataFrame:
+    """``objects`` with the share of light in their box: their detector's image for the part of it that they lie in.
+
+    ``prfs (*keys, bx, by, prf)`` holds an image for each part of ``bucket`` pixels;
+    parts without one leave the share null. Positions are the detector's.
+    """
+    part = lambda c: F.floor(F.col(c) / bucket).cast("long")
+    placed = objects.withColumns({"_bx": part(x), "_by": part(y)})
+    own = prfs.groupBy(*keys, F.col("bx").alias("_bx"), F.col("by").alias("_by")).agg(F.min("prf").alias("_prf"))
+    sub = lambda c: F.col(c) - round_half_up(F.col(c))
+    return placed.join(own, [*keys, "_bx", "_by"], "left").select(*objects.columns, captured(F.col("_prf"), sub(x), sub(y), side, radius).alias(out))
+
+
+def chosen_events(group: DataFrame, keys: Sequence[str], events: DataFrame | None = None, n: int | None = None) -> DataFrame:
+    """Events of a table to draw light curves of: those in ``events (objid, eventid)``, else the best ``n``, else all.
+
+    Best are the least ``delta_bic``, else the greatest ``stability`` (missing ones
+    last, ties by the keys), else the first by the keys. Without ``objid``,
+    ``eventid`` and the keys the table is refused.
+    """
+    need = dict.fromkeys([*keys, "objid", "eventid"])
+    missing = sorted(set(need) - set(group.columns))
+    if missing:
+        raise ValueError(f"the table is missing columns: {missing}")
+    if events is not None:
+        return group.join(events.select("objid", "eventid").distinct(), ["objid", "eventid"], "left_semi")
+    if n is None:
+        return group
+    first = [known(F.col("delta_bic")).asc_nulls_last()] if "delta_bic" in group.columns else [known(F.col("stability")).desc_nulls_last()] if "stability" in group.columns else []
+    return group.orderBy(*first, *need).limit(n)
+
+
+def in_units(curves: DataFrame, zeropoints: DataFrame, keys: Sequence[str], unit: str, flux: str = "flux", error: str = "flux_err", zp: str = "zp_ab", aperture: str | None = None) -> DataFrame:
     """Fluxes in ``unit`` by the zeropoint of their cut; counts where the cut has none. Adds ``units``.
 
     The first zeropoint of a cut (the least) counts, so a repeated one adds no rows.
+    ``aperture`` names a column with the share of the light that was summed (null: all).
     """
     own = zeropoints.groupBy(*keys).agg(F.min(zp).alias("_zp"))
-    value, err = photometry.convert_flux(F.col(flux), F.col(error), F.col("_zp"), F.lit(unit))
+    point = F.col("_zp") if aperture is None else F.col("_zp") + 2.5 * F.log10(F.coalesce(aperture, F.lit(1.0)))
+    value, err = photometry.convert_flux(F.col(flux), F.col(error), point, F.lit(unit))
     units = F.when(F.col("_zp").isNull(), "counts").otherwise(F.lit(unit))
     return curves.join(own, list(keys), "left").select(*[c for c in curves.columns if c not in (flux, error)], value.alias(flux), err.alias(error), units.alias("units"))
 

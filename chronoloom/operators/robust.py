@@ -269,3 +269,70 @@ def sigma_cut_loop(df: DataFrame, keys: Sequence[str], value: str, sigma: float
         drop_shared(old)
     drop_shared(mid, under)
     return state.select(*keys, "mean", "stdev", "n_kept", (F.col("_all") - n).alias("n_cut"), "centre", "reach", "strict")
+
+
+def error_cut_loop(df: DataFrame, keys: Sequence[str], value: str, error: str, sigma: float = 3.0, passes: int = 10) -> DataFrame:
+    """Inverse-variance means after cuts by each value's own error: ``(*keys, mean, mean_err, stdev, chi2_norm, n_kept, n_cut)``.
+
+    The first pass takes the median of all values; later ones keep, of all, those
+    within ``sigma`` of their own errors of the last result. A group is done once a
+    pass keeps the same rows, and fails (all null but the counts) where one keeps
+    none. A single value left has its own error and no deviation. Rows without a
+    value or a positive error are left out.
+    """
+    keys = list(keys)
+    number = lambda c: F.col(c).cast("double")
+    rows = df.select(*keys, number(value).alias("_v"), number(error).alias("_e")).filter((F.col("_e") > 0) & ~F.isnan("_e") & F.col("_v").isNotNull() & ~F.isnan("_v"))
+    mid = quantile(rows, keys, "_v", out="mean", count="_all")
+    none = F.lit(None).cast("double")
+    state = materialize(mid.select(*keys, "mean", none.alias("_before"), F.col("_all").alias("n_kept"), *[none.alias(c) for c in ("mean_err", "stdev", "chi2_norm")], "_all", F.lit(False).alias("_done")), "error-cut")
+    away = lambda c: F.abs(F.col("_v") - F.col(c)) <= sigma * F.col("_e")
+    for _ in range(passes - 1):
+        if state.filter(~F.col("_done")).isEmpty():
+            break
+        met = _joined(rows, state.filter(~F.col("_done")).select(*keys, "mean", "_before"), keys)
+        good, was = away("mean"), F.coalesce(away("_before"), F.lit(True))
+        w = F.when(good, 1 / (F.col("_e") * F.col("_e")))
+        got = met.groupBy(*keys).agg((F.sum(w * F.col("_v")) / F.sum(w)).alias("_m"), F.sqrt(1 / F.sum(w)).alias("_me"), F.stddev_samp(F.when(good, F.col("_v"))).alias("_s"), F.count(w).alias("_n"), F.count_if(good != was).alias("_changed"))
+        chi = _joined(met, got.select(*keys, "_m", "_n"), keys).groupBy(*keys).agg((F.sum(F.when(good, F.pow((F.col("_v") - F.col("_m")) / F.col("_e"), 2))) / F.when(F.max("_n") > 1, F.max("_n") - 1)).alias("_x"))
+        new = _joined(state, _joined(got, chi, keys), keys, "left")
+        pick = lambda fresh, old: F.when(F.col("_done"), F.col(old)).otherwise(fresh).alias(old)
+        several = lambda c: F.when(F.col("_n") > 1, F.col(c))
+        done = F.col("_done") | (F.col("_n") == 0) | (F.col("_changed") == 0)
+        moved = new.select(*keys, pick(F.col("_m"), "mean"), pick(F.col("mean"), "_before"), pick(F.col("_n"), "n_kept"), pick(F.col("_me"), "mean_err"), pick(several("_s"), "stdev"), pick(several("_x"), "chi2_norm"), "_all", done.alias("_done"))
+        old, state = state, materialize(moved, "error-cut")
+        drop_shared(old)
+    return state.select(*keys, "mean", "mean_err", "stdev", "chi2_norm", "n_kept", (F.col("_all") - F.col("n_kept")).alias("n_cut"))
+
+
+def block_medians(pixels: DataFrame, keys: Sequence[str], frame: str, value: str, n: int, x: str = "x", y: str = "y", margin: int = 44, size: int = 2048) -> DataFrame:
+    """Median of each of n * n blocks of each frame: ``(*keys, frame, block, median, n)``; pixels outside the blocks and missing ones don't count."""
+    side = size // n
+    bx, by = F.floor((F.col(x) - margin) / side), F.floor(F.col(y) / side)
+    inside = pixels.filter(bx.between(0, n - 1) & by.between(0, n - 1)).withColumn("block", (by * n + bx).cast("int"))
+    return quantile(inside, [*keys, frame, "block"], value)
+
+
+def reference_frames(medians: DataFrame, keys: Sequence[str], frame: str, value: str = "median", block: str = "block", good: str | None = None, first: int = 5) -> DataFrame:
+    """For each key the frame whose blocks all are among their lowest: ``(*keys, frame, score, percentile, index_good)``.
+
+    ``percentile`` is the least whole one from ``first`` up at which some good frame
+    has every block's value at or under that block's percentile over all frames;
+    among those frames the least sum wins (ties: the earliest frame). Instead of
+    raising the percentile step by step, each value is given the least one it lies
+    under, a frame the greatest of its blocks', and a key the least of its frames'.
+    ``index_good`` counts the good frames before it. Keys without a good frame that
+    has all its blocks have no row.
+    """
+    keys = list(keys)
+    steps = list(range(first, 101))
+    limits = medians.groupBy(*keys, block).agg(F.percentile(value, F.array(*[F.lit(p / 100) for p in steps])).alias("_l"))
+    many = limits.groupBy(*keys).agg(F.count("*").alias("_blocks"))
+    # Interpolation between equal values may fall short of them by a rounding.
+    under = F.size(F.filter("_l", lambda q: q < F.col(value) - F.abs(F.col(value)) * 1e-12)) + first
+    placed = _joined(medians, limits, [*keys, block]).groupBy(*keys, frame).agg(F.max(under).alias("percentile"), F.sum(value).alias("score"), F.count(value).alias("_n"), *([F.bool_and(good).alias("_good")] if good else [F.lit(True).alias("_good")]))
+    w = Window.partitionBy(*keys).orderBy(frame)
+    counted = placed.withColumn("index_good", F.coalesce(F.count_if("_good").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    fit = _joined(counted, many, keys).filter((F.col("_n") == F.col("_blocks")) & F.coalesce("_good", F.lit(False)))
+    best = F.min_by(F.struct(frame, "score", "percentile", "index_good"), F.struct("percentile", "score", frame)).alias("_b")
+    return fit.groupBy(*keys).agg(best).select(*keys, "_b.*")

@@ -159,6 +159,33 @@ def sky_nearest(left: DataFrame, right: DataFrame, radius: float, id_col: str, o
     return best.select(f"l_{id_col}", "_b.*")
 
 
+def sky_self_nearest(points: DataFrame, radius: float, id_col: str, ra: str = "ra", dec: str = "dec", out: str = "min_dist_arcsec") -> DataFrame:
+    """Distance in arcseconds of each position to the nearest other one on the sphere, however far; null if there is no other.
+
+    What finds a neighbour within ``radius`` degrees has its nearest; only the rest
+    looks again, each round twice as far, against all. ``radius`` is best about the
+    usual spacing. Rows without id or position get null; rows with an equal id are
+    the same one.
+    """
+    own = materialize(points.select(F.col(id_col).alias("id"), F.col(ra).cast("double").alias("ra"), F.col(dec).cast("double").alias("dec")).filter("id is not null and ra is not null and dec is not null").distinct(), "positions")
+    found, rest, reach = [], own, float(radius)
+    while True:
+        pairs = sky_within(rest, own, min(reach, 180.0)).filter("l_id <> r_id")
+        near = materialize(pairs.groupBy(F.col("l_id").alias("id")).agg(F.min("separation").alias("_d")), "nearest")
+        found.append(near)
+        left = materialize(rest.join(near.select("id"), "id", "left_anti"), "rest")
+        if rest is not own:
+            drop_shared(rest)
+        rest = left
+        if reach >= 180.0 or rest.isEmpty():
+            break
+        reach *= 2
+    nearest_ = found[0]
+    for f in found[1:]:
+        nearest_ = nearest_.union(f)
+    return points.join(nearest_.select(F.col("id").alias(id_col), (F.col("_d") * 3600.0).alias(out)), id_col, "left").select(*points.columns, out)
+
+
 def cut_grid(df: DataFrame, n: int, size: int, index: str = "cut") -> DataFrame:
     """Corner, centre and half size of each of n * n cuts of a square detector, numbered from 1 along x."""
     step = size // n

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from chronoloom.functions import sky
-from chronoloom.operators import astrometry, robust
+from chronoloom.operators import astrometry, curves, robust, spatial
+from chronoloom.plans.points import SEPARATION, SKY, positions
 from chronoloom.plans.registry import query, r, table
 
 
@@ -33,6 +34,69 @@ def sigma_cut_loop(spark: SparkSession, d: str) -> DataFrame:
     return robust.sigma_cut_loop(o, ["k"], "v").select("k", r("mean").alias("mean"), r("stdev").alias("stdev"), "n_kept", "n_cut")
 
 
+def _errors_sql(passes: int = 10, sigma: int = 3) -> str:
+    sql = """with r as (select o_custkey % 400 as k, o_totalprice / 1000 as v, 5.0 + o_orderkey % 37 * 4 as e from orders),
+p0 as (select k, median(v) as m, null::double as b, count(*) as n, null::double as me, null::double as s, null::double as x, count(*) as total, false as done from r group by 1)"""
+    for i in range(1, passes):
+        sql += f""",
+q{i} as (select k, abs(v - m) <= {sigma} * e as good, coalesce(abs(v - b) <= {sigma} * e, true) as was, v, e from r join p{i - 1} using (k) where not done),
+g{i} as (select k, sum(v / e ** 2) filter (good) / sum(1 / e ** 2) filter (good) as m2, sqrt(1 / sum(1 / e ** 2) filter (good)) as me2, case when count(*) filter (good) > 1 then stddev_samp(v) filter (good) end as s2, count(*) filter (good) as n2, count(*) filter (good <> was) as changed from q{i} group by 1),
+x{i} as (select k, sum(((v - m2) / e) ** 2) filter (good) / (case when any_value(n2) > 1 then any_value(n2) - 1 end) as x2 from q{i} join g{i} using (k) group by 1),
+p{i} as (select k, case when done then m else m2 end as m, case when done then b else m end as b, case when done then n else n2 end as n, case when done then me else me2 end as me, case when done then s else s2 end as s, case when done then x else x2 end as x, total, done or n2 = 0 or changed = 0 as done from p{i - 1} left join g{i} using (k) left join x{i} using (k))"""
+    return sql + f"\nselect k, round(m, 6) as mean, round(me, 6) as mean_err, round(s, 6) as stdev, round(x, 6) as chi2_norm, n as n_kept, total - n as n_cut from p{passes - 1}"
+
+
+@query(_errors_sql())
+def error_cut_loop(spark: SparkSession, d: str) -> DataFrame:
+    """Weighted means after cuts by each value's own error."""
+    o = table(spark, d, "orders").select((F.col("o_custkey") % 400).alias("k"), (F.col("o_totalprice") / 1000).alias("v"), (5.0 + F.col("o_orderkey") % 37 * 4).alias("e"))
+    out = robust.error_cut_loop(o, ["k"], "v", "e")
+    return out.withColumns({c: r(c) for c in ("mean", "mean_err", "stdev", "chi2_norm")})
+
+
+#: The percentiles from 5 to 100 as SQL.
+SHARES = ", ".join(str(p / 100) for p in range(5, 101))
+
+
+@query(f"""with p as (select l_suppkey % 2 as camera, l_partkey % 200 as frame, l_orderkey * 31 % 200 as x, l_orderkey * 17 % 180 as y, l_extendedprice as v from lineitem),
+b as (select camera, frame, (y // 90 * 2 + (x - 10) // 90)::int as block, median(v) as m from p where x >= 10 and x < 190 and y < 180 group by all),
+u as (select camera, block, quantile_cont(m, [{SHARES}]) as q from b group by 1, 2),
+f as (select camera, frame, max(len(list_filter(q, lambda z: z < m - abs(m) * 1e-12)) + 5)::int as percentile, sum(m) as score, count(*) as n, bool_and(frame % 9 <> 4) as good from b join u using (camera, block) group by 1, 2),
+g as (select *, coalesce(count(*) filter (good) over (partition by camera order by frame rows between unbounded preceding and 1 preceding), 0) as index_good from f),
+c as (select camera, count(distinct block) as blocks from b group by 1), k as (select *, row_number() over (partition by camera order by percentile, score, frame) as rank from g join c using (camera) where good and n = blocks)
+select camera, frame, round(score, 4) as score, percentile, index_good from k where rank = 1""")
+def reference_frames(spark: SparkSession, d: str) -> DataFrame:
+    """Each camera's darkest good frame by the medians of four blocks."""
+    k = F.col("l_orderkey")
+    px = table(spark, d, "lineitem").select((F.col("l_suppkey") % 2).alias("camera"), (F.col("l_partkey") % 200).alias("frame"), (k * 31 % 200).alias("x"), (k * 17 % 180).alias("y"), "l_extendedprice")
+    medians = robust.block_medians(px, ["camera"], "frame", "l_extendedprice", 2, margin=10, size=180).withColumn("good", F.col("frame") % 9 != 4)
+    return robust.reference_frames(medians, ["camera"], "frame", good="good").withColumn("score", r("score", 4))
+
+
+@query(SKY + f"select a.id, round(3600 * min({SEPARATION.format(d0='b.dec', r0='b.ra').replace('(dec', '(a.dec').replace('(ra ', '(a.ra ')}), 4) as min_dist_arcsec from s a join s b on a.id <> b.id group by 1")
+def sky_self_nearest(spark: SparkSession, d: str) -> DataFrame:
+    """How far each star's nearest other one is, on the sphere."""
+    return spatial.sky_self_nearest(positions(spark, d), 1.0, "id").select("id", r("min_dist_arcsec", 4).alias("min_dist_arcsec"))
+
+
+@query("""with p as (select vec_id, embedding[1:49] as e from embeddings where vec_id % 2 = 0), k as (select vec_id, unnest(range(49)) as k, greatest(unnest(e), 0)::double as v from p),
+i as (select c_custkey as id, c_custkey % 4 as detector, (c_custkey * 7919 % 20480) / 100.0 as xc, (c_custkey * 104729 % 20390) / 100.0 as yc from customer),
+o as (select *, xc - floor(xc + 0.5) as sx, yc - floor(yc + 0.5) as sy, ((detector * 3 + floor(xc / 100)) * 3 + floor(yc / 100))::bigint * 2 as prf from i),
+w as (select id, v, k % 7 + floor(sx) as gx, k // 7 + floor(sy) as gy, sx - floor(sx) as fx, sy - floor(sy) as fy from o join k on vec_id = prf),
+m as (select id, v * ((1 - fx) * (abs(gx - 3) <= 1)::int + fx * (abs(gx - 2) <= 1)::int) * ((1 - fy) * (abs(gy - 3) <= 1)::int + fy * (abs(gy - 2) <= 1)::int) as held, v * ((1 - fx) * (abs(gx - 3) <= 3)::int + fx * (abs(gx - 2) <= 3)::int) * ((1 - fy) * (abs(gy - 3) <= 3)::int + fy * (abs(gy - 2) <= 3)::int) as whole from w),
+a as (select id, sum(held) / case when sum(whole) > 0 then sum(whole) end as share from m group by 1)
+select o.id, round(share, 6) as aperture, round(20.03 + detector / 10.0 + 2.5 * log10(coalesce(share, 1)), 6) as zp from o left join a using (id)""")
+def aperture_shares(spark: SparkSession, d: str) -> DataFrame:
+    """Share of each star's light in a box of 3 x 3 pixels by the image of its part of the detector, and the zeropoint with it."""
+    e = table(spark, d, "embeddings").filter("vec_id % 2 = 0")
+    n = F.expr("div(vec_id, 2)")
+    prfs = e.filter(n < 36).select(F.expr("div(div(vec_id, 2), 9)").cast("long").alias("detector"), (F.expr("div(div(vec_id, 2), 3)") % 3).cast("long").alias("bx"), (n % 3).cast("long").alias("by"), F.transform(F.slice("embedding", 1, 49), lambda v: F.greatest(v, F.lit(0)).cast("double")).alias("prf"))
+    k = F.col("c_custkey")
+    objects = table(spark, d, "customer").select(k.alias("id"), (k % 4).cast("long").alias("detector"), (k * 7919 % 20480 / 100.0).alias("xcentroid"), (k * 104729 % 20390 / 100.0).alias("ycentroid"))
+    out = curves.aperture_shares(objects, prfs, ["detector"], 7)
+    return out.select("id", r("aperture").alias("aperture"), r(20.03 + F.col("detector") / 10 + 2.5 * F.log10(F.coalesce("aperture", F.lit(1.0)))).alias("zp"))
+
+
 def plate(spark: SparkSession, d: str) -> DataFrame:
     """Stars at (x, y) about the reference pixel, and where they would fall without distortion; some are wrong by pixels."""
     k = F.col("c_custkey")
