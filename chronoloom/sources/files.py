@@ -36,6 +36,20 @@ def read_csv_union(spark: SparkSession, path: str | Sequence[str], schema: T.Str
     return df
 
 
+def files_without_rows(spark: SparkSession, path: str | Sequence[str], schema: T.StructType, name: str = "*.csv", comment: str = "#") -> DataFrame:
+    """Files that ``read_csv_union`` takes nothing from, as ``path``: empty ones and those whose rows are all malformed.
+
+    The names are those that the driver lists for any scan.
+    """
+    reader = spark.read.schema(schema).option("header", True).option("comment", comment).option("recursiveFileLookup", True).option("pathGlobFilter", name).option("mode", "DROPMALFORMED")
+    rows = reader.csv(path)
+    plain = lambda c: F.regexp_replace(c, "^file:/+", "file:///")
+    listed = spark.createDataFrame([(f,) for f in rows.inputFiles()], "path string").select(plain("path").alias("path"))
+    # The greatest hash makes the scan parse every column: a malformed row shows only there.
+    used = rows.select(F.hash(*schema.names).alias("_h"), plain("_metadata.file_path").alias("path")).groupBy("path").agg(F.max("_h").alias("_h")).filter("_h is not null")
+    return listed.join(used, "path", "left_anti")
+
+
 def read_spaced(spark: SparkSession, path: str, schema: T.StructType, missing: Sequence[str] = ("None", "-", "--")) -> DataFrame:
     """A text table with columns parted by blanks, ``#`` before its header, and marks for missing values."""
     lines = spark.read.text(path).select(F.split(F.trim("value"), r"\s+").alias("c")).filter("size(c) > 0 and not startswith(c[0], '#') and c[0] <> ''")
@@ -72,37 +86,74 @@ def write_results(df: DataFrame, path: str, partitions: Sequence[str] = ("sector
 
 
 def write_table(df: DataFrame, path: str, formats: dict[str, str] | None = None) -> None:
-    """A text table: formatted columns parted by blanks under a ``#`` header."""
+    """A text table: formatted columns parted by blanks; the first part file holds a ``#`` header, the others the rows in order, each part written by its own task."""
     cols = [F.format_string((formats or {}).get(c, "%s"), F.col(c)) for c in df.columns]
-    header = df.sparkSession.createDataFrame([(0, "# " + " ".join(df.columns))], "n int, value string")
-    body = df.select(F.lit(1).alias("n"), F.concat_ws(" ", *cols).alias("value"))
-    header.unionByName(body).coalesce(1).orderBy("n").select("value").write.mode("overwrite").text(path)
-
-
-def read_headers(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """Header cards of image files: ``(path, header map)`` with the wanted keys, from the first block of 80-byte cards."""
+    header = df.sparkSession.createDataFrame([("# " + " ".join(df.columns),)], "value string").coalesce(1)
+    header.unionByName(df.select(F.concat_ws(" ", *cols).alias("value"))).write.mode("overwrite").text(path)
+
+
+BLOCK, CARD = 2880, 80
+
+
+def _cards(data: bytes, extension: int) -> dict[str, str]:
+    """Cards of one header of an image file, values as text; empty if the file has no such extension. Headers and data fill whole blocks."""
+    at = 0
+    for part in range(extension + 1):
+        found: dict[str, str] = {}
+        while at + CARD <= len(data):
+            card = data[at : at + CARD].decode("latin-1")
+            at += CARD
+            name = card[:8].strip()
+            if name == "END":
+                break
+            if card[8:10] == "= ":
+                value = card[10:].strip()
+                found.setdefault(name, value[1 : value.index("'", 1)].strip() if value.startswith("'") else value.split("/")[0].strip())
+        else:
+            return found if part == extension else {}
+        if part < extension:
+            number = lambda k, missing, found=found: int(float(found.get(k, missing)))
+            axes = [number(f"NAXIS{i + 1}", 0) for i in range(number("NAXIS", 0))]
+            size = abs(number("BITPIX", 8)) // 8 * number("GCOUNT", 1) * (number("PCOUNT", 0) + int(np.prod(axes))) if axes else 0
+            at = -(-at // BLOCK) * BLOCK + -(-size // BLOCK) * BLOCK
+    return found
+
+
+def read_headers(spark: SparkSession, path: str, keys: Sequence[str], extension: int = 0) -> DataFrame:
+    """Header cards of image files: ``(path, header map)`` with the wanted keys of one extension (0: the file's first header). Spark lists no files of length zero."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         wanted = set(keys)
         for b in batches:
-            rows = []
-            for p, data in zip(b["path"], b["content"]):
-                found = {}
-                for at in range(0, len(data) - 79, 80):
-                    card = data[at : at + 80].decode("latin-1")
-                    name = card[:8].strip()
-                    if name == "END":
-                        break
-                    if name in wanted and card[8:10] == "= ":
-                        value = card[10:].strip()
-                        found[name] = value[1 : value.index("'", 1)].strip() if value.startswith("'") else value.split("/")[0].strip()
-                rows.append((p, found))
+            rows = [(p, {k: v for k, v in _cards(data, extension).items() if k in wanted}) for p, data in zip(b["path"], b["content"])]
             yield pd.DataFrame(rows, columns=["path", "header"])
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     return files.select("path", "content").mapInPandas(run, "path string, header map<string,string>")
 
 
+def header_columns(df: DataFrame, required: Sequence[str] = (), optional: Sequence[str] = (), prefix: str = "", suffix: str = "", header: str = "header", path: str = "path", skip: str | None = None, strict: bool = True) -> DataFrame:
+    """Keys of a header map as columns ``prefix + key + suffix`` (text; null where absent).
+
+    A row without a required key ends the job if ``strict``, naming key and file;
+    else it stays, with ``skip`` (if named) true. Existing columns of those names are
+    replaced. A projection: nothing is gathered.
+    """
+    card = lambda k: F.try_element_at(F.col(header), F.lit(k))
+    absent = F.lit(False)
+    for k in required:
+        absent = absent | card(k).isNull()
+    columns = {}
+    for k in dict.fromkeys([*required, *optional]):
+        value = card(k)
+        if strict and k in required:
+            value = F.coalesce(value, F.raise_error(F.concat(F.lit(f"key {k} does not exist in file "), F.coalesce(F.col(path).cast("string"), F.lit("?")))).cast("string"))
+        columns[f"{prefix}{k}{suffix}"] = value
+    if skip:
+        columns[skip] = absent
+    return df.withColumns(columns)
+
+
 def manifest(spark: SparkSession, path: str, camera: int, ccd: int, start_mjd: float, end_mjd: float) -> DataFrame:
     """Lines of a download list for one detector and time range: ``(line, mjd)``; the time is in the file's name."""
     from chronoloom.functions.values import mjd_of_stamp
