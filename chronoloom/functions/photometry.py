@@ -114,5 +114,16 @@ def star_class_by_probability(star: Column) -> Column:
     return F.when(star > 0.9, 0).when(star < 0.7, 2).otherwise(1)
 
 
+def star_class_by_flags(*extended: Column) -> Column:
+    """Of one flag a band: 0 (galaxy) if any is 3, else 1 (star) if any is 1, else 2; missing flags say nothing."""
+    has = lambda n: F.array_contains(F.array_compact(F.array(*extended)), n)
+    return F.when(has(3), 0).when(has(1), 1).otherwise(2)
+
+
+def star_class_by_score(score: Column) -> Column:
+    """1 from 0.9 up, 2 between 0.7 and 0.9, 0 below and where it is missing."""
+    return F.when(score >= 0.9, 1).when(score > 0.7, 2).otherwise(0)
+
+
 def unit_label(unit: Column) -> Column:
     return F.when(unit == "counts", "Counts (e/s)").when(unit == "mag", "AB magnitude").otherwise(F.concat(F.lit("Flux ("), unit, F.lit(")")))

@@ -71,6 +71,16 @@ def star_classes(spark: SparkSession, d: str) -> DataFrame:
     return items(spark, d).select("k", "n", ph.star_class(F.col("disc")).alias("cls"), ph.star_class_by_probability(F.col("q") / 50).alias("prob_cls"))
 
 
+@query("""with f as (select c_custkey as id, c_custkey % 5 as g, case when c_custkey % 3 > 0 then c_custkey % 4 end as r, c_custkey % 2 * 2 as i, case when c_custkey % 7 > 0 then c_custkey % 6 end as z, case when c_custkey % 11 > 0 then c_custkey % 101 / 100.0 end as score from customer)
+select id, (case when coalesce(g = 3, false) or coalesce(r = 3, false) or coalesce(i = 3, false) or coalesce(z = 3, false) then 0 when coalesce(g = 1, false) or coalesce(r = 1, false) or coalesce(i = 1, false) or coalesce(z = 1, false) then 1 else 2 end)::int as by_flags,
+ (case when score >= 0.9 then 1 when score <= 0.7 or score is null then 0 else 2 end)::int as by_score from f""")
+def star_flags(spark: SparkSession, d: str) -> DataFrame:
+    """Stars and galaxies by a flag a band, and by a score."""
+    k = F.col("c_custkey").cast("int")
+    flags = [k % 5, F.when(k % 3 > 0, k % 4), k % 2 * 2, F.when(k % 7 > 0, k % 6)]
+    return table(spark, d, "customer").select(F.col("c_custkey").alias("id"), ph.star_class_by_flags(*flags).alias("by_flags"), ph.star_class_by_score(F.when(k % 11 > 0, k % 101 / 100.0)).alias("by_score"))
+
+
 @query("select c_custkey as id, cast(floor(c_acctbal + 0.5) as bigint) as near, cast(floor(c_custkey / 2.0 - 10 + 0.5) as bigint) as half_up, cast(round_even(c_custkey / 2.0 - 10, 0) as bigint) as half_even from customer")
 def rounding(spark: SparkSession, d: str) -> DataFrame:
     half = F.col("c_custkey") / 2.0 - 10

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from chronoloom.functions import photometry
 from chronoloom.operators import curves, robust, spatial
 
 
@@ -123,3 +124,9 @@ def test_chosen_events(spark):
     assert pick(group, events=spark.createDataFrame([(3, 1), (3, 1), (9, 9)], "objid int, eventid int")) == [(3, 1)]
     with pytest.raises(ValueError, match="cut"):
         curves.chosen_events(group.drop("cut"), ["cut"])
+
+
+def test_star_flags(spark):
+    rows = [((3, 1, None, 1), 0.9, 0, 1), ((1, None, 0, 2), 0.7, 1, 0), ((0, 2, None, None), 0.71, 2, 2), ((None,) * 4, None, 2, 0)]
+    df = spark.createDataFrame([(*f, s, a, b) for f, s, a, b in rows], "g int, r int, i int, z int, s double, a int, b int")
+    assert [tuple(x) for x in df.select(photometry.star_class_by_flags(*[F.col(c) for c in "griz"]), "a", photometry.star_class_by_score(F.col("s")), "b").collect()] == [(a, a, b, b) for *_, a, b in rows]
