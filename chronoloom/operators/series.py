@@ -151,7 +151,8 @@ def curve_features(df: DataFrame, keys: Sequence[str], order: Sequence[str], val
     n, var, m = F.count(v), F.var_pop(v), F.col("_m")
     wstd = F.sqrt(F.sum(F.pow(v - F.col("_wm"), 2) * F.col("_w")) / F.sum("_w"))
     q = F.percentile(v, F.array(F.lit(0.25), F.lit(0.75), F.lit(0.95)))
-    above, below = (over(F.sum(F.when(c, F.pow(v - m, 2) * F.col("_w"))), F.sum(F.when(c, F.col("_w")))) for c in (v > m, v <= m))
+    high = F.round(v - m, 9)  # a value at the mean isn't above it, whatever the order of sums
+    above, below = (over(F.sum(F.when(c, F.pow(v - m, 2) * F.col("_w"))), F.sum(F.when(c, F.col("_w")))) for c in (high > 0, high <= 0))
     return base.groupBy(*keys).agg(
         n.alias("n"), F.avg(v).alias("mean"), F.median(v).alias("median"), F.stddev_pop(v).alias("std"), F.median(F.abs(v - F.col("_med"))).alias("mad"),
         F.max("_wm").alias("weighted_mean"), wstd.alias("weighted_std"),
