@@ -90,7 +90,7 @@ def passes(points: DataFrame, tracks: DataFrame, radius: float, keys: Sequence[s
     listed = points.withColumn("_k", F.explode(F.array(*map(F.lit, kinds)))).withColumn("_b", F.floor(F.col("t") / width(F.col("_k"))).cast("long"))
     listed = listed.withColumns({"_cx": F.floor(F.col("x") / cell).cast("long"), "_cy": F.floor(F.col("y") / cell).cast("long")})
     on = [F.col(c) == F.col(f"r{c}") for c in ("_k", "_b", "_cx", "_cy")] + [F.col(k) == F.col(f"r_{k}") for k in keys]
-    met = listed.join(at, reduce(Column.__and__, on)).filter("t between r_t_from and r_t_to").withColumn("distance", off(F.col("x"), F.col("y"), F.col("t"), "r_"))
+    met = listed.join(at.hint("merge"), reduce(Column.__and__, on)).filter("t between r_t_from and r_t_to").withColumn("distance", off(F.col("x"), F.col("y"), F.col("t"), "r_"))
     return met.filter(F.col("distance") < radius).select(*points.columns, *[f"r_{c}" for c in dict.fromkeys(["track", *carry])], "distance")
 
 
