@@ -39,6 +39,10 @@ def quantile(df: DataFrame, keys: Sequence[str], value: str, share: float = 0.5,
         large = has_large(rows, keys, "_v", held)
     if not large:
         return rows.groupBy(*keys).agg(F.percentile("_v", F.lit(share)).alias(out), F.count("_v").alias(count))
+    named = [f"_key{i}" for i in range(len(keys))]
+    if keys != named:  # columns of the passes must not meet a caller's
+        got = quantile(rows.select(*[F.col(k).alias(n) for k, n in zip(keys, named)], "_v"), named, "_v", share, "_out", "_count", held, large)
+        return got.select(*[F.col(n).alias(k) for k, n in zip(keys, named)], F.col("_out").alias(out), F.col("_count").alias(count))
     sizes = materialize(rows.groupBy(*keys).agg(F.count("_v").alias(count)), "sizes")
     at = (F.col(count) - 1) * F.lit(share)
     # k0, k1: ranks (from 0, among the values still looked at) of the two neighbours, null once v0, v1 are known; part: how far the quantile lies between.

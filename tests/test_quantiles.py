@@ -36,3 +36,10 @@ def test_measures_built_on_it_agree(spark, monkeypatch):
     got = [sorted(map(tuple, f().collect())) for f in (lambda: robust.mad_by_group(df, ["g"], "v"), lambda: robust.zeropoint_series(df, ["g"], "v"), lambda: robust.sigma_clip(df, ["g"], "v", 2.0, 3))]
     for a, b in zip(want, got):
         assert [pytest.approx(r, rel=1e-12) for r in a] == b
+
+
+def test_keys_may_have_any_name(spark):
+    rows = [(g, h, float(i % 37 * (g + h + 1))) for g in range(2) for h in range(2) for i in range(400)]
+    df = spark.createDataFrame(rows, "b int, k0 int, lo double")
+    got = {(r.b, r.k0): (r.m, r.v0) for r in robust.quantile(df, ["b", "k0"], "lo", 0.68, out="m", count="v0", held=50).collect()}
+    assert got == {(g, h): (pytest.approx(np.quantile([i % 37 * (g + h + 1) for i in range(400)], 0.68)), 400) for g in range(2) for h in range(2)}
