@@ -300,3 +300,11 @@ def test_bazin_window_baseline_and_region(spark):
     free = fit.fit_bazin(df, ["k"], "t", "f", "e", window=("s", "z")).collect()[0]
     assert abs(free.offset - 4) < 0.3 and abs(free.A - 30) < 1.5
     assert not fit.fit_bazin(df.filter("t < 5"), ["k"], "t", "f", "e", window=("s", "z")).collect()[0].fit_ok
+
+
+def test_gaussian_score_where_parameters_stand_for_each_other(spark):
+    f = [75.64, 1.97, 3.6, 115.41, 27.42, 300.44, 37.31, 133.84, 199.18, 47.47, 47.76, 149.22, 6.05, 518.46, 8.9, 283.0, 112.06, 133.23, 213.32, 34.1, 55.2, 69.83, 67.97, 9.76, 67.59, 73.95]
+    t = [0, 1, 2, 3, 5, 7, *range(9, 24), *range(25, 30)]
+    f[10], f[24] = 47.760000000000005, 67.58999999999999
+    df = spark.createDataFrame([(1, float(a), b) for a, b in zip(t, f)], "k int, t double, v double")
+    assert fit.gaussian_score(df, ["k"], "t", "v").first().gaussian_score == pytest.approx(0.51, abs=1e-3)
