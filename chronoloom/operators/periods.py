@@ -114,20 +114,24 @@ def peaks(spectrum: DataFrame, keys: Sequence[str], prominence: float = 3.0, dis
     """
     keys = list(keys)
     w = Window.partitionBy(*keys).orderBy("k")
+    if not hasattr(spectrum, "_shared_path"):
+        spectrum = materialize(spectrum.select(*keys, "k", "frequency", "power"), "spectrum")
     stat = spectrum.groupBy(*keys).agg(F.avg("power").alias("_mean"), ((F.max("frequency") - F.min("frequency")) / F.greatest(F.lit(1), F.max("k") - F.min("k"))).alias("_step"))
-    spectrum = materialize(spectrum.select(*keys, "k", "frequency", "power"), "spectrum")
-    tops = spectrum.withColumns({"_b": F.lag("power").over(w), "_a": F.lead("power").over(w)}).filter("power > _b and power > _a").drop("_a", "_b")
+    tops = spectrum.withColumns({"_b": F.lag("power").over(w), "_a": F.lead("power").over(w)}).filter("power > _b and power > _a").select(*keys, "k", "frequency", "power")
     tops = tops.join(stat, keys).filter(F.col("power") >= prominence * F.col("_mean"))  # prominence can't be more than the power itself
-    tops = tops.withColumns({"_x": F.col("k").cast("double"), "_y": F.lit(0.0), "_o": -F.col("k")})
+    tops = materialize(tops.withColumns({"_x": F.col("k").cast("double"), "_y": F.lit(0.0), "_o": -F.col("k")}), "tops")
     tops = materialize(brightest_first(tops, keys, distance - 1, "power", "_o", "_x", "_y").drop("_x", "_y", "_o"), "tops")
-    around = tops.select(*keys, F.col("k").alias("_p"), F.col("power").alias("_top"), F.explode(F.sequence(F.col("k") - reach, F.col("k") + reach)).alias("k")).join(spectrum.select(*keys, "k", "power"), [*keys, "k"])
-    higher = F.col("power") > F.col("_top")
-    own = Window.partitionBy(*keys, "_p")
-    walls = around.withColumns({"_l": F.max(F.when(higher & (F.col("k") < F.col("_p")), F.col("k"))).over(own), "_r": F.min(F.when(higher & (F.col("k") > F.col("_p")), F.col("k"))).over(own)})
+    # Steps meet in blocks, so a top is listed a few times, not once a step; a block's share is added up before any shuffle.
+    block = lambda k: F.floor(k / max(reach, 1)).cast("long")
+    listed = tops.select(*keys, F.col("k").alias("_p"), F.col("power").alias("_top"), F.explode(F.sequence(block(F.col("k") - reach), block(F.col("k") + reach))).alias("_b"))
+    steps = spectrum.select(*keys, block(F.col("k")).alias("_b"), "k", "power")
+    around = lambda of: steps.join(of.hint("merge"), [*keys, "_b"]).filter(F.abs(F.col("k") - F.col("_p")) <= reach)
+    higher, own = F.col("power") > F.col("_top"), [*keys, "_p"]
+    walls = around(listed).groupBy(*own).agg(F.max(F.when(higher & (F.col("k") < F.col("_p")), F.col("k"))).alias("_l"), F.min(F.when(higher & (F.col("k") > F.col("_p")), F.col("k"))).alias("_r"))
     side = lambda on: F.min(F.when(on, F.col("power")))
     left = (F.col("k") <= F.col("_p")) & (F.col("_l").isNull() | (F.col("k") > F.col("_l")))
     right = (F.col("k") >= F.col("_p")) & (F.col("_r").isNull() | (F.col("k") < F.col("_r")))
-    feet = walls.groupBy(*keys, F.col("_p").alias("k")).agg(F.greatest(side(left), side(right)).alias("_foot"))
+    feet = around(listed.join(walls.hint("merge"), own)).groupBy(*keys, F.col("_p").alias("k")).agg(F.greatest(side(left), side(right)).alias("_foot"))
     found = tops.join(feet, [*keys, "k"]).withColumn("prominence", (F.col("power") - F.col("_foot")) / F.col("_mean")).filter(F.col("prominence") >= prominence)
     todo, done, signal = materialize(found.select(*keys, "k", "frequency", "power", "prominence", "_step"), "peaks"), [], 0
     while not todo.isEmpty():

@@ -95,3 +95,10 @@ def test_blocks_add_up(spark, monkeypatch):
     assert whole == pytest.approx(np.stack([np.cos(x) @ u, np.sin(x) @ u, np.cos(2 * x).sum(1), np.sin(2 * x).sum(1)]), abs=1e-8)
     monkeypatch.setattr(periods, "STEP", 64)
     assert periods.block_sums(t, u, 0.11, 0.02, 1000) == pytest.approx(whole, abs=1e-8)
+
+
+def test_feet_are_found_however_far_they_may_lie(spark):
+    power = [0.0, 9.0, 1.0, 0.5, 8.0, 0.2, 0.1, 0.3] + [0.0] * 40
+    s = spark.createDataFrame([(1, k, 1.0 + k, p) for k, p in enumerate(power)], "id int, k long, frequency double, power double")
+    got = {reach: sorted(map(tuple, periods.peaks(s, ["id"], distance=2, reach=reach).select("k", "power", "prominence").collect())) for reach in (47, 2_000_000_000)}
+    assert got[47] == got[2_000_000_000] and [g[0] for g in got[47]] == [1, 4]
