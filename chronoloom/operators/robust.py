@@ -11,21 +11,21 @@ from chronoloom.sources.shared import drop_shared, materialize
 MAD_TO_SIGMA = 1.4826
 
 
-#: Values of a group that one task may hold at once, and the shares at which larger groups are cut.
+#: Distinct values of a group that one task may hold at once (a percentile counts each once), and the shares at which larger groups are cut.
 HELD = 1 << 20
 CUTS = 256
 
 
 def has_large(df: DataFrame, keys: Sequence[str], value: str, held: int = HELD) -> bool:
-    """Whether a group has more than ``held`` values."""
-    return not df.groupBy(*keys).agg(F.count(value).alias("_n")).filter(F.col("_n") > held).isEmpty()
+    """Whether a group has more than ``held`` distinct values, by a sketch: equal values cost a percentile nothing."""
+    return not df.groupBy(*keys).agg(F.approx_count_distinct(value).alias("_n")).filter(F.col("_n") > held).isEmpty()
 
 
 def quantile(df: DataFrame, keys: Sequence[str], value: str, share: float = 0.5, out: str = "median", count: str = "n", held: int = HELD, large: bool | None = None) -> DataFrame:
     """Exact quantile of each group, interpolated between neighbours: ``(*keys, out, count)``; nulls and NaN are left out.
 
-    Groups of up to ``held`` values are aggregated at once (all, if the caller
-    knows that none is larger: ``large`` False). In larger ones a sketch, which
+    Groups of up to ``held`` distinct values are aggregated at once (all, if the
+    caller knows that none is larger: ``large`` False). In larger ones a sketch, which
     tasks merge, gives cuts; counts tell the two cuts between which the rank lies;
     and only what lies there is looked at again, until few values or one are left.
     Cuts only steer, counts make the result exact.
@@ -115,8 +115,9 @@ def flux_median(df: DataFrame, keys: Sequence[str], value: str, out: str, large:
 def sigma_clip(df: DataFrame, keys: Sequence[str], value: str, sigma: float, passes: int, out: str = "kept") -> DataFrame:
     """Mark values within ``sigma`` population deviations of the median of those kept so far, ``passes`` times.
 
-    The bound is strict, so a group without deviation keeps nothing. Each pass is
-    an aggregate and a join back.
+    The bound is strict, so a group without deviation keeps nothing. Each pass
+    reads the rows once: what it measures, a row a group, is written to the shared
+    folder, so that the next one doesn't measure it again.
     """
     large = has_large(df, keys, value)
     out_df = df.withColumn(out, F.col(value).isNotNull())
@@ -124,11 +125,11 @@ def sigma_clip(df: DataFrame, keys: Sequence[str], value: str, sigma: float, pas
         kept = out_df.filter(out)
         std = F.stddev_pop(value).alias("_std")
         if large:
-            stat = quantile(kept, keys, value, out="_med").drop("n").join(kept.groupBy(*keys).agg(std), list(keys))
+            stat = quantile(kept, keys, value, out="_med", large=True).drop("n").join(kept.groupBy(*keys).agg(std), list(keys))
         else:
             stat = kept.groupBy(*keys).agg(F.median(value).alias("_med"), std)
         near = F.abs(F.col(value) - F.col("_med")) < sigma * F.col("_std")
-        out_df = out_df.join(stat, list(keys), "left").withColumn(out, F.col(out) & F.coalesce(near, F.lit(False))).drop("_med", "_std")
+        out_df = out_df.join(materialize(stat, "clip"), list(keys), "left").withColumn(out, F.col(out) & F.coalesce(near, F.lit(False))).drop("_med", "_std")
     return out_df
 
 
