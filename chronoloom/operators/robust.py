@@ -216,7 +216,7 @@ def zeropoint_series(df: DataFrame, keys: Sequence[str], zeropoint: str) -> Data
     """For each group (a detector and sector, or a sector) the median over fluxes, 1.4826 times the deviation of the values from their median, and the count."""
     own = df.filter(F.col(zeropoint).isNotNull() & ~F.isnan(F.col(zeropoint).cast("double")))
     large = has_large(own, keys, zeropoint)
-    mid = flux_median(own, keys, zeropoint, "zp", large).join(quantile(own, keys, zeropoint, out="_m", large=large).drop("n"), list(keys))
+    mid = materialize(flux_median(own, keys, zeropoint, "zp", large).join(quantile(own, keys, zeropoint, out="_m", large=large).drop("n"), list(keys)), "medians")  # written, so that rows meet it by its true size
     apart = own.join(mid.select(*keys, "_m"), list(keys)).withColumn("_d", F.abs(F.col(zeropoint) - F.col("_m")))
     dev = quantile(apart, keys, "_d", out="_q", count="_n", large=large).select(*keys, (F.col("_q") * MAD_TO_SIGMA).alias("scatter"))
     return mid.drop("_m").join(dev, list(keys))

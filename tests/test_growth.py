@@ -25,3 +25,13 @@ def test_clipping_writes_what_each_pass_measures(spark, monkeypatch):
         kept = kept[abs(kept - np.median(kept)) < 1.5 * kept.std()]
     assert sorted(r.v for r in got) == sorted(kept.tolist())
     assert written == ["clip"] * 3
+
+
+def test_a_group_meets_its_median_by_its_true_size(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(robust, "materialize", lambda df, name="step", m=robust.materialize: written.append(name) or m(df, name))
+    z = np.random.default_rng(5).normal(20, 0.1, 60)
+    got = robust.zeropoint_series(spark.createDataFrame([(0, float(a)) for a in z], "k int, z double"), ["k"], "z").collect()
+    assert written == ["medians"]
+    assert got[0].scatter == pytest.approx(1.4826 * np.median(abs(z - np.median(z))))
+    assert got[0].zp == pytest.approx(2.5 * math.log10(np.median(10 ** (0.4 * z))))
