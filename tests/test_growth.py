@@ -35,3 +35,38 @@ def test_a_group_meets_its_median_by_its_true_size(spark, monkeypatch):
     assert written == ["medians"]
     assert got[0].scatter == pytest.approx(1.4826 * np.median(abs(z - np.median(z))))
     assert got[0].zp == pytest.approx(2.5 * math.log10(np.median(10 ** (0.4 * z))))
+
+
+@pytest.mark.parametrize("which", ["stars", "variables"])
+def test_events_meet_few_of_a_crowded_catalogue(spark, monkeypatch, which):
+    """The first of many in reach is found without meeting all of them, as are those of events with few in reach."""
+    met = []
+
+    def counting(*args, m=crossmatch.in_reach):
+        pairs = m(*args).cache()
+        met.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(crossmatch, "in_reach", counting)
+    monkeypatch.setattr(crossmatch, "AHEAD", 16)
+    rng = np.random.default_rng(6)
+    e = np.column_stack((rng.uniform(10, 14, 60), rng.uniform(-2, 2, 60)))
+    e[:3] += [20, 0]  # these have few or none
+    c = np.column_stack((rng.uniform(10, 14, 1500), rng.uniform(-2, 2, 1500)))
+    c[:4] = e[0] + [[0, 0.1], [0.1, 0], [0.2, 0], [0, 5]]
+    mag = rng.integers(0, 30, 1500) / 10
+    events = spark.createDataFrame([(i, float(a), float(d), 0.3, 0.4, "-") for i, (a, d) in enumerate(e)], "id long, ra double, dec double, ra_err double, dec_err double, classification string")
+    rows = [(float(a), float(d), i, i, f"V{i}", float(mag[i]) if i % 3 else None, float(mag[i])) for i, (a, d) in enumerate(c)]
+    catalogue = spark.createDataFrame(rows, "ra double, dec double, source long, ordinal long, type string, rpmag double, gmag double")
+    rank = [(mag[i] if i % 3 else math.inf, 0.0 if i % 3 else mag[i], i) for i in range(1500)]
+    dra, ddec = c[None, :, 0] - e[:, None, 0], c[None, :, 1] - e[:, None, 1]
+    if which == "stars":
+        a, b = dra * np.cos(np.radians(e[:, None, 1])) / 0.3, ddec / 0.4
+        want = {i: str(min(np.flatnonzero(near), key=lambda j: rank[j])) if near.any() else "-" for i, near in enumerate(np.hypot(a, b) <= 3)}
+        got = {r.id: r.gaia_id for r in crossmatch.match_stars(events, catalogue, "id").collect()}
+    else:
+        near = (abs(dra) < 0.9) & (abs(ddec) < 1.2)
+        want = {i: f"V{n.argmax()}" if n.any() else "-" for i, n in enumerate(near)}
+        got = {r.id: r.classification for r in crossmatch.match_variables(events, catalogue, "id").collect()}
+    assert got == want
+    assert "-" in want.values() and sum(met) < 60 * 150
