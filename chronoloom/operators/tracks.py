@@ -8,6 +8,7 @@ names are unique over all fields.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -21,6 +22,8 @@ from chronoloom.sources.shared import drop_shared, materialize
 _COURSE = ["track", "t_ref", "x0", "vx", "ax", "y0", "vy", "ay"]
 #: Speeds are told apart by powers of two from this one on.
 _SLOWEST = -20
+#: How far a track may move in a bucket of time, and how wide a cell is, in radii.
+_MOVE, _CELL = 4.0, 6.0
 
 
 def fit(points: DataFrame, keys: Sequence[str] = (), most_acceleration: float | None = 1.0) -> DataFrame:
@@ -64,30 +67,44 @@ def off(x: Column, y: Column, t: Column, prefix: str = "") -> Column:
     return F.sqrt(dx * dx + dy * dy)
 
 
+def _width(radius: float) -> Column:
+    """How long a bucket of a speed class is."""
+    return F.lit(_MOVE * radius) / F.pow(F.lit(2.0), F.col("_k"))
+
+
+def _on_the_way(courses: DataFrame, radius: float) -> DataFrame:
+    """Courses, once for each bucket of their class from ``t_from`` to ``t_to`` and each cell that holds what they pass there."""
+    at = courses.withColumn("_b", F.explode(F.sequence(*[F.floor(F.col(c) / _width(radius)).cast("long") for c in ("t_from", "t_to")])))
+    middle, reach = (F.col("_b") + 0.5) * _width(radius), (_MOVE / 2 + 1) * radius * (1 + 1e-9)
+    for c in "xy":
+        edges = [F.floor((place(c, middle) + m) / (_CELL * radius)).cast("long") for m in (-reach, reach)]
+        at = at.withColumn(f"_c{c}", F.explode(F.sequence(*edges)))
+    return at
+
+
 def passes(points: DataFrame, tracks: DataFrame, radius: float, keys: Sequence[str] = (), carry: Sequence[str] = ()) -> DataFrame:
     """``(point columns, r_track, r_<carry>, distance)`` where a track passes under ``radius`` of a point, at times from its ``t_from`` to its ``t_to``.
 
     Tracks are told apart by speed class; in a class time is bucketed so that no
-    track moves further than a cell (twice the radius) in a bucket. A track is
-    listed in the nine cells about its middle in each bucket, so it costs what its
-    course is long, and a fast track makes no slow one's cells larger.
+    track moves further than four radii in a bucket. Then all that it passes lies
+    within three radii of its middle there, half a cell, so it is listed in at
+    most four cells a bucket: it costs what its course is long, and a fast track
+    makes no slow one's cells larger.
     """
-    cell = 2.0 * radius
+    cell = _CELL * radius
     swing = F.greatest(F.abs(F.col("t_from") - F.col("t_ref")), F.abs(F.col("t_to") - F.col("t_ref")))
     speed = F.sqrt(F.col("vx") * F.col("vx") + F.col("vy") * F.col("vy")) + F.sqrt(F.col("ax") * F.col("ax") + F.col("ay") * F.col("ay")) * swing
     kind = F.greatest(F.lit(_SLOWEST), F.when(speed > 0, F.ceil(F.log2(speed))).otherwise(_SLOWEST)).cast("int")
     courses = tracks.filter("t_from <= t_to").select(*keys, *dict.fromkeys([*_COURSE, *carry]), "t_from", "t_to", kind.alias("_k"))
-    kinds = [r[0] for r in courses.select("_k").distinct().collect()]  # a number for each power of two of speeds
-    if not kinds:
-        kinds = [_SLOWEST]
-    width = lambda k: F.lit(cell) / F.pow(F.lit(2.0), k)
-    at = courses.withColumn("_b", F.explode(F.sequence(F.floor(F.col("t_from") / width(F.col("_k"))).cast("long"), F.floor(F.col("t_to") / width(F.col("_k"))).cast("long"))))
-    middle = (F.col("_b") + 0.5) * width(F.col("_k"))
-    near = F.array(*[F.lit(i) for i in (-1, 0, 1)])
-    at = at.withColumns({"_cx": F.floor(place("x", middle) / cell).cast("long"), "_cy": F.floor(place("y", middle) / cell).cast("long")})
-    at = at.withColumn("_dx", F.explode(near)).withColumn("_dy", F.explode(near)).withColumns({"_cx": F.col("_cx") + F.col("_dx"), "_cy": F.col("_cy") + F.col("_dy")}).drop("_dx", "_dy")
+    found = courses.groupBy("_k").agg(F.max(F.col("t_to") - F.col("t_from"))).collect()  # a number for each power of two of speeds
+    longest = max((life for _, life in found), default=0.0)
+    # Slower classes than that whose bucket holds the longest life would save nothing.
+    least = max(_SLOWEST, math.floor(math.log2(_MOVE * radius / longest))) if longest > 0 else _SLOWEST
+    kinds = sorted({max(k, least) for k, _ in found}) or [least]
+    courses = courses.withColumn("_k", F.greatest("_k", F.lit(least)))
+    at = _on_the_way(courses, radius)
     at = at.select(*[F.col(c).alias(f"r_{c}") for c in [*keys, *dict.fromkeys([*_COURSE, *carry]), "t_from", "t_to"]], *[F.col(c).alias(f"r{c}") for c in ("_k", "_b", "_cx", "_cy")])
-    listed = points.withColumn("_k", F.explode(F.array(*map(F.lit, kinds)))).withColumn("_b", F.floor(F.col("t") / width(F.col("_k"))).cast("long"))
+    listed = points.withColumn("_k", F.explode(F.array(*map(F.lit, kinds)))).withColumn("_b", F.floor(F.col("t") / _width(radius)).cast("long"))
     listed = listed.withColumns({"_cx": F.floor(F.col("x") / cell).cast("long"), "_cy": F.floor(F.col("y") / cell).cast("long")})
     on = [F.col(c) == F.col(f"r{c}") for c in ("_k", "_b", "_cx", "_cy")] + [F.col(k) == F.col(f"r_{k}") for k in keys]
     met = listed.join(at.hint("merge"), reduce(Column.__and__, on)).filter("t between r_t_from and r_t_to").withColumn("distance", off(F.col("x"), F.col("y"), F.col("t"), "r_"))
@@ -119,7 +136,8 @@ def merge(points: DataFrame, tracks: DataFrame, radius: float, keys: Sequence[st
     own = materialize(points.filter("track is not null").select(*keys, "id", "x", "y", "t", "track"), "points")
     close = passes(own, _at_all_times(own, tracks, keys), radius, keys).filter("track <> r_track").select("track", "r_track").distinct()
     course = tracks.select(*[F.col(c).alias(f"r_{c}") for c in _COURSE])
-    mean = lambda pairs, of: pairs.join(of, "track").join(course, "r_track").groupBy("track", "r_track").agg(F.avg(off(F.col("x"), F.col("y"), F.col("t"), "r_")).alias("d")).filter(F.col("d") < radius)
+    # Pairs get the course first, so that points come last and their rows are grouped where they meet.
+    mean = lambda pairs, of: pairs.join(course, "r_track").join(of.hint("merge"), "track").groupBy("track", "r_track").agg(F.avg(off(F.col("x"), F.col("y"), F.col("t"), "r_")).alias("d")).filter(F.col("d") < radius)
     drawn = mean(close, own).select("track", "r_track")
     links = materialize(drawn.union(drawn.select("r_track", "track")).distinct(), "links")
     # name: of each linked track, which has it now; order: of those still to act, null once they have.
@@ -208,7 +226,9 @@ def tag_moving(
     is_moving = F.col("classification") == moving
     seeds = events.filter(is_moving).select(*keys, "id", "x", "y", "t")
     met = within(seeds, seeds, space, keys=keys).filter(F.pow(F.col("distance") / space, 2) + F.pow((F.col("l_t") - F.col("r_t")) / time, 2) <= 1)
-    p = materialize(density_clusters_of(seeds, met.select(F.col("l_id").alias("u"), F.col("r_id").alias("v")), least, "id", "track"), "moving")
+    near = materialize(met.select(F.col("l_id").alias("u"), F.col("r_id").alias("v")), "neighbours")
+    p = materialize(density_clusters_of(seeds, near, least, "id", "track"), "moving")
+    drop_shared(near)
     steps = [*[(grow, growth)] * rounds, *[(merge, merging)] * rounds]
     for step, radius in steps:
         new = materialize(step(p, materialize(fit(p, keys, most_acceleration), "tracks"), radius, keys), "moving")

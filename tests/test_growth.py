@@ -70,3 +70,15 @@ def test_events_meet_few_of_a_crowded_catalogue(spark, monkeypatch, which):
         got = {r.id: r.classification for r in crossmatch.match_variables(events, catalogue, "id").collect()}
     assert got == want
     assert "-" in want.values() and sum(met) < 60 * 150
+
+
+def test_courses_are_listed_in_few_cells(spark):
+    """Slow tracks need no speed class of their own, and a bucket no more than four cells; what passes is that of a loop."""
+    rng = np.random.default_rng(7)
+    v = [2.0 ** -k for k in range(12)]
+    t = spark.createDataFrame([(i, 0.0, 20.0, float(s), 0.0, 20.0, float(-s), 0.0, -5.0, 5.0) for i, s in enumerate(v)], "track long, t_ref double, x0 double, vx double, ax double, y0 double, vy double, ay double, t_from double, t_to double")
+    p = [(i, float(a), float(b), float(c)) for i, (a, b, c) in enumerate(np.column_stack((rng.uniform(14, 26, (400, 2)), rng.uniform(-6, 6, 400))))]
+    got = {(r.id, r.r_track) for r in tracks.passes(spark.createDataFrame(p, "id long, x double, y double, t double"), t, 1.5).select("id", "r_track").collect()}
+    assert got == {(i, j) for i, x, y, at in p for j, s in enumerate(v) if -5 <= at <= 5 and math.hypot(x - 20 - s * at, y - 20 + s * at) < 1.5}
+    listed = tracks._on_the_way(t.withColumn("_k", F.lit(1)), 1.5)
+    assert listed.groupBy("track", "_b").count().agg(F.max("count")).first()[0] <= 4
