@@ -224,14 +224,41 @@ def groups(points: DataFrame, radius: float, id_col: str, least: int = 1, x: str
 def brightest_first(df: DataFrame, keys: Sequence[str], radius: float, flux: str, order: str, x: str = "x", y: str = "y") -> DataFrame:
     """Drop points within ``radius`` of a brighter kept one of their ``keys`` (a frame), brightest first, ties by ``order`` (unique in a frame).
 
-    Rounds of joins, for all frames at once: points without an undecided brighter
-    neighbour stay, their neighbours go. Only points with neighbours take part,
-    and of points in one place only the brightest. Missing flux comes last;
-    points without a place have no neighbours.
+    Fainter points don't matter to brighter ones. So where cells are crowded the
+    brightest few are settled first, then as many again as all before, of which only
+    those take part that none of the kept ones reaches: these lie apart from each
+    other, so pairs grow with the points, not with their density. Of points in one
+    place only the brightest takes part. Missing flux comes last; points without a
+    place have no neighbours.
     """
-    keys, node = list(keys), F.struct(*keys, order)
+    keys = list(keys)
     bright = F.struct(F.coalesce(-F.col(flux), F.lit(float("inf"))).alias("f"), F.col(order).alias("o"))
     places = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(*keys, x, y).agg(F.min(bright).alias("b")).select(*keys, x, y, F.col("b.f").alias("f"), F.col("b.o").alias(order))
+    tiers = min(1024, 1 << max(0, math.ceil(_crowd(places, radius, x, y, keys) / (CROWD / 8)) - 1).bit_length())
+    if tiers > 1:
+        places = places.repartitionByRange(tiers, "f", order).withColumn("_tier", F.spark_partition_id())
+    else:
+        places = places.withColumn("_tier", F.lit(0))
+    places, stay, low, high = materialize(places, "places"), None, 0, 1
+    while low < tiers:
+        tier = places.filter((F.col("_tier") >= low) & (F.col("_tier") < high)).drop("_tier")
+        if stay is not None:
+            taken = within(tier, stay, radius, x, y, keys=keys).select(*[F.col(f"l_{c}").alias(c) for c in [*keys, order]]).distinct()
+            tier = materialize(tier.join(taken, [*keys, order], "left_anti").select(*keys, x, y, "f", order), "tier")
+        kept = materialize(_settled(tier, keys, radius, order, x, y).select(*keys, x, y, order), "kept")
+        stay, low, high = kept if stay is None else stay.unionByName(kept), high, high * 2
+    nowhere = df.filter(F.col(x).isNull() | F.col(y).isNull())
+    node = F.struct(*keys, order)
+    return df.withColumn("v", node).join(stay.select(node.alias("v")), "v", "left_semi").select(*df.columns).unionByName(nowhere)
+
+
+def _settled(places: DataFrame, keys: list[str], radius: float, order: str, x: str, y: str) -> DataFrame:
+    """The ``places (*keys, x, y, f, order)`` that stay, least ``f`` first.
+
+    Rounds of joins, for all frames at once: points without an undecided brighter
+    neighbour stay, their neighbours go. Only points with neighbours take part.
+    """
+    node = F.struct(*keys, order)
     pairs = within(places, places, radius, x, y, keys=keys).filter(F.struct("l_f", f"l_{order}") < F.struct("r_f", f"r_{order}"))
     edges = materialize(pairs.select(F.struct(*[F.col(f"l_{c}").alias(c) for c in [*keys, order]]).alias("u"), F.struct(*[F.col(f"r_{c}").alias(c) for c in [*keys, order]]).alias("v")), "pairs")
     gone = []
@@ -243,11 +270,11 @@ def brightest_first(df: DataFrame, keys: Sequence[str], radius: float, flux: str
         new = materialize(left, "pairs")
         drop_shared(edges)
         edges = new
-    stay = places.select(node.alias("v"))
+    drop_shared(edges)
+    stay = places.withColumn("v", node)
     for out in gone:
         stay = stay.join(out, "v", "left_anti")
-    nowhere = df.filter(F.col(x).isNull() | F.col(y).isNull())
-    return df.withColumn("v", node).join(stay, "v", "left_semi").select(*df.columns).unionByName(nowhere)
+    return stay.drop("v")
 
 
 def cone(catalogue: DataFrame, ra0: float, dec0: float, radius: float, ra: str = "ra", dec: str = "dec") -> DataFrame:

@@ -82,3 +82,27 @@ def test_courses_are_listed_in_few_cells(spark):
     assert got == {(i, j) for i, x, y, at in p for j, s in enumerate(v) if -5 <= at <= 5 and math.hypot(x - 20 - s * at, y - 20 + s * at) < 1.5}
     listed = tracks._on_the_way(t.withColumn("_k", F.lit(1)), 1.5)
     assert listed.groupBy("track", "_b").count().agg(F.max("count")).first()[0] <= 4
+
+
+def test_the_brightest_of_crowded_places_settle_first(spark, monkeypatch):
+    """As a plain loop, though not all pairs within reach are written."""
+    from chronoloom.operators import spatial
+
+    pairs = []
+
+    def counting(df, name="step", m=spatial.materialize):
+        out = m(df, name)
+        pairs.append(out.count() if name == "pairs" else 0)
+        return out
+
+    monkeypatch.setattr(spatial, "materialize", counting)
+    rng = np.random.default_rng(8)
+    rows = [(i % 2, i, *map(float, rng.uniform(0, 12, 2).round(2)), float(rng.integers(0, 40))) for i in range(1200)]
+    kept = []
+    for row in sorted(rows, key=lambda r: (-r[4], r[1])):
+        if all(k[0] != row[0] or math.hypot(k[2] - row[2], k[3] - row[3]) > 3 for k in kept):
+            kept.append(row)
+    df = spark.createDataFrame(rows, "frame long, id long, x double, y double, flux double")
+    got = spatial.brightest_first(df, ["frame"], 3.0, "flux", "id").collect()
+    assert sorted(r.id for r in got) == sorted(k[1] for k in kept)
+    assert sum(pairs) < 20 * len(rows)
