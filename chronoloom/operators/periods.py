@@ -67,7 +67,7 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _objects(df: DataFrame, keys: Sequence[str], time: str, value: str, oversample: int, least: int) -> tuple[DataFrame, DataFrame]:
     """Each object's numbers (with an ``id``), and its samples as ``(id, n, t from its first, u from its mean)``."""
     t, v = F.col(time).cast("double"), F.col(value).cast("double")
-    rows = df.select(*keys, t.alias("_t"), v.alias("_u")).filter("_t is not null and _u is not null and not isnan(_t) and not isnan(_u)")
+    rows = df.select(*keys, t.alias("_t"), v.alias("_u")).filter("abs(_t) < double('infinity') and abs(_u) < double('infinity')")
     stat = rows.groupBy(*keys).agg(F.count("*").alias("n"), F.min("_t").alias("t0"), (F.max("_t") - F.min("_t")).alias("span"), F.avg("_u").alias("mean"), F.var_pop("_u").alias("var"))
     stat = stat.filter((F.col("n") >= least) & (F.col("span") > 0) & (F.col("var") > 0)).withColumn("step", 1.0 / (F.col("span") * oversample))
     stat = stat.withColumn("n_freq", F.floor((F.col("n") / 2.0 - 1) * oversample).cast("long") + 1).withColumn("id", F.monotonically_increasing_id())
@@ -81,8 +81,8 @@ def periodogram(df: DataFrame, keys: Sequence[str], time: str, value: str, overs
 
     Frequencies begin at one cycle in the series' span and rise by a cycle in
     ``oversample`` spans to half the mean sampling rate, n / (2 span). Series under
-    ``least`` samples, without a span or without variance have no rows; nulls are
-    left out.
+    ``least`` samples, without a span or without variance have no rows; nulls and
+    what isn't finite are left out.
     """
     stat, rows = _objects(df, keys, time, value, oversample, least)
     spectrum = _spectrum(stat, rows)
@@ -101,17 +101,8 @@ def _spectrum(stat: DataFrame, rows: DataFrame) -> DataFrame:
     return sums.join(stat.select("id", "n", "var", "span", "step"), "id").select("id", "k", (1.0 / F.col("span") + F.col("k") * F.col("step")).alias("frequency"), F.coalesce(power, F.lit(0.0)).alias("power"))
 
 
-def peaks(spectrum: DataFrame, keys: Sequence[str], prominence: float = 3.0, distance: int = 20, reach: int = 150) -> DataFrame:
-    """Peaks of periodograms ``(*keys, k, frequency, power)``: with ``prominence``, in units of the mean power, ``signal`` and ``harmonic``.
-
-    A peak is higher than both neighbours, has no higher one nearer than
-    ``distance`` steps (of equals the later stays), and rises by ``prominence``
-    above the higher of its two feet, each the least power up to the next higher
-    one within ``reach`` steps. The most prominent peak begins signal 1; peaks
-    whose ratio to it, rounded to tenths, exceeds a whole number by no more than three
-    steps of frequency belong to it, with that number as ``harmonic``; and so on
-    with those that are left.
-    """
+def prominent(spectrum: DataFrame, keys: Sequence[str], prominence: float = 3.0, distance: int = 20, reach: int = 150) -> DataFrame:
+    """The peaks of ``peaks`` with their ``prominence``, not told apart into signals: ``(*keys, k, frequency, power, prominence, _step)``, of which ``_step`` is the step of frequency."""
     keys = list(keys)
     w = Window.partitionBy(*keys).orderBy("k")
     if not hasattr(spectrum, "_shared_path"):
@@ -132,8 +123,24 @@ def peaks(spectrum: DataFrame, keys: Sequence[str], prominence: float = 3.0, dis
     left = (F.col("k") <= F.col("_p")) & (F.col("_l").isNull() | (F.col("k") > F.col("_l")))
     right = (F.col("k") >= F.col("_p")) & (F.col("_r").isNull() | (F.col("k") < F.col("_r")))
     feet = around(listed.join(walls.hint("merge"), own)).groupBy(*keys, F.col("_p").alias("k")).agg(F.greatest(side(left), side(right)).alias("_foot"))
-    found = tops.join(feet, [*keys, "k"]).withColumn("prominence", (F.col("power") - F.col("_foot")) / F.col("_mean")).filter(F.col("prominence") >= prominence)
-    todo, done, signal = materialize(found.select(*keys, "k", "frequency", "power", "prominence", "_step"), "peaks"), [], 0
+    found = tops.join(feet.hint("merge"), [*keys, "k"]).withColumn("prominence", (F.col("power") - F.col("_foot")) / F.col("_mean")).filter(F.col("prominence") >= prominence)
+    return found.select(*keys, "k", "frequency", "power", "prominence", "_step")
+
+
+def peaks(spectrum: DataFrame, keys: Sequence[str], prominence: float = 3.0, distance: int = 20, reach: int = 150) -> DataFrame:
+    """Peaks of periodograms ``(*keys, k, frequency, power)``: with ``prominence``, in units of the mean power, ``signal`` and ``harmonic``.
+
+    A peak is higher than both neighbours, has no higher one nearer than
+    ``distance`` steps (of equals the later stays), and rises by ``prominence``
+    above the higher of its two feet, each the least power up to the next higher
+    one within ``reach`` steps. The most prominent peak begins signal 1; peaks
+    whose ratio to it, rounded to tenths, exceeds a whole number by no more than three
+    steps of frequency belong to it, with that number as ``harmonic``; and so on
+    with those that are left.
+    """
+    keys = list(keys)
+    found = prominent(spectrum, keys, prominence, distance, reach)
+    todo, done, signal = materialize(found, "peaks"), [], 0
     while not todo.isEmpty():
         signal += 1
         first = todo.groupBy(*keys).agg(F.max_by("frequency", F.struct("prominence", -F.col("k"))).alias("_f"))
@@ -155,13 +162,14 @@ def fourier_period(df: DataFrame, keys: Sequence[str], time: str, value: str, ov
     The period is the most prominent peak's, or where there is none that of the
     greatest power; the shape is a Fourier series of ``order`` (3 or more) by least squares at it.
     Series of fewer than 3 + 2 ``order`` samples, without span or variance have nulls.
+    Peaks aren't told apart into signals for it, which takes a round each.
     """
     keys, least = list(keys), 3 + 2 * order
     stat, rows = _objects(df, keys, time, value, oversample, least)
     spectrum = materialize(_spectrum(stat, rows), "spectrum")
     order_by = F.struct("power", -F.col("k"))
     top = spectrum.groupBy("id").agg(F.max_by(F.struct("frequency", "power"), order_by).alias("g"))
-    best = peaks(spectrum, ["id"]).groupBy("id").agg(F.max_by(F.struct("frequency", "power"), F.struct("prominence", -F.col("k"))).alias("p"))
+    best = materialize(prominent(spectrum, ["id"]), "peaks").groupBy("id").agg(F.max_by(F.struct("frequency", "power"), F.struct("prominence", -F.col("k"))).alias("p"))
     best = materialize(top.join(best, "id", "left").select("id", F.coalesce("p", "g").alias("b")).select("id", "b.*"), "best")
     phase = 2 * np.pi * F.col("frequency") * F.col("t")
     basis = [F.lit(1.0), *[g(m * phase) for m in range(1, order + 1) for g in (F.cos, F.sin)]]

@@ -102,3 +102,13 @@ def test_feet_are_found_however_far_they_may_lie(spark):
     s = spark.createDataFrame([(1, k, 1.0 + k, p) for k, p in enumerate(power)], "id int, k long, frequency double, power double")
     got = {reach: sorted(map(tuple, periods.peaks(s, ["id"], distance=2, reach=reach).select("k", "power", "prominence").collect())) for reach in (47, 2_000_000_000)}
     assert got[47] == got[2_000_000_000] and [g[0] for g in got[47]] == [1, 4]
+
+
+def test_a_period_needs_no_signals_and_leaves_out_what_is_not_finite(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    t = np.sort(rng.uniform(0, 60, 200))
+    rows = [("a", float(a), float(np.sin(2 * np.pi * a / 3.3) + 0.2 * b)) for a, b in zip(t, rng.normal(size=200))]
+    odd = [("a", 1.5, float("inf")), ("a", float("-inf"), 1.0), ("a", 2.5, float("nan")), ("b", 1.0, float("inf"))]
+    monkeypatch.setattr(periods, "peaks", None)  # a round for each signal
+    got = {r.key: r for r in periods.fourier_period(spark.createDataFrame(rows + odd, "key string, t double, v double"), ["key"], "t", "v").collect()}
+    assert abs(got["a"].period - 3.3) < 0.05 and got["b"].period is None
