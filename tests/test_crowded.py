@@ -71,3 +71,14 @@ def test_listed_sides_are_not_broadcast(spark):
     df = spark.range(100).selectExpr("id", "id * 1.0D as x", "id * 1.0D as y")
     assert "Broadcast" not in spatial.within(df, df, 2.0)._jdf.queryExecution().executedPlan().toString()
     assert math.isclose(spatial.within(df, df, 2.0).filter("l_id < r_id").first().distance, math.sqrt(2))
+
+
+def test_neighbour_lists_are_made_in_cells_and_crowded_ones_dealt(spark, monkeypatch):
+    monkeypatch.setattr(spatial, "DEAL", 500)
+    monkeypatch.setattr(clusters, "PAIRS", 64)
+    monkeypatch.setattr(clusters, "within", None)  # its pairs were shuffled by point
+    xy, df = _points(spark, 300, 30.0, 4)
+    odd = spark.createDataFrame([(1000, None, 1.0, 0.0), (None, 1.0, 1.0, 0.0)], df.schema)
+    got = {r.id: r.near for r in clusters.neighbours(df.union(odd), 5.0, "id").collect()}
+    d = _apart(xy, xy)
+    assert got == {i: [j for j in range(300) if j != i and d[i, j] <= 5] for i in range(300)} | {1000: [], None: []}
