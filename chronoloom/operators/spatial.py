@@ -20,7 +20,7 @@ from chronoloom.sources.shared import drop_shared, materialize
 #: Rows of a cell from which on nearest neighbours are looked for in rounds.
 CROWD = 64
 #: Pairs of a cell from which on its left rows are dealt over several tasks.
-DEAL = 1 << 25
+DEAL = 1 << 23
 
 
 def _cell(c: Column, size: float) -> Column:
@@ -296,13 +296,14 @@ def cone(catalogue: DataFrame, ra0: float, dec0: float, radius: float, ra: str =
     return catalogue.filter(sky.in_box(F.col(ra), F.col(dec), c, d, radius)).withColumn("separation", sky.separation(F.col(ra), F.col(dec), c, d)).filter(F.col("separation") < radius)
 
 
-def sky_within(left: DataFrame, right: DataFrame, radius: float, ra: str = "ra", dec: str = "dec", inclusive: bool = True) -> DataFrame:
+def sky_within(left: DataFrame, right: DataFrame, radius: float, ra: str = "ra", dec: str = "dec", inclusive: bool = True, deal: bool = True) -> DataFrame:
     """Pairs of positions no further than ``radius`` degrees apart on the sphere: ``l_*``, ``r_*`` and ``separation``.
 
     Declination is cut into bands as high as the radius and each band into cells
     as wide at its end nearer the pole. A right row is listed in the cells that its
     circle can reach (all of a band's where it holds a pole), so rows meet by an
-    equi join on band and cell; right ascensions meet across 0 = 360.
+    equi join on band and cell; right ascensions meet across 0 = 360. Cells of many
+    pairs, as at the poles, are dealt over several tasks (``deal``).
     """
     a = left.select(*[F.col(c).alias(f"l_{c}") for c in left.columns])
     b = right.select(*[F.col(c).alias(f"r_{c}") for c in right.columns])
@@ -327,7 +328,12 @@ def sky_within(left: DataFrame, right: DataFrame, radius: float, ra: str = "ra",
     reach = F.when(whole, F.sequence(F.lit(0).cast("long"), F.col("_n") - 1)).otherwise(F.transform(F.sequence(low, F.greatest(low, high)), lambda c: F.pmod(c, F.col("_n"))))
     b = b.withColumn("_cell", F.explode(reach)).drop("_n")
     apart = sky.separation(F.col(f"l_{ra}"), F.col(f"l_{dec}"), F.col(f"r_{ra}"), F.col(f"r_{dec}"))
-    cond = (a["_band"] == b["_band"]) & (a["_cell"] == b["_cell"]) & (apart <= radius if inclusive else apart < radius)
+    cell_of = ["_band", "_cell"]
+    if deal:
+        (a, b), cell_of = dealt(a, b, cell_of), [*cell_of, "_deal"]
+        n = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # given, as small partitions of many pairs would be joined
+        a, b = a.repartition(n, *cell_of), b.repartition(n, *cell_of)
+    cond = reduce(Column.__and__, [a[c] == b[c] for c in cell_of]) & (apart <= radius if inclusive else apart < radius)
     return a.join(b.hint("merge"), cond).select(*[f"l_{c}" for c in left.columns], *[f"r_{c}" for c in right.columns], apart.alias("separation"))
 
 
@@ -343,7 +349,7 @@ def sky_nearest(left: DataFrame, right: DataFrame, radius: float, id_col: str, o
     rest, found = left, []
     while True:
         last = reach >= radius
-        pairs = sky_within(rest, right, radius if last else reach, ra, dec)
+        pairs = sky_within(rest, right, radius if last else reach, ra, dec, deal=last)
         best = pairs.groupBy(f"l_{id_col}").agg(F.min_by(F.struct(*[c for c in pairs.columns if c != f"l_{id_col}"]), F.struct("separation", *[f"r_{c}" for c in order])).alias("_b")).select(f"l_{id_col}", "_b.*")
         if last and not found:
             return best
@@ -370,7 +376,7 @@ def sky_self_nearest(points: DataFrame, radius: float, id_col: str, ra: str = "r
     own = materialize(points.select(F.col(id_col).alias("id"), F.col(ra).cast("double").alias("ra"), F.col(dec).cast("double").alias("dec")).filter("id is not null and ra is not null and dec is not null").distinct(), "positions")
     found, rest, reach = [], own, float(radius)
     while True:
-        pairs = sky_within(rest, own, min(reach, 180.0)).filter("l_id <> r_id")
+        pairs = sky_within(rest, own, min(reach, 180.0), deal=reach > radius).filter("l_id <> r_id")
         near = materialize(pairs.groupBy(F.col("l_id").alias("id")).agg(F.min("separation").alias("_d")), "nearest")
         found.append(near)
         left = materialize(rest.join(near.select("id"), "id", "left_anti"), "rest")

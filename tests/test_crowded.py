@@ -82,3 +82,15 @@ def test_neighbour_lists_are_made_in_cells_and_crowded_ones_dealt(spark, monkeyp
     got = {r.id: r.near for r in clusters.neighbours(df.union(odd), 5.0, "id").collect()}
     d = _apart(xy, xy)
     assert got == {i: [j for j in range(300) if j != i and d[i, j] <= 5] for i in range(300)} | {1000: [], None: []}
+
+
+def test_cones_at_a_pole_are_dealt_over_several_tasks(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    left, right = ([(i, float(ra), float(dec)) for i, (ra, dec) in enumerate(zip(rng.uniform(0, 360, n), rng.uniform(85, 90, n)))] for n in (200, 150))
+    a, b = (spark.createDataFrame(rows, "id long, ra double, dec double") for rows in (left, right))
+    want = sorted((r.l_id, r.r_id) for r in spatial.sky_within(a, b, 4.0).collect())
+    monkeypatch.setattr(spatial, "DEAL", 300)
+    got = spatial.sky_within(a, b, 4.0)
+    assert sorted((r.l_id, r.r_id) for r in got.collect()) == want and len(want) > 10_000
+    x, y = spatial.dealt(a.withColumn("c", spatial.F.lit(1)), b.withColumn("c", spatial.F.lit(1)), ["c"])
+    assert x.select("_deal").distinct().count() > 50 and y.count() == 150 * 100
