@@ -94,3 +94,34 @@ def test_cones_at_a_pole_are_dealt_over_several_tasks(spark, monkeypatch):
     assert sorted((r.l_id, r.r_id) for r in got.collect()) == want and len(want) > 10_000
     x, y = spatial.dealt(a.withColumn("c", spatial.F.lit(1)), b.withColumn("c", spatial.F.lit(1)), ["c"])
     assert x.select("_deal").distinct().count() > 50 and y.count() == 150 * 100
+
+
+def test_crossings_meet_in_place_and_no_pairs_of_all_are_made(spark, monkeypatch):
+    """Slow, fast and standing tracks, lives of one moment, odd rows; then 20,000 tracks far apart: 2e8 pairs, of which the cells hold none but a row of near ones."""
+    rng = np.random.default_rng(9)
+    rows = [(i, 5.0, *(float(v) for v in (*rng.uniform(-90, 90, 1), rng.normal(0, s), *rng.uniform(-90, 90, 1), rng.normal(0, s))), (a := float(rng.uniform(-20, 20))), a + float(rng.choice([0, 3, 30]))) for i, s in enumerate([0, 0.1, 2, 40] * 60)]
+    rows += [(900, 5.0, 0.0, float("nan"), 0.0, 0.0, 0.0, 9.0), (901, 5.0, 0.0, 0.0, 0.0, 0.0, 9.0, 0.0), (902, None, 0.0, 0.0, 0.0, 0.0, 0.0, 9.0), (903, 5.0, float("inf"), 0.0, 0.0, 0.0, 0.0, 9.0), (904, 5.0, 1.0, 0.0, 1.0, 1e-13, -20.0, 40.0)]
+    kind = "track long, t_ref double, x0 double, vx double, y0 double, vy double, t_min double, t_max double"
+    want = {}
+    for i, p in enumerate(rows):
+        for q in rows[i + 1 :]:
+            lo, hi = max(p[6], q[6]), min(p[7], q[7])
+            if p[0] in (900, 901, 902, 903) or q[0] in (900, 901, 902, 903) or lo > hi:
+                continue
+            x, y = (p[k] + p[k + 1] * (lo - 5) - q[k] - q[k + 1] * (lo - 5) for k in (2, 4))
+            u, v = p[3] - q[3], p[5] - q[5]
+            t = max(0, min(hi - lo, -(x * u + y * v) / (u * u + v * v))) if u * u + v * v else 0
+            if (d := math.hypot(x + u * t, y + v * t)) < 7:
+                want[p[0], q[0]] = d
+    for deal in (spatial.DEAL, 200):
+        monkeypatch.setattr(spatial, "DEAL", deal)
+        monkeypatch.setattr(clusters, "PAIRS", 64 if deal == 200 else clusters.PAIRS)
+        got = [((r.a_track, r.b_track), r.distance) for r in clusters.closest_approach(spark.createDataFrame(rows, kind), 7.0).collect()]
+        assert len(got) == len(dict(got)) and dict(got) == pytest.approx(want, abs=1e-9) and len(want) > 100
+    assert clusters.closest_approach(spark.createDataFrame(rows[:0], kind), 7.0).count() == clusters.closest_approach(spark.createDataFrame(rows, kind), 0.0).count() == 0
+    wide = spark.range(20000).selectExpr("id as track", "0.0D as t_ref", "id % 200 * 9.0D as x0", "1.0D as vx", "div(id, 200) * 9.0D as y0", "0.0D as vy", "0.0D as t_min", "3.0D as t_max")
+    made = []
+    passed = clusters._passed
+    monkeypatch.setattr(clusters, "_passed", lambda *a: made.append(passed(*a)) or made[0])
+    assert clusters.closest_approach(wide, 7.0).count() == 0
+    assert made[0].groupBy("_b", "_cx", "_cy").count().selectExpr("sum(count * count)").first()[0] < 20000 * 60  # pairs compared
