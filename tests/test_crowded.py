@@ -125,3 +125,21 @@ def test_crossings_meet_in_place_and_no_pairs_of_all_are_made(spark, monkeypatch
     monkeypatch.setattr(clusters, "_passed", lambda *a: made.append(passed(*a)) or made[0])
     assert clusters.closest_approach(wide, 7.0).count() == 0
     assert made[0].groupBy("_b", "_cx", "_cy").count().selectExpr("sum(count * count)").first()[0] < 20000 * 60  # pairs compared
+
+
+def test_neighbour_lists_as_text_and_cells_listed_as_often_however_dense(spark, monkeypatch):
+    xy, df = _points(spark, 300, 30.0, 4)
+    odd = spark.createDataFrame([(1000, None, 1.0, 0.0), (None, 1.0, 1.0, 0.0), (7, *map(float, xy[7]), 0.0)], df.schema)
+    d = _apart(xy, xy)
+    want = sorted((i, ";".join(str(j) for j in range(300) for _ in range(1 + (j == 7)) if j != i and d[i, j] <= 5)) for i in [*range(300), 7])
+    for name in ("long", "string", "double"):
+        got = clusters.neighbours(df.union(odd).withColumn("id", spatial.F.col("id").cast("long")), 5.0, "id", joined=";") if name == "long" else clusters.neighbours(df.union(odd).withColumn("id", spatial.F.format_string("%04d", "id") if name == "string" else spatial.F.col("id").cast("double")).filter("id is not null and id not like 'n%'"), 5.0, "id", joined=";")
+        rows = [(int(float(r.id)), ";".join(str(int(float(k))) for k in r.near.split(";") if k)) for r in got.collect() if r.id is not None]
+        assert sorted(rows) == sorted([*want, (1000, "")]), name
+    monkeypatch.setattr(spatial, "DEAL", 500)
+    listed = []
+    meeting = clusters._meeting
+    monkeypatch.setattr(clusters, "_meeting", lambda own, others, cell: listed.append(others.count()) or meeting(own, others, cell))
+    for n in (1000, 4000):  # as many cells, four times as dense
+        clusters.neighbours(spark.range(n).selectExpr("id", "id * 7919 % 1000 / 10.0D as x", "id * 104729 % 997 / 10.0D as y"), 5.0, "id")
+    assert listed[1] < listed[0] * 6  # each cell was dealt over 16 times as many tasks, and listed in each
