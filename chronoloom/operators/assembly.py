@@ -10,13 +10,18 @@ its events, not its history times its events.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from chronoloom.operators import clusters, rollup, series
 from chronoloom.sources.shared import materialize
 
+_STATS = ["_med", "_std", "_slope", "_mean", "_hi", "_lo"]
 _EVENT = ["eventid", "flux_sign", "frame_start", "frame_end", "time_start", "time_end"]
 
 
@@ -41,6 +46,83 @@ def _meet(samples: DataFrame, events: DataFrame, keys: list[str], at: str, low:
     return samples.withColumn("_b", bucket(F.col(at))).join(spread, [*keys, "_b"]).filter(F.col(at).between(low, high)).drop("_b")
 
 
+def _objects(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
+    """Rows that are in order of their keys, an object at a time."""
+    held = []
+    whole = lambda: pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+    for b in batches:
+        new = np.zeros(max(b.num_rows - 1, 0), bool)
+        for k in keys:
+            new |= pc.not_equal(b.column(k)[1:], b.column(k)[:-1]).to_numpy(zero_copy_only=False)
+        edges = [0, *(np.flatnonzero(new) + 1).tolist(), b.num_rows]
+        for at, end in zip(edges, edges[1:]):
+            if at == end:
+                continue
+            part = b.slice(at, end - at)
+            if held and any(held[-1].column(k)[-1] != part.column(k)[0] for k in keys):
+                yield whole()
+                held = []
+            held.append(part)
+    if held:
+        yield whole()
+
+
+def _nearest(t: np.ndarray, f: np.ndarray, to: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """The frame of the sample nearest to each of the times among those from place ``low`` to ``high``, none of them empty; of two equally near the earlier."""
+    i = np.searchsorted(t, to)
+    after, before = np.clip(i, low, high - 1), np.clip(i - 1, low, high - 1)
+    before = np.maximum(np.searchsorted(t, t[before]), low)  # of equal times the first frame
+    a, b = np.abs(t[after] - to), np.abs(t[before] - to)
+    return np.where(a < b, f[after], np.where(b < a, f[before], np.minimum(f[after], f[before])))
+
+
+def _measured(batches: Iterator[pa.RecordBatch], keys: list[str], buffer: float, far: float, masked: bool) -> Iterator[pa.RecordBatch]:
+    """What ``measure`` needs of each event near which there are samples: of objects' samples (``_event`` 0) by time, then their events."""
+    for obj in _objects(batches, keys):
+        n = int(np.searchsorted(obj.column("_event").to_numpy(), 1))
+        if n in (0, obj.num_rows):
+            continue
+        curve, found = obj.slice(0, n), obj.slice(n)
+        t, f = (curve.column(c).to_numpy() for c in ("time", "frame"))
+        ok, flux = curve.column("flux").is_valid().to_numpy(zero_copy_only=False), curve.column("flux").to_numpy(zero_copy_only=False)
+        ids, start, end, first, last = (found.column(c).to_numpy(zero_copy_only=False) for c in ("eventid", "time", "time_end", "frame", "frame_end"))
+        low, high = np.searchsorted(t, start - 2 * far), np.searchsorted(t, end + 2 * far, "right")
+        some = np.flatnonzero(low < high)
+        found, ids, start, end, first, last, low, high = found.take(pa.array(some)), *(v[some] for v in (ids, start, end, first, last, low, high))
+        w0, b0, b1, w1 = (_nearest(t, f, to, low, high) for to in (start - far, start - buffer, end + buffer, end + far))
+        if masked:
+            covered, cover = np.zeros(n, bool), np.zeros(n, np.int64)
+            for e in np.argsort(ids, kind="stable"):
+                at = slice(low[e], high[e])
+                own = (f[at] >= first[e]) & (f[at] <= last[e])
+                covered[at] |= own
+                cover[at][own] = ids[e]
+        rows = []
+        for e in range(len(some)):
+            at = slice(low[e], high[e])
+            fr, v, good = f[at], flux[at], ok[at]
+            ground = (((fr > w0[e]) & (fr < b0[e])) | ((fr < w1[e]) & (fr > b1[e]))) & good
+            if masked:
+                ground &= ~covered[at] | (cover[at] == ids[e])
+            base, seen = np.sort(v[ground]), (fr >= first[e]) & (fr <= last[e]) & good
+            k, med, std, slope, mean, hi, lo, hi_f, lo_f = len(base), None, None, None, None, None, None, None, None
+            if k:
+                med = float((base[(k - 1) // 2] + base[k // 2]) / 2) if base[(k - 1) // 2] != base[k // 2] else float(base[k // 2])
+                std = float(base.std()) if base[0] != base[-1] else 0.0
+                u = t[at][ground]
+                u = u - u.mean()
+                if (square := float(u @ u)) > 0:
+                    slope = float(u @ (v[ground] - base.mean())) / square
+            if seen.any():
+                own, frames = v[seen], fr[seen]
+                mean, hi, lo = float(own.mean()), float(own.max()), float(np.fmin.reduce(own))  # NaN is the greatest
+                hi_f, lo_f = (int(frames[own == x if x == x else np.isnan(own)].min()) for x in (hi, lo))
+            rows.append((k, med, std, slope, mean, hi, lo, hi_f, lo_f))
+        if rows:
+            kinds = [pa.int64(), *[pa.float64()] * 6, pa.int64(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([*[found.column(c) for c in [*keys, "eventid"]], *[pa.array(c, k) for c, k in zip(zip(*rows), kinds)]], names=[*keys, "eventid", "n_base", *_STATS, "_hi_frame", "_lo_frame"])
+
+
 def measure(samples: DataFrame, events: DataFrame, keys: Sequence[str], buffer: float, window: float, masked: bool = False) -> DataFrame:
     """The events with their light curve's baseline and significance.
 
@@ -52,34 +134,29 @@ def measure(samples: DataFrame, events: DataFrame, keys: Sequence[str], buffer:
     absolute values if flux_sign is negative. flux_max and frame_max are the peak and
     its first frame. lc_flat: slope a unit of time under two deviations, median
     under one, deviation under five. Fewer than two samples or no deviation: null
-    significance, not flat.
+    significance, not flat. A sample is shuffled once, to its object, whose history
+    is held in one task as columns; pairs with events are not made.
     """
     keys = list(keys)
     far = buffer + window
-    t, flux, start, end = F.col("time"), F.col("flux"), F.col("time_start"), F.col("time_end")
-    rows = _meet(samples.select(*keys, "frame", "time", "flux"), events.select(*keys, *_EVENT), keys, "time", start - 2 * far, end + 2 * far, 2 * far)
-    inside = F.col("frame").between(F.col("frame_start"), F.col("frame_end"))
-    if masked:
-        cover = F.max(F.when(inside, F.col("eventid"))).over(Window.partitionBy(*keys, "frame"))
-        rows = rows.withColumn("_free", cover.isNull() | (cover == F.col("eventid")))
-    own = Window.partitionBy(*keys, "eventid")
-    nearest = lambda to: F.min(F.struct(F.abs(t - to).alias("off"), F.col("frame").alias("f"))).over(own)["f"]
-    rows = rows.withColumns({"_w0": nearest(start - far), "_b0": nearest(start - buffer), "_b1": nearest(end + buffer), "_w1": nearest(end + far)})
-    frame = F.col("frame")
-    ground = ((frame > F.col("_w0")) & (frame < F.col("_b0"))) | ((frame < F.col("_w1")) & (frame > F.col("_b1")))
-    base = F.when(ground & F.col("_free") if masked else ground, flux)
-    seen, up = F.when(inside, flux), F.col("flux_sign") >= 0
-    stat = rows.groupBy(*keys, *_EVENT).agg(
-        F.count(base).alias("n_base"), F.median(base).alias("_med"), F.stddev_pop(base).alias("_std"), F.regr_slope(base, t).alias("_slope"), F.avg(seen).alias("_mean"),
-        F.max(F.when(seen.isNotNull(), F.struct(seen.alias("v"), (-frame).alias("f")))).alias("_hi"), F.min(F.when(seen.isNotNull(), F.struct(seen.alias("v"), frame.alias("f")))).alias("_lo"),
-    )
+    up, kind = F.col("flux_sign") >= 0, samples.schema
+    parts = int(samples.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    plain = lambda df, at, frame, **more: df.select(*keys, F.col(at).cast("double").alias("time"), F.col(frame).cast("long").alias("frame"), *[c.alias(n) for n, c in more.items()]).dropna(subset=[*keys, "time", "frame"])
+    none = F.lit(None)
+    curves = plain(samples, "time", "frame", flux=F.col("flux").cast("double"), eventid=none.cast("long"), time_end=none.cast("double"), frame_end=none.cast("long"))
+    spans = plain(events, "time_start", "frame_start", flux=none.cast("double"), eventid=F.col("eventid").cast("long"), time_end=F.col("time_end").cast("double"), frame_end=F.col("frame_end").cast("long"))
+    both = curves.withColumn("_event", F.lit(0)).unionByName(spans.withColumn("_event", F.lit(1))).repartition(parts, *keys).sortWithinPartitions(*keys, "_event", "time", "frame")
+    out = StructType([*[StructField(k, both.schema[k].dataType) for k in [*keys, "eventid"]], StructField("n_base", LongType()), *[StructField(c, DoubleType()) for c in _STATS], StructField("_hi_frame", LongType()), StructField("_lo_frame", LongType())])
+    stat = both.mapInArrow(lambda batches: _measured(batches, keys, buffer, far, masked), out).withColumns({c: F.col(c).cast(kind["flux"].dataType) for c in ("_hi", "_lo")})
+    stat = stat.withColumns({f"_{c}": F.struct(F.col(f"_{c}").alias("v"), F.col(f"_{c}_frame").cast(kind["frame"].dataType).alias("f")) for c in ("hi", "lo")})
+    stat = stat.withColumn("eventid", F.col("eventid").cast(events.schema["eventid"].dataType)).join(events.select(*keys, "eventid", "flux_sign"), [*keys, "eventid"])
     sigma, med = F.when((F.col("n_base") >= 2) & (F.col("_std") > 0), F.col("_std")), F.when(F.col("n_base") >= 2, F.col("_med"))
     peak = F.when(up, F.col("_hi.v")).otherwise(F.col("_lo.v"))
     signed = lambda v: F.when(up, (v - med) / sigma).otherwise(F.abs((v - med) / sigma))
     flat = (F.abs(F.col("_slope")) / sigma < 2) & (F.abs(med) < sigma) & (sigma < 5)
     stat = stat.select(
         *keys, "eventid", "n_base", med.alias("base_median"), sigma.alias("base_std"), signed(peak).alias("lc_sig_max"), signed(F.col("_mean")).alias("lc_sig_med"), peak.alias("flux_max"),
-        F.when(up, -F.col("_hi.f")).otherwise(F.col("_lo.f")).alias("frame_max"), F.coalesce(flat, F.lit(False)).cast("int").alias("lc_flat"),
+        F.when(up, F.col("_hi.f")).otherwise(F.col("_lo.f")).alias("frame_max"), F.coalesce(flat, F.lit(False)).cast("int").alias("lc_flat"),
     )
     return events.join(stat, [*keys, "eventid"], "left").withColumn("lc_flat", F.coalesce("lc_flat", F.lit(0)))
 

@@ -110,3 +110,35 @@ def test_nothing_detected(spark):
     det = spark.createDataFrame([], "objid long, frame long, time double, flux_sign int, snr double, x double, y double")
     lc = spark.createDataFrame([(1, 1, 1.0, None)], "objid long, frame long, time double, flux double")
     assert assembly.assemble_events(det, lc, ["objid"], 4, 3.0, 30.0).count() == 0
+
+
+def test_measures_are_made_without_pairs_of_samples_and_events(spark, monkeypatch):
+    monkeypatch.setattr(assembly, "_meet", None)  # each event met its surroundings there, and the pairs were shuffled
+    rng = np.random.default_rng(3)
+    curves = {("a", 1): np.round(rng.normal(0, 1, 400), 3), ("a", 2): np.full(400, 0.1), ("b", 1): np.round(rng.normal(5, 2, 400), 3)}
+    lost = {5, 30, 31, 200}
+    lc = [(*k, f, f / 2.0, None if f in lost else float(v)) for k, vs in curves.items() for f, v in enumerate(vs) if f % 11] + [("a", None, 3, 1.5, 1.0), ("c", 1, 4, 2.0, None)]
+    spans = [(1, 60, 64, 1), (2, 63, 63, -1), (3, 150, 301, 1), (4, 5, 5, 1)]
+    events = [(*k, e, s, a, b, a / 2.0, b / 2.0) for k in curves for e, a, b, s in spans] + [("c", 1, 1, 1, 4, 4, 2.0, 2.0), ("c", 1, 2, 1, 4000, 4000, 2000.0, 2000.0), ("d", 1, 1, 1, 4, 4, 2.0, 2.0)]
+    samples = spark.createDataFrame(lc, "field string, objid long, frame int, time double, flux double")
+    df = spark.createDataFrame(events, "field string, objid long, eventid long, flux_sign int, frame_start int, frame_end int, time_start double, time_end double")
+    for masked in (False, True):
+        got = {(r.field, r.objid, r.eventid): r for r in assembly.measure(samples, df, ["field", "objid"], 3.0, 30.0, masked).collect()}
+        assert len(got) == len(events) and got["c", 1, 2].n_base is None and got["d", 1, 1].n_base is None and got["c", 1, 1].n_base == 0
+        for k in curves:
+            own = [(f, v) for *o, f, _, v in lc if tuple(o) == k]
+            fs, ts = np.array([f for f, _ in own]), np.array([f / 2.0 for f, _ in own])
+            for e, a, b, s in spans:
+                near = lambda t: min(fs, key=lambda f: (abs(f / 2.0 - t), f))  # noqa: B023, E731
+                w0, b0, b1, w1 = near(a / 2 - 33), near(a / 2 - 3), near(b / 2 + 3), near(b / 2 + 33)
+                other = {f for f in range(400) if masked and (c := [i for i, x, y, _ in spans if x <= f <= y]) and max(c) != e}
+                base = [v for f, v in own if v is not None and f not in other and (w0 < f < b0 or b1 < f < w1)]
+                seen = [(v, f) for f, v in own if v is not None and a <= f <= b]
+                r = got[*k, e]
+                flat = len(base) < 2 or k[1] == 2
+                assert r.n_base == len(base) and r.base_std == (None if flat else pytest.approx(np.std(base))) and r.base_median == (pytest.approx(np.median(base)) if len(base) > 1 else None)
+                if seen:
+                    v = max(v for v, _ in seen) if s > 0 else min(v for v, _ in seen)
+                    assert (r.flux_max, r.frame_max) == (v, min(f for w, f in seen if w == v))
+                else:
+                    assert r.flux_max is None and r.frame_max is None
