@@ -58,6 +58,12 @@ def _contracted(edges: DataFrame) -> DataFrame:
     return materialize(edges.mapInArrow(_contract, "u long, v long"), "edges")
 
 
+def contracted_near(edges: DataFrame, keys: list[str]) -> DataFrame:
+    """Edges ``(u, v)`` that join the same nodes, fewer where most are joined under equal ``keys``: a task contracts those that it holds."""
+    parts = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return edges.repartition(parts, *keys).sortWithinPartitions(*keys).select(F.col("u").cast("long"), F.col("v").cast("long")).mapInArrow(_contract, "u long, v long")
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("n")).select("u", F.least("u", "n").alias("m"))

@@ -225,10 +225,8 @@ def tag_moving(
     keys = list(keys)
     is_moving = F.col("classification") == moving
     seeds = events.filter(is_moving).select(*keys, "id", "x", "y", "t")
-    met = within(seeds, seeds, space, keys=keys).filter(F.pow(F.col("distance") / space, 2) + F.pow((F.col("l_t") - F.col("r_t")) / time, 2) <= 1)
-    near = materialize(met.select(F.col("l_id").alias("u"), F.col("r_id").alias("v")), "neighbours")
-    p = materialize(density_clusters_of(seeds, near, least, "id", "track"), "moving")
-    drop_shared(near)
+    met = within(seeds, seeds, space, keys=keys, width=2).filter(F.pow(F.col("distance") / space, 2) + F.pow((F.col("l_t") - F.col("r_t")) / time, 2) <= 1)
+    p = materialize(density_clusters_of(seeds, met.select(F.col("l_id").alias("u"), F.col("r_id").alias("v"), *[F.col(f"l_{k}").alias(f"_{k}") for k in keys]), least, "id", "track", [f"_{k}" for k in keys]), "moving")
     steps = [*[(grow, growth)] * rounds, *[(merge, merging)] * rounds]
     for step, radius in steps:
         new = materialize(step(p, materialize(fit(p, keys, most_acceleration), "tracks"), radius, keys), "moving")

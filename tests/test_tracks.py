@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from chronoloom.operators import spatial, tracks
+from chronoloom.operators import clusters, spatial, tracks
 
 POINT = "id long, x double, y double, t double, track long"
 
@@ -122,3 +122,36 @@ def test_brightest_first_equals_the_greedy_choice(spark):
     got = spatial.brightest_first(df, ["frame"], 1.0, "flux", "id")
     assert got.columns == df.columns and {r.id for r in got.collect()} == want | {9999}
     assert spatial.brightest_first(df.filter(F.lit(False)), ["frame"], 1.0, "flux", "id").count() == 0
+
+
+def test_seeds_of_a_field_are_contracted_before_they_meet(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = [(i, f"f{i % 3}", float(x), float(y), float(t), 1, "Asteroid") for i, (x, y, t) in enumerate(zip(rng.normal(50, 1, 180), rng.normal(50, 1, 180), rng.uniform(0, 1, 180)))]
+    events = spark.createDataFrame(rows, "id long, field string, x double, y double, t double, flux_sign int, classification string")
+    seen, own = [], clusters.connected_components
+    monkeypatch.setattr(clusters, "connected_components", lambda edges, *a: seen.append(edges.count()) or own(edges, *a))
+    got = tracks.tag_moving(events, ["field"], rounds=1).groupBy("field").agg(F.count_distinct("asteroid_id").alias("n"), F.min("asteroid_id").alias("k")).collect()
+    assert {(r.field, r.n, r.k) for r in got} == {(f"f{i}", 1, 1) for i in range(3)}
+    assert seen[0] < 180  # there are about 60 * 59 pairs in each field
+
+
+def test_clusters_of_given_pairs_and_wide_cells_equal_plain_loops(spark):
+    rng = np.random.default_rng(7)
+    xy, field = np.round(rng.uniform(-20, 20, (400, 2)), 1), rng.integers(0, 2, 400)
+    df = spark.createDataFrame([(i, int(f), float(x), float(y)) for i, ((x, y), f) in enumerate(zip(xy, field))], "id long, field long, x double, y double")
+    near = (np.hypot(*(xy[:, None] - xy[None]).transpose(2, 0, 1)) <= 2.0) & (field[:, None] == field)
+    pairs = {(int(i), int(j)) for i, j in zip(*np.nonzero(near))}
+    for width in (1, 2, 3):
+        for listed in (False, True):
+            met = spatial.within(df, df, 2.0, keys=["field"], width=width, list_left=listed)
+            rows = [(r.l_id, r.r_id) for r in met.collect()]
+            assert len(rows) == len(pairs) and set(rows) == pairs
+    core = near.sum(axis=1) >= 4
+    name = np.where(core, np.arange(400), 400)
+    while (new := np.where(core, np.minimum(name, np.where(near & core[None, :], name[None, :], 400).min(axis=1)), 400)).tolist() != name.tolist():
+        name = new
+    border = np.where(near & core[None, :], name[None, :], 400).min(axis=1)
+    want = {i: int(name[i]) if core[i] else int(border[i]) if border[i] < 400 else None for i in range(400)}
+    for keys in ([], ["field"]):
+        got = clusters.density_clusters_of(df, met.select(F.col("l_id").alias("u"), F.col("r_id").alias("v"), F.col("l_field").alias("field")), 4, "id", keys=keys)
+        assert {r.id: r.cluster for r in got.collect()} == want and 2 < len({c for c in want.values()}) and core.sum() > 30
